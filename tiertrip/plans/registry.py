@@ -1,13 +1,41 @@
-"""Registered queries: name -> (spark, sf_dir) -> DataFrame, plus the DuckDB oracle text."""
+"""Registered queries: name -> (spark, sf_dir) -> DataFrame, plus the DuckDB oracle text.
+
+Every query reads the driver's tables through :class:`TripLake` (bronze and zones derived from
+``lineitem``/``nation``/``region``), over the whole tables. Place names used by the saved queries
+and the look-back dates are fixture parameters, stated once below.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tiertrip.checks import oracle as o
+from tiertrip.checks.oracle import avg2, pct, r, sum2, with_
+from tiertrip.operators import derive as dv
+from tiertrip.operators import enrich as en
+from tiertrip.operators import quality as qu
+from tiertrip.operators import reports as rp
+from tiertrip.operators import zones as zn
+from tiertrip.plans import medallion as md
+from tiertrip.plans import saved
 from tiertrip.plans.lake import TripLake
+from tiertrip.session import scratch_path
+from tiertrip.sinks import landing as ld
+from tiertrip.sinks.writers import write_partitioned
+from tiertrip.sources import months as mo
+from tiertrip.sources import readers
+
+# Fixture parameters: the fixture's own borough and zone names stand in for the real places.
+BOROUGH = "ASIA"
+SPECIAL_ZONES = ["NATION_1", "NATION_2"]
+LATEST_AS_OF, LATEST_START, LATEST_MAX, LATEST_N = "2024-08-15", 2, 14, 6
+MISSING_AS_OF, MISSING_START, MISSING_MAX = "2024-09-01", 1, 10
+MANIFEST_BASE_URL = "landing/nyctlc"
+MANIFEST_TARGET = "raw/nyctlc/fhvhv_tripdata"
+GENERATED_AT = "1970-01-01T00:00:00+00:00"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,7 +54,458 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-@query("daily_borough_summary", o.with_(o.SILVER + [o.DAILY], "SELECT * FROM daily"))
-def daily_borough_summary(lake: TripLake) -> DataFrame:
+def _run_dir(lake: TripLake, what: str) -> str:
+    key = hashlib.sha1(lake.bronze_path.encode()).hexdigest()[:12]
+    return scratch_path(lake.spark, "runs", key, what)
+
+
+B, S, G = o.BASE, o.SILVER, o.SILVER  # CTE stacks
+NF = "ASC NULLS FIRST"
+
+# ---------------------------------------------------------------- sources
+@query("scan_trips", with_(B, "SELECT * FROM trips"))
+def scan_trips(lake):
+    """SRC-1: multi-month bronze scan under the explicit 23-column schema."""
+    return lake.bronze()
+
+
+@query("scan_zones", with_([o.ZONES], "SELECT * FROM zones"))
+def scan_zones(lake):
+    """SRC-2: zone CSV with header; the text N/A stays a string."""
+    return lake.zones()
+
+
+@query("scan_zones_na", with_([o.ZONES, o.ZONES_NA], "SELECT * FROM zones_na"))
+def scan_zones_na(lake):
+    """SRC-3: zone CSV with pandas NA semantics (N/A and the other default tokens -> NULL)."""
+    return lake.zones_na()
+
+
+@query("roundtrip_curated", with_(S, "SELECT * FROM curated"))
+def roundtrip_curated(lake):
+    """SRC-4/SNK-1: write silver partitioned by pickup_date, read it back with partition discovery."""
+    path = _run_dir(lake, "curated")
+    write_partitioned(lake.curated(), path, "pickup_date")
+    return readers.scan_curated(lake.spark, path)
+
+
+@query("latest_months", with_(B, f"""
+, avail AS (SELECT DISTINCT CAST(date_trunc('month', pickup_datetime) AS DATE) AS month FROM trips
+            WHERE pickup_datetime IS NOT NULL),
+spine AS (SELECT CAST(o AS INTEGER) AS months_back,
+                 CAST(date_trunc('month', DATE '{LATEST_AS_OF}') - to_months(CAST(o AS INTEGER)) AS DATE) AS month
+          FROM range({LATEST_START}, {LATEST_MAX + 1}) t(o))
+SELECT months_back, strftime(month, '%Y-%m') AS month,
+       'fhvhv_tripdata_' || strftime(month, '%Y-%m') || '.parquet' AS file
+FROM spine WHERE month IN (SELECT month FROM avail) ORDER BY spine.month DESC LIMIT {LATEST_N}""".replace("\n, avail", ", avail", 1)))
+def latest_months(lake):
+    """SRC-7: newest 6 months present within 2..14 months before the as-of date."""
+    return mo.latest_months(mo.available_months(lake.bronze()), LATEST_AS_OF, LATEST_START, LATEST_MAX, LATEST_N)
+
+
+@query("missing_months", with_(B, f"""
+, avail AS (SELECT DISTINCT CAST(date_trunc('month', pickup_datetime) AS DATE) AS month FROM trips
+            WHERE pickup_datetime IS NOT NULL),
+spine AS (SELECT CAST(o AS INTEGER) AS months_back,
+                 CAST(date_trunc('month', DATE '{MISSING_AS_OF}') - to_months(CAST(o AS INTEGER)) AS DATE) AS month
+          FROM range({MISSING_START}, {MISSING_MAX + 1}) t(o))
+SELECT months_back, strftime(month, '%Y-%m') AS month,
+       'fhvhv_tripdata_' || strftime(month, '%Y-%m') || '.parquet' AS file
+FROM spine WHERE month NOT IN (SELECT month FROM avail)"""))
+def missing_months(lake):
+    """SRC-8: months in the look-back window that the data does not have."""
+    return mo.missing_months(mo.available_months(lake.bronze()), MISSING_AS_OF, MISSING_START, MISSING_MAX)
+
+
+# ---------------------------------------------------------------- landing
+@query("land_months", with_(B, """SELECT strftime(pickup_datetime, '%Y-%m') AS source_month, count(*) AS landed_rows
+FROM trips GROUP BY 1"""))
+def land_months(lake):
+    """SNK-5: land the bronze trips by source month (dynamic overwrite) and count what landed."""
+    path = _run_dir(lake, "landed")
+    ld.land_months(lake.bronze(), path)
+    return ld.landed_summary(ld.read_landed(lake.spark, path))
+
+
+@query("ingest_manifest", with_(B, f"""SELECT 'fhvhv_tripdata_' || m || '.parquet' AS file,
+       '{MANIFEST_BASE_URL}/fhvhv_tripdata_' || m || '.parquet' AS source_url,
+       '{MANIFEST_TARGET}/source_month=' || m || '/' AS target,
+       count(*) AS row_count, 'SUCCESS' AS status
+FROM (SELECT strftime(pickup_datetime, '%Y-%m') AS m FROM trips WHERE pickup_datetime IS NOT NULL) GROUP BY m"""))
+def ingest_manifest(lake):
+    """SNK-7: per landed month: file, source URL, target, rows, status (sizes are unit-tested)."""
+    path = _run_dir(lake, "landed_manifest")
+    ld.land_months(lake.bronze(), path)
+    m = ld.ingest_manifest(ld.read_landed(lake.spark, path), MANIFEST_BASE_URL, MANIFEST_TARGET, with_sizes=False)
+    return m
+
+
+# ---------------------------------------------------------------- filters and tags
+@query("provider_filter", with_(B + [o.PROVIDER], "SELECT * FROM provider"))
+def provider_filter(lake):
+    """FLT-1: one provider's trips."""
+    return lake.provider_trips()
+
+
+@query("dq_filter", with_(B + [o.PROVIDER, o.DQ_OK], "SELECT * FROM dq_ok"))
+def dq_filter(lake):
+    """FLT-2: the conjunctive quality filter after the provider filter."""
+    return qu.keep(lake.provider_trips(), thresholds=lake.thresholds)
+
+
+@query("dq_tag", with_(B + [o.TAGGED], "SELECT * FROM tagged"))
+def dq_tag(lake):
+    """FLT-3: first failed rule per row over all providers (NULL = good)."""
+    return lake.tagged()
+
+
+@query("dq_good", with_(B, f"SELECT * FROM trips WHERE {o.GOOD_FILTER}"))
+def dq_good(lake):
+    """FLT-4/PRJ-5: untagged rows without the tag column; the oracle is the plain filter, so this
+    also checks that tag IS NULL exactly when the filter is TRUE."""
+    return qu.good(lake.tagged())
+
+
+@query("dq_rejected", with_(B + [o.TAGGED], "SELECT * FROM tagged WHERE rejection_reason IS NOT NULL"))
+def dq_rejected(lake):
+    """FLT-5: tagged rows."""
+    return qu.rejected(lake.tagged())
+
+
+_RULE_SQL = [
+    ("null_pickup_datetime", "pickup_datetime IS NULL"),
+    ("null_pu_location", "PULocationID IS NULL"),
+    ("null_do_location", "DOLocationID IS NULL"),
+    ("invalid_timestamps", "dropoff_datetime IS NULL OR dropoff_datetime <= pickup_datetime"),
+    ("zero_trip_miles", "trip_miles IS NULL OR trip_miles <= 0"),
+    ("excessive_trip_miles", "trip_miles >= 200"),
+    ("null_fare", "base_passenger_fare IS NULL"),
+    ("zero_or_negative_fare", "base_passenger_fare <= 0"),
+    ("excessive_fare", "base_passenger_fare >= 500"),
+    ("zero_trip_time", "trip_time IS NULL OR trip_time <= 0"),
+    ("excessive_trip_time", "trip_time >= 14400"),
+]
+
+
+@query("dq_rule_counts", with_(B, "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS rule, CAST({i + 1} AS INTEGER) AS rule_order, count_if({c}) AS failed_rows FROM trips"
+    for i, (n, c) in enumerate(_RULE_SQL))))
+def dq_rule_counts(lake):
+    """FLT-10: rows failing each rule on its own, one pass."""
+    return qu.rule_counts(lake.bronze(), thresholds=lake.thresholds)
+
+
+@query("derived_columns", with_(B + [o.PROVIDER, o.DQ_OK, o.DERIVED], "SELECT * FROM derived"))
+def derived_columns(lake):
+    """PRJ-3/SCL-1..9: the 8 derived columns on quality-filtered provider trips."""
+    return lake.derived()
+
+
+@query("speed_filter", with_(B + [o.PROVIDER, o.DQ_OK, o.DERIVED, o.SANE], "SELECT * FROM sane"))
+def speed_filter(lake):
+    """FLT-6: speed NULL or <= 80 and duration in [1, 240]."""
+    return dv.speed_filter(lake.derived(), lake.thresholds)
+
+
+ENRICH_COLS = ["PULocationID", "DOLocationID", "pickup_datetime", "trip_miles", "trip_time", "pickup_borough",
+               "pickup_zone", "pickup_service_zone", "dropoff_borough", "dropoff_zone", "dropoff_service_zone"]
+
+
+@query("zone_enrichment", with_(S, f"SELECT {', '.join(ENRICH_COLS)} FROM curated"))
+def zone_enrichment(lake):
+    """JOI-1/JOI-2/PRJ-2: both trip ends left-joined to the zone dimension (size-checked broadcast)."""
+    trips = dv.speed_filter(lake.derived(), lake.thresholds)
+    return en.enrich(trips, lake.lookup(), checked=True).select(*ENRICH_COLS)
+
+
+@query("curated_trips", with_(S, "SELECT * FROM curated"))
+def curated_trips(lake):
+    """PIP-1/PRJ-1: the 36-column silver table."""
+    return lake.curated()
+
+
+# ---------------------------------------------------------------- gold
+@query("daily_borough_summary", with_(S + [o.DAILY], "SELECT * FROM daily"))
+def daily_borough_summary(lake):
     """AGG-2: per date and pickup borough: trips, revenue and rounded averages."""
     return lake.daily()
+
+
+@query("hourly_pattern_summary", with_(S + [o.HOURLY], "SELECT * FROM hourly"))
+def hourly_pattern_summary(lake):
+    """AGG-3/AGG-5: per hour, weekend flag, borough and shared flag."""
+    return lake.hourly()
+
+
+@query("route_summary", with_(S + [o.ROUTES], "SELECT * FROM routes"))
+def route_summary(lake):
+    """AGG-4/FLT-7: zone pairs with at least 10 trips, busiest first."""
+    return lake.routes()
+
+
+# ---------------------------------------------------------------- reports
+@query("stage_funnel", with_(S, f"""SELECT raw_rows, provider_rows,
+       {pct('provider_rows', 'raw_rows', 1)} AS provider_share_pct,
+       provider_rows - dq_rows AS removed_by_dq,
+       {pct('provider_rows - dq_rows', 'provider_rows', 2)} AS removed_by_dq_pct,
+       dq_rows, dq_rows - curated_rows AS removed_by_speed, curated_rows
+FROM (SELECT (SELECT count(*) FROM trips) AS raw_rows, (SELECT count(*) FROM provider) AS provider_rows,
+             (SELECT count(*) FROM dq_ok) AS dq_rows, (SELECT count(*) FROM sane) AS curated_rows)"""))
+def stage_funnel(lake):
+    """RPT-1/RPT-3/AGG-1: stage counts in one pass over the trips."""
+    return rp.stage_funnel(lake.bronze(), lake.provider, lake.thresholds)
+
+
+@query("transformation_summary", with_(S, f"""SELECT raw_rows, provider_rows, curated_rows,
+       {pct('curated_rows', 'raw_rows', 1)} AS retention_pct, date_partitions,
+       CAST(36 AS INTEGER) AS curated_columns
+FROM (SELECT (SELECT count(*) FROM trips) AS raw_rows, (SELECT count(*) FROM provider) AS provider_rows,
+             (SELECT count(*) FROM sane) AS curated_rows,
+             (SELECT count(DISTINCT pickup_date) FROM curated) AS date_partitions)"""))
+def transformation_summary(lake):
+    """RPT-2/AGG-15: counts, retention, date partitions and column count."""
+    return rp.transformation_summary(lake.bronze(), lake.provider, lake.thresholds)
+
+
+_RATE = "CASE WHEN total > 0 THEN CAST(total - good AS DOUBLE) / total * 100 ELSE 0.0 END"
+
+
+@query("dq_totals", with_(B + [o.TAGGED], f"""SELECT total, good, total - good AS rejected,
+       {r(f'100.0::DOUBLE - ({_RATE})')} AS pass_rate_pct, {r(_RATE)} AS rejection_rate_pct
+FROM (SELECT count(*) AS total, count(*) FILTER (WHERE rejection_reason IS NULL) AS good FROM tagged)"""))
+def dq_totals(lake):
+    """RPT-4/SCL-18: total, good, rejected, pass and rejection rates."""
+    return rp.dq_totals(lake.tagged())
+
+
+_BREAKDOWN = f"""SELECT g.rejection_reason, g.cnt AS record_count, {pct('g.cnt', 't.total', 4)} AS pct_of_total,
+       'REJECTED' AS status
+FROM (SELECT rejection_reason, count(*) AS cnt FROM tagged GROUP BY rejection_reason) g,
+     (SELECT count(*) AS total FROM tagged) t
+WHERE g.rejection_reason IS NOT NULL"""
+
+
+@query("rejection_breakdown", with_(B + [o.TAGGED], _BREAKDOWN))
+def rejection_breakdown(lake):
+    """AGG-7/AGG-8: rejected rows per reason with their share of all rows."""
+    return rp.rejection_breakdown(lake.tagged())
+
+
+@query("quality_summary", with_(B + [o.TAGGED], f"""SELECT 'PASSED_ALL_RULES' AS rejection_reason, good AS record_count,
+       {r(f'100.0::DOUBLE - ({_RATE})', 4)} AS pct_of_total, 'PASSED' AS status
+FROM (SELECT count(*) AS total, count(*) FILTER (WHERE rejection_reason IS NULL) AS good FROM tagged)
+UNION ALL
+{_BREAKDOWN}"""))
+def quality_summary(lake):
+    """RPT-5/SET-1/SRT-3/PRJ-4: PASSED row plus one row per reason."""
+    return rp.quality_summary(lake.tagged())
+
+
+@query("monthly_dq", with_(B + [o.TAGGED], f"""SELECT month, total, good, rejected,
+       {pct('rejected', 'total', 2)} AS rejection_rate_pct
+FROM (SELECT strftime(pickup_datetime, '%Y-%m') AS month, count(*) AS total,
+             count(*) FILTER (WHERE rejection_reason IS NULL) AS good,
+             count(*) FILTER (WHERE rejection_reason IS NOT NULL) AS rejected
+      FROM tagged GROUP BY 1)"""))
+def monthly_dq(lake):
+    """RPT-6/AGG-6: quality by pickup month."""
+    return rp.monthly_dq(lake.tagged())
+
+
+@query("monthly_raw_counts", with_(B, "SELECT strftime(pickup_datetime, '%Y-%m') AS month, count(*) AS trip_count FROM trips GROUP BY 1"))
+def monthly_raw_counts(lake):
+    """AGG-9/SCL-10: raw trips per pickup month."""
+    return rp.monthly_counts(lake.bronze(), "pickup_datetime")
+
+
+@query("monthly_curated_counts", with_(S, "SELECT strftime(pickup_date, '%Y-%m') AS month, count(*) AS trip_count FROM curated GROUP BY 1"))
+def monthly_curated_counts(lake):
+    """AGG-10: curated trips per pickup month."""
+    return rp.monthly_counts(lake.curated(), "pickup_date")
+
+
+@query("provider_breakdown", with_(B, "SELECT hvfhs_license_num, count(*) AS trip_count FROM trips GROUP BY 1"))
+def provider_breakdown(lake):
+    """AGG-11: trips per provider licence."""
+    return rp.provider_breakdown(lake.bronze())
+
+
+@query("borough_distribution", with_(S, f"""SELECT pickup_borough, count(*) AS trip_count FROM curated GROUP BY 1
+ORDER BY trip_count DESC, pickup_borough {NF} LIMIT 10"""))
+def borough_distribution(lake):
+    """AGG-12: top 10 pickup boroughs."""
+    return rp.borough_distribution(lake.curated())
+
+
+@query("shared_breakdown", with_(S, "SELECT is_shared_ride AS shared, count(*) AS trip_count FROM curated GROUP BY 1"))
+def shared_breakdown(lake):
+    """AGG-13: shared vs solo trips."""
+    return rp.shared_breakdown(lake.curated())
+
+
+@query("fare_statistics", with_(S, f"""SELECT {avg2('base_passenger_fare')} AS avg_fare,
+       {r('min(base_passenger_fare)')} AS min_fare, {r('max(base_passenger_fare)')} AS max_fare,
+       {avg2('trip_miles')} AS avg_miles, {avg2('trip_duration_minutes')} AS avg_duration_min,
+       {avg2('wait_time_minutes')} AS avg_wait_min
+FROM curated"""))
+def fare_statistics(lake):
+    """AGG-14/PRJ-7: fare and trip statistics."""
+    return rp.fare_statistics(lake.curated())
+
+
+@query("daily_coverage", with_(S + [o.DAILY], """SELECT min(pickup_date) AS earliest_date, max(pickup_date) AS latest_date,
+       count(DISTINCT pickup_date) AS distinct_dates, count(DISTINCT pickup_borough) AS distinct_boroughs FROM daily"""))
+def daily_coverage(lake):
+    """AGG-16/DST-1: date range and distinct counts of the daily table."""
+    return rp.daily_coverage(lake.daily(sort=False))
+
+
+@query("borough_revenue_rank", with_(S + [o.DAILY], f"""SELECT pickup_borough, {sum2('total_revenue')} AS total_6m_revenue,
+       CAST(sum(total_trips) AS BIGINT) AS total_6m_trips
+FROM daily GROUP BY 1 ORDER BY total_6m_revenue DESC, pickup_borough {NF} LIMIT 6"""))
+def borough_revenue_rank(lake):
+    """AGG-17: revenue per borough re-aggregated from the daily table; top 6."""
+    return rp.borough_revenue_rank(lake.daily(sort=False))
+
+
+@query("shared_vs_solo_metrics", with_(S + [o.HOURLY], f"""SELECT is_shared_ride, {avg2('avg_fare')} AS avg_fare,
+       {avg2('avg_wait_time_minutes')} AS avg_wait_min, {avg2('avg_tip_percentage')} AS avg_tip_pct,
+       CAST(sum(total_trips) AS BIGINT) AS total_trips
+FROM hourly GROUP BY 1"""))
+def shared_vs_solo_metrics(lake):
+    """AGG-18: unweighted averages of the hourly averages by shared flag."""
+    return rp.shared_vs_solo_metrics(lake.hourly(sort=False))
+
+
+@query("top_revenue_days", with_(S + [o.DAILY], f"""SELECT * FROM daily
+ORDER BY total_revenue DESC, pickup_date, pickup_borough {NF} LIMIT 10"""))
+def top_revenue_days(lake):
+    """TOP-1: ten (date, borough) rows with the most revenue."""
+    return rp.top_revenue_days(lake.daily(sort=False))
+
+
+_ROUTE_ORDER = f"total_trips DESC, pickup_borough {NF}, pickup_zone {NF}, dropoff_borough {NF}, dropoff_zone {NF}"
+
+
+@query("top_routes", with_(S + [o.ROUTES], f"SELECT * FROM routes ORDER BY {_ROUTE_ORDER} LIMIT 10"))
+def top_routes(lake):
+    """TOP-2: ten busiest routes."""
+    return rp.top_routes(lake.routes(sort=False))
+
+
+@query("weekday_borough_hours", with_(S + [o.HOURLY], f"SELECT * FROM hourly WHERE pickup_borough = '{BOROUGH}' AND is_weekend = 0"))
+def weekday_borough_hours(lake):
+    """FLT-8: one borough's weekday hours."""
+    return rp.weekday_borough_hours(lake.hourly(sort=False), BOROUGH)
+
+
+# ---------------------------------------------------------------- zone dimension
+ZNA = [o.ZONES, o.ZONES_NA]
+
+
+@query("zone_sample", with_([o.ZONES], "SELECT * FROM zones ORDER BY LocationID LIMIT 5"))
+def zone_sample(lake):
+    """TOP-3: first five zones by id."""
+    return zn.zone_sample(lake.zones())
+
+
+@query("zones_per_borough", with_(ZNA, "SELECT Borough, count(Zone) AS zone_count FROM zones_na WHERE Borough IS NOT NULL GROUP BY 1"))
+def zones_per_borough(lake):
+    """AGG-19: zones per borough (pandas semantics)."""
+    return zn.zones_per_borough(lake.zones_na())
+
+
+@query("zones_per_service_zone", with_(ZNA, "SELECT service_zone, count(Zone) AS zone_count FROM zones_na WHERE service_zone IS NOT NULL GROUP BY 1"))
+def zones_per_service_zone(lake):
+    """AGG-20: zones per service zone (pandas semantics)."""
+    return zn.zones_per_service_zone(lake.zones_na())
+
+
+@query("top_borough", with_(ZNA, """SELECT Borough AS borough, count(Zone) AS zone_count FROM zones_na
+WHERE Borough IS NOT NULL GROUP BY 1 ORDER BY zone_count DESC, borough LIMIT 1"""))
+def top_borough(lake):
+    """AGG-21: borough with the most zones."""
+    return zn.top_borough(lake.zones_na())
+
+
+@query("zone_totals", with_(ZNA, "SELECT count(*) AS total_zones, count(DISTINCT Borough) AS total_boroughs FROM zones_na"))
+def zone_totals(lake):
+    """AGG-22: zone rows and borough groups."""
+    return zn.zone_totals(lake.zones_na())
+
+
+@query("zone_summary")
+def zone_summary(lake):
+    """RPT-8/MAP-1/ARR-1: the one-row zone summary document (rows-only check)."""
+    return zn.zone_summary(lake.zones_na(), lake.zones_path, GENERATED_AT)
+
+
+@query("zone_summary_json")
+def zone_summary_json(lake):
+    """SNK-4/JSN-1: the summary as one JSON string (rows-only check)."""
+    return zn.zone_summary_json(zn.zone_summary(lake.zones_na(), lake.zones_path, GENERATED_AT))
+
+
+# ---------------------------------------------------------------- saved SQL queries
+@query("saved_q1_daily_revenue", with_(S + [o.DAILY], "SELECT pickup_date, pickup_borough, total_trips, total_revenue, avg_fare FROM daily"))
+def saved_q1(lake):
+    """SQL-1: daily revenue trend by borough."""
+    return saved.q1_daily_revenue(lake.daily(sort=False))
+
+
+@query("saved_q2_rush_hour", with_(S + [o.HOURLY], f"""SELECT pickup_hour, is_weekend, is_shared_ride, total_trips, avg_fare,
+       avg_speed_mph, avg_wait_time_minutes FROM hourly WHERE pickup_borough = '{BOROUGH}'"""))
+def saved_q2(lake):
+    """SQL-2: rush-hour pattern of one borough."""
+    return saved.q2_rush_hour(lake.hourly(sort=False), BOROUGH)
+
+
+@query("saved_q3_tipping", with_(S + [o.HOURLY], f"""SELECT pickup_hour, is_shared_ride, CAST(sum(total_trips) AS BIGINT) AS trips,
+       {avg2('avg_tip_percentage')} AS avg_tip_pct, {avg2('avg_fare')} AS avg_fare
+FROM hourly GROUP BY 1, 2"""))
+def saved_q3(lake):
+    """SQL-3: tipping by hour and ride type."""
+    return saved.q3_tipping(lake.hourly(sort=False))
+
+
+@query("saved_q4_top_routes", with_(S + [o.ROUTES], f"""SELECT pickup_zone, dropoff_zone, pickup_borough, dropoff_borough,
+       total_trips, avg_fare, avg_trip_miles, avg_trip_duration_minutes
+FROM routes ORDER BY {_ROUTE_ORDER} LIMIT 10"""))
+def saved_q4(lake):
+    """SQL-4: top ten routes."""
+    return saved.q4_top_routes(lake.routes(sort=False))
+
+
+_ZL = ", ".join(f"'{z}'" for z in SPECIAL_ZONES)
+
+
+@query("saved_q5_special_zone_routes", with_(S + [o.ROUTES], f"""SELECT pickup_zone, dropoff_zone, total_trips, avg_fare, avg_trip_miles
+FROM routes WHERE pickup_zone IN ({_ZL}) OR dropoff_zone IN ({_ZL})"""))
+def saved_q5(lake):
+    """SQL-5/FLT-9: routes touching the given zones."""
+    return saved.q5_special_zone_routes(lake.routes(sort=False), SPECIAL_ZONES)
+
+
+@query("saved_q6_monthly_revenue", with_(S + [o.DAILY], f"""SELECT CAST(date_trunc('month', pickup_date) AS DATE) AS month,
+       pickup_borough, CAST(sum(total_trips) AS BIGINT) AS monthly_trips,
+       {sum2('total_revenue')} AS monthly_revenue, {avg2('avg_fare')} AS avg_fare
+FROM daily GROUP BY 1, 2"""))
+def saved_q6(lake):
+    """SQL-6/SCL-11: monthly revenue by borough."""
+    return saved.q6_monthly_revenue(lake.daily(sort=False))
+
+
+@query("saved_q7_wait", with_(S + [o.HOURLY], f"""SELECT pickup_borough, is_shared_ride, CAST(sum(total_trips) AS BIGINT) AS total_trips,
+       {avg2('avg_wait_time_minutes')} AS avg_wait_min FROM hourly GROUP BY 1, 2"""))
+def saved_q7(lake):
+    """SQL-7: wait by ride type and borough."""
+    return saved.q7_wait(lake.hourly(sort=False))
+
+
+# ---------------------------------------------------------------- validation
+@query("validate_gold")
+def validate_gold(lake):
+    """RPT-7: write the three gold tables, read them back, compare rows and columns (rows-only check)."""
+    out = md.GoldPaths(_run_dir(lake, "gold/daily"), _run_dir(lake, "gold/hourly"), _run_dir(lake, "gold/routes"))
+    written = md.write_gold(md.build_gold(lake.curated(), lake.thresholds), out)
+    return md.validate_gold(lake.spark, out, written)
