@@ -149,7 +149,7 @@ def dq_check(spark: SparkSession, bronze_path: str, rejected_path: str, summary_
     summary = _summary_from_counts(counts)
     write_table(summary, summary_path, files=1)
     return spark.read.schema(schemas.QUALITY_SUMMARY).parquet(summary_path).orderBy(
-        F.when(F.col("status") == STATUS_PASSED, 0).otherwise(1), F.col("record_count").desc())
+        F.when(F.col("status") == STATUS_PASSED, 0).otherwise(1), F.col("record_count").desc(), q.REASON)
 
 
 def _summary_from_counts(counts: DataFrame) -> DataFrame:

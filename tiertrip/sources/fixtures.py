@@ -33,7 +33,6 @@ def _case(*branches: tuple[Column, Column], otherwise: Column) -> Column:
     return out.otherwise(otherwise)
 
 
-NULL = F.lit(None)
 
 
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -43,6 +42,7 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     p = (ok % 182) * 86400 + (ok * 7919 + pk * 104729 + ln * 31) % 86400
     tt = 20 + (pk * 37 + sk * 101) % 5400
     price = F.floor("l_extendedprice")
+    NULL = F.lit(None)
 
     def div(k: int) -> Column:
         return m % k == 0
