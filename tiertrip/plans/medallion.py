@@ -42,23 +42,31 @@ class FunnelCounts:
 
 def raw_to_curated(spark: SparkSession, bronze_path: str, zones_path: str, curated_path: str,
                    provider: str = PROVIDER_LYFT, thresholds: Thresholds = DEFAULT_THRESHOLDS,
-                   dynamic: bool = False) -> FunnelCounts:
-    """PIP-1 in one pass over the trips: the stage counts are observed during the write."""
+                   dynamic: bool = False, rebalance: bool = True) -> FunnelCounts:
+    """PIP-1 in one pass over the trips: the stage counts are observed during the write.
+
+    The stage counts are observed before the rebalance shuffle (a map stage); the written row
+    count after it (exactly once). If the two curated counts differ, a map stage was re-run after
+    an executor loss and its metrics were double-counted, so the funnel is recounted with the
+    one-pass aggregate instead (retry-safe, one more scan)."""
     bronze = readers.scan_trips(spark, bronze_path)
     zones = en.check_dimension(readers.scan_zones(spark, zones_path))
     prov = F.col("hvfhs_license_num") == F.lit(provider)
-    flagged = dv.derive(bronze)
     dq = prov & q.keep_expr(thresholds=thresholds)
+    cur = dq & dv.speed_ok(thresholds)
     flagged, obs = observed(
-        flagged, "funnel",
+        dv.derive(bronze), "funnel",
         raw_rows=F.count(F.lit(1)), provider_rows=F.count_if(prov), dq_rows=F.count_if(dq),
-        curated_rows=F.count_if(dq & dv.speed_ok(thresholds)),
+        curated_rows=F.count_if(cur),
     )
-    kept = flagged.filter(dq & dv.speed_ok(thresholds))
-    curated = cu.select_curated(en.enrich(kept, zones, checked=True))
-    write_partitioned(curated, curated_path, "pickup_date", dynamic=dynamic)
+    curated = cu.select_curated(en.enrich(flagged.filter(cur), zones, checked=True))
+    written = write_partitioned(curated, curated_path, "pickup_date", dynamic=dynamic, rebalance=rebalance)
     m = obs.get
-    return FunnelCounts(m["raw_rows"], m["provider_rows"], m["dq_rows"], m["curated_rows"])
+    if int(m["curated_rows"]) != written:
+        f = rp.stage_funnel(bronze, provider, thresholds).first()
+        m = {"raw_rows": f.raw_rows, "provider_rows": f.provider_rows, "dq_rows": f.dq_rows,
+             "curated_rows": f.curated_rows}
+    return FunnelCounts(int(m["raw_rows"]), int(m["provider_rows"]), int(m["dq_rows"]), int(m["curated_rows"]))
 
 
 @dataclass
@@ -81,19 +89,13 @@ def build_gold(curated: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS)
 
 
 def write_gold(gold: dict[str, DataFrame], out: GoldPaths) -> dict[str, int]:
-    """Write the three gold tables; returns the row count each write observed."""
-    counts = {}
-    d, od = observed(gold["daily"], "daily_rows", n=F.count(F.lit(1)))
-    # daily is one row per (date, borough): small per date, so one task per date is fine here.
-    d.repartition("pickup_date").write.mode("overwrite").partitionBy("pickup_date").parquet(out.daily)
-    counts["daily"] = od.get["n"]
-    h, oh = observed(gold["hourly"], "hourly_rows", n=F.count(F.lit(1)))
-    write_table(h, out.hourly, files=1)  # bounded: 24 x 2 x boroughs x 2 rows
-    counts["hourly"] = oh.get["n"]
-    r, orr = observed(gold["routes"], "route_rows", n=F.count(F.lit(1)))
-    write_table(r, out.routes)
-    counts["routes"] = orr.get["n"]
-    return counts
+    """Write the three gold tables; returns the row count each write observed (exactly once)."""
+    return {
+        # daily is one row per (date, borough): a few rows per date, so rebalancing by date is cheap
+        "daily": write_partitioned(gold["daily"], out.daily, "pickup_date"),
+        "hourly": write_table(gold["hourly"], out.hourly, files=1),  # bounded: 24 x 2 x boroughs x 2 rows
+        "routes": write_table(gold["routes"], out.routes),
+    }
 
 
 def validate_gold(spark: SparkSession, out: GoldPaths, written: dict[str, int]) -> DataFrame:
@@ -134,20 +136,24 @@ def dq_check(spark: SparkSession, bronze_path: str, rejected_path: str, summary_
              thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """PIP-3: tag once; write the rejected rows partitioned by reason while observing the count of
     every reason; the quality summary is built from those observed counts (a dozen numbers), so
-    the raw trips are read once."""
+    the raw trips are read once. If the observed rejects disagree with the rows written (a map
+    stage re-run after executor loss), the counts are taken again with a retry-safe aggregate."""
     tagged = q.tag(readers.scan_trips(spark, bronze_path), thresholds=thresholds)
     metrics = {"total": F.count(F.lit(1)), "good": F.count_if(F.col(q.REASON).isNull())}
     for i, name in enumerate(q.RULE_NAMES):
         metrics[f"r{i}"] = F.count_if(F.col(q.REASON) == F.lit(name))
-    tagged, obs = observed(tagged, "dq", **metrics)
-    write_partitioned(q.rejected(tagged), rejected_path, q.REASON)
+    observed_tagged, obs = observed(tagged, "dq", **metrics)
+    written = write_partitioned(q.rejected(observed_tagged), rejected_path, q.REASON)
     m = obs.get
+    per_reason = [(name, int(m[f"r{i}"])) for i, name in enumerate(q.RULE_NAMES)]
     good = int(m["good"])
-    counts = spark.createDataFrame(
-        [(None, good)] + [(name, int(m[f"r{i}"])) for i, name in enumerate(q.RULE_NAMES) if m[f"r{i}"]],
-        "rejection_reason string, record_count long")
-    summary = _summary_from_counts(counts)
-    write_table(summary, summary_path, files=1)
+    if sum(c for _, c in per_reason) != written:
+        exact = {r[q.REASON]: r["record_count"] for r in rp.reason_counts(tagged).collect()}  # <= 12 rows
+        good = int(exact.pop(None, 0))
+        per_reason = [(name, int(exact.get(name, 0))) for name in q.RULE_NAMES]
+    counts = spark.createDataFrame([(None, good)] + [(n, c) for n, c in per_reason if c],
+                                   "rejection_reason string, record_count long")
+    write_table(_summary_from_counts(counts), summary_path, files=1)
     return spark.read.schema(schemas.QUALITY_SUMMARY).parquet(summary_path).orderBy(
         F.when(F.col("status") == STATUS_PASSED, 0).otherwise(1), F.col("record_count").desc(), q.REASON)
 

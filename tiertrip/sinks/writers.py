@@ -3,6 +3,12 @@
 Partitioned writes go through a ``REBALANCE`` on the partition column: AQE sizes the output
 tasks and splits a hot partition value (a day or a rejection reason holding a third of the rows)
 over several tasks instead of sending it to one, while keeping files per value bounded.
+
+Every writer returns the number of rows it wrote. The count is an ``Observation`` placed after
+any shuffle, so it is taken in the result stage, whose accumulator updates Spark applies exactly
+once even when tasks or map stages are re-run after an executor loss. (Metrics observed *before*
+a shuffle live in a map stage and can be counted twice when that stage is recomputed; callers
+that use such metrics compare them with these exact counts.)
 """
 
 from __future__ import annotations
@@ -11,27 +17,37 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observation]:
+    """Attach named aggregate metrics that are filled by whatever action runs ``df`` (no extra pass)."""
+    obs = Observation(name)
+    return df.observe(obs, *[m.alias(k) for k, m in metrics.items()]), obs
+
+
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    return observed(df, name, rows=F.count(F.lit(1)))
+
+
 def write_partitioned(df: DataFrame, path: str, column: str, mode: str = "overwrite",
-                      dynamic: bool = False, rebalance: bool = True) -> None:
+                      dynamic: bool = False, rebalance: bool = True) -> int:
     """SNK-1 / SNK-3: Hive-style partitioned Parquet. ``dynamic`` replaces only the partitions present."""
     out = df.hint("rebalance", column) if rebalance else df
+    out, obs = _counted(out, f"write_{column}")
     w = out.write.mode(mode).partitionBy(column)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
+    return int(obs.get["rows"])
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> int:
     """SNK-2: unpartitioned Parquet; ``files`` caps the file count for small gold tables."""
-    (df.coalesce(files) if files else df).write.mode(mode).parquet(path)
+    out, obs = _counted(df.coalesce(files) if files else df, "write_table")
+    out.write.mode(mode).parquet(path)
+    return int(obs.get["rows"])
 
 
-def write_json_document(df: DataFrame, path: str) -> None:
+def write_json_document(df: DataFrame, path: str) -> int:
     """SNK-4: a one-row frame written as one JSON document (``to_json`` of all columns)."""
-    df.select(F.to_json(F.struct(*df.columns)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
-
-
-def observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observation]:
-    """Attach named aggregate metrics that are filled by whatever action runs ``df`` (no extra pass)."""
-    obs = Observation(name)
-    return df.observe(obs, *[m.alias(k) for k, m in metrics.items()]), obs
+    out, obs = _counted(df.select(F.to_json(F.struct(*df.columns)).alias("value")).coalesce(1), "write_json")
+    out.write.mode("overwrite").text(path)
+    return int(obs.get["rows"])
