@@ -132,3 +132,16 @@ def test_funnel_recounted_when_map_stage_metrics_disagree(spark, lake, tmp_path,
     assert (counts.raw_rows, counts.curated_rows) == (f.raw_rows, f.curated_rows)
     summary = md.dq_check(spark, lake.bronze_path, str(tmp_path / "rej"), str(tmp_path / "qs")).collect()
     assert [tuple(r) for r in summary] == [tuple(r) for r in rp.quality_summary(lake.tagged()).collect()]
+
+
+def test_cli_runs_the_layers(spark, lake, tmp_path):
+    import shutil
+    from tiertrip.config import LakePaths
+    from tiertrip.plans import cli
+    root = str(tmp_path / "lake")
+    lp = LakePaths(root)
+    shutil.copytree(lake.bronze_path, lp.path("trips_raw"))
+    shutil.copytree(lake.zones_path, lp.path("zones_raw"))
+    for job in ("raw-to-curated", "curated-to-gold", "dq-check", "zone-summary", "register"):
+        assert cli.main([job, "--lake", root]) == 0
+    assert spark.table("nyctlc_aggregated.daily_borough_summary").count() == lake.daily().count()
