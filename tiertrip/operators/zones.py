@@ -53,7 +53,10 @@ def _as_map(counts: DataFrame, key: str) -> DataFrame:
 
 
 def zone_summary(zones: DataFrame, source: str, generated_at: str, sample: int = 5) -> DataFrame:
-    """RPT-8: one row: generated_at, source, totals, top borough, two maps, sample records."""
+    """RPT-8: one row: generated_at, source, totals, top borough, two maps, sample records.
+
+    Each part is a one-row frame; they are stacked with ``unionByName`` (missing columns NULL) and
+    folded by one global ``first(ignorenulls)`` aggregate, so no join is needed."""
     totals = zone_totals(zones)
     top = top_borough(zones).select(F.struct("borough", "zone_count").alias("borough_with_most_zones"))
     by_borough = _as_map(zones_per(zones, "Borough"), "Borough").withColumnRenamed("m", "zones_per_borough")
@@ -63,17 +66,14 @@ def zone_summary(zones: DataFrame, source: str, generated_at: str, sample: int =
     sample_arr = sample_rows.agg(F.transform(
         F.array_sort(F.collect_list(F.struct(F.col("rec.LocationID").alias("id"), F.col("rec").alias("rec")))),
         lambda e: e["rec"]).alias("sample_records"))
-    # Every input here is exactly one row, so these equi-joins on a constant are 1 x 1.
-    one = F.lit(1)
     parts = [totals, top, by_borough, by_service, sample_arr]
-    out = parts[0].withColumn("_k", one)
+    stacked = parts[0]
     for p in parts[1:]:
-        out = out.join(p.withColumn("_k", one), "_k", "left")
-    return out.select(
-        F.lit(generated_at).alias("generated_at"), F.lit(source).alias("source"),
-        "total_zones", "total_boroughs", "borough_with_most_zones",
-        "zones_per_borough", "zones_per_service_zone", "sample_records",
-    )
+        stacked = stacked.unionByName(p, allowMissingColumns=True)
+    cols = ["total_zones", "total_boroughs", "borough_with_most_zones", "zones_per_borough",
+            "zones_per_service_zone", "sample_records"]
+    folded = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+    return folded.select(F.lit(generated_at).alias("generated_at"), F.lit(source).alias("source"), *cols)
 
 
 def zone_summary_json(summary: DataFrame) -> DataFrame:

@@ -36,9 +36,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_LOCAL_FALLBACK: dict[int, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared working folder (``spark.checkpoint.dir``), set locally only if unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    found = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FALLBACK.get(id(spark))
     if not found:
         try:
             found = spark.sparkContext.getCheckpointDir()
@@ -46,6 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
             found = None
     if not found:
         found = tempfile.mkdtemp(prefix="tiertrip-ckpt-")
+        _LOCAL_FALLBACK[id(spark)] = found
         try:
             spark.sparkContext.setCheckpointDir(found)
         except Exception:
