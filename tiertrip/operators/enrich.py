@@ -16,16 +16,20 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def check_dimension(zones: DataFrame, key: str = "LocationID", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Validate the lookup (unique non-NULL key, so a left join cannot multiply trips) and return
-    it with a broadcast hint only when its measured row count is within ``max_rows``.
-
-    One small aggregate over the dimension; the fact table is not touched."""
+def validate_dimension(zones: DataFrame, key: str = "LocationID") -> int:
+    """Check the lookup has a unique non-NULL key (so a left join cannot multiply trips) and
+    return its row count. One small aggregate over the dimension; the fact table is not touched."""
     stats = zones.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k"),
                       F.count(F.col(key)).alias("nn")).first()
     if stats["k"] != stats["nn"]:
         raise DuplicateKeyError(f"zone dimension has duplicate {key} values ({stats['nn']} rows, {stats['k']} keys)")
-    return F.broadcast(zones) if stats["n"] <= max_rows else zones
+    return int(stats["n"])
+
+
+def check_dimension(zones: DataFrame, key: str = "LocationID", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Validate the lookup and return it with a broadcast hint only when its measured row count
+    is within ``max_rows``; larger dimensions are left to Catalyst/AQE (shuffle join)."""
+    return F.broadcast(zones) if validate_dimension(zones, key) <= max_rows else zones
 
 
 def zones_as(zones: DataFrame, role: str) -> DataFrame:

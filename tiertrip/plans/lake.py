@@ -2,15 +2,19 @@
 
 ``TripLake`` builds lazy DataFrames for every layer from a bronze trip folder and a zone CSV
 folder. ``TripLake.from_testdata`` derives both from the driver's tables (written once per input,
-see :mod:`tiertrip.sources.fixtures`). Nothing is cached in memory: each query is one plan that
-starts at the Parquet/CSV scan, so Catalyst can prune columns and push filters for that query.
+see :mod:`tiertrip.sources.fixtures`). Each layer's lazy plan is built once per lake and shared by
+the queries composed on it; each query still executes as one plan from the Parquet scan, so
+Catalyst prunes columns and pushes filters for that query. The only data kept in memory is the
+validated, size-checked zone dimension that feeds the broadcast lookups.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tiertrip.config import DEFAULT_THRESHOLDS, PROVIDER_LYFT, Thresholds
 from tiertrip.operators import curate as cu
@@ -38,44 +42,60 @@ class TripLake:
             cls._cache[key] = lake
         return lake
 
+    def _memo(self, key, build):
+        """Build each layer's lazy plan once per lake: file listing and analysis happen once, and
+        every query composes on the same plan object. (No data is cached by this.)"""
+        memo = self.__dict__.setdefault("_plans", {})
+        if key not in memo:
+            memo[key] = build()
+        return memo[key]
+
     # bronze
     def bronze(self) -> DataFrame:
-        return readers.scan_trips(self.spark, self.bronze_path)
+        return self._memo("bronze", lambda: readers.scan_trips(self.spark, self.bronze_path))
 
     def zones(self) -> DataFrame:
-        return readers.scan_zones(self.spark, self.zones_path)
+        return self._memo("zones", lambda: readers.scan_zones(self.spark, self.zones_path))
 
     def zones_na(self) -> DataFrame:
-        return readers.scan_zones_na(self.spark, self.zones_path)
+        return self._memo("zones_na", lambda: readers.pandas_na(self.zones()))
 
     @cached_property
     def _lookup(self) -> DataFrame:
-        """The zone dimension, validated once per lake, with its size-checked broadcast hint."""
-        return en.check_dimension(self.zones())
+        """The zone dimension, validated once per lake, with its size-checked broadcast hint.
+
+        The validated dimension is kept in executor memory (spilling to disk) so each query's
+        broadcast is built from it instead of re-parsing the CSV; a lost block is recomputed from
+        the CSV. Only dimensions that passed the size check are kept this way."""
+        zones = self.zones()
+        if en.validate_dimension(zones) > en.BROADCAST_MAX_ROWS:
+            return zones
+        return F.broadcast(zones.persist(StorageLevel.MEMORY_AND_DISK))
 
     def lookup(self) -> DataFrame:
         return self._lookup
 
     # silver
     def provider_trips(self) -> DataFrame:
-        return q.provider_filter(self.bronze(), self.provider)
+        return self._memo("provider", lambda: q.provider_filter(self.bronze(), self.provider))
 
     def tagged(self) -> DataFrame:
-        return q.tag(self.bronze(), thresholds=self.thresholds)
+        return self._memo("tagged", lambda: q.tag(self.bronze(), thresholds=self.thresholds))
 
     def curated(self) -> DataFrame:
-        return cu.curate(self.bronze(), self._lookup, self.provider, self.thresholds, zones_checked=True)
+        return self._memo("curated", lambda: cu.curate(self.bronze(), self._lookup, self.provider,
+                                                       self.thresholds, zones_checked=True))
 
     def derived(self) -> DataFrame:
         """Provider + quality filter + derived columns, before the sanity filter and lookups."""
-        return dv.derive(q.keep(self.provider_trips(), thresholds=self.thresholds))
+        return self._memo("derived", lambda: dv.derive(q.keep(self.provider_trips(), thresholds=self.thresholds)))
 
     # gold
     def daily(self, sort: bool = True) -> DataFrame:
-        return ru.daily_borough_summary(self.curated(), sort=sort)
+        return self._memo(("daily", sort), lambda: ru.daily_borough_summary(self.curated(), sort=sort))
 
     def hourly(self, sort: bool = True) -> DataFrame:
-        return ru.hourly_pattern_summary(self.curated(), sort=sort)
+        return self._memo(("hourly", sort), lambda: ru.hourly_pattern_summary(self.curated(), sort=sort))
 
     def routes(self, sort: bool = True) -> DataFrame:
-        return ru.route_summary(self.curated(), self.thresholds, sort=sort)
+        return self._memo(("routes", sort), lambda: ru.route_summary(self.curated(), self.thresholds, sort=sort))

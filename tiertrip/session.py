@@ -15,10 +15,16 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tiertrip") -> SparkSession:
+                  app_name: str = "tiertrip", driver_memory: str | None = None) -> SparkSession:
+    """Session for entry points (bench, tests, local jobs). In local mode the driver JVM is the
+    only executor, so its heap is sized here (``$TIERTRIP_DRIVER_MEMORY``, default 8g); on a
+    cluster ``spark-submit`` decides."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory",
+                                     driver_memory or os.environ.get("TIERTRIP_DRIVER_MEMORY", "8g"))
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
