@@ -1,6 +1,7 @@
 """Writes, read-back, dynamic overwrite, catalog registration, schema drift and the batch jobs."""
 
 import datetime as dt
+import re
 import json
 import os
 
@@ -72,8 +73,8 @@ def test_raw_to_curated_and_gold_jobs(spark, lake, tmp_path):
     plan = plan_text(back.filter(F.col("pickup_date") == "2024-02-01"))
     assert "PartitionFilters: [isnotnull(pickup_date" in plan
     out = md.GoldPaths(str(tmp_path / "d"), str(tmp_path / "h"), str(tmp_path / "r"))
-    for persist in (False, True):
-        report = md.curated_to_gold(spark, cur, out, persist=persist).collect()
+    for one_pass, persist in ((True, False), (False, False), (False, True)):
+        report = md.curated_to_gold(spark, cur, out, one_pass=one_pass, persist=persist).collect()
         assert all(r.status == "OK" for r in report) and len(report) == 3
     assert spark.read.parquet(out.daily).count() == lake.daily().count()
 
@@ -145,3 +146,15 @@ def test_cli_runs_the_layers(spark, lake, tmp_path):
     for job in ("raw-to-curated", "curated-to-gold", "dq-check", "zone-summary", "register"):
         assert cli.main([job, "--lake", root]) == 0
     assert spark.table("nyctlc_aggregated.daily_borough_summary").count() == lake.daily().count()
+
+
+def test_one_pass_gold_equals_separate_rollups(spark, lake):
+    from tiertrip.operators import rollup as ru
+    split = ru.split_gold(ru.gold_one_pass(lake.curated()))
+    for name, sep in (("daily", lake.daily(sort=False)), ("hourly", lake.hourly(sort=False)),
+                      ("routes", lake.routes(sort=False))):
+        one = split[name]
+        assert one.columns == sep.columns
+        assert one.exceptAll(sep).count() == 0 and sep.exceptAll(one).count() == 0, name
+    plan = plan_text(ru.gold_one_pass(lake.curated()))
+    assert len(re.findall(r"\(\d+\) Scan parquet", plan)) == 1 and "Expand" in plan

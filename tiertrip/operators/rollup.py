@@ -52,3 +52,51 @@ def route_summary(curated: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLD
         round_avg("trip_duration_minutes").alias("avg_trip_duration_minutes"),
     ).filter(F.col("total_trips") >= F.lit(thresholds.min_route_trips)))
     return out.orderBy(F.col("total_trips").desc(), *ROUTE_KEYS) if sort else out
+
+
+GOLD_SETS = {"daily": DAILY_KEYS, "hourly": HOURLY_KEYS, "routes": ROUTE_KEYS}
+GOLD_KEYS = tuple(dict.fromkeys(DAILY_KEYS + HOURLY_KEYS + ROUTE_KEYS))
+GOLD_MEASURES = {
+    "daily": ("total_trips", "total_revenue", "avg_fare", "avg_tip", "avg_trip_miles",
+              "avg_trip_duration_minutes", "avg_speed_mph"),
+    "hourly": ("total_trips", "avg_fare", "avg_trip_miles", "avg_tip_percentage", "avg_speed_mph",
+               "avg_wait_time_minutes"),
+    "routes": ("total_trips", "avg_fare", "avg_trip_miles", "avg_trip_duration_minutes"),
+}
+
+
+def _gid(keys: tuple[str, ...]) -> int:
+    """Spark's grouping_id for a grouping set: bit set for every key *not* grouped on."""
+    n = len(GOLD_KEYS)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(GOLD_KEYS) if c not in keys)
+
+
+def gold_one_pass(curated: DataFrame) -> DataFrame:
+    """All three gold groupings from one scan and one shuffle, as GROUPING SETS.
+
+    Each silver row feeds three partial aggregates (an Expand, CPU only); the exchange carries
+    partial rows of all three tables at once. Exact decimal aggregates make the rows identical to
+    the three separate rollups. Split with :func:`split_gold`."""
+    return curated.groupingSets([list(k) for k in GOLD_SETS.values()], *GOLD_KEYS).agg(
+        F.count(F.lit(1)).alias("total_trips"),
+        round_sum("base_passenger_fare").alias("total_revenue"),
+        round_avg("base_passenger_fare").alias("avg_fare"),
+        round_avg("tips").alias("avg_tip"),
+        round_avg("trip_miles").alias("avg_trip_miles"),
+        round_avg("trip_duration_minutes").alias("avg_trip_duration_minutes"),
+        round_avg("speed_mph").alias("avg_speed_mph"),
+        round_avg(tip_percentage()).alias("avg_tip_percentage"),
+        round_avg("wait_time_minutes").alias("avg_wait_time_minutes"),
+        F.grouping_id().alias("gold_set"),
+    )
+
+
+def split_gold(combined: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> dict[str, DataFrame]:
+    """The three gold tables out of :func:`gold_one_pass` (or its written copy)."""
+    out = {}
+    for name, keys in GOLD_SETS.items():
+        part = combined.filter(F.col("gold_set") == F.lit(_gid(keys))).select(*keys, *GOLD_MEASURES[name])
+        if name == "routes":
+            part = part.filter(F.col("total_trips") >= F.lit(thresholds.min_route_trips))
+        out[name] = part
+    return out

@@ -7,6 +7,7 @@ with the rows found on storage.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -25,6 +26,7 @@ from tiertrip.operators import zones as zn
 from tiertrip.sinks import landing as ld
 from tiertrip.sinks.writers import observed, write_json_document, write_partitioned, write_table
 from tiertrip.sources import months as mo
+from tiertrip.session import scratch_path
 from tiertrip.sources import readers
 
 
@@ -114,17 +116,28 @@ def validate_gold(spark: SparkSession, out: GoldPaths, written: dict[str, int])
 
 
 def curated_to_gold(spark: SparkSession, curated_path: str, out: GoldPaths,
-                    thresholds: Thresholds = DEFAULT_THRESHOLDS, persist: bool = False) -> DataFrame:
-    """PIP-2. Each rollup scans only the columns it needs; ``persist`` keeps those columns (not all
-    36) on executors' memory and disk for the three plans instead."""
+                    thresholds: Thresholds = DEFAULT_THRESHOLDS, one_pass: bool = True,
+                    persist: bool = False) -> DataFrame:
+    """PIP-2.
+
+    ``one_pass`` (default): one column-pruned scan of silver feeds all three rollups as GROUPING
+    SETS; the small combined result is written once under the shared working folder (cutting the
+    lineage), and the three tables are split from that copy. Otherwise each rollup scans silver on
+    its own, or, with ``persist``, the needed columns (not all 36) are kept on executors' memory and
+    disk for the three plans."""
     curated = readers.scan_curated(spark, curated_path)
-    if persist:
-        curated = curated.select(*GOLD_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        written = write_gold(build_gold(curated, thresholds), out)
-    finally:
+    if one_pass:
+        stage = scratch_path(spark, "stage", "gold", uuid.uuid4().hex)
+        write_table(ru.gold_one_pass(curated.select(*GOLD_COLUMNS)), stage)
+        written = write_gold(ru.split_gold(spark.read.parquet(stage), thresholds), out)
+    else:
         if persist:
-            curated.unpersist()
+            curated = curated.select(*GOLD_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            written = write_gold(build_gold(curated, thresholds), out)
+        finally:
+            if persist:
+                curated.unpersist()
     report = validate_gold(spark, out, written)
     bad = [r for r in report.collect() if r["status"] != "OK"]  # three rows
     if bad:
