@@ -158,3 +158,27 @@ def test_one_pass_gold_equals_separate_rollups(spark, lake):
         assert one.exceptAll(sep).count() == 0 and sep.exceptAll(one).count() == 0, name
     plan = plan_text(ru.gold_one_pass(lake.curated()))
     assert len(re.findall(r"\(\d+\) Scan parquet", plan)) == 1 and "Expand" in plan
+
+
+def test_jobs_on_empty_input(spark, lake, tmp_path):
+    bronze, zones = str(tmp_path / "bronze"), lake.zones_path
+    trips_df(spark, []).write.parquet(bronze)
+    cur = str(tmp_path / "cur")
+    counts = md.raw_to_curated(spark, bronze, zones, cur)
+    assert (counts.raw_rows, counts.curated_rows) == (0, 0)
+    assert readers.scan_curated(spark, cur).count() == 0
+    out = md.GoldPaths(str(tmp_path / "d"), str(tmp_path / "h"), str(tmp_path / "r"))
+    report = md.curated_to_gold(spark, cur, out).collect()
+    assert [(r.table, r.rows_read, r.status) for r in report] == [("daily", 0, "OK"), ("hourly", 0, "OK"),
+                                                                   ("routes", 0, "OK")]
+    summary = md.dq_check(spark, bronze, str(tmp_path / "rej"), str(tmp_path / "qs")).collect()
+    assert [tuple(r) for r in summary] == [("PASSED_ALL_RULES", 0, 100.0, "PASSED")]
+
+
+def test_rerun_is_idempotent(spark, lake, tmp_path):
+    cur = str(tmp_path / "cur")
+    first = md.raw_to_curated(spark, lake.bronze_path, lake.zones_path, cur)
+    a = readers.scan_curated(spark, cur).collect()
+    second = md.raw_to_curated(spark, lake.bronze_path, lake.zones_path, cur)
+    b = readers.scan_curated(spark, cur).collect()
+    assert first == second and sorted(a, key=str) == sorted(b, key=str)

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiertrip import schemas
 from tiertrip.config import DEFAULT_THRESHOLDS, PROVIDER_LYFT, STATUS_PASSED, Thresholds
@@ -100,6 +101,23 @@ def write_gold(gold: dict[str, DataFrame], out: GoldPaths) -> dict[str, int]:
     }
 
 
+GOLD_STAGE = T.StructType(
+    [schemas.CURATED[c] for c in ru.GOLD_KEYS]
+    + [T.StructField(m, T.LongType() if m == "total_trips" else T.DoubleType()) for m in dict.fromkeys(
+        ru.GOLD_MEASURES["daily"] + ru.GOLD_MEASURES["hourly"] + ru.GOLD_MEASURES["routes"])]
+    + [T.StructField("gold_set", T.LongType())])
+
+
+def write_gold_one_pass(spark: SparkSession, curated: DataFrame, out: GoldPaths,
+                        thresholds: Thresholds = DEFAULT_THRESHOLDS) -> dict[str, int]:
+    """One scan of ``curated`` -> combined GROUPING SETS result written under the shared folder
+    (a lineage cut) -> the three gold tables split from that copy."""
+    stage = scratch_path(spark, "stage", "gold", uuid.uuid4().hex)
+    write_table(ru.gold_one_pass(curated.select(*GOLD_COLUMNS)), stage)
+    staged = spark.read.schema(GOLD_STAGE).parquet(stage)
+    return write_gold(ru.split_gold(staged, thresholds), out)
+
+
 def validate_gold(spark: SparkSession, out: GoldPaths, written: dict[str, int]) -> DataFrame:
     """RPT-7: read each table back and compare its row and column counts with what was written."""
     rows = []
@@ -127,9 +145,7 @@ def curated_to_gold(spark: SparkSession, curated_path: str, out: GoldPaths,
     disk for the three plans."""
     curated = readers.scan_curated(spark, curated_path)
     if one_pass:
-        stage = scratch_path(spark, "stage", "gold", uuid.uuid4().hex)
-        write_table(ru.gold_one_pass(curated.select(*GOLD_COLUMNS)), stage)
-        written = write_gold(ru.split_gold(spark.read.parquet(stage), thresholds), out)
+        written = write_gold_one_pass(spark, curated, out, thresholds)
     else:
         if persist:
             curated = curated.select(*GOLD_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)

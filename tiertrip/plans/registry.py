@@ -507,5 +507,5 @@ def saved_q7(lake):
 def validate_gold(lake):
     """RPT-7: write the three gold tables, read them back, compare rows and columns (rows-only check)."""
     out = md.GoldPaths(_run_dir(lake, "gold/daily"), _run_dir(lake, "gold/hourly"), _run_dir(lake, "gold/routes"))
-    written = md.write_gold(md.build_gold(lake.curated(), lake.thresholds), out)
+    written = md.write_gold_one_pass(lake.spark, lake.curated(), out, lake.thresholds)
     return md.validate_gold(lake.spark, out, written)
