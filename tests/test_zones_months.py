@@ -51,3 +51,12 @@ def test_latest_and_missing_months(spark):
     assert miss == ["2024-04"]
     first_hit = mo.latest_months(avail, "2024-08-20", 2, 4, 1).first()
     assert (first_hit.months_back, first_hit.file) == (2, "fhvhv_tripdata_2024-06.parquet")
+
+
+def test_reordered_zone_header_fails(spark, tmp_path):
+    import pytest
+    p = str(tmp_path / "bad")
+    spark.createDataFrame([("Queens", 1, "a", "x")], "Borough string, LocationID int, Zone string, service_zone string") \
+        .coalesce(1).write.option("header", True).csv(p)
+    with pytest.raises(Exception):
+        readers.scan_zones(spark, p).collect()

@@ -20,8 +20,11 @@ def scan_trips(spark: SparkSession, path: str | list[str], merge_schema: bool =
 
 
 def scan_zones(spark: SparkSession, path: str) -> DataFrame:
-    """Zone CSV with header; Spark semantics: the text ``N/A`` stays a string."""
-    return spark.read.schema(schemas.ZONE).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """Zone CSV with header; Spark semantics: the text ``N/A`` stays a string. The header names are
+    checked against the schema (``enforceSchema=false``), so a reordered file fails instead of
+    silently shifting columns."""
+    return (spark.read.schema(schemas.ZONE).option("header", True).option("enforceSchema", False)
+            .option("mode", "PERMISSIVE").csv(path))
 
 
 def pandas_na(df: DataFrame) -> DataFrame:
