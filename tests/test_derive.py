@@ -53,3 +53,22 @@ def test_speed_filter_bounds(spark):
             [(1.0, 59), (1.0, 60), (1.0, 14400), (1.0, 14401), (100.0, 3600), (80.0, 3600), (None, 600)]]
     kept = dv.speed_filter(dv.derive(trips_df(spark, rows))).select("trip_miles", "trip_time").collect()
     assert sorted((r.trip_miles or -1, r.trip_time) for r in kept) == [(-1, 600), (1.0, 60), (1.0, 14400), (80.0, 3600)]
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, lake):
+    """Wall-clock (TIMESTAMP_NTZ) arithmetic: the same rows under UTC and a zone with DST."""
+    from tiertrip.operators import reports as rp
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    frames = lambda: [lake.derived(), rp.monthly_dq(lake.tagged()), lake.hourly(sort=False)]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        utc = [sorted(map(tuple, f.collect()), key=str) for f in frames()]
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        ny = [sorted(map(tuple, f.collect()), key=str) for f in frames()]
+        # a wait across the spring-forward hour is still the wall-clock difference
+        r = derived(spark, request_datetime=dt.datetime(2024, 3, 10, 1, 50),
+                    pickup_datetime=dt.datetime(2024, 3, 10, 3, 10))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert utc == ny
+    assert r.wait_time_minutes == 80.0
