@@ -143,8 +143,9 @@ def test_cli_runs_the_layers(spark, lake, tmp_path):
     lp = LakePaths(root)
     shutil.copytree(lake.bronze_path, lp.path("trips_raw"))
     shutil.copytree(lake.zones_path, lp.path("zones_raw"))
-    for job in ("raw-to-curated", "curated-to-gold", "dq-check", "zone-summary", "register"):
+    for job in ("raw-to-curated", "curated-to-gold", "dq-check", "zone-summary", "register", "report"):
         assert cli.main([job, "--lake", root]) == 0
+    assert cli.main(["saved-query", "--lake", root, "--name", "q5", "--zones", "NATION_1,NATION_2"]) == 0
     assert spark.table("nyctlc_aggregated.daily_borough_summary").count() == lake.daily().count()
 
 

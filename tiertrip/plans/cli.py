@@ -6,6 +6,8 @@
     python -m tiertrip zone-summary     --lake ... --generated-at 2024-07-01T00:00:00Z
     python -m tiertrip ingest           --lake ... --landing ... --as-of 2024-08-15 [--dry-run]
     python -m tiertrip register         --lake ...
+    python -m tiertrip report           --lake ...           (silver and gold validation reports)
+    python -m tiertrip saved-query      --lake ... --name q4 (saved SQL over the registered tables)
 
 Layer paths come from :class:`tiertrip.config.LakePaths`; the Spark session is whatever
 ``spark-submit`` provides (only the UTC session zone is set, which the derivations assume).
@@ -31,7 +33,8 @@ def _session():
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tiertrip")
-    p.add_argument("job", choices=["raw-to-curated", "curated-to-gold", "dq-check", "zone-summary", "ingest", "register"])
+    p.add_argument("job", choices=["raw-to-curated", "curated-to-gold", "dq-check", "zone-summary", "ingest",
+                                   "register", "report", "saved-query"])
     p.add_argument("--lake", required=True, help="lake root (raw/, curated/, aggregated/, rejected/, processed/)")
     p.add_argument("--source", default="nyctlc")
     p.add_argument("--landing", help="landing folder of monthly trip files (ingest)")
@@ -42,6 +45,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--dry-run", action="store_true")
     p.add_argument("--persist", action="store_true", help="persist silver columns for the three gold plans")
     p.add_argument("--generated-at", default="", help="timestamp recorded in the zone summary")
+    p.add_argument("--name", choices=[f"q{i}" for i in range(1, 8)], help="saved query (saved-query)")
+    p.add_argument("--borough", default="Manhattan", help="borough of saved query q2")
+    p.add_argument("--zones", default="JFK Airport,LaGuardia Airport", help="zones of saved query q5")
     a = p.parse_args(argv)
     lp = LakePaths(a.lake, a.source)
     spark = _session()
@@ -70,6 +76,25 @@ def main(argv: list[str] | None = None) -> int:
             (f"{a.source}_rejected", "quality_summary", "quality_summary", False),
         ]:
             print(catalog.register_table(spark, db, table, lp.path(key), partitioned=part))
+    elif a.job == "report":
+        from pyspark.sql import functions as F
+
+        from tiertrip import schemas
+        from tiertrip.operators import reports as rp
+        from tiertrip.sources import readers
+        silver = readers.scan_curated(spark, lp.path("curated"))
+        daily = spark.read.schema(schemas.DAILY).parquet(lp.path("daily"))
+        hourly = spark.read.schema(schemas.HOURLY).parquet(lp.path("hourly"))
+        silver.agg(F.count(F.lit(1)).alias("curated_rows"),
+                   F.count_distinct("pickup_date").alias("date_partitions")).show()
+        for df in (rp.borough_distribution(silver), rp.shared_breakdown(silver), rp.fare_statistics(silver),
+                   rp.monthly_counts(silver, "pickup_date"), rp.daily_coverage(daily),
+                   rp.borough_revenue_rank(daily), rp.shared_vs_solo_metrics(hourly)):
+            df.show(truncate=False)
+    elif a.job == "saved-query":
+        from tiertrip.plans import saved
+        text = saved.sql_text(a.borough, a.zones.split(","), db=f"{a.source}_aggregated")[a.name]
+        spark.sql(text).show(50, truncate=False)
     return 0
 
 
