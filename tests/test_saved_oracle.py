@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import types as T
 
 import __spark_entry__ as E
 from scripts.oracle_check import digest
@@ -25,6 +26,10 @@ def test_saved_sql_matches_dataframe(spark, lake):
         assert df.collect() == sql[k].collect(), k
 
 
+DUCK_TYPE = {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.DoubleType: "DOUBLE", T.StringType: "VARCHAR",
+             T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP"}
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -41,9 +46,11 @@ def test_query_against_oracle(spark, duck, name):
     if sql is None:
         assert len(rows) >= 1
         return
-    cur = duck.execute(sql)
-    cols = [d[0] for d in cur.description]
-    drows = cur.fetchall()
+    rel = duck.sql(sql)
+    cols = rel.columns
+    spark_types = {f.name: DUCK_TYPE.get(type(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    assert spark_types == dict(zip(cols, map(str, rel.types)))
+    drows = rel.fetchall()
     assert sorted(df.columns) == sorted(cols)
     assert len(rows) == len(drows)
     assert digest(df.columns, rows)[0] == digest(cols, drows)[0]

@@ -188,7 +188,7 @@ _RULE_SQL = [
 
 
 @query("dq_rule_counts", with_(B, "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS rule, CAST({i + 1} AS INTEGER) AS rule_order, count_if({c}) AS failed_rows FROM trips"
+    f"SELECT '{n}' AS rule, CAST({i + 1} AS INTEGER) AS rule_order, CAST(count_if({c}) AS BIGINT) AS failed_rows FROM trips"
     for i, (n, c) in enumerate(_RULE_SQL))))
 def dq_rule_counts(lake):
     """FLT-10: rows failing each rule on its own, one pass."""
