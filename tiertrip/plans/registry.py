@@ -59,7 +59,7 @@ def _run_dir(lake: TripLake, what: str) -> str:
     return scratch_path(lake.spark, "runs", key, what)
 
 
-B, S, G = o.BASE, o.SILVER, o.SILVER  # CTE stacks
+B, S = o.BASE, o.SILVER  # CTE stacks: bronze trips; trips through silver
 NF = "ASC NULLS FIRST"
 
 # ---------------------------------------------------------------- sources
@@ -89,28 +89,28 @@ def roundtrip_curated(lake):
     return readers.scan_curated(lake.spark, path)
 
 
-@query("latest_months", with_(B, f"""
-, avail AS (SELECT DISTINCT CAST(date_trunc('month', pickup_datetime) AS DATE) AS month FROM trips
-            WHERE pickup_datetime IS NOT NULL),
-spine AS (SELECT CAST(o AS INTEGER) AS months_back,
-                 CAST(date_trunc('month', DATE '{LATEST_AS_OF}') - to_months(CAST(o AS INTEGER)) AS DATE) AS month
-          FROM range({LATEST_START}, {LATEST_MAX + 1}) t(o))
-SELECT months_back, strftime(month, '%Y-%m') AS month,
-       'fhvhv_tripdata_' || strftime(month, '%Y-%m') || '.parquet' AS file
-FROM spine WHERE month IN (SELECT month FROM avail) ORDER BY spine.month DESC LIMIT {LATEST_N}""".replace("\n, avail", ", avail", 1)))
+_AVAIL = """avail AS (SELECT DISTINCT CAST(date_trunc('month', pickup_datetime) AS DATE) AS month FROM trips
+            WHERE pickup_datetime IS NOT NULL)"""
+
+
+def _spine(as_of: str, start: int, stop: int) -> str:
+    return f"""spine AS (SELECT CAST(o AS INTEGER) AS months_back,
+                 CAST(date_trunc('month', DATE '{as_of}') - to_months(CAST(o AS INTEGER)) AS DATE) AS month
+          FROM range({start}, {stop + 1}) t(o))"""
+
+
+_MONTH_COLS = """months_back, strftime(month, '%Y-%m') AS month,
+       'fhvhv_tripdata_' || strftime(month, '%Y-%m') || '.parquet' AS file"""
+
+
+@query("latest_months", with_(B + [_AVAIL, _spine(LATEST_AS_OF, LATEST_START, LATEST_MAX)], f"""SELECT {_MONTH_COLS}
+FROM spine WHERE month IN (SELECT month FROM avail) ORDER BY spine.month DESC LIMIT {LATEST_N}"""))
 def latest_months(lake):
     """SRC-7: newest 6 months present within 2..14 months before the as-of date."""
     return mo.latest_months(mo.available_months(lake.bronze()), LATEST_AS_OF, LATEST_START, LATEST_MAX, LATEST_N)
 
 
-@query("missing_months", with_(B, f"""
-, avail AS (SELECT DISTINCT CAST(date_trunc('month', pickup_datetime) AS DATE) AS month FROM trips
-            WHERE pickup_datetime IS NOT NULL),
-spine AS (SELECT CAST(o AS INTEGER) AS months_back,
-                 CAST(date_trunc('month', DATE '{MISSING_AS_OF}') - to_months(CAST(o AS INTEGER)) AS DATE) AS month
-          FROM range({MISSING_START}, {MISSING_MAX + 1}) t(o))
-SELECT months_back, strftime(month, '%Y-%m') AS month,
-       'fhvhv_tripdata_' || strftime(month, '%Y-%m') || '.parquet' AS file
+@query("missing_months", with_(B + [_AVAIL, _spine(MISSING_AS_OF, MISSING_START, MISSING_MAX)], f"""SELECT {_MONTH_COLS}
 FROM spine WHERE month NOT IN (SELECT month FROM avail)"""))
 def missing_months(lake):
     """SRC-8: months in the look-back window that the data does not have."""
@@ -136,8 +136,7 @@ def ingest_manifest(lake):
     """SNK-7: per landed month: file, source URL, target, rows, status (sizes are unit-tested)."""
     path = _run_dir(lake, "landed_manifest")
     ld.land_months(lake.bronze(), path)
-    m = ld.ingest_manifest(ld.read_landed(lake.spark, path), MANIFEST_BASE_URL, MANIFEST_TARGET, with_sizes=False)
-    return m
+    return ld.ingest_manifest(ld.read_landed(lake.spark, path), MANIFEST_BASE_URL, MANIFEST_TARGET, with_sizes=False)
 
 
 # ---------------------------------------------------------------- filters and tags
