@@ -100,12 +100,13 @@ def test_ingest_job_and_dry_run(spark, lake, tmp_path):
     bronze = str(tmp_path / "bronze")
     dry = md.ingest_job(spark, lake.bronze_path, bronze, "2024-08-15", 2, 4, 2, dry_run=True).collect()
     assert [r.status for r in dry] == ["DRY_RUN", "DRY_RUN"] and not os.path.exists(bronze)
-    man = md.ingest_job(spark, lake.bronze_path, bronze, "2024-08-15", 2, 4, 2).collect()
+    man_df = md.ingest_job(spark, lake.bronze_path, bronze, "2024-08-15", 2, 4, 2)
+    man = man_df.collect()
     assert [r.file for r in man] == ["fhvhv_tripdata_2024-05.parquet", "fhvhv_tripdata_2024-06.parquet"]
     assert all(r.status == "SUCCESS" and r.size_bytes > 0 and r.size_mb >= 0 for r in man)
     landed = landing.read_landed(spark, bronze)
     assert landed.count() == sum(r.row_count for r in man)
-    tot = landing.manifest_totals(spark.createDataFrame(man)).first()
+    tot = landing.manifest_totals(man_df).first()
     assert (tot.files_uploaded, tot.files_total) == (2, 2)
 
 
@@ -183,3 +184,25 @@ def test_rerun_is_idempotent(spark, lake, tmp_path):
     second = md.raw_to_curated(spark, lake.bronze_path, lake.zones_path, cur)
     b = readers.scan_curated(spark, cur).collect()
     assert first == second and sorted(a, key=str) == sorted(b, key=str)
+
+
+def test_ingest_one_failed_month_does_not_stop_the_rest(spark, lake, tmp_path, monkeypatch):
+    from tiertrip.sinks import landing as ld
+    bronze = str(tmp_path / "bronze")
+    real = ld.write_partitioned
+
+    def flaky(df, target, col, **kw):
+        months = {r[0] for r in df.select(col).distinct().collect()}
+        if "2024-05" in months:
+            raise OSError("simulated failure for 2024-05")
+        return real(df, target, col, **kw)
+
+    monkeypatch.setattr(ld, "write_partitioned", flaky)
+    man = md.ingest_job(spark, lake.bronze_path, bronze, "2024-08-15", 2, 6, 3).collect()
+    status = {r.file: (r.status, r.error) for r in man}
+    assert status["fhvhv_tripdata_2024-05.parquet"][0] == "FAILED"
+    assert "simulated failure" in status["fhvhv_tripdata_2024-05.parquet"][1]
+    assert status["fhvhv_tripdata_2024-06.parquet"] == ("SUCCESS", None)
+    assert status["fhvhv_tripdata_2024-04.parquet"] == ("SUCCESS", None)
+    landed = {r.source_month for r in landing.read_landed(spark, bronze).select("source_month").distinct().collect()}
+    assert landed == {"2024-04", "2024-06"}

@@ -214,15 +214,28 @@ def zone_summary_job(spark: SparkSession, zones_path: str, out_path: str, genera
 
 def ingest_job(spark: SparkSession, landing_path: str, bronze_path: str, as_of: str,
                start_offset: int = 2, max_lookback: int = 14, n: int = 6, base_url: str = "landing",
-               dry_run: bool = False) -> DataFrame:
+               dry_run: bool = False, isolate_months: bool = True) -> DataFrame:
     """PIP-5: choose the newest months present in the landing data, land them into bronze
-    (dynamic overwrite), and return the manifest (or a DRY_RUN manifest without writing)."""
+    (dynamic overwrite), and return the manifest (or a DRY_RUN manifest without writing).
+
+    ``isolate_months`` (default) lands month by month so that one failing month does not stop the
+    others (it is reported FAILED with its error); otherwise all chosen months land in one atomic
+    job. The chosen-month list is at most ``n`` rows."""
     landing = readers.scan_trips(spark, landing_path)
     chosen = mo.latest_months(mo.available_months(landing), as_of, start_offset, max_lookback, n)
     if dry_run:
         return ld.dry_run_manifest(chosen, base_url, bronze_path)
-    ld.land_months(landing, bronze_path, chosen)
-    return ld.ingest_manifest(ld.read_landed(spark, bronze_path), base_url, bronze_path)
+    if not isolate_months:
+        ld.land_months(landing, bronze_path, chosen)
+        return ld.ingest_manifest(ld.read_landed(spark, bronze_path), base_url, bronze_path)
+    months = [r["month"] for r in chosen.collect()]  # bounded by n
+    errors = ld.land_each_month(landing, bronze_path, months)
+    ok = [m for m, e in errors.items() if e is None]
+    landed = ld.read_landed(spark, bronze_path).filter(F.col(ld.MONTH_COL).isin(ok))
+    manifest = ld.ingest_manifest(landed, base_url, bronze_path).withColumn("error", F.lit(None).cast("string"))
+    if len(ok) < len(months):
+        manifest = manifest.unionByName(ld.failed_manifest(spark, errors, base_url, bronze_path))
+    return manifest.orderBy("file")
 
 
 __all__ = ["raw_to_curated", "curated_to_gold", "dq_check", "zone_summary_job", "ingest_job",

@@ -127,6 +127,17 @@ def land_months(lake):
     return ld.landed_summary(ld.read_landed(lake.spark, path))
 
 
+@query("stream_land_months", with_(B, """SELECT strftime(pickup_datetime, '%Y-%m') AS source_month, count(*) AS landed_rows
+FROM trips GROUP BY 1"""))
+def stream_land_months(lake):
+    """SNK-6: an availableNow Structured Streaming run picks up the bronze files (each file once,
+    tracked in its checkpoint) and appends them by source month; rows per landed month."""
+    from tiertrip.streaming.landing import run_landing_once
+    out, ckpt = _run_dir(lake, "streamed"), _run_dir(lake, "streamed_checkpoint")
+    run_landing_once(lake.spark, lake.bronze_path, out, ckpt)
+    return ld.landed_summary(ld.read_landed(lake.spark, out))
+
+
 @query("ingest_manifest", with_(B, f"""SELECT 'fhvhv_tripdata_' || m || '.parquet' AS file,
        '{MANIFEST_BASE_URL}/fhvhv_tripdata_' || m || '.parquet' AS source_url,
        '{MANIFEST_TARGET}/source_month=' || m || '/' AS target,

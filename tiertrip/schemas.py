@@ -75,5 +75,5 @@ MONTHLY_DQ = _struct(
 
 MANIFEST = _struct(
     ("file", S), ("source_url", S), ("target", S), ("row_count", L), ("size_bytes", L),
-    ("size_mb", D), ("status", S),
+    ("size_mb", D), ("status", S), ("error", S),
 )

@@ -32,6 +32,25 @@ def land_months(df: DataFrame, target: str, months: DataFrame | None = None, ts_
     write_partitioned(out, target, MONTH_COL, dynamic=True)
 
 
+def land_each_month(df: DataFrame, target: str, months: list[str], ts_col: str = "pickup_datetime") -> dict[str, str | None]:
+    """SNK-5 with per-month isolation: one job per month (the list is bounded by the look-back
+    window), each selecting its month with a pickup-time range that Parquet statistics push down
+    (row groups of other months are skipped) and replacing only its own partition. A month whose
+    job fails is reported with its error and the other months still land. Returns month -> error
+    (None on success)."""
+    out: dict[str, str | None] = {}
+    ts = F.col(ts_col)
+    for m in months:
+        start = F.to_timestamp_ntz(F.lit(f"{m}-01 00:00:00"))
+        one = with_source_month(df.filter((ts >= start) & (ts < F.timestamp_add("MONTH", F.lit(1), start))), ts_col)
+        try:
+            write_partitioned(one, target, MONTH_COL, dynamic=True)
+            out[m] = None
+        except Exception as exc:  # noqa: BLE001 - reported per month, as the manifest's error
+            out[m] = f"{type(exc).__name__}: {str(exc)[:500]}"
+    return out
+
+
 def read_landed(spark: SparkSession, target: str) -> DataFrame:
     """Landed bronze with partition discovery plus per-row file lineage."""
     schema = T.StructType(schemas.RAW_TRIP.fields + [T.StructField(MONTH_COL, T.StringType())])
@@ -70,6 +89,18 @@ def ingest_manifest(landed: DataFrame, base_url: str, target_root: str, with_siz
     return per_month.select(*cols).orderBy("file")
 
 
+def failed_manifest(spark: SparkSession, errors: dict[str, str | None], base_url: str, target_root: str) -> DataFrame:
+    """Manifest rows (status FAILED, with the error) for months whose landing job failed."""
+    rows = [(m, e) for m, e in errors.items() if e is not None]
+    df = spark.createDataFrame(rows, "month string, error string")
+    file = month_file(F.to_date(F.concat(F.col("month"), F.lit("-01"))))
+    return df.select(
+        file.alias("file"), F.concat(F.lit(base_url.rstrip("/") + "/"), file).alias("source_url"),
+        F.concat(F.lit(target_root.rstrip("/") + f"/{MONTH_COL}="), F.col("month"), F.lit("/")).alias("target"),
+        F.lit(None).cast("long").alias("row_count"), F.lit(None).cast("long").alias("size_bytes"),
+        F.lit(None).cast("double").alias("size_mb"), F.lit("FAILED").alias("status"), F.col("error"))
+
+
 def dry_run_manifest(months: DataFrame, base_url: str, target_root: str) -> DataFrame:
     """SNK-8: what would be landed (status DRY_RUN); nothing is read from the landing data or written."""
     file = F.col("file")
