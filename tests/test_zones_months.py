@@ -39,6 +39,9 @@ def test_zone_summary_document(spark, lake):
     assert sum(doc["zones_per_borough"].values()) == 23  # one NULL borough, one NULL zone name
     assert [r["LocationID"] for r in doc["sample_records"]] == [0, 1, 2, 3, 4]
     assert doc["borough_with_most_zones"]["zone_count"] == max(doc["zones_per_borough"].values())
+    # a NULL field stays in the record as null (zone 4's service zone is 'N/A')
+    assert all(set(r) == {"LocationID", "Borough", "Zone", "service_zone"} for r in doc["sample_records"])
+    assert doc["sample_records"][4]["service_zone"] is None
 
 
 def test_latest_and_missing_months(spark):

@@ -183,3 +183,23 @@ SILVER = BASE + [ZONES, PROVIDER, DQ_OK, DERIVED, SANE, CURATED]
 
 def with_(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+def zone_summary_json(generated_at: str, source: str) -> str:
+    """RPT-8 + JSN-1 restated: one JSON string built from scalar subqueries over ``zones_na``."""
+    return with_([ZONES, ZONES_NA], f"""
+, per_b AS (SELECT Borough AS k, count(Zone) AS v FROM zones_na WHERE Borough IS NOT NULL GROUP BY 1)
+, per_s AS (SELECT service_zone AS k, count(Zone) AS v FROM zones_na WHERE service_zone IS NOT NULL GROUP BY 1)
+, top AS (SELECT k AS borough, v AS zone_count FROM per_b ORDER BY v DESC, k LIMIT 1)
+, samp AS (SELECT * FROM zones_na ORDER BY LocationID NULLS LAST, Zone LIMIT 5)
+SELECT CAST(to_json(struct_pack(
+  generated_at := '{generated_at}',
+  source := '{source}',
+  total_zones := (SELECT count(*) FROM zones_na),
+  total_boroughs := (SELECT count(DISTINCT Borough) FROM zones_na),
+  borough_with_most_zones := (SELECT struct_pack(borough := borough, zone_count := zone_count) FROM top),
+  zones_per_borough := (SELECT map_from_entries(list(struct_pack(k := k, v := v) ORDER BY v DESC, k)) FROM per_b),
+  zones_per_service_zone := (SELECT map_from_entries(list(struct_pack(k := k, v := v) ORDER BY v DESC, k)) FROM per_s),
+  sample_records := (SELECT list(struct_pack(LocationID := LocationID, Borough := Borough, Zone := Zone,
+                                             service_zone := service_zone) ORDER BY LocationID NULLS LAST, Zone)
+                     FROM samp))) AS VARCHAR) AS json""")

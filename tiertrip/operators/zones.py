@@ -77,5 +77,7 @@ def zone_summary(zones: DataFrame, source: str, generated_at: str, sample: int =
 
 
 def zone_summary_json(summary: DataFrame) -> DataFrame:
-    """SNK-4 payload: the summary row as one JSON document string."""
-    return summary.select(F.to_json(F.struct(*summary.columns)).alias("json"))
+    """SNK-4 payload: the summary row as one JSON document string. NULL fields are written as
+    ``null`` (not dropped), so every sample record has the same keys, as the records of the
+    source job do."""
+    return summary.select(F.to_json(F.struct(*summary.columns), {"ignoreNullFields": "false"}).alias("json"))

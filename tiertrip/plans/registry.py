@@ -36,6 +36,7 @@ MISSING_AS_OF, MISSING_START, MISSING_MAX = "2024-09-01", 1, 10
 MANIFEST_BASE_URL = "landing/nyctlc"
 MANIFEST_TARGET = "raw/nyctlc/fhvhv_tripdata"
 GENERATED_AT = "1970-01-01T00:00:00+00:00"
+ZONE_SOURCE = "raw/nyctlc/taxi_zone_lookup"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -446,14 +447,15 @@ def zone_totals(lake):
 
 @query("zone_summary")
 def zone_summary(lake):
-    """RPT-8/MAP-1/ARR-1: the one-row zone summary document (rows-only check)."""
-    return zn.zone_summary(lake.zones_na(), lake.zones_path, GENERATED_AT)
+    """RPT-8/MAP-1/ARR-1: the one-row zone summary document (rows-only check; its JSON form
+    below has the oracle)."""
+    return zn.zone_summary(lake.zones_na(), ZONE_SOURCE, GENERATED_AT)
 
 
-@query("zone_summary_json")
+@query("zone_summary_json", o.zone_summary_json(GENERATED_AT, ZONE_SOURCE))
 def zone_summary_json(lake):
-    """SNK-4/JSN-1: the summary as one JSON string (rows-only check)."""
-    return zn.zone_summary_json(zn.zone_summary(lake.zones_na(), lake.zones_path, GENERATED_AT))
+    """SNK-4/JSN-1: the summary as one JSON string."""
+    return zn.zone_summary_json(zn.zone_summary(lake.zones_na(), ZONE_SOURCE, GENERATED_AT))
 
 
 # ---------------------------------------------------------------- saved SQL queries
