@@ -5,6 +5,7 @@ import re
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_text, trips_df
@@ -206,3 +207,33 @@ def test_ingest_one_failed_month_does_not_stop_the_rest(spark, lake, tmp_path, m
     assert status["fhvhv_tripdata_2024-04.parquet"] == ("SUCCESS", None)
     landed = {r.source_month for r in landing.read_landed(spark, bronze).select("source_month").distinct().collect()}
     assert landed == {"2024-04", "2024-06"}
+
+
+class _StubConf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _StubSession:
+    """Only what ``shared_dir`` reads when spark.checkpoint.dir is unset."""
+
+    def __init__(self, master):
+        self.conf = _StubConf({"spark.master": master})
+
+    @property
+    def sparkContext(self):
+        raise RuntimeError("no context")
+
+
+def test_shared_dir_needs_a_checkpoint_dir_on_a_cluster():
+    from tiertrip.session import shared_dir
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_StubSession("yarn"))
+
+
+def test_shared_dir_is_the_configured_checkpoint_dir(spark):
+    from tiertrip.session import shared_dir
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

@@ -54,6 +54,10 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             found = None
     if not found:
+        # A machine-local folder is only safe when driver and executors share one machine.
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(for example on the cluster's object store or HDFS)")
         found = tempfile.mkdtemp(prefix="tiertrip-ckpt-")
         _LOCAL_FALLBACK[id(spark)] = found
         try:
@@ -71,11 +75,30 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "tiertrip", *parts])
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_signature(spark: SparkSession, path: str) -> str:
+    """Length and modification time of a file or folder ('' when missing), for cache keys."""
+    if path.startswith("/") or path.startswith("file:"):
+        try:
+            st = os.stat(path.removeprefix("file:"))
+        except OSError:
+            return ""
+        return f"{st.st_size}:{int(st.st_mtime)}"
+    p, fs = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return ""
+    st = fs.getFileStatus(p)
+    return f"{st.getLen()}:{st.getModificationTime() // 1000}"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem so it works for any shared store."""
     if path.startswith("/") or path.startswith("file:"):
         return os.path.exists(path.removeprefix("file:"))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = _hadoop_path(spark, path)
     return bool(fs.exists(p))

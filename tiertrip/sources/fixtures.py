@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiertrip import schemas
-from tiertrip.session import path_exists, scratch_path
+from tiertrip.session import path_exists, path_signature, scratch_path
 
 FIXTURE_VERSION = "1"
 EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
@@ -88,8 +88,9 @@ def zones_from_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
         (F.col("n_regionkey") == 3, F.lit("EWR")),
         otherwise=F.lit("N/A"),
     )
-    # region has 5 rows by definition of the schema; broadcasting it is bounded.
-    joined = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "inner")
+    # No hint: Catalyst broadcasts region only while its measured size is under
+    # spark.sql.autoBroadcastJoinThreshold, and plans a shuffle join otherwise.
+    joined = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
     return joined.select(
         F.col("n_nationkey").cast("int").alias("LocationID"),
         F.when(F.col("n_nationkey") == 24, F.lit("N/A")).otherwise(F.col("r_name")).alias("Borough"),
@@ -98,16 +99,16 @@ def zones_from_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
-def _input_key(sf_dir: str, *tables: str) -> str:
+def _input_key(spark: SparkSession, sf_dir: str, *tables: str) -> str:
+    """Cache key of a derived fixture: the input paths with their sizes and modification times
+    (read through Hadoop's FileSystem for non-local stores)."""
     h = hashlib.sha1(FIXTURE_VERSION.encode())
     for t in tables:
-        path = os.path.join(sf_dir, f"{t}.parquet")
-        h.update(os.path.abspath(path).encode())
-        try:
-            st = os.stat(path)
-            h.update(f"{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            pass
+        path = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        if path.startswith("/"):
+            path = os.path.abspath(path)
+        h.update(path.encode())
+        h.update(path_signature(spark, path).encode())
     return h.hexdigest()[:16]
 
 
@@ -117,7 +118,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bronze_trips_path(spark: SparkSession, sf_dir: str) -> str:
     """Write the trip fixture once per input and return its folder (Parquet, RAW_TRIP schema)."""
-    target = scratch_path(spark, "fixtures", _input_key(sf_dir, "lineitem"), "fhvhv_tripdata")
+    target = scratch_path(spark, "fixtures", _input_key(spark, sf_dir, "lineitem"), "fhvhv_tripdata")
     if not path_exists(spark, f"{target}/_SUCCESS"):
         trips = trips_from_lineitem(read_table(spark, sf_dir, "lineitem"))
         # Spread the derivation over the cluster: input files may hold few row groups.
@@ -128,7 +129,7 @@ def bronze_trips_path(spark: SparkSession, sf_dir: str) -> str:
 
 def zones_csv_path(spark: SparkSession, sf_dir: str) -> str:
     """Write the zone fixture once per input as CSV with header (the dimension's raw format)."""
-    target = scratch_path(spark, "fixtures", _input_key(sf_dir, "nation", "region"), "taxi_zone_lookup")
+    target = scratch_path(spark, "fixtures", _input_key(spark, sf_dir, "nation", "region"), "taxi_zone_lookup")
     if not path_exists(spark, f"{target}/_SUCCESS"):
         zones = zones_from_nation(read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region"))
         # A dimension of a few hundred rows: one file, as the source ships it.
