@@ -6,8 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def whole_seconds_to_minutes(seconds: Column) -> Column:
+    """``round(seconds / 60.0, 2)``, half up, for a whole number of seconds, without decimals.
+
+    100 * s / 60 = 5s / 3 has fractional part 0, 1/3 or 2/3, never a tie, so half-up rounding is
+    ``floor((10s + 3) / 6)`` hundredths, and ``k / 100.0`` is the double nearest to that value, as
+    Spark's ``round`` returns. The quotient is at least 1/6 from an integer, so the double
+    division cannot move the floor for any realistic |s| (below 2^49 seconds). Spark's ``round``
+    on a double goes through a BigDecimal per row; this stays in primitive arithmetic, which
+    matters because Catalyst inlines the duration into every predicate of the sanity filter."""
+    return F.floor((seconds.cast("bigint") * F.lit(10) + F.lit(3)) / F.lit(6)) / F.lit(100.0)
+
+
 def duration_minutes(trip_seconds: Column) -> Column:
-    return F.round(trip_seconds / F.lit(60.0), 2)
+    """Trip duration in minutes, 2 dp; ``trip_time`` is whole seconds (bigint in RAW_TRIP)."""
+    return whole_seconds_to_minutes(trip_seconds)
 
 
 def speed_mph(miles: Column, duration_min: Column) -> Column:
@@ -17,10 +30,8 @@ def speed_mph(miles: Column, duration_min: Column) -> Column:
 
 def minutes_between(later: Column, earlier: Column) -> Column:
     """Whole-second epoch difference in minutes, 2 dp; NULL when ``earlier`` is NULL."""
-    return F.round(
-        F.when(earlier.isNotNull(), (F.unix_timestamp(later) - F.unix_timestamp(earlier)) / F.lit(60.0)),
-        2,
-    )
+    return F.when(earlier.isNotNull(),
+                  whole_seconds_to_minutes(F.unix_timestamp(later) - F.unix_timestamp(earlier)))
 
 
 def weekend_flag(ts: Column) -> Column:

@@ -29,7 +29,8 @@ def derive(df: DataFrame) -> DataFrame:
 
 def speed_ok(thresholds: Thresholds = DEFAULT_THRESHOLDS):
     speed, dur = F.col("speed_mph"), F.col("trip_duration_minutes")
-    return ((speed.isNull() | (speed <= F.lit(thresholds.max_speed_mph)))
+    # coalesce(speed <= max, TRUE) is "speed NULL or <= max" with the speed evaluated once
+    return (F.coalesce(speed <= F.lit(thresholds.max_speed_mph), F.lit(True))
             & (dur >= F.lit(thresholds.min_duration_minutes))
             & (dur <= F.lit(thresholds.max_duration_minutes)))
 

@@ -75,7 +75,7 @@ def gold_one_pass(curated: DataFrame) -> DataFrame:
     """All three gold groupings from one scan and one shuffle, as GROUPING SETS.
 
     Each silver row feeds three partial aggregates (an Expand, CPU only); the exchange carries
-    partial rows of all three tables at once. Exact decimal aggregates make the rows identical to
+    partial rows of all three tables at once. Exact aggregates make the rows identical to
     the three separate rollups. Split with :func:`split_gold`."""
     return curated.groupingSets([list(k) for k in GOLD_SETS.values()], *GOLD_KEYS).agg(
         F.count(F.lit(1)).alias("total_trips"),

@@ -71,7 +71,9 @@ def _sum(x: str) -> str:
 
 
 def sql_text(borough: str, zones: list[str], db: str = "") -> dict[str, str]:
-    """Spark SQL text of the saved queries (same exact-decimal rounding as the DataFrame forms)."""
+    """Spark SQL text of the saved queries. They run over the small gold tables, so the text
+    rounds with a plain DECIMAL(18,6) cast; on gold values (2 dp) that gives the same rows as the
+    DataFrame forms' micro-unit helpers (tested)."""
     p = f"{db}." if db else ""
     zl = ", ".join("'" + z.replace("'", "''") + "'" for z in zones)
     b = borough.replace("'", "''")
