@@ -10,8 +10,9 @@ text in the JVM, and a DECIMAL sum wider than 18 digits adds BigDecimals; both t
 about 7x a double average per row. Here each value becomes a bigint of micro-units with plain
 arithmetic, that bigint is split into three 21-bit parts, and each part is summed as a bigint
 (partial aggregation before the shuffle, as for any sum). The parts are recombined as
-DECIMAL(38,0) once per group. A part sum stays exact up to 2^42 (4.4 trillion) rows per group;
-beyond that Spark's ANSI overflow check fails the query rather than return a wrong number.
+DECIMAL(38,0) once per group and rounded half up. A part sum stays exact up to 2^42 (4.4 trillion)
+rows per group; beyond that Spark's ANSI overflow check fails the query rather than return a
+wrong number.
 
 Departures from a plain double average: each value is first rounded half up to whole millionths
 of its binary value; NaN, +-Infinity and magnitudes of 10^12 or more are skipped (NULL), where a
@@ -53,29 +54,30 @@ def _exact_total(u: Column) -> Column:
             + mid.cast(_WIDE) * F.lit(1 << _BITS).cast(_WIDE) + lo.cast(_WIDE))
 
 
-def _half_up_quotient(total: Column, divisor: Column, scale: int) -> Column:
-    """``round(total / (divisor * 10^(6-scale)))`` half up, exactly, as a double with ``scale``
-    decimals. ``total`` is DECIMAL(38,0) micro-units, ``divisor`` a positive count."""
-    k = divisor.cast(_WIDE) * F.lit(10 ** (6 - scale)).cast(_WIDE)
-    num = F.abs(total) * F.lit(2).cast(_WIDE) + k
-    den = k * F.lit(2).cast(_WIDE)
-    q0 = F.floor(num / den)  # the decimal quotient keeps 6 decimals, so it may round up past q
-    q = F.when(q0 * den > num, q0 - 1).otherwise(q0)
-    signed = F.when(total < 0, -q).otherwise(q)
-    return signed.cast("double") / F.lit(float(10 ** scale))
+def _rounded(total: Column, count: Column | None, scale: int) -> Column:
+    """``total / count`` (or ``total``) in micro-units, rounded half up to ``scale`` decimals of
+    the value, as a double. Each operand appears once, so the per-group expression stays small.
+
+    Spark's decimal division keeps 6 decimals of the micro-unit quotient (half up), and that is
+    rounded again to ``scale`` decimals of the value. The first rounding can only matter when a
+    group of more than 2 million rows has an average within 10^-12 of a tie, the same kind of
+    double rounding as Spark's own DECIMAL average."""
+    q = total if count is None else total / count.cast("decimal(20,0)")
+    units = F.round(q, scale - 6)  # a whole multiple of 10^(6-scale) micro-units
+    return (units / F.lit(MICRO).cast("decimal(7,0)")).cast("double")
 
 
 def round_avg(c: Column | str, scale: int = 2) -> Column:
     """``round(avg(c), scale)`` computed exactly; NULLs skipped; double result."""
     u = micro_units(c)
     n = F.count(u)
-    return F.when(n > 0, _half_up_quotient(_exact_total(u), n, scale))
+    return F.when(n > 0, _rounded(_exact_total(u), n, scale))
 
 
 def round_sum(c: Column | str, scale: int = 2) -> Column:
     """``round(sum(c), scale)`` computed exactly; NULL when no value; double result."""
     u = micro_units(c)
-    return F.when(F.count(u) > 0, _half_up_quotient(_exact_total(u), F.lit(1), scale))
+    return F.when(F.count(u) > 0, _rounded(_exact_total(u), None, scale))
 
 
 def round_value(c: Column | str, scale: int = 2) -> Column:
