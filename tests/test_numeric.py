@@ -59,3 +59,15 @@ def test_whole_seconds_match_spark_round(spark):
     edge = spark.createDataFrame([(v,) for v in (None, 0, 30, 90, 14399, 10 ** 12 + 3, -90)], "s bigint")
     assert edge.filter(~tf.whole_seconds_to_minutes(F.col("s")).eqNullSafe(
         F.round(F.col("s") / F.lit(60.0), 2))).count() == 0
+
+
+def test_sql_text_equals_column_helpers(spark):
+    from tiertrip.functions.numeric import round_avg_sql, round_sum_sql
+    rnd = random.Random(5)
+    rows = [(g, rnd.choice([None, float("nan"), round(rnd.uniform(-50, 500), 2), rnd.randint(0, 9999) / 512, 3e12]))
+            for g in range(40) for _ in range(rnd.randint(1, 30))]
+    df = spark.createDataFrame(rows, "g int, x double")
+    df.createOrReplaceTempView("numeric_case")
+    by_col = df.groupBy("g").agg(round_avg("x").alias("a"), round_sum("x").alias("s"))
+    by_sql = spark.sql(f"SELECT g, {round_avg_sql('x')} AS a, {round_sum_sql('x')} AS s FROM numeric_case GROUP BY g")
+    assert sorted(map(tuple, by_col.collect()), key=repr) == sorted(map(tuple, by_sql.collect()), key=repr)

@@ -80,6 +80,32 @@ def round_sum(c: Column | str, scale: int = 2) -> Column:
     return F.when(F.count(u) > 0, _rounded(_exact_total(u), None, scale))
 
 
+def micro_units_sql(x: str) -> str:
+    """Spark SQL text of :func:`micro_units`."""
+    a = f"(abs({x}) * {float(MICRO)!r})"
+    mag = f"(CASE WHEN {a} < {float(1 << 52)!r} THEN floor({a} + 0.5) ELSE CAST({a} AS BIGINT) END)"
+    return f"(CASE WHEN abs({x}) < 1.0E12 THEN (CASE WHEN {x} < 0 THEN -{mag} ELSE {mag} END) END)"
+
+
+def _rounded_sql(x: str, scale: int, average: bool) -> str:
+    u = micro_units_sql(x)
+    total = (f"(CAST(sum(shiftright({u}, {2 * _BITS})) AS DECIMAL(38,0)) * CAST({1 << (2 * _BITS)} AS DECIMAL(38,0))"
+             f" + CAST(sum(shiftright({u}, {_BITS}) & {_MASK}) AS DECIMAL(38,0)) * CAST({1 << _BITS} AS DECIMAL(38,0))"
+             f" + CAST(sum({u} & {_MASK}) AS DECIMAL(38,0)))")
+    q = f"{total} / CAST(count({u}) AS DECIMAL(20,0))" if average else total
+    return (f"CASE WHEN count({u}) > 0 THEN CAST(round({q}, {scale - 6}) / CAST({MICRO} AS DECIMAL(7,0)) AS DOUBLE) END")
+
+
+def round_avg_sql(x: str, scale: int = 2) -> str:
+    """Spark SQL text of :func:`round_avg` over the SQL expression ``x``."""
+    return _rounded_sql(x, scale, average=True)
+
+
+def round_sum_sql(x: str, scale: int = 2) -> str:
+    """Spark SQL text of :func:`round_sum` over the SQL expression ``x``."""
+    return _rounded_sql(x, scale, average=False)
+
+
 def round_value(c: Column | str, scale: int = 2) -> Column:
     """Row-level half-up rounding of a double (Spark rounds the decimal text of the double)."""
     return F.round(_c(c), scale)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiertrip.functions.numeric import round_avg, round_sum
+from tiertrip.functions.numeric import round_avg, round_avg_sql, round_sum, round_sum_sql
 
 
 def q1_daily_revenue(daily: DataFrame) -> DataFrame:
@@ -63,17 +63,16 @@ def q7_wait(hourly: DataFrame) -> DataFrame:
 
 
 def _avg(x: str) -> str:
-    return f"CAST(ROUND(AVG(TRY_CAST({x} AS DECIMAL(18,6))), 2) AS DOUBLE)"
+    return round_avg_sql(x)
 
 
 def _sum(x: str) -> str:
-    return f"CAST(ROUND(SUM(TRY_CAST({x} AS DECIMAL(18,6))), 2) AS DOUBLE)"
+    return round_sum_sql(x)
 
 
 def sql_text(borough: str, zones: list[str], db: str = "") -> dict[str, str]:
-    """Spark SQL text of the saved queries. They run over the small gold tables, so the text
-    rounds with a plain DECIMAL(18,6) cast; on gold values (2 dp) that gives the same rows as the
-    DataFrame forms' micro-unit helpers (tested)."""
+    """Spark SQL text of the saved queries, with the same exact micro-unit rounding as the
+    DataFrame forms (the SQL is generated from the same recipe; tested equal)."""
     p = f"{db}." if db else ""
     zl = ", ".join("'" + z.replace("'", "''") + "'" for z in zones)
     b = borough.replace("'", "''")
