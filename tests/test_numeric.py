@@ -71,3 +71,17 @@ def test_sql_text_equals_column_helpers(spark):
     by_col = df.groupBy("g").agg(round_avg("x").alias("a"), round_sum("x").alias("s"))
     by_sql = spark.sql(f"SELECT g, {round_avg_sql('x')} AS a, {round_sum_sql('x')} AS s FROM numeric_case GROUP BY g")
     assert sorted(map(tuple, by_col.collect()), key=repr) == sorted(map(tuple, by_sql.collect()), key=repr)
+
+
+def test_fast_round_equals_spark_round(spark):
+    from tiertrip.functions.numeric import round_value_fast
+    r = F.rand(9)
+    df = spark.range(0, 300_000).select(F.when(F.col("id") % 3 == 0, (r - 0.5) * 400)
+                                        .when(F.col("id") % 3 == 1, F.floor((r - 0.5) * 2e6) / 1000)
+                                        .otherwise(F.pow(F.lit(10.0), r * 24 - 12)).alias("x"))
+    assert df.filter(~round_value_fast("x").eqNullSafe(F.round("x", 2))).count() == 0
+    edge = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, -0.001, -0.005, 0.005, 1.005, 2.675,
+            0.285, -2.675, 1e10 + 0.125, 80.005, 79.995]
+    rows = spark.createDataFrame([(v,) for v in edge], "x double").select(
+        round_value_fast("x").alias("f"), F.round("x", 2).alias("s")).collect()
+    assert [repr(x.f) for x in rows] == [repr(x.s) for x in rows]

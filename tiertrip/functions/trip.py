@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tiertrip.functions.numeric import round_value_fast
+
 
 def whole_seconds_to_minutes(seconds: Column) -> Column:
     """``round(seconds / 60.0, 2)``, half up, for a whole number of seconds, without decimals.
@@ -24,8 +26,9 @@ def duration_minutes(trip_seconds: Column) -> Column:
 
 
 def speed_mph(miles: Column, duration_min: Column) -> Column:
-    """Speed from the *rounded* duration; NULL unless duration > 0 (guarded for ANSI mode)."""
-    return F.round(F.when(duration_min > 0, miles / (duration_min / F.lit(60.0))), 2)
+    """Speed from the *rounded* duration; NULL unless duration > 0 (guarded for ANSI mode).
+    Rounded as Spark's ``round`` does, without its per-row BigDecimal (``round_value_fast``)."""
+    return round_value_fast(F.when(duration_min > 0, miles / (duration_min / F.lit(60.0))), 2)
 
 
 def minutes_between(later: Column, earlier: Column) -> Column:
