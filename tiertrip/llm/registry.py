@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import simhash
+from . import hilbert, mixing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,5 +16,16 @@ def op5_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op5_simhash_pigeonring": op5_simhash_pigeonring}
-ORACLE: dict[str, str] = {}
+def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = hilbert.shard(_table(spark, sf_dir, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(_table(spark, sf_dir, "documents")).drop("copies")
+
+
+QUERIES = {"op2_hilbert_shards": op2_hilbert_shards, "op10_source_mix": op10_source_mix,
+           "op5_simhash_pigeonring": op5_simhash_pigeonring}
+ORACLE: dict[str, str] = {"op10_source_mix": mixing.oracle()}
