@@ -43,11 +43,10 @@ def id_remainder(ident: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(ident.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
-def hash_sample(df: DataFrame, key: Column, limit: int, rows: int, seed: int) -> DataFrame:
-    """About ``limit`` of ``rows`` rows, taken by a hash of ``key``: all of them when they fit.
-
-    Membership depends on the key, the seed and the two counts, so every re-run takes the same rows."""
+def hash_share(key: Column, limit: int, rows: int, seed: int) -> Column:
+    """True for about ``limit`` of ``rows`` rows, chosen by a hash of ``key``; for all of them when they
+    fit. It depends on the key, the seed and the two counts, so every re-run takes the same rows."""
     if rows <= limit:
-        return df
+        return F.lit(True)
     share = int(limit / rows * (1 << 32))
-    return df.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 32)) < F.lit(share))
+    return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 32)) < F.lit(share)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hilbert, mixing, simhash
+from . import hilbert, langid, mixing, simhash
+from .common import id_remainder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +23,19 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_rank_order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder(F.col("doc_id"), 4) == 2
+    profiles = langid.fit(docs.where(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), langid.predict(F.col("text"), profiles).alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(_table(spark, sf_dir, "documents")).drop("copies")
 
 
 QUERIES = {"op2_hilbert_shards": op2_hilbert_shards, "op10_source_mix": op10_source_mix,
+           "op6_rank_order_profiles": op6_rank_order_profiles,
            "op5_simhash_pigeonring": op5_simhash_pigeonring}
 ORACLE: dict[str, str] = {"op10_source_mix": mixing.oracle()}
