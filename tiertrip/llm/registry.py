@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hilbert, langid, mixing, simhash
+from . import decontaminate, hilbert, langid, mixing, simhash
 from .common import id_remainder
 
 
@@ -31,11 +31,16 @@ def op6_rank_order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op8_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(_table(spark, sf_dir, "documents")).drop("copies")
 
 
 QUERIES = {"op2_hilbert_shards": op2_hilbert_shards, "op10_source_mix": op10_source_mix,
            "op6_rank_order_profiles": op6_rank_order_profiles,
+           "op8_minhash_containment": op8_minhash_containment,
            "op5_simhash_pigeonring": op5_simhash_pigeonring}
-ORACLE: dict[str, str] = {"op10_source_mix": mixing.oracle()}
+ORACLE: dict[str, str] = {"op8_minhash_containment": decontaminate.oracle(), "op10_source_mix": mixing.oracle()}
