@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import col
@@ -201,21 +201,23 @@ def _searcher(index: Index, threshold: float, item_type: pa.DataType):
     return run
 
 
+def contains_any(text: Column, index: Index, threshold: float) -> Column:
+    """True where a text contains an item of the index."""
+    def batch(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in parts:
+            leak = np.zeros(len(s), bool)
+            leak[[i for i, _, _ in index.search(s.tolist(), threshold)]] = True
+            yield pd.Series(leak)
+    batch.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(batch, "boolean").asNondeterministic()(text)
+
+
 def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shingle: int = 5, text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
     """``docs`` without the rows that contain an item."""
     out = docs
     for block in _blocks(items, item_col, item_text_col, block_bytes):
-        index = Index(block, shingle)
-
-        def batch(parts: Iterator[pd.Series], index=index) -> Iterator[pd.Series]:
-            for s in parts:
-                leak = np.zeros(len(s), bool)
-                leak[[i for i, _, _ in index.search(s.tolist(), threshold)]] = True
-                yield pd.Series(leak)
-        batch.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-        leaks = F.pandas_udf(batch, "boolean").asNondeterministic()
-        out = out.where(~leaks(col(text_col)))
+        out = out.where(~contains_any(col(text_col), Index(block, shingle), threshold))
     return out
 
 
