@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, hilbert, langid, mixing, simhash
+from . import decontaminate, hilbert, langid, mixing, quality_rules, simhash
 from .common import id_remainder
 
 
@@ -35,6 +35,10 @@ def op8_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_rule_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(_table(spark, sf_dir, "documents")).drop("copies")
 
@@ -42,5 +46,6 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op2_hilbert_shards": op2_hilbert_shards, "op10_source_mix": op10_source_mix,
            "op6_rank_order_profiles": op6_rank_order_profiles,
            "op8_minhash_containment": op8_minhash_containment,
+           "op3_rule_votes": op3_rule_votes,
            "op5_simhash_pigeonring": op5_simhash_pigeonring}
 ORACLE: dict[str, str] = {"op8_minhash_containment": decontaminate.oracle(), "op10_source_mix": mixing.oracle()}
