@@ -5,7 +5,7 @@ document that fails the base test (fewer than ``min_words`` words, or more than
 repeated three-word windows) is never kept.
 
 Text statistics are made in one map over whole texts with array code; the vote patterns (at most
-3^10) are counted by Spark with partial sums; the model is fitted on that table and applied as a
+2^12) are counted by Spark with partial sums; the model is fitted on that table and applied as a
 column expression. No row is shuffled except as a count of its pattern.
 
 Edge cases. NULL or empty text: all counts 0, every rule abstains, base test failed. Repeated rows
@@ -34,20 +34,25 @@ _SYMBOL = np.isin(_BYTE, list(b"#*$%&|<>"))
 _STARTS = (_BYTE & 0xC0) != 0x80  # not a continuation byte: one per code point
 _UPPER = (_BYTE >= 65) & (_BYTE <= 90)
 _LETTER = _UPPER | ((_BYTE >= 97) & (_BYTE <= 122)) | (_BYTE >= 0xC0)
+_LETTER_BYTE = _LETTER | (_BYTE >= 0x80)
+_CLOSING = np.isin(_BYTE, list(b".,;:!?"))
 _MARK = np.isin(_BYTE, list(b"!?"))
 
-#: (name, statistic, good at or below, bad above) or, with a minus, (good at or above, bad below).
+#: (statistic, vote, from, to): the vote is cast where from <= statistic < to.
+_TOP = float("inf")
 RULES = [
-    ("symbols per word", "symbols", 0.02, 0.10),
-    ("share of words in repeated windows", "repeats", 0.10, 0.30),
-    ("share of repeated lines", "dup_lines", 0.05, 0.30),
-    ("share of capitals among letters", "capitals", 0.12, 0.40),
-    ("exclamation and question marks per word", "marks", 0.05, 0.25),
-    ("share of words without a letter", "bare", 0.05, 0.20),
-    ("-share of distinct words, of the first-order kind n / sqrt(2n)", "variety", 3.0, 1.5),
-    ("-share of letters among characters of words", "letters", 0.88, 0.75),
-    ("distance of the mean word length from 6", "length", 3.0, 5.0),
-    ("longest run of one word, as a share of words", "run", 0.03, 0.08),
+    ("symbols", "n", 0.10, _TOP),       # characters of #*$%&|<> per word
+    ("repeats", "n", 0.25, _TOP),       # share of words in repeated three-word windows
+    ("dup_lines", "n", 0.30, _TOP),     # share of lines equal to an earlier one, from three lines on
+    ("capitals", "n", 0.40, _TOP),      # share of capitals among letters
+    ("marks", "n", 0.25, _TOP),         # exclamation and question marks per word
+    ("bare", "n", 0.20, _TOP),          # share of words without a letter
+    ("variety", "n", 0.0, 1.5),         # distinct words over sqrt(2 n), from 50 words on
+    ("letters", "n", 0.0, 0.80),        # share of letters among the characters of words
+    ("length", "n", 4.0, _TOP),         # distance of the mean word length from 6
+    ("run", "n", 0.08, _TOP),           # longest run of one word as a share of words, from 50 words on
+    ("plain", "n", 0.0, 0.50),          # share of words of letters with at most one closing mark
+    ("plain", "y", 0.90, _TOP),
 ]
 
 
@@ -101,6 +106,9 @@ def statistics(texts: list[str | None]) -> dict[str, np.ndarray]:
     distinct = np.bincount(owner, lead, n)
     letters = np.concatenate(([0], np.cumsum(_LETTER[data])))
     bare = np.bincount(owner, letters[ends] == letters[starts], n)
+    other = np.concatenate(([0], np.cumsum(~_LETTER_BYTE[data])))
+    odd = other[ends] - other[starts]
+    plain = np.bincount(owner, (odd == 0) | ((odd == 1) & _CLOSING[data[ends - 1]] & (ends - starts > 1)), n)
     change = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))) if len(hashes) else []
     heads = np.flatnonzero(change)
     longest = np.zeros(n, np.int64)
@@ -111,7 +119,7 @@ def statistics(texts: list[str | None]) -> dict[str, np.ndarray]:
         out |= {"symbols": out["n_symbols"] / w, "repeats": out["n_repeat_words"] / w,
                 "dup_lines": np.where(n_lines >= 3, out["n_dup_lines"] / n_lines, np.nan),
                 "capitals": _per_text(_UPPER[data], offsets) / n_letters,
-                "marks": _per_text(_MARK[data], offsets) / w, "bare": bare / w,
+                "marks": _per_text(_MARK[data], offsets) / w, "bare": bare / w, "plain": plain / w,
                 "variety": np.where(w >= 50, distinct / np.sqrt(2 * w), np.nan),
                 "letters": n_letters / out["word_chars"], "length": np.abs(out["word_chars"] / w - 6),
                 "run": np.where(w >= 50, longest / w, np.nan)}
@@ -119,12 +127,11 @@ def statistics(texts: list[str | None]) -> dict[str, np.ndarray]:
 
 
 def votes(stats: dict[str, np.ndarray]) -> list[str]:
-    """One character for each rule: yes (good), no (bad) or abstain (between, or nothing to measure)."""
+    """One character for each rule: its vote, or abstain (out of its range, or nothing to measure)."""
     cols = []
-    for name, key, good, bad in RULES:
-        x = stats[key]
-        yes, no = (x >= good, x < bad) if name.startswith("-") else (x <= good, x > bad)
-        cols.append(np.where(yes, weak_labels.YES, np.where(no, weak_labels.NO, weak_labels.ABSTAIN)))
+    for key, vote, low, high in RULES:
+        with np.errstate(invalid="ignore"):
+            cols.append(np.where((stats[key] >= low) & (stats[key] < high), vote, weak_labels.ABSTAIN))
     return ["".join(r) for r in zip(*cols)]
 
 
@@ -154,9 +161,9 @@ def posterior(votes_col: Column, model: weak_labels.Reliability) -> Column:
     """Probability of good as an expression over a vote string."""
     p = model.prior.get(0, 0.5)
     odds = F.lit(float(np.log(p / (1 - p))))
-    for j, (yes, no, none) in enumerate(model.log_odds().tolist()):
+    for j, (yes, no) in enumerate(model.log_odds().tolist()):
         v = F.substring(votes_col, j + 1, 1)
-        odds = odds + F.when(v == weak_labels.YES, yes).when(v == weak_labels.NO, no).otherwise(none)
+        odds = odds + F.when(v == weak_labels.YES, yes).when(v == weak_labels.NO, no).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
@@ -165,7 +172,7 @@ def judge(docs: DataFrame, min_words: int = 50, threshold: float = 0.5, id_col:
     """The columns of :func:`measure` with ``base_failed``, ``p_good`` and ``kept``."""
     found = stash(measure(docs, id_col, text_col), "statistics")
     patterns = [(0, r["votes"], r["n"]) for r in
-                found.groupBy("votes").agg(F.count("*").alias("n")).collect()]  # 3^10 rows at most
+                found.groupBy("votes").agg(F.count("*").alias("n")).collect()]  # 2^12 rows at most
     model = weak_labels.fit(patterns, len(RULES), prior=0.8)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     found = found.withColumn("base_failed", failed).withColumn("p_good", posterior(F.col("votes"), model))

@@ -1,9 +1,10 @@
 """Expectation-maximisation over votes that are yes, no or abstain, on a table of vote patterns.
 
-The model: an item is good with a prior probability (one for each group), and each voter's vote is
-independent given that. Voters have, for good and for bad items, the probabilities of their three
-votes. The input is one row per distinct (group, votes) with its count, which Spark has summed up:
-at most groups x 3^voters rows, whatever the size of the corpus.
+The model: an item is good with a prior probability (one for each group), and a voter that votes
+yes, or no, is right with a probability of its own for that vote; whether it votes says nothing.
+So a single rule that flags many items which nothing else speaks against loses weight, and rules
+that flag the same items confirm each other. The input is one row per distinct (group, votes) with
+its count, which Spark has summed up: at most groups x 3^voters rows, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -14,53 +15,47 @@ import numpy as np
 
 #: Votes in pattern strings: yes, no, abstain.
 YES, NO, ABSTAIN = "y", "n", "-"
-_CODE = {YES: 0, NO: 1, ABSTAIN: 2}
 
 
 @dataclass
 class Reliability:
     prior: dict            # group -> probability of good
-    table: np.ndarray      # [good or bad, voter, vote]
+    right: np.ndarray      # [voter, yes or no] -> probability that the vote is right
 
     def log_odds(self) -> np.ndarray:
-        """[voter, vote] -> what the vote adds to the log-odds of good."""
-        return np.log(self.table[0]) - np.log(self.table[1])
+        """[voter, yes or no] -> what the vote adds to the log-odds of good."""
+        return np.log(self.right / (1 - self.right)) * np.array([1, -1])
 
     def posterior(self, group, votes: str) -> float:
-        p = self.prior[group]
-        odds = np.log(p / (1 - p)) + sum(self.log_odds()[j, _CODE[v]] for j, v in enumerate(votes))
+        p, gain = self.prior[group], self.log_odds()
+        odds = np.log(p / (1 - p)) + sum(gain[j, int(v == NO)] for j, v in enumerate(votes) if v != ABSTAIN)
         return float(1 / (1 + np.exp(-np.clip(odds, -700, 700))))
 
 
-def fit(patterns: list[tuple], voters: int, prior: float = 0.5, rounds: int = 200, smooth: float = 1.0,
-        trust: float = 0.8) -> Reliability:
+def fit(patterns: list[tuple], voters: int, prior: float = 0.5, trust: float = 0.85, rounds: int = 200,
+        smooth: float = 2.0) -> Reliability:
     """``patterns`` of (group, votes, count). It starts from voters that are right with probability
-    ``trust`` when they vote, which also fixes which class is called good. An empty table gives that start."""
-    start = np.empty((2, voters, 3))
-    start[0], start[1] = (trust / 2, (1 - trust) / 2, 0.5), ((1 - trust) / 2, trust / 2, 0.5)
+    ``trust``, which also fixes which class is called good; an empty table gives that start."""
     groups = sorted({g for g, _, _ in patterns}, key=str)
-    model = Reliability({g: prior for g in groups}, start)
+    right = np.full((voters, 2), trust)
     if not patterns:
-        return model
+        return Reliability({}, right)
     at = {g: i for i, g in enumerate(groups)}
     group = np.array([at[g] for g, _, _ in patterns])
-    votes = np.array([[_CODE[v] for v in p] for _, p, _ in patterns]).reshape(len(patterns), voters)
+    cast = np.array([[[v == YES, v == NO] for v in p] for _, p, _ in patterns], float)  # pattern, voter, vote
     count = np.array([n for _, _, n in patterns], float)
-    hot = np.eye(3)[votes]  # pattern, voter, vote
-    priors = np.full(len(groups), prior)
-    table = start
+    priors, total = np.full(len(groups), prior), np.bincount(group, count, len(groups))
+    sign = np.array([1, -1])
+    votes = np.einsum("p,pvk->vk", count, cast)
     for _ in range(rounds):
-        odds = np.log(priors / (1 - priors))[group] + np.einsum("pvk,vk->p", hot, np.log(table[0]) - np.log(table[1]))
+        odds = np.log(priors / (1 - priors))[group] + np.einsum("pvk,vk->p", cast, np.log(right / (1 - right)) * sign)
         good = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
-        new = np.empty_like(table)
-        for c, w in ((0, count * good), (1, count * (1 - good))):
-            # Smoothing towards the start keeps a voter's direction where there is little to learn from.
-            new[c] = np.einsum("p,pvk->vk", w, hot) + smooth * start[c] * voters
-            new[c] /= new[c].sum(1, keepdims=True)
-        mass = np.bincount(group, count * good, len(groups)), np.bincount(group, count, len(groups))
-        priors = (mass[0] + smooth * prior) / (mass[1] + smooth)
-        moved = np.abs(new - table).max()
-        table = new
+        agree = np.stack([np.einsum("p,pv->v", count * good, cast[:, :, 0]),
+                          np.einsum("p,pv->v", count * (1 - good), cast[:, :, 1])], 1)
+        new = np.clip((agree + smooth * trust) / (votes + smooth), 0.02, 0.9999)
+        priors = np.clip((np.bincount(group, count * good, len(groups)) + smooth * prior) / (total + smooth), 1e-4, 1 - 1e-4)
+        moved = np.abs(new - right).max()
+        right = new
         if moved < 1e-7:
             break
-    return Reliability(dict(zip(groups, priors.tolist())), table)
+    return Reliability(dict(zip(groups, priors.tolist())), right)
