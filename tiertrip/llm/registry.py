@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, hilbert, langid, mixing, quality_rules, simhash
+from . import decontaminate, hilbert, langid, mixing, pii, quality_rules, simhash
 from .common import id_remainder
 
 
@@ -17,6 +17,11 @@ def op5_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op1_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    return found.withColumn("spans", pii.as_text("found")).drop("found")
+
+
 def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert.shard(_table(spark, sf_dir, "documents"), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -43,7 +48,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(_table(spark, sf_dir, "documents")).drop("copies")
 
 
-QUERIES = {"op2_hilbert_shards": op2_hilbert_shards, "op10_source_mix": op10_source_mix,
+QUERIES = {"op1_weak_pii": op1_weak_pii, "op2_hilbert_shards": op2_hilbert_shards, "op10_source_mix": op10_source_mix,
            "op6_rank_order_profiles": op6_rank_order_profiles,
            "op8_minhash_containment": op8_minhash_containment,
            "op3_rule_votes": op3_rule_votes,
