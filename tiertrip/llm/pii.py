@@ -155,7 +155,7 @@ def _votes(text: str, kind: str, a: int, b: int) -> str:
         known = NO if parts and parts[0] in ("0", "127", "255") else ABSTAIN if ":" in span else YES
     elif kind == "card":
         structure = YES if luhn(digits) else NO
-        known = YES if re.match(r"4|5[1-5]|2[2-7]|3[47]|6011|65", digits) else NO
+        known = YES if re.match(r"4|5[1-5]|22(?:2[1-9]|[3-9])|2[3-6]|27(?:[01]|20)|3[47]|6011|65", digits) else NO
     else:
         structure = YES if 10 <= len(digits) <= 15 else ABSTAIN if len(digits) >= 8 else NO
         code = any(digits[:n] in _CALLING for n in (1, 2))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, hilbert, langid, mixing, pii, quality_rules, simhash
+from . import decontaminate, hilbert, langid, mixing, pii, quality_rules, simhash, toxicity
 from .common import id_remainder
 
 
@@ -44,6 +44,14 @@ def op3_rule_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op9_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, train=id_remainder(F.col("doc_id"), 4) != 2)
+    out = docs.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"),
+                      toxicity.score(F.col("text"), model).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(_table(spark, sf_dir, "documents")).drop("copies")
 
@@ -52,5 +60,6 @@ QUERIES = {"op1_weak_pii": op1_weak_pii, "op2_hilbert_shards": op2_hilbert_shard
            "op6_rank_order_profiles": op6_rank_order_profiles,
            "op8_minhash_containment": op8_minhash_containment,
            "op3_rule_votes": op3_rule_votes,
+           "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
            "op5_simhash_pigeonring": op5_simhash_pigeonring}
 ORACLE: dict[str, str] = {"op8_minhash_containment": decontaminate.oracle(), "op10_source_mix": mixing.oracle()}
