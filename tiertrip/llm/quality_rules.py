@@ -24,19 +24,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from . import weak_labels
 from .common import col, stash
-from .textarrays import by_bytes, joined, scramble, words
-
-_BYTE = np.arange(256)
-_SPACE = np.isin(_BYTE, [0x20, 9, 10, 11, 12, 13])
-_IN_WORD = ~_SPACE
-_LINE = _BYTE != 10
-_SYMBOL = np.isin(_BYTE, list(b"#*$%&|<>"))
-_STARTS = (_BYTE & 0xC0) != 0x80  # not a continuation byte: one per code point
-_UPPER = (_BYTE >= 65) & (_BYTE <= 90)
-_LETTER = _UPPER | ((_BYTE >= 97) & (_BYTE <= 122)) | (_BYTE >= 0xC0)
-_LETTER_BYTE = _LETTER | (_BYTE >= 0x80)
-_CLOSING = np.isin(_BYTE, list(b".,;:!?"))
-_MARK = np.isin(_BYTE, list(b"!?"))
+from .textarrays import (CLOSING, CODE_POINT, IN_LINE, IN_WORD, LETTER, LETTER_BYTE, MARK, SYMBOL, UPPER, by_bytes,
+                         joined, scramble, words)
 
 #: (statistic, vote, from, to): the vote is cast where from <= statistic < to.
 _TOP = float("inf")
@@ -77,14 +66,14 @@ def statistics(texts: list[str | None]) -> dict[str, np.ndarray]:
     """Counts and ratios of each text, as arrays."""
     data, offsets = joined(texts)
     n = len(texts)
-    starts, ends, hashes = words(data, _IN_WORD[data])
+    starts, ends, hashes = words(data, IN_WORD[data])
     owner = np.searchsorted(offsets, starts, "right") - 1
     n_words = np.bincount(owner, minlength=n)
-    out = {"n_words": n_words, "word_chars": _per_text((_STARTS & _IN_WORD)[data], offsets),
-           "n_symbols": _per_text(_SYMBOL[data], offsets)}
+    out = {"n_words": n_words, "word_chars": _per_text((CODE_POINT & IN_WORD)[data], offsets),
+           "n_symbols": _per_text(SYMBOL[data], offsets)}
 
-    ls, le, lh = words(data, _LINE[data])
-    filled = np.concatenate(([0], np.cumsum(_IN_WORD[data])))
+    ls, le, lh = words(data, IN_LINE[data])
+    filled = np.concatenate(([0], np.cumsum(IN_WORD[data])))
     full = filled[le] > filled[ls]
     lowner = np.searchsorted(offsets, ls[full], "right") - 1
     _, lead = _counted(lh[full], lowner)
@@ -104,22 +93,22 @@ def statistics(texts: list[str | None]) -> dict[str, np.ndarray]:
 
     _, lead = _counted(hashes, owner)
     distinct = np.bincount(owner, lead, n)
-    letters = np.concatenate(([0], np.cumsum(_LETTER[data])))
+    letters = np.concatenate(([0], np.cumsum(LETTER[data])))
     bare = np.bincount(owner, letters[ends] == letters[starts], n)
-    other = np.concatenate(([0], np.cumsum(~_LETTER_BYTE[data])))
+    other = np.concatenate(([0], np.cumsum(~LETTER_BYTE[data])))
     odd = other[ends] - other[starts]
-    plain = np.bincount(owner, (odd == 0) | ((odd == 1) & _CLOSING[data[ends - 1]] & (ends - starts > 1)), n)
+    plain = np.bincount(owner, (odd == 0) | ((odd == 1) & CLOSING[data[ends - 1]] & (ends - starts > 1)), n)
     change = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))) if len(hashes) else []
     heads = np.flatnonzero(change)
     longest = np.zeros(n, np.int64)
     np.maximum.at(longest, owner[heads], np.diff(np.append(heads, len(hashes))))
     with np.errstate(divide="ignore", invalid="ignore"):
         w = n_words.astype(float)
-        n_letters = _per_text(_LETTER[data], offsets)
+        n_letters = _per_text(LETTER[data], offsets)
         out |= {"symbols": out["n_symbols"] / w, "repeats": out["n_repeat_words"] / w,
                 "dup_lines": np.where(n_lines >= 3, out["n_dup_lines"] / n_lines, np.nan),
-                "capitals": _per_text(_UPPER[data], offsets) / n_letters,
-                "marks": _per_text(_MARK[data], offsets) / w, "bare": bare / w, "plain": plain / w,
+                "capitals": _per_text(UPPER[data], offsets) / n_letters,
+                "marks": _per_text(MARK[data], offsets) / w, "bare": bare / w, "plain": plain / w,
                 "variety": np.where(w >= 50, distinct / np.sqrt(2 * w), np.nan),
                 "letters": n_letters / out["word_chars"], "length": np.abs(out["word_chars"] / w - 6),
                 "run": np.where(w >= 50, longest / w, np.nan)}

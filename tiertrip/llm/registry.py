@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, hilbert, langid, mixing, pii, quality_rules, simhash, toxicity
+from . import decontaminate, hilbert, langid, mixing, pii, quality_mil, quality_rules, simhash, toxicity
 from .common import id_remainder
 
 
@@ -28,6 +28,14 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    network = quality_mil.fit(docs, labels, train=id_remainder(F.col("doc_id"), 3) != 1)
+    out = docs.select("doc_id", (id_remainder(F.col("doc_id"), 3) == 1).alias("held_out"),
+                      quality_mil.score(F.col("text"), network).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op6_rank_order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = id_remainder(F.col("doc_id"), 4) == 2
@@ -61,5 +69,6 @@ QUERIES = {"op1_weak_pii": op1_weak_pii, "op2_hilbert_shards": op2_hilbert_shard
            "op8_minhash_containment": op8_minhash_containment,
            "op3_rule_votes": op3_rule_votes,
            "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
+           "op4_attention_mil": op4_attention_mil,
            "op5_simhash_pigeonring": op5_simhash_pigeonring}
 ORACLE: dict[str, str] = {"op8_minhash_containment": decontaminate.oracle(), "op10_source_mix": mixing.oracle()}

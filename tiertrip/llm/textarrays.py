@@ -12,6 +12,20 @@ _P_INV = pow(_P, -1, 1 << 64)
 _PIECE = 1 << 20
 
 
+_BYTE = np.arange(256)
+SPACE = np.isin(_BYTE, [0x20, 9, 10, 11, 12, 13])
+IN_WORD = ~SPACE
+IN_LINE = _BYTE != 10
+SYMBOL = np.isin(_BYTE, list(b"#*$%&|<>"))
+CODE_POINT = (_BYTE & 0xC0) != 0x80  # the first byte of a code point
+UPPER = (_BYTE >= 65) & (_BYTE <= 90)
+LETTER = UPPER | ((_BYTE >= 97) & (_BYTE <= 122)) | (_BYTE >= 0xC0)  # one byte for each letter
+LETTER_BYTE = LETTER | (_BYTE >= 0x80)
+DIGIT = (_BYTE >= 48) & (_BYTE <= 57)
+CLOSING = np.isin(_BYTE, list(b".,;:!?"))
+MARK = np.isin(_BYTE, list(b"!?"))
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.empty(n, np.uint64)
     out[0] = 1

@@ -226,11 +226,11 @@ def _apart(docs: list[list[str]], labels: np.ndarray) -> list[int]:
 
 
 def fit_lexicon(docs: list[list[str]], labels: np.ndarray, min_docs: int = 3, precision: float = 0.6,
-                sure_docs: int = 10, sure: float = 0.9) -> tuple[dict[str, float], float]:
+                chance: float = 0.01, sure: float = 0.9) -> tuple[dict[str, float], float]:
     """Sequential covering: the feature that best explains the toxic documents not yet explained is
     taken, until none is left that is in ``min_docs`` of them and right with ``precision``. So words
-    that merely stand beside a toxic one are not learned. Features in ``sure_docs`` toxic documents
-    and right with ``sure`` are learned besides, since chance company is never that steady. Near
+    that merely stand beside a toxic one are not learned. Features that are right with ``sure``,
+    in so many toxic documents that no feature is expected there by chance (with ``chance``), are learned besides. Near
     copies count about once. Labels are 0 and 1."""
     if not len(labels):
         return {}, 0.0
@@ -263,7 +263,8 @@ def fit_lexicon(docs: list[list[str]], labels: np.ndarray, min_docs: int = 3, pr
         lexicon[str(names[f])] = float(whole[f] + base) / float(whole[f] + against[f] + 1)
         open_doc[row[index == f]] = False
         usable[f] = False
-    for f in np.flatnonzero((whole >= sure_docs) & (whole >= sure * (whole + against + 1))):
+    enough = max(min_docs, int(np.ceil(np.log(chance / len(at)) / np.log(base))))
+    for f in np.flatnonzero((whole >= enough) & (whole >= sure * (whole + against + 1))):
         lexicon.setdefault(str(names[f]), float(whole[f] + base) / float(whole[f] + against[f] + 1))
     unexplained = open_doc.sum() / max(1, (labels == 0).sum() + open_doc.sum())
     return lexicon, float(unexplained)
