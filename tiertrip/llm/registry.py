@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, hilbert, langid, mixing, pii, quality_mil, quality_rules, simhash, toxicity
+from . import decontaminate, hilbert, langid, mixing, pii, quality_mil, quality_rules, simhash, suffix_dedup, toxicity
 from .common import id_remainder
 
 
@@ -44,6 +44,10 @@ def op6_rank_order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op7_deep_shallow_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -70,5 +74,6 @@ QUERIES = {"op1_weak_pii": op1_weak_pii, "op2_hilbert_shards": op2_hilbert_shard
            "op3_rule_votes": op3_rule_votes,
            "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
            "op4_attention_mil": op4_attention_mil,
+           "op7_deep_shallow_dedup": op7_deep_shallow_dedup,
            "op5_simhash_pigeonring": op5_simhash_pigeonring}
 ORACLE: dict[str, str] = {"op8_minhash_containment": decontaminate.oracle(), "op10_source_mix": mixing.oracle()}
