@@ -64,6 +64,7 @@ _OTHER = re.compile(r"(?:\b(?:version|v|section|chapter|isbn|issn|order|invoice|
                     r"|password|license|commit)\b[ :=#.\"'-]{0,4}|[#$€£=])$", re.I)
 _DOMAINS = frozenset("com org net edu gov mil int info biz io ai dev app uk de fr es it nl eu ch at be pt pl se no dk "
                      "fi ie us ca mx br ar cl co au nz jp kr cn in ru ua tr za".split())
+_ISSUER = re.compile(r"4|5[1-5]|22(?:2[1-9]|[3-9])|2[3-6]|27(?:[01]|20)|3[47]|6011|65")
 #: Calling codes of one and two digits; the rest have three.
 _CALLING = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 "
                      "65 66 81 82 84 86 90 91 92 93 94 95 98".split())
@@ -152,10 +153,10 @@ def _votes(text: str, kind: str, a: int, b: int) -> str:
     elif kind == "ip":
         parts = span.split(".") if "." in span else []
         structure = NO if len(parts) == 4 and all(len(p) == 1 for p in parts) else YES
-        known = NO if parts and parts[0] in ("0", "127", "255") else ABSTAIN if ":" in span else YES
+        known = NO if parts and parts[0] in ("0", "127", "255") else ABSTAIN
     elif kind == "card":
         structure = YES if luhn(digits) else NO
-        known = YES if re.match(r"4|5[1-5]|22(?:2[1-9]|[3-9])|2[3-6]|27(?:[01]|20)|3[47]|6011|65", digits) else NO
+        known = ABSTAIN if _ISSUER.match(digits) else NO  # one number in three has an issuer's prefix by chance
     else:
         structure = YES if 10 <= len(digits) <= 15 else ABSTAIN if len(digits) >= 8 else NO
         code = any(digits[:n] in _CALLING for n in (1, 2))
@@ -210,13 +211,15 @@ class SpanClassifier:
         table: dict[tuple, int] = {}
         for k, p, n in patterns:
             table[k, p[:voters]] = table.get((k, p[:voters]), 0) + n
-        self.reliability = weak_labels.fit([(k, v, n) for (k, v), n in table.items()], voters, prior=0.5)
-        x = np.array([self._features(k, p) for k, p, _ in patterns]).reshape(len(patterns), -1)
+        self.reliability = weak_labels.fit([(k, v, n) for (k, v), n in table.items()], voters, prior=0.5, learn_prior=False)
+        self.weights = np.zeros(len(self._features(0, "------0")))
+        if not patterns:
+            return
+        x = np.array([self._features(k, p) for k, p, _ in patterns])
         y = np.array([self.reliability.posterior(k, p[:voters]) for k, p, _ in patterns])
         w = np.array([n for _, _, n in patterns], float)
-        w = w / w.sum() if len(w) else w
-        self.weights = np.zeros(x.shape[1] if len(patterns) else 0)
-        for _ in range(rounds if len(patterns) else 0):  # damped Newton steps
+        w = w / w.sum()
+        for _ in range(rounds):  # damped Newton steps
             p = 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
             slope = x.T @ (w * (p - y)) + decay * self.weights
             curve = (x * (w * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ x + decay * np.eye(x.shape[1])

@@ -46,7 +46,7 @@ _SPELLED = re.compile(r"(?<![^\W_])[^\W\d_](?:([ .\-_*])[^\W_](?:\1[^\W_])+)(?![
 _PLAIN = re.compile(r"[^\W\d_]+")
 _SIGN = re.compile(rf"[{_SIGNS}]")
 #: A word with a look-alike before or between its letters; signs after a word are punctuation.
-_ODD = re.compile(rf"(?<![^\W_])(?:[^\W\d_]+[{_SIGNS}]|[{_SIGNS}]+[^\W\d_])(?:[{_SIGNS}]*[^\W\d_])*[{_SIGNS}]?")
+_ODD = re.compile(rf"(?<![^\W_])(?:[^\W\d_]+[{_SIGNS}]+[^\W\d_]|[{_SIGNS}]+[^\W\d_])(?:[{_SIGNS}]*[^\W\d_])*[{_SIGNS}]{{0,2}}")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1+")
 
 

@@ -33,9 +33,10 @@ class Reliability:
 
 
 def fit(patterns: list[tuple], voters: int, prior: float = 0.5, trust: float = 0.85, rounds: int = 200,
-        smooth: float = 2.0) -> Reliability:
+        smooth: float = 2.0, learn_prior: bool = True) -> Reliability:
     """``patterns`` of (group, votes, count). It starts from voters that are right with probability
-    ``trust``, which also fixes which class is called good; an empty table gives that start."""
+    ``trust``, which also fixes which class is called good; an empty table gives that start. With
+    ``learn_prior`` off the prior is a given class balance."""
     groups = sorted({g for g, _, _ in patterns}, key=str)
     right = np.full((voters, 2), trust)
     if not patterns:
@@ -53,7 +54,8 @@ def fit(patterns: list[tuple], voters: int, prior: float = 0.5, trust: float = 0
         agree = np.stack([np.einsum("p,pv->v", count * good, cast[:, :, 0]),
                           np.einsum("p,pv->v", count * (1 - good), cast[:, :, 1])], 1)
         new = np.clip((agree + smooth * trust) / (votes + smooth), 0.02, 0.9999)
-        priors = np.clip((np.bincount(group, count * good, len(groups)) + smooth * prior) / (total + smooth), 1e-4, 1 - 1e-4)
+        if learn_prior:
+            priors = np.clip((np.bincount(group, count * good, len(groups)) + smooth * prior) / (total + smooth), 1e-4, 1 - 1e-4)
         moved = np.abs(new - right).max()
         right = new
         if moved < 1e-7:
