@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 import __spark_entry__ as E
 from scripts.oracle_check import digest
 from tests.conftest import SF001
-from tiertrip.plans import saved
+from tiertrip.plans import registry, saved
 from tiertrip.plans.registry import BOROUGH, SPECIAL_ZONES
 
 
@@ -38,7 +38,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_against_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
