@@ -12,8 +12,9 @@ from tiertrip.functions.numeric import round_avg, round_sum
 
 
 def _micro(x):
-    if x is None or math.isnan(x) or abs(x) >= 1e12:
-        return None
+    """Millionths: below 10^12 rounded half up from the binary value, above it from the decimal text."""
+    if abs(x) >= 1e12:
+        return Fraction(repr(x)) * 10 ** 6
     a = abs(x) * 1e6
     m = math.floor(a + 0.5) if a < 2 ** 52 else int(a)
     return -m if x < 0 else m
@@ -21,7 +22,20 @@ def _micro(x):
 
 def _half_up(fr, scale=2):
     q = math.floor(abs(fr) * 10 ** scale + Fraction(1, 2))
-    return (-q if fr < 0 else q) / 10 ** scale
+    return float(Fraction(-q if fr < 0 else q, 10 ** scale))
+
+
+def _want(xs):
+    """(average, sum) of the values, as exact fractions; NaN and infinities as doubles add them."""
+    xs = [x for x in xs if x is not None]
+    odd = [x for x in xs if not math.isfinite(x)]
+    if odd:
+        return sum(odd), sum(odd)
+    us = [_micro(x) for x in xs]
+    return (_half_up(Fraction(sum(us), len(us) * 10 ** 6)), _half_up(Fraction(sum(us), 10 ** 6))) if us else (None, None)
+
+
+INF, NAN = float("inf"), float("nan")
 
 
 def test_round_avg_and_sum_are_exact(spark):
@@ -30,20 +44,27 @@ def test_round_avg_and_sum_are_exact(spark):
         lambda: round(rnd.uniform(-100, 500), 2),          # money
         lambda: rnd.randint(0, 500000) / 512,              # long binary fractions
         lambda: rnd.uniform(-1e9, 1e9),                    # large magnitudes
-        lambda: rnd.choice([None, float("nan"), float("inf"), 0.005, 0.015, -0.005, 2.675, 5e11, 2e12]),
+        lambda: rnd.choice([None, 0.005, 0.015, -0.005, 2.675, 5e11, 2e12, -1e12, 1e15, 3.5e17]),
         lambda: rnd.randint(-10 ** 6, 10 ** 6) / 1000 + 0.0005,  # ties at the 4th decimal
+        lambda: rnd.choice([None, 1.0, NAN, INF, -INF, 1e13]),
     ]
-    rows = [(g, makers[g % 5]()) for g in range(120) for _ in range(rnd.choice([1, 2, 3, 9, 60]))]
+    rows = [(g, makers[g % 6]()) for g in range(120) for _ in range(rnd.choice([1, 2, 3, 9, 60]))]
     got = {r.g: (r.a, r.s) for r in spark.createDataFrame(rows, "g int, x double").repartition(7)
            .groupBy("g").agg(round_avg("x").alias("a"), round_sum("x").alias("s")).collect()}
     groups = {}
     for g, x in rows:
         groups.setdefault(g, []).append(x)
     for g, xs in groups.items():
-        us = [u for u in map(_micro, xs) if u is not None]
-        want = ((_half_up(Fraction(sum(us), len(us) * 10 ** 6)), _half_up(Fraction(sum(us), 10 ** 6)))
-                if us else (None, None))
-        assert got[g] == want, (g, xs)
+        assert repr(got[g]) == repr(_want(xs)), (g, xs)
+
+
+def test_no_value_is_dropped(spark):
+    cases = [[1e12, 1.0], [2e12, 5.0], [1e15, 0.25, None], [-1e12, 1e12, 0.5], [NAN, 1.0], [INF, 1.0], [INF, -INF, 1.0],
+             [None], [999999999999.99, 1e12]]
+    rows = [(i, x) for i, xs in enumerate(cases) for x in xs]
+    for r in spark.createDataFrame(rows, "g int, x double").groupBy("g").agg(
+            round_avg("x").alias("a"), round_sum("x").alias("s")).collect():
+        assert repr((r.a, r.s)) == repr(_want(cases[r.g])), cases[r.g]
 
 
 def test_exact_sum_over_many_rows(spark):
@@ -64,13 +85,13 @@ def test_whole_seconds_match_spark_round(spark):
 def test_sql_text_equals_column_helpers(spark):
     from tiertrip.functions.numeric import round_avg_sql, round_sum_sql
     rnd = random.Random(5)
-    rows = [(g, rnd.choice([None, float("nan"), round(rnd.uniform(-50, 500), 2), rnd.randint(0, 9999) / 512, 3e12]))
+    rows = [(g, rnd.choice([None, NAN if g % 5 == 0 else 7e15, round(rnd.uniform(-50, 500), 2), rnd.randint(0, 9999) / 512, 3e12]))
             for g in range(40) for _ in range(rnd.randint(1, 30))]
     df = spark.createDataFrame(rows, "g int, x double")
     df.createOrReplaceTempView("numeric_case")
     by_col = df.groupBy("g").agg(round_avg("x").alias("a"), round_sum("x").alias("s"))
     by_sql = spark.sql(f"SELECT g, {round_avg_sql('x')} AS a, {round_sum_sql('x')} AS s FROM numeric_case GROUP BY g")
-    assert sorted(map(tuple, by_col.collect()), key=repr) == sorted(map(tuple, by_sql.collect()), key=repr)
+    assert sorted(map(repr, map(tuple, by_col.collect()))) == sorted(map(repr, map(tuple, by_sql.collect())))
 
 
 def test_fast_round_equals_spark_round(spark):

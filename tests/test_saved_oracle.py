@@ -27,7 +27,7 @@ def test_saved_sql_matches_dataframe(spark, lake):
 
 
 DUCK_TYPE = {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.DoubleType: "DOUBLE", T.StringType: "VARCHAR",
-             T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP"}
+             T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP", T.BooleanType: "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")

@@ -14,9 +14,13 @@ DECIMAL(38,0) once per group and rounded half up. A part sum stays exact up to 2
 rows per group; beyond that Spark's ANSI overflow check fails the query rather than return a
 wrong number.
 
-Departures from a plain double average: each value is first rounded half up to whole millionths
-of its binary value; NaN, +-Infinity and magnitudes of 10^12 or more are skipped (NULL), where a
-double average would turn NaN or infinite.
+Values of 10^12 or more in magnitude are rare and take an exact path of their own: they are summed as
+DECIMAL(38,6) (the cast runs for those rows alone) and added to the recombined total; a total past
+that type fails the query. A NaN or an infinity gives what a double sum or average gives. So every
+value that is not NULL counts.
+
+Departure from a plain double average: each value below 10^12 is first rounded half up to whole
+millionths of its binary value.
 """
 
 from __future__ import annotations
@@ -27,7 +31,9 @@ from pyspark.sql import functions as F
 MICRO = 1_000_000
 _BITS = 21
 _MASK = (1 << _BITS) - 1
-_WIDE = "decimal(38,0)"
+_WIDE, _VALUE = "decimal(38,0)", "decimal(38,6)"
+LIMIT = 1e12  # below it a value is summed in micro-units
+_OVERFLOW = "more values in a group than an exact sum can hold"
 
 
 def _c(c: Column | str) -> Column:
@@ -35,49 +41,54 @@ def _c(c: Column | str) -> Column:
 
 
 def micro_units(c: Column | str) -> Column:
-    """``x`` as a bigint of millionths, rounded half up (away from zero); NULL for NULL, NaN,
-    +-Infinity and ``|x| >= 10^12``. Below 2^52 the scaled value has a fractional part and
-    ``floor(a + 0.5)`` rounds it; at or above 2^52 it is already a whole number."""
+    """``x`` as a bigint of millionths, rounded half up (away from zero); NULL for NULL and for what
+    the wide path takes: NaN, +-Infinity and ``|x| >= 10^12``. Below 2^52 the scaled value has a
+    fractional part and ``floor(a + 0.5)`` rounds it; at or above 2^52 it is already a whole number."""
     x = _c(c)
     a = F.abs(x) * F.lit(float(MICRO))
     mag = F.when(a < F.lit(float(1 << 52)), F.floor(a + F.lit(0.5))).otherwise(a.cast("bigint"))
-    return F.when(F.abs(x) < F.lit(1e12), F.when(x < 0, -mag).otherwise(mag))
+    return F.when(F.abs(x) < F.lit(LIMIT), F.when(x < 0, -mag).otherwise(mag))
 
 
 def _exact_total(u: Column) -> Column:
-    """Exact ``sum(u)`` as DECIMAL(38,0): u = hi * 2^42 + mid * 2^21 + lo with lo, mid in
-    [0, 2^21), each part summed as a bigint."""
-    lo = F.sum(u.bitwiseAND(F.lit(_MASK)))
-    mid = F.sum(F.shiftright(u, _BITS).bitwiseAND(F.lit(_MASK)))
-    hi = F.sum(F.shiftright(u, 2 * _BITS))
-    return (hi.cast(_WIDE) * F.lit(1 << (2 * _BITS)).cast(_WIDE)
-            + mid.cast(_WIDE) * F.lit(1 << _BITS).cast(_WIDE) + lo.cast(_WIDE))
-
-
-def _rounded(total: Column, count: Column | None, scale: int) -> Column:
-    """``total / count`` (or ``total``) in micro-units, rounded half up to ``scale`` decimals of
-    the value, as a double. Each operand appears once, so the per-group expression stays small.
-
-    Spark's decimal division keeps 6 decimals of the micro-unit quotient (half up), and that is
-    rounded again to ``scale`` decimals of the value. The first rounding can only matter when a
-    group of more than 2 million rows has an average within 10^-12 of a tie, the same kind of
-    double rounding as Spark's own DECIMAL average."""
-    q = total if count is None else total / count.cast("decimal(20,0)")
+    """Exact ``sum(u)`` as DECIMAL(38,0), NULL when no value: u = hi * 2^42 + mid * 2^21 + lo with lo,
+    mid in [0, 2^21), each part summed as a bigint. An overflow of a part (not of ``hi``, which is
+    smaller) makes it NULL, with or without ANSI mode, and is raised."""
+    lo = F.try_sum(u.bitwiseAND(F.lit(_MASK)))
+    mid = F.try_sum(F.shiftright(u, _BITS).bitwiseAND(F.lit(_MASK)))
+    hi = F.try_sum(F.shiftright(u, 2 * _BITS))
+    total = (hi.cast(_WIDE) * F.lit(1 << (2 * _BITS)).cast(_WIDE)
+             + mid.cast(_WIDE) * F.lit(1 << _BITS).cast(_WIDE) + lo.cast(_WIDE))
+    return F.when(hi.isNotNull() & (lo + mid).isNull(), F.raise_error(F.lit(_OVERFLOW)).cast(_WIDE)).otherwise(total)
+
+
+def _rounded(x: Column, scale: int, average: bool) -> Column:
+    """The sum or average of ``x``, rounded half up to ``scale`` decimals, as a double; NULL when no value.
+
+    Spark's decimal division keeps 6 decimals of the quotient (half up), and that is rounded again
+    to ``scale`` decimals of the value. The first rounding can only matter when a group of more than
+    2 million rows has an average within 10^-12 of a tie, the same kind of double rounding as
+    Spark's own DECIMAL average."""
+    total, n = _exact_total(micro_units(x)), F.count(x)
+    finite = F.abs(x) < F.lit(float("inf"))
+    wide = F.sum(F.when(finite & (F.abs(x) >= F.lit(LIMIT)), x.cast(_VALUE)))
+    odd = F.sum(F.when(~finite, x))  # NaN is not below infinity: Spark orders it above all numbers
+    q = total / n.cast("decimal(20,0)") if average else total
     units = F.round(q, scale - 6)  # a whole multiple of 10^(6-scale) micro-units
-    return (units / F.lit(MICRO).cast("decimal(7,0)")).cast("double")
+    narrow = (units / F.lit(MICRO).cast("decimal(7,0)")).cast("double")
+    both = F.coalesce((total / F.lit(MICRO).cast("decimal(7,0)")).cast(_VALUE), F.lit(0).cast(_VALUE)) + wide
+    both = F.round(both / n.cast("decimal(20,0)") if average else both, scale).cast("double")
+    return F.when(odd.isNotNull(), odd).when(wide.isNotNull(), both).otherwise(narrow)
 
 
 def round_avg(c: Column | str, scale: int = 2) -> Column:
     """``round(avg(c), scale)`` computed exactly; NULLs skipped; double result."""
-    u = micro_units(c)
-    n = F.count(u)
-    return F.when(n > 0, _rounded(_exact_total(u), n, scale))
+    return _rounded(_c(c), scale, average=True)
 
 
 def round_sum(c: Column | str, scale: int = 2) -> Column:
     """``round(sum(c), scale)`` computed exactly; NULL when no value; double result."""
-    u = micro_units(c)
-    return F.when(F.count(u) > 0, _rounded(_exact_total(u), None, scale))
+    return _rounded(_c(c), scale, average=False)
 
 
 def micro_units_sql(x: str) -> str:
@@ -89,11 +100,19 @@ def micro_units_sql(x: str) -> str:
 
 def _rounded_sql(x: str, scale: int, average: bool) -> str:
     u = micro_units_sql(x)
-    total = (f"(CAST(sum(shiftright({u}, {2 * _BITS})) AS DECIMAL(38,0)) * CAST({1 << (2 * _BITS)} AS DECIMAL(38,0))"
-             f" + CAST(sum(shiftright({u}, {_BITS}) & {_MASK}) AS DECIMAL(38,0)) * CAST({1 << _BITS} AS DECIMAL(38,0))"
-             f" + CAST(sum({u} & {_MASK}) AS DECIMAL(38,0)))")
-    q = f"{total} / CAST(count({u}) AS DECIMAL(20,0))" if average else total
-    return (f"CASE WHEN count({u}) > 0 THEN CAST(round({q}, {scale - 6}) / CAST({MICRO} AS DECIMAL(7,0)) AS DOUBLE) END")
+    hi, mid, lo = (f"try_sum({p})" for p in (f"shiftright({u}, {2 * _BITS})", f"shiftright({u}, {_BITS}) & {_MASK}",
+                                             f"{u} & {_MASK}"))
+    total = (f"(CASE WHEN {hi} IS NOT NULL AND {lo} + {mid} IS NULL THEN CAST(raise_error('{_OVERFLOW}') AS {_WIDE})"
+             f" ELSE CAST({hi} AS {_WIDE}) * CAST({1 << (2 * _BITS)} AS {_WIDE})"
+             f" + CAST({mid} AS {_WIDE}) * CAST({1 << _BITS} AS {_WIDE}) + CAST({lo} AS {_WIDE}) END)")
+    finite, n = f"abs({x}) < CAST('Infinity' AS DOUBLE)", f"CAST(count({x}) AS DECIMAL(20,0))"
+    wide = f"sum(CASE WHEN {finite} AND abs({x}) >= 1.0E12 THEN CAST({x} AS {_VALUE}) END)"
+    odd = f"sum(CASE WHEN NOT {finite} THEN {x} END)"
+    part = f" / {n}" if average else ""
+    both = f"(coalesce(CAST({total} / CAST({MICRO} AS DECIMAL(7,0)) AS {_VALUE}), CAST(0 AS {_VALUE})) + {wide})"
+    return (f"CASE WHEN {odd} IS NOT NULL THEN {odd}"
+            f" WHEN {wide} IS NOT NULL THEN CAST(round({both}{part}, {scale}) AS DOUBLE)"
+            f" ELSE CAST(round({total}{part}, {scale - 6}) / CAST({MICRO} AS DECIMAL(7,0)) AS DOUBLE) END")
 
 
 def round_avg_sql(x: str, scale: int = 2) -> str:

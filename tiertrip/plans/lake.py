@@ -39,6 +39,7 @@ class TripLake:
         lake = cls._cache.get(key)
         if lake is None or lake.spark is not spark:
             lake = cls(spark, fixtures.bronze_trips_path(spark, sf_dir), fixtures.zones_csv_path(spark, sf_dir), **kw)
+            lake.sf_dir = sf_dir
             cls._cache[key] = lake
         return lake
 

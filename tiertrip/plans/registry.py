@@ -11,6 +11,7 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tiertrip.checks import oracle as o
 from tiertrip.checks.oracle import avg2, pct, r, sum2, with_
@@ -18,6 +19,7 @@ from tiertrip.operators import derive as dv
 from tiertrip.operators import enrich as en
 from tiertrip.operators import quality as qu
 from tiertrip.operators import reports as rp
+from tiertrip.functions.numeric import round_sum
 from tiertrip.operators import zones as zn
 from tiertrip.plans import medallion as md
 from tiertrip.plans import saved
@@ -26,7 +28,7 @@ from tiertrip.session import scratch_path
 from tiertrip.sinks import landing as ld
 from tiertrip.sinks.writers import write_partitioned
 from tiertrip.sources import months as mo
-from tiertrip.sources import readers
+from tiertrip.sources import fixtures, readers
 
 # Fixture parameters: the fixture's own borough and zone names stand in for the real places.
 BOROUGH = "ASIA"
@@ -254,6 +256,23 @@ def route_summary(lake):
     return lake.routes()
 
 
+def _wide_price(k: str) -> str:
+    return f"CAST(CAST(l_extendedprice * 1e9::DOUBLE AS VARCHAR) AS DECIMAL(38,6)){k}"
+
+
+@query("wide_value_totals", f"""SELECT l_returnflag, l_linestatus, count(*) AS lines,
+       CAST(round(CAST(sum({_wide_price('')}) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_scaled_price,
+       CAST(round(CAST(sum({_wide_price('')}) AS DECIMAL(38,6)), 2) AS DOUBLE) / count(*) > 1e12 AS above_limit
+FROM lineitem GROUP BY 1, 2""")
+def wide_value_totals(lake):
+    """SCL-1 on values past 10^12: the exact sum of prices scaled by 10^9, none dropped."""
+    lines = fixtures.read_table(lake.spark, lake.sf_dir, "lineitem")
+    total = round_sum(F.col("l_extendedprice") * F.lit(1e9))
+    return lines.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("lines"), total.alias("total_scaled_price"),
+        (total / F.count(F.lit(1)) > 1e12).alias("above_limit"))
+
+
 # ---------------------------------------------------------------- reports
 @query("stage_funnel", with_(S, f"""SELECT raw_rows, provider_rows,
        {pct('provider_rows', 'raw_rows', 1)} AS provider_share_pct,
