@@ -31,10 +31,15 @@ def test_lookups_are_broadcast(lake):
     assert plan.count("BroadcastHashJoin LeftOuter BuildRight") == 2 and "SortMergeJoin" not in plan
 
 
-def test_large_dimension_is_not_hinted(spark):
+def test_dimension_is_broadcast_by_measured_size_alone(spark, lake):
     z = zones(spark, [(1, "A", "a", "x"), (2, "B", "b", "y")])
-    hinted = en.check_dimension(z, max_rows=1)
-    assert "broadcast" not in hinted._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in en.check_dimension(z)._jdf.queryExecution().logical().toString().lower()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in plan_text(lake.curated().alias("without"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_rollup_counts_agree(lake):

@@ -8,16 +8,17 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
 from tests.conftest import SF001, plan_text, trips_df
 from tiertrip.operators import quality as q
+from tiertrip.plans import registry
 
-WRITES = {"roundtrip_curated", "land_months", "ingest_manifest", "validate_gold"}
+WRITES = {"roundtrip_curated", "land_months", "ingest_manifest", "validate_gold", "stream_land_months",
+          "dq_job_summary"}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - WRITES))
 def test_no_python_and_pruned_scans(spark, name):
-    plan = plan_text(E.queries()[name](spark, SF001))
+    plan = plan_text(registry.QUERIES[name](spark, SF001))
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|FlatMapGroupsInPandas|MapInPandas", plan)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     # every parquet scan names the columns it reads

@@ -74,6 +74,7 @@ def test_raw_to_curated_and_gold_jobs(spark, lake, tmp_path):
     plan = plan_text(back.filter(F.col("pickup_date") == "2024-02-01"))
     assert "PartitionFilters: [isnotnull(pickup_date" in plan
     out = md.GoldPaths(str(tmp_path / "d"), str(tmp_path / "h"), str(tmp_path / "r"))
+    assert (counts.date_partitions, counts.columns) == (back.select("pickup_date").distinct().count(), 36)
     for one_pass, persist in ((True, False), (False, False), (False, True)):
         report = md.curated_to_gold(spark, cur, out, one_pass=one_pass, persist=persist).collect()
         assert all(r.status == "OK" for r in report) and len(report) == 3
@@ -95,20 +96,99 @@ def test_zone_summary_job_writes_json(spark, lake, tmp_path):
     text = "".join(open(os.path.join(out, f)).read() for f in os.listdir(out) if f.startswith("part-"))
     doc = json.loads(text)
     assert doc["source"] == lake.zones_path and doc["total_zones"] == 25
+    assert doc["sample_records"][4]["service_zone"] is None  # NULL fields stay, as null
+    assert all(set(r) == {"LocationID", "Borough", "Zone", "service_zone"} for r in doc["sample_records"])
 
 
 def test_ingest_job_and_dry_run(spark, lake, tmp_path):
-    bronze = str(tmp_path / "bronze")
-    dry = md.ingest_job(spark, lake.bronze_path, bronze, "2024-08-15", 2, 4, 2, dry_run=True).collect()
+    bronze, doc = str(tmp_path / "bronze"), str(tmp_path / "doc")
+    dry = md.ingest_job(spark, lake.landing_path(), bronze, "2024-08-15", 2, 4, 2, dry_run=True).collect()
     assert [r.status for r in dry] == ["DRY_RUN", "DRY_RUN"] and not os.path.exists(bronze)
-    man_df = md.ingest_job(spark, lake.bronze_path, bronze, "2024-08-15", 2, 4, 2)
-    man = man_df.collect()
+    assert all(r.size_bytes > 0 for r in dry)
+    man_df = md.ingest_job(spark, lake.landing_path(), bronze, "2024-08-15", 2, 4, 2, zones_path=lake.zones_path,
+                           zones_target=str(tmp_path / "zones"), manifest_path=doc)
+    man = [r for r in man_df.collect() if r.file != "taxi_zone_lookup"]
     assert [r.file for r in man] == ["fhvhv_tripdata_2024-05.parquet", "fhvhv_tripdata_2024-06.parquet"]
     assert all(r.status == "SUCCESS" and r.size_bytes > 0 and r.size_mb >= 0 for r in man)
     landed = landing.read_landed(spark, bronze)
     assert landed.count() == sum(r.row_count for r in man)
     tot = landing.manifest_totals(man_df).first()
-    assert (tot.files_uploaded, tot.files_total) == (2, 2)
+    assert (tot.files_uploaded, tot.files_total) == (3, 3)
+    assert readers.scan_zones(spark, str(tmp_path / "zones")).count() == 25
+    written = json.loads("".join(open(os.path.join(doc, f)).read() for f in os.listdir(doc) if f.startswith("part-")))
+    assert (written["status"], written["dry_run"], written["files_uploaded"], written["errors"]) == ("SUCCESS", False, 3, [])
+    zone = next(f for f in written["files"] if f["file"] == "taxi_zone_lookup")
+    assert zone["size_kb"] > 0 and zone["error"] is None
+    # a later run that chooses one month reports that month alone, landed in one job
+    again = md.ingest_job(spark, lake.landing_path(), bronze, "2024-06-15", 2, 4, 1, isolate_months=False).collect()
+    assert [(r.file, r.status) for r in again] == [("fhvhv_tripdata_2024-04.parquet", "SUCCESS")]
+
+
+def test_ingest_keeps_every_row_of_a_file(spark, tmp_path):
+    land, bronze = str(tmp_path / "land"), str(tmp_path / "bronze")
+    t = dt.datetime(2024, 4, 3, 9, 0, 0)
+    rows = [dict(pickup_datetime=t), dict(pickup_datetime=None, trip_miles=1.0), dict(pickup_datetime=t.replace(year=2031))]
+    trips_df(spark, rows).withColumn("new_column", F.lit("x")).write.parquet(f"{land}/fhvhv_tripdata_2024-04.parquet")
+    trips_df(spark, rows[:1]).write.parquet(f"{land}/fhvhv_tripdata_2024-05.parquet")
+    trips_df(spark, rows[:1]).write.parquet(f"{land}/other_2024-03.parquet")
+    man = md.ingest_job(spark, land, bronze, "2024-06-15", 1, 14, 6).collect()
+    assert [(r.file[-15:-8], r.row_count) for r in man] == [("2024-04", 3), ("2024-05", 1)]
+    assert landing.read_landed(spark, bronze).filter("pickup_datetime IS NULL AND source_month = '2024-04'").count() == 1
+    # the new column of one month reaches the rejected rows
+    md.dq_check(spark, bronze, str(tmp_path / "rej"), str(tmp_path / "qs"))
+    rej = spark.read.parquet(str(tmp_path / "rej"))
+    assert rej.filter("new_column = 'x'").count() == 3 and rej.count() == 4
+
+
+def test_ingest_without_months(spark, tmp_path):
+    os.makedirs(tmp_path / "land")
+    with pytest.raises(md.NoMonthsError, match="no monthly file"):
+        md.ingest_job(spark, str(tmp_path / "land"), str(tmp_path / "b"), "2024-06-15")
+
+
+def test_landing_plan_has_no_shuffle(spark, lake):
+    files = [p for p, _ in md.mo.month_files(spark, lake.landing_path()).values()]
+    plan = plan_text(landing.with_source_month(readers.scan_trips(spark, files, merge_schema=True)))
+    assert "Exchange" not in plan and len(files) == 6
+    assert "Scan parquet" not in plan_text(md.mo.available_months(spark, lake.landing_path()))
+
+
+@pytest.mark.parametrize("damage", ["junk", "missing", "type"])
+def test_gold_validation_fails_on_columns(spark, lake, tmp_path, damage):
+    out = md.GoldPaths(str(tmp_path / "d"), str(tmp_path / "h"), str(tmp_path / "r"))
+    written = md.write_gold_one_pass(spark, lake.curated(), out)
+    assert {r.status for r in md.validate_gold(spark, out, written).collect()} == {"OK"}
+    good = spark.read.parquet(out.hourly)
+    bad = {"junk": spark.range(written["hourly"]).select(F.col("id").alias("junk")), "missing": good.drop("avg_fare"),
+           "type": good.withColumn("avg_fare", F.col("avg_fare").cast("string"))}[damage]
+    bad = spark.createDataFrame(bad.collect(), bad.schema)
+    bad.write.mode("overwrite").parquet(out.hourly)
+    status = {r.table: r.status for r in md.validate_gold(spark, out, written).collect()}
+    assert status == {"daily": "OK", "hourly": "MISMATCH", "routes": "OK"}
+
+
+def test_one_bad_row_does_not_end_a_job(spark, lake, tmp_path):
+    t = dt.datetime(2024, 4, 3, 9, 0, 0)
+    good = dict(hvfhs_license_num="HV0005", pickup_datetime=t, dropoff_datetime=t.replace(minute=20), PULocationID=1,
+                DOLocationID=2, trip_miles=3.0, base_passenger_fare=9.0, trip_time=1200, request_datetime=t)
+    rows = [good, good | {"trip_time": 2 ** 62}, good | {"PULocationID": 2 ** 31}, good | {"trip_time": -2 ** 63}]
+    bronze = str(tmp_path / "bronze")
+    trips_df(spark, rows).coalesce(1).write.parquet(bronze)
+    counts = md.raw_to_curated(spark, bronze, lake.zones_path, str(tmp_path / "cur"))
+    assert (counts.raw_rows, counts.dq_rows, counts.curated_rows) == (4, 2, 2)
+    f = rp.stage_funnel(readers.scan_trips(spark, bronze)).first()
+    assert (f.raw_rows, f.dq_rows, f.curated_rows) == (4, 2, 2)
+    back = readers.scan_curated(spark, str(tmp_path / "cur")).collect()
+    assert sorted((r.PULocationID, r.pickup_borough is None) for r in back if r.PULocationID) == [(1, False)]
+    summary = md.dq_check(spark, bronze, str(tmp_path / "rej"), str(tmp_path / "qs")).collect()
+    assert sum(r.record_count for r in summary) == 4
+
+
+def test_dq_job_reports(spark, lake, tmp_path):
+    out = md.dq_job(spark, lake.bronze_path, str(tmp_path / "rej"), str(tmp_path / "qs"))
+    assert out["totals"].collect() == rp.dq_totals(lake.tagged()).collect()
+    assert sum(r.trip_count for r in out["monthly_raw"].collect()) == lake.bronze().count()
+    assert set(out) == {"summary", "totals", "monthly", "providers", "monthly_raw"}
 
 
 def test_landing_stream_available_now(spark, tmp_path):
@@ -121,15 +201,32 @@ def test_landing_stream_available_now(spark, tmp_path):
     trips_df(spark, [dict(pickup_datetime=t.replace(month=2), trip_miles=1.0) for _ in range(5)]).coalesce(1) \
         .write.mode("append").parquet(src)
     assert run_landing_once(spark, src, dst, ck) == 5  # only the new file
+    for i in range(3):  # one batch per file: all are counted
+        trips_df(spark, [dict(pickup_datetime=t, trip_miles=1.0)] * 2).coalesce(1).write.mode("append").parquet(src)
+    assert run_landing_once(spark, src, dst, ck, max_files_per_trigger=1) == 6
     back = spark.read.parquet(dst)
-    assert back.count() == 25 and {r.source_month for r in back.select("source_month").distinct().collect()} == \
+    assert back.count() == 31 and {r.source_month for r in back.select("source_month").distinct().collect()} == \
         {"2024-01", "2024-02"}
 
 
 def test_funnel_recounted_when_map_stage_metrics_disagree(spark, lake, tmp_path, monkeypatch):
-    """Simulate a re-run map stage: the exact written count disagrees with the observed one."""
-    real = md.write_partitioned
-    monkeypatch.setattr(md, "write_partitioned", lambda *a, **k: real(*a, **k) + 1)
+    """Simulate a re-run map stage whose tasks hold neither curated nor rejected rows: the total alone is off."""
+    real = md.observed
+
+    class Doubled:
+        def __init__(self, obs):
+            self.obs = obs
+
+        @property
+        def get(self):
+            m = dict(self.obs.get)
+            return m | {k: m[k] + 7 for k in ("raw_rows", "total", "provider_rows", "good") if k in m}
+
+    def rerun(df, name, **metrics):
+        out, obs = real(df, name, **metrics)
+        return out, Doubled(obs)
+
+    monkeypatch.setattr(md, "observed", rerun)
     counts = md.raw_to_curated(spark, lake.bronze_path, lake.zones_path, str(tmp_path / "c"))
     f = rp.stage_funnel(lake.bronze()).first()
     assert (counts.raw_rows, counts.curated_rows) == (f.raw_rows, f.curated_rows)
@@ -199,7 +296,7 @@ def test_ingest_one_failed_month_does_not_stop_the_rest(spark, lake, tmp_path, m
         return real(df, target, col, **kw)
 
     monkeypatch.setattr(ld, "write_partitioned", flaky)
-    man = md.ingest_job(spark, lake.bronze_path, bronze, "2024-08-15", 2, 6, 3).collect()
+    man = md.ingest_job(spark, lake.landing_path(), bronze, "2024-08-15", 2, 6, 3).collect()
     status = {r.file: (r.status, r.error) for r in man}
     assert status["fhvhv_tripdata_2024-05.parquet"][0] == "FAILED"
     assert "simulated failure" in status["fhvhv_tripdata_2024-05.parquet"][1]

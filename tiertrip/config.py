@@ -14,6 +14,9 @@ PROVIDER_UBER = "HV0003"
 PASSED_REASON = "PASSED_ALL_RULES"
 STATUS_PASSED = "PASSED"
 STATUS_REJECTED = "REJECTED"
+STATUS_SUCCESS = "SUCCESS"
+STATUS_FAILED = "FAILED"
+STATUS_PARTIAL = "PARTIAL"
 MONTH_FILE_PREFIX = "fhvhv_tripdata_"
 MONTH_FILE_SUFFIX = ".parquet"
 # Tokens pandas.read_csv turns into NaN by default (its documented na_values list).

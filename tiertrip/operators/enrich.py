@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A zone dimension is a few hundred rows; anything up to this many rows is broadcast, anything
-# larger is left to Catalyst/AQE (sort-merge or shuffled hash join).
-BROADCAST_MAX_ROWS = 1_000_000
-
 ROLE_KEYS = {"pickup": "PULocationID", "dropoff": "DOLocationID"}
 
 
@@ -26,10 +22,11 @@ def validate_dimension(zones: DataFrame, key: str = "LocationID") -> int:
     return int(stats["n"])
 
 
-def check_dimension(zones: DataFrame, key: str = "LocationID", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Validate the lookup and return it with a broadcast hint only when its measured row count
-    is within ``max_rows``; larger dimensions are left to Catalyst/AQE (shuffle join)."""
-    return F.broadcast(zones) if validate_dimension(zones, key) <= max_rows else zones
+def check_dimension(zones: DataFrame, key: str = "LocationID") -> DataFrame:
+    """Validate the lookup and return it. No hint: Catalyst and AQE broadcast it while its measured
+    size is under ``spark.sql.autoBroadcastJoinThreshold``, and plan a shuffle join otherwise."""
+    validate_dimension(zones, key)
+    return zones
 
 
 def zones_as(zones: DataFrame, role: str) -> DataFrame:
@@ -43,9 +40,10 @@ def zones_as(zones: DataFrame, role: str) -> DataFrame:
 
 
 def enrich(trips: DataFrame, zones: DataFrame, checked: bool = False) -> DataFrame:
-    """Left-join both trip ends to the zone dimension; unmatched ids keep the trip with NULL names."""
+    """Left-join both trip ends to the zone dimension; unmatched ids keep the trip with NULL names, and
+    an id that is no int becomes NULL."""
     dim = zones if checked else check_dimension(zones)
     out = trips
     for role, key in ROLE_KEYS.items():
-        out = out.withColumn(key, F.col(key).cast("int")).join(zones_as(dim, role), on=key, how="left")
+        out = out.withColumn(key, F.col(key).try_cast("int")).join(zones_as(dim, role), on=key, how="left")
     return out

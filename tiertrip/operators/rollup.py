@@ -91,6 +91,12 @@ def gold_one_pass(curated: DataFrame) -> DataFrame:
     )
 
 
+def busy_routes(combined: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """:func:`gold_one_pass` without the routes under the trip limit."""
+    return combined.filter((F.col("gold_set") != F.lit(_gid(ROUTE_KEYS)))
+                           | (F.col("total_trips") >= F.lit(thresholds.min_route_trips)))
+
+
 def split_gold(combined: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> dict[str, DataFrame]:
     """The three gold tables out of :func:`gold_one_pass` (or its written copy)."""
     out = {}

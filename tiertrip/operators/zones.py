@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tiertrip.sinks.writers import json_document
+
 
 def zones_per(zones: DataFrame, key: str) -> DataFrame:
     """AGG-19/AGG-20: ``key, zone_count`` with NULL keys dropped, most zones first."""
@@ -76,8 +78,26 @@ def zone_summary(zones: DataFrame, source: str, generated_at: str, sample: int =
     return folded.select(F.lit(generated_at).alias("generated_at"), F.lit(source).alias("source"), *cols)
 
 
+def zone_summary_rows(summary: DataFrame) -> DataFrame:
+    """The summary document as flat rows ``section, key, value``; absent values are the text null."""
+    text = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+
+    def row(section: str, key, value):
+        return F.struct(F.lit(section).alias("section"), text(key).alias("key"), text(value).alias("value"))
+
+    def pairs(section: str):
+        return F.transform(F.map_entries(section), lambda e: row(section, e["key"], e["value"]))
+
+    top = F.col("borough_with_most_zones")
+    single = F.array(row("totals", F.lit("total_zones"), F.col("total_zones")),
+                     row("totals", F.lit("total_boroughs"), F.col("total_boroughs")),
+                     row("borough_with_most_zones", top["borough"], top["zone_count"]))
+    sample = F.transform("sample_records", lambda r: row("sample_records", r["LocationID"], F.concat_ws(
+        "|", text(r["Borough"]), text(r["Zone"]), text(r["service_zone"]))))
+    every = F.concat(single, pairs("zones_per_borough"), pairs("zones_per_service_zone"), sample)
+    return summary.select(F.explode(every).alias("r")).select("r.section", "r.key", "r.value")
+
+
 def zone_summary_json(summary: DataFrame) -> DataFrame:
-    """SNK-4 payload: the summary row as one JSON document string. NULL fields are written as
-    ``null`` (not dropped), so every sample record has the same keys, as the records of the
-    source job do."""
-    return summary.select(F.to_json(F.struct(*summary.columns), {"ignoreNullFields": "false"}).alias("json"))
+    """SNK-4 payload: the summary row as one JSON document string, as the sink writes it."""
+    return json_document(summary)

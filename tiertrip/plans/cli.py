@@ -1,7 +1,7 @@
 """Command line for the batch jobs over one lake root.
 
     python -m tiertrip raw-to-curated   --lake s3a://bucket/lake
-    python -m tiertrip curated-to-gold  --lake ... [--persist]
+    python -m tiertrip curated-to-gold  --lake ...
     python -m tiertrip dq-check         --lake ...
     python -m tiertrip zone-summary     --lake ... --generated-at 2024-07-01T00:00:00Z
     python -m tiertrip ingest           --lake ... --landing ... --as-of 2024-08-15 [--dry-run]
@@ -19,8 +19,11 @@ import argparse
 import json
 import sys
 
-from tiertrip.config import LakePaths
+from pyspark.sql import functions as F
+
+from tiertrip.config import STATUS_FAILED, LakePaths
 from tiertrip.plans import medallion as md
+from tiertrip.session import list_path
 from tiertrip.sinks import catalog
 
 
@@ -38,12 +41,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--lake", required=True, help="lake root (raw/, curated/, aggregated/, rejected/, processed/)")
     p.add_argument("--source", default="nyctlc")
     p.add_argument("--landing", help="landing folder of monthly trip files (ingest)")
+    p.add_argument("--zones-landing", help="zone CSV to land in the same run (ingest)")
     p.add_argument("--as-of", help="reference date for the month look-back (ingest)")
     p.add_argument("--start-offset", type=int, default=2)
     p.add_argument("--max-lookback", type=int, default=14)
     p.add_argument("--months", type=int, default=6)
     p.add_argument("--dry-run", action="store_true")
-    p.add_argument("--persist", action="store_true", help="persist silver columns for the three gold plans")
     p.add_argument("--generated-at", default="", help="timestamp recorded in the zone summary")
     p.add_argument("--name", choices=[f"q{i}" for i in range(1, 8)], help="saved query (saved-query)")
     p.add_argument("--borough", default="Manhattan", help="borough of saved query q2")
@@ -56,18 +59,26 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(out.__dict__))
     elif a.job == "curated-to-gold":
         gold = md.GoldPaths(lp.path("daily"), lp.path("hourly"), lp.path("routes"))
-        md.curated_to_gold(spark, lp.path("curated"), gold, persist=a.persist).show(truncate=False)
+        md.curated_to_gold(spark, lp.path("curated"), gold).show(truncate=False)
     elif a.job == "dq-check":
-        md.dq_check(spark, lp.path("trips_raw"), lp.path("rejected"), lp.path("quality_summary")).show(truncate=False)
+        for df in md.dq_job(spark, lp.path("trips_raw"), lp.path("rejected"), lp.path("quality_summary")).values():
+            df.show(truncate=False)
     elif a.job == "zone-summary":
         md.zone_summary_job(spark, lp.path("zones_raw"), lp.path("zone_summary"), a.generated_at)
     elif a.job == "ingest":
         if not (a.landing and a.as_of):
             p.error("ingest needs --landing and --as-of")
-        md.ingest_job(spark, a.landing, lp.path("trips_raw"), a.as_of, a.start_offset, a.max_lookback, a.months,
-                      base_url=a.landing, dry_run=a.dry_run).show(truncate=False)
+        manifest = md.ingest_job(spark, a.landing, lp.path("trips_raw"), a.as_of, a.start_offset, a.max_lookback,
+                                 a.months, base_url=a.landing, dry_run=a.dry_run, zones_path=a.zones_landing,
+                                 zones_target=lp.path("zones_raw"), manifest_path=lp.path("manifest"))
+        manifest.show(truncate=False)
+        return 1 if manifest.filter(F.col("status") == STATUS_FAILED).limit(1).count() else 0
     elif a.job == "register":
+        print(catalog.register_table(spark, f"{a.source}_raw", "taxi_zone_lookup", lp.path("zones_raw"),
+                                     csv_schema="LocationID INT, Borough STRING, Zone STRING, service_zone STRING"))
+        by_month = any("=" in path.rsplit("/", 1)[-1] for path, _, _ in list_path(spark, lp.path("trips_raw")))
         for db, table, key, part in [
+            (f"{a.source}_raw", "fhvhv_tripdata", "trips_raw", by_month),
             (f"{a.source}_curated", "fhvhv_trips_curated", "curated", True),
             (f"{a.source}_aggregated", "daily_borough_summary", "daily", True),
             (f"{a.source}_aggregated", "hourly_pattern_summary", "hourly", False),
@@ -77,8 +88,6 @@ def main(argv: list[str] | None = None) -> int:
         ]:
             print(catalog.register_table(spark, db, table, lp.path(key), partitioned=part))
     elif a.job == "report":
-        from pyspark.sql import functions as F
-
         from tiertrip import schemas
         from tiertrip.operators import reports as rp
         from tiertrip.sources import readers

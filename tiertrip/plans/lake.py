@@ -4,17 +4,14 @@
 folder. ``TripLake.from_testdata`` derives both from the driver's tables (written once per input,
 see :mod:`tiertrip.sources.fixtures`). Each layer's lazy plan is built once per lake and shared by
 the queries composed on it; each query still executes as one plan from the Parquet scan, so
-Catalyst prunes columns and pushes filters for that query. The only data kept in memory is the
-validated, size-checked zone dimension that feeds the broadcast lookups.
+Catalyst prunes columns and pushes filters for that query. No data is kept in memory.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tiertrip.config import DEFAULT_THRESHOLDS, PROVIDER_LYFT, Thresholds
 from tiertrip.operators import curate as cu
@@ -35,10 +32,12 @@ class TripLake:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "TripLake":
-        key = (id(spark), sf_dir, tuple(sorted(kw.items())))
+        # The fixture folders are named by the files they were made from, so changed input is a new lake.
+        bronze, zones = fixtures.bronze_trips_path(spark, sf_dir), fixtures.zones_csv_path(spark, sf_dir)
+        key = (id(spark), sf_dir, bronze, zones, tuple(sorted(kw.items())))
         lake = cls._cache.get(key)
         if lake is None or lake.spark is not spark:
-            lake = cls(spark, fixtures.bronze_trips_path(spark, sf_dir), fixtures.zones_csv_path(spark, sf_dir), **kw)
+            lake = cls(spark, bronze, zones, **kw)
             lake.sf_dir = sf_dir
             cls._cache[key] = lake
         return lake
@@ -51,6 +50,10 @@ class TripLake:
             memo[key] = build()
         return memo[key]
 
+    def landing_path(self) -> str:
+        """Folder of the monthly landing files (test data only; written on first use)."""
+        return fixtures.landing_path(self.spark, self.sf_dir)
+
     # bronze
     def bronze(self) -> DataFrame:
         return self._memo("bronze", lambda: readers.scan_trips(self.spark, self.bronze_path))
@@ -63,15 +66,8 @@ class TripLake:
 
     @cached_property
     def _lookup(self) -> DataFrame:
-        """The zone dimension, validated once per lake, with its size-checked broadcast hint.
-
-        The validated dimension is kept in executor memory (spilling to disk) so each query's
-        broadcast is built from it instead of re-parsing the CSV; a lost block is recomputed from
-        the CSV. Only dimensions that passed the size check are kept this way."""
-        zones = self.zones()
-        if en.validate_dimension(zones) > en.BROADCAST_MAX_ROWS:
-            return zones
-        return F.broadcast(zones.persist(StorageLevel.MEMORY_AND_DISK))
+        """The zone dimension, validated once per lake. Catalyst broadcasts it by its measured size."""
+        return en.check_dimension(self.zones())
 
     def lookup(self) -> DataFrame:
         return self._lookup

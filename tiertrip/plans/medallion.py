@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiertrip import schemas
-from tiertrip.config import DEFAULT_THRESHOLDS, PROVIDER_LYFT, STATUS_PASSED, Thresholds
+from tiertrip.config import (DEFAULT_THRESHOLDS, PASSED_REASON, PROVIDER_LYFT, STATUS_PASSED, STATUS_REJECTED,
+                             Thresholds)
 from tiertrip.operators import curate as cu
 from tiertrip.operators import derive as dv
 from tiertrip.operators import enrich as en
@@ -27,7 +28,7 @@ from tiertrip.operators import zones as zn
 from tiertrip.sinks import landing as ld
 from tiertrip.sinks.writers import observed, write_json_document, write_partitioned, write_table
 from tiertrip.sources import months as mo
-from tiertrip.session import scratch_path
+from tiertrip.session import list_path, remove_path, scratch_path
 from tiertrip.sources import readers
 
 
@@ -41,35 +42,50 @@ class FunnelCounts:
     provider_rows: int
     dq_rows: int
     curated_rows: int
+    date_partitions: int = 0  # as found on storage
+    columns: int = 0
+
+
+def read_back(spark: SparkSession, path: str, expected: T.StructType, written: int) -> tuple[DataFrame, int, str]:
+    """What lies at ``path``, read without a schema: (rows as a frame, their count, status). The status is OK
+    when the count, the column names and the column types are those expected. A table written with no
+    row may have no file to take columns from; then it has none and passes."""
+    if not written and not any(f.endswith(".parquet") for f, _, _ in list_path(spark, path, recursive=True)):
+        return spark.createDataFrame([], expected), 0, "OK"
+    back = spark.read.parquet(path)
+    n = back.count()
+    types = lambda schema: sorted((f.name, f.dataType.simpleString()) for f in schema.fields)
+    return back, n, "OK" if n == written and types(back.schema) == types(expected) else "MISMATCH"
 
 
 def raw_to_curated(spark: SparkSession, bronze_path: str, zones_path: str, curated_path: str,
                    provider: str = PROVIDER_LYFT, thresholds: Thresholds = DEFAULT_THRESHOLDS,
                    dynamic: bool = False, rebalance: bool = True) -> FunnelCounts:
-    """PIP-1 in one pass over the trips: the stage counts are observed during the write.
+    """PIP-1 in one pass over the trips: the stage counts are observed during the write, on the scan,
+    and rows are derived only after they have passed the quality filter. Silver is read back.
 
-    The stage counts are observed before the rebalance shuffle (a map stage); the written row
-    count after it (exactly once). If the two curated counts differ, a map stage was re-run after
-    an executor loss and its metrics were double-counted, so the funnel is recounted with the
-    one-pass aggregate instead (retry-safe, one more scan)."""
+    The observed counts are taken before the rebalance shuffle (a map stage); the curated count after
+    it (exactly once). If the observed total is not the row count in the files' footers, a map stage
+    was re-run after an executor loss and its metrics were double-counted, so the funnel is counted
+    again with the one-pass aggregate (retry-safe, one more scan)."""
     bronze = readers.scan_trips(spark, bronze_path)
     zones = en.check_dimension(readers.scan_zones(spark, zones_path))
     prov = F.col("hvfhs_license_num") == F.lit(provider)
     dq = prov & q.keep_expr(thresholds=thresholds)
-    cur = dq & dv.speed_ok(thresholds)
-    flagged, obs = observed(
-        dv.derive(bronze), "funnel",
-        raw_rows=F.count(F.lit(1)), provider_rows=F.count_if(prov), dq_rows=F.count_if(dq),
-        curated_rows=F.count_if(cur),
-    )
-    curated = cu.select_curated(en.enrich(flagged.filter(cur), zones, checked=True))
+    seen, obs = observed(bronze, "funnel", raw_rows=F.count(F.lit(1)), provider_rows=F.count_if(prov),
+                         dq_rows=F.count_if(dq))
+    passed = dv.speed_filter(dv.derive(seen.filter(dq)), thresholds)
+    curated = cu.select_curated(en.enrich(passed, zones, checked=True))
     written = write_partitioned(curated, curated_path, "pickup_date", dynamic=dynamic, rebalance=rebalance)
-    m = obs.get
-    if int(m["curated_rows"]) != written:
+    m = dict(obs.get) | {"curated_rows": written}
+    if int(m["raw_rows"]) != bronze.count():
         f = rp.stage_funnel(bronze, provider, thresholds).first()
-        m = {"raw_rows": f.raw_rows, "provider_rows": f.provider_rows, "dq_rows": f.dq_rows,
-             "curated_rows": f.curated_rows}
-    return FunnelCounts(int(m["raw_rows"]), int(m["provider_rows"]), int(m["dq_rows"]), int(m["curated_rows"]))
+        m = f.asDict()
+    back, found, status = read_back(spark, curated_path, schemas.CURATED, written)
+    if status != "OK" and not dynamic:  # dynamic: partitions of earlier runs stay
+        raise ValidationError(f"silver read-back mismatch: {found} rows of {written}, columns {back.dtypes}")
+    return FunnelCounts(*(int(m[k]) for k in ("raw_rows", "provider_rows", "dq_rows", "curated_rows")),
+                        date_partitions=back.select("pickup_date").distinct().count(), columns=len(back.columns))
 
 
 @dataclass
@@ -92,12 +108,13 @@ def build_gold(curated: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS)
 
 
 def write_gold(gold: dict[str, DataFrame], out: GoldPaths) -> dict[str, int]:
-    """Write the three gold tables; returns the row count each write observed (exactly once)."""
+    """Write the three gold tables; returns the row count each write observed (exactly once). AQE merges
+    the output tasks of the bounded hourly table (24 x 2 x boroughs x 2 rows) into one file."""
     return {
         # daily is one row per (date, borough): a few rows per date, so rebalancing by date is cheap
         "daily": write_partitioned(gold["daily"], out.daily, "pickup_date"),
-        "hourly": write_table(gold["hourly"], out.hourly, files=1),  # bounded: 24 x 2 x boroughs x 2 rows
-        "routes": write_table(gold["routes"], out.routes),
+        "hourly": write_table(gold["hourly"], out.hourly, rebalance=True),
+        "routes": write_table(gold["routes"], out.routes, rebalance=True),
     }
 
 
@@ -111,24 +128,26 @@ GOLD_STAGE = T.StructType(
 def write_gold_one_pass(spark: SparkSession, curated: DataFrame, out: GoldPaths,
                         thresholds: Thresholds = DEFAULT_THRESHOLDS) -> dict[str, int]:
     """One scan of ``curated`` -> combined GROUPING SETS result written under the shared folder
-    (a lineage cut) -> the three gold tables split from that copy."""
+    (a lineage cut), one folder per grouping set -> the three gold tables, each from its own folder.
+    Routes under the trip limit are dropped before the stage is written; the stage folder goes after use."""
     stage = scratch_path(spark, "stage", "gold", uuid.uuid4().hex)
-    write_table(ru.gold_one_pass(curated.select(*GOLD_COLUMNS)), stage)
-    staged = spark.read.schema(GOLD_STAGE).parquet(stage)
-    return write_gold(ru.split_gold(staged, thresholds), out)
+    combined = ru.busy_routes(ru.gold_one_pass(curated.select(*GOLD_COLUMNS)), thresholds)
+    try:
+        write_partitioned(combined, stage, "gold_set", rebalance=False)
+        staged = spark.read.schema(GOLD_STAGE).parquet(stage)
+        return write_gold(ru.split_gold(staged, thresholds), out)
+    finally:
+        remove_path(spark, stage)
 
 
 def validate_gold(spark: SparkSession, out: GoldPaths, written: dict[str, int]) -> DataFrame:
-    """RPT-7: read each table back and compare its row and column counts with what was written."""
+    """RPT-7: read each table back without a schema and compare its row count, column names and
+    column types with what was written."""
     rows = []
-    expect_cols = {"daily": len(schemas.DAILY.fields), "hourly": len(schemas.HOURLY.fields),
-                   "routes": len(schemas.ROUTE.fields)}
-    schema_of = {"daily": schemas.DAILY, "hourly": schemas.HOURLY, "routes": schemas.ROUTE}
-    for name, path in (("daily", out.daily), ("hourly", out.hourly), ("routes", out.routes)):
-        back = spark.read.schema(schema_of[name]).parquet(path)
-        n = back.count()
-        rows.append((name, int(written[name]), int(n), len(back.columns), expect_cols[name],
-                     "OK" if n == written[name] and len(back.columns) == expect_cols[name] else "MISMATCH"))
+    for name, path, schema in (("daily", out.daily, schemas.DAILY), ("hourly", out.hourly, schemas.HOURLY),
+                               ("routes", out.routes, schemas.ROUTE)):
+        back, n, status = read_back(spark, path, schema, int(written[name]))
+        rows.append((name, int(written[name]), int(n), len(back.columns), len(schema.fields), status))
     return spark.createDataFrame(rows, "table string, rows_written long, rows_read long, columns int, "
                                        "expected_columns int, status string")
 
@@ -163,11 +182,14 @@ def curated_to_gold(spark: SparkSession, curated_path: str, out: GoldPaths,
 
 def dq_check(spark: SparkSession, bronze_path: str, rejected_path: str, summary_path: str,
              thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """PIP-3: tag once; write the rejected rows partitioned by reason while observing the count of
-    every reason; the quality summary is built from those observed counts (a dozen numbers), so
-    the raw trips are read once. If the observed rejects disagree with the rows written (a map
-    stage re-run after executor loss), the counts are taken again with a retry-safe aggregate."""
-    tagged = q.tag(readers.scan_trips(spark, bronze_path), thresholds=thresholds)
+    """PIP-3: tag once; write the rejected rows (columns that only some months have included) partitioned
+    by reason while observing the count of every reason; the quality summary is built from those
+    observed counts (a dozen numbers), so the raw trips are read once. If the observed total is not the
+    row count in the files' footers, or the observed rejects are not the rows written (a map stage
+    re-run after an executor loss), the counts are taken again with a retry-safe aggregate. The
+    rejected table is read back."""
+    bronze = readers.scan_trips(spark, bronze_path, merge_schema=True)
+    tagged = q.tag(bronze, thresholds=thresholds)
     metrics = {"total": F.count(F.lit(1)), "good": F.count_if(F.col(q.REASON).isNull())}
     for i, name in enumerate(q.RULE_NAMES):
         metrics[f"r{i}"] = F.count_if(F.col(q.REASON) == F.lit(name))
@@ -176,17 +198,31 @@ def dq_check(spark: SparkSession, bronze_path: str, rejected_path: str, summary_
     m = obs.get
     per_reason = [(name, int(m[f"r{i}"])) for i, name in enumerate(q.RULE_NAMES)]
     good = int(m["good"])
-    if sum(c for _, c in per_reason) != written:
+    if int(m["total"]) != bronze.count() or sum(c for _, c in per_reason) != written:
         exact = {r[q.REASON]: r["record_count"] for r in rp.reason_counts(tagged).collect()}  # <= 12 rows
         good = int(exact.pop(None, 0))
         per_reason = [(name, int(exact.get(name, 0))) for name in q.RULE_NAMES]
+    _, found, status = read_back(spark, rejected_path, q.rejected(tagged).schema, written)
+    if status != "OK":
+        raise ValidationError(f"rejected read-back mismatch: {found} rows of {written}")
     counts = spark.createDataFrame([(None, good)] + [(n, c) for n, c in per_reason if c],
                                    "rejection_reason string, record_count long")
-    write_table(_summary_from_counts(counts), summary_path, files=1)
+    write_table(_summary_from_counts(counts), summary_path, rebalance=True)
     return spark.read.schema(schemas.QUALITY_SUMMARY).parquet(summary_path).orderBy(
         F.when(F.col("status") == STATUS_PASSED, 0).otherwise(1), F.col("record_count").desc(), q.REASON)
 
 
+def dq_job(spark: SparkSession, bronze_path: str, rejected_path: str, summary_path: str,
+           thresholds: Thresholds = DEFAULT_THRESHOLDS) -> dict[str, DataFrame]:
+    """PIP-3 with its reports: the written summary, totals, the quality of each month, and trips by month
+    and by provider before the rules."""
+    summary = dq_check(spark, bronze_path, rejected_path, summary_path, thresholds)
+    bronze = readers.scan_trips(spark, bronze_path)
+    tagged = q.tag(bronze, thresholds=thresholds)
+    return {"summary": summary, "totals": rp.dq_totals(tagged), "monthly": rp.monthly_dq(tagged),
+            "providers": rp.provider_breakdown(bronze), "monthly_raw": rp.monthly_counts(bronze, "pickup_datetime")}
+
+
 def _summary_from_counts(counts: DataFrame) -> DataFrame:
     """Quality summary from per-reason counts (``NULL`` reason = good rows)."""
     tot = F.sum("record_count").over(Window.partitionBy())  # one row per rule plus one
@@ -196,12 +232,12 @@ def _summary_from_counts(counts: DataFrame) -> DataFrame:
                           F.lit(0.0))
     is_good = F.col(q.REASON).isNull()
     return base.select(
-        F.coalesce(F.col(q.REASON), F.lit("PASSED_ALL_RULES")).alias(q.REASON),
+        F.coalesce(F.col(q.REASON), F.lit(PASSED_REASON)).alias(q.REASON),
         F.col("record_count"),
         F.when(is_good, F.round(F.lit(100.0) - rej_rate, 4))
          .otherwise(F.round(F.try_divide(F.col("record_count").cast("double"), F.col("total")) * 100.0, 4))
          .alias("pct_of_total"),
-        F.when(is_good, F.lit("PASSED")).otherwise(F.lit("REJECTED")).alias("status"),
+        F.when(is_good, F.lit(STATUS_PASSED)).otherwise(F.lit(STATUS_REJECTED)).alias("status"),
     )
 
 
@@ -212,31 +248,45 @@ def zone_summary_job(spark: SparkSession, zones_path: str, out_path: str, genera
     return summary
 
 
+class NoMonthsError(RuntimeError):
+    pass
+
+
 def ingest_job(spark: SparkSession, landing_path: str, bronze_path: str, as_of: str,
                start_offset: int = 2, max_lookback: int = 14, n: int = 6, base_url: str = "landing",
-               dry_run: bool = False, isolate_months: bool = True) -> DataFrame:
-    """PIP-5: choose the newest months present in the landing data, land them into bronze
-    (dynamic overwrite), and return the manifest (or a DRY_RUN manifest without writing).
+               dry_run: bool = False, isolate_months: bool = True, zones_path: str | None = None,
+               zones_target: str | None = None, manifest_path: str | None = None) -> DataFrame:
+    """PIP-5: choose the newest months by the file names in the landing folder, land their whole files
+    into bronze (dynamic overwrite), and return the manifest (or a DRY_RUN manifest without writing).
 
     ``isolate_months`` (default) lands month by month so that one failing month does not stop the
     others (it is reported FAILED with its error); otherwise all chosen months land in one atomic
-    job. The chosen-month list is at most ``n`` rows."""
-    landing = readers.scan_trips(spark, landing_path)
-    chosen = mo.latest_months(mo.available_months(landing), as_of, start_offset, max_lookback, n)
-    if dry_run:
-        return ld.dry_run_manifest(chosen, base_url, bronze_path)
-    if not isolate_months:
-        ld.land_months(landing, bronze_path, chosen)
-        return ld.ingest_manifest(ld.read_landed(spark, bronze_path), base_url, bronze_path)
+    job. The chosen-month list is at most ``n`` rows. With ``zones_path`` and ``zones_target`` the zone
+    table is landed too, and with ``manifest_path`` the result document is written."""
+    files = mo.month_files(spark, landing_path)
+    chosen = mo.latest_months(mo.available_months(spark, landing_path), as_of, start_offset, max_lookback, n)
     months = [r["month"] for r in chosen.collect()]  # bounded by n
-    errors = ld.land_each_month(landing, bronze_path, months)
-    ok = [m for m, e in errors.items() if e is None]
-    landed = ld.read_landed(spark, bronze_path).filter(F.col(ld.MONTH_COL).isin(ok))
-    manifest = ld.ingest_manifest(landed, base_url, bronze_path).withColumn("error", F.lit(None).cast("string"))
-    if len(ok) < len(months):
-        manifest = manifest.unionByName(ld.failed_manifest(spark, errors, base_url, bronze_path))
-    return manifest.orderBy("file")
-
-
-__all__ = ["raw_to_curated", "curated_to_gold", "dq_check", "zone_summary_job", "ingest_job",
-           "GoldPaths", "FunnelCounts", "ValidationError", "rp"]
+    if not months:
+        raise NoMonthsError(f"no monthly file {start_offset} to {max_lookback} months before {as_of} in {landing_path}")
+    if dry_run:
+        manifest = ld.dry_run_manifest(chosen, base_url, bronze_path, {m: files[m][1] for m in months})
+    else:
+        if isolate_months:
+            errors = ld.land_each_month(spark, {m: files[m][0] for m in months}, bronze_path)
+        else:
+            ld.land_months(spark, [files[m][0] for m in months], bronze_path)
+            errors = dict.fromkeys(months)
+        ok = [m for m in months if errors[m] is None]
+        manifest = ld.failed_manifest(spark, errors, base_url, bronze_path)
+        if ok:
+            landed = ld.read_landed(spark, bronze_path).filter(F.col(ld.MONTH_COL).isin(ok))
+            done = ld.ingest_manifest(landed, base_url, bronze_path).withColumn("error", F.lit(None).cast("string"))
+            manifest = done.unionByName(manifest)
+        manifest = manifest.orderBy("file")
+    extra = None
+    if zones_path and zones_target and not dry_run:
+        extra = ld.land_zone_table(spark, zones_path, zones_target, base_url,
+                                   sum(size for _, size, _ in list_path(spark, zones_path, recursive=True)))
+    if manifest_path:
+        write_json_document(ld.result_document(manifest, dry_run, extra), manifest_path)
+    return manifest if extra is None else manifest.unionByName(extra, allowMissingColumns=True).orderBy("file")

@@ -7,7 +7,7 @@ and the look-back dates are fixture parameters, stated once below.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,8 +58,8 @@ def query(name: str, sql: str | None = None):
 
 
 def _run_dir(lake: TripLake, what: str) -> str:
-    key = hashlib.sha1(lake.bronze_path.encode()).hexdigest()[:12]
-    return scratch_path(lake.spark, "runs", key, what)
+    """A folder of its own for each call, so that no later call overwrites what a frame still reads."""
+    return scratch_path(lake.spark, "runs", uuid.uuid4().hex, what)
 
 
 B, S = o.BASE, o.SILVER  # CTE stacks: bronze trips; trips through silver
@@ -110,47 +110,52 @@ _MONTH_COLS = """months_back, strftime(month, '%Y-%m') AS month,
 FROM spine WHERE month IN (SELECT month FROM avail) ORDER BY spine.month DESC LIMIT {LATEST_N}"""))
 def latest_months(lake):
     """SRC-7: newest 6 months present within 2..14 months before the as-of date."""
-    return mo.latest_months(mo.available_months(lake.bronze()), LATEST_AS_OF, LATEST_START, LATEST_MAX, LATEST_N)
+    return mo.latest_months(mo.available_months(lake.spark, lake.landing_path()), LATEST_AS_OF, LATEST_START, LATEST_MAX, LATEST_N)
 
 
 @query("missing_months", with_(B + [_AVAIL, _spine(MISSING_AS_OF, MISSING_START, MISSING_MAX)], f"""SELECT {_MONTH_COLS}
 FROM spine WHERE month NOT IN (SELECT month FROM avail)"""))
 def missing_months(lake):
     """SRC-8: months in the look-back window that the data does not have."""
-    return mo.missing_months(mo.available_months(lake.bronze()), MISSING_AS_OF, MISSING_START, MISSING_MAX)
+    return mo.missing_months(mo.available_months(lake.spark, lake.landing_path()), MISSING_AS_OF, MISSING_START, MISSING_MAX)
 
 
 # ---------------------------------------------------------------- landing
-@query("land_months", with_(B, """SELECT strftime(pickup_datetime, '%Y-%m') AS source_month, count(*) AS landed_rows
-FROM trips GROUP BY 1"""))
+def _landed(lake: TripLake, what: str) -> DataFrame:
+    path = _run_dir(lake, what)
+    files = mo.month_files(lake.spark, lake.landing_path())
+    ld.land_months(lake.spark, [p for p, _ in files.values()], path)
+    return ld.read_landed(lake.spark, path)
+
+
+# A trip belongs to the month of its file, which its derivation sets, NULL pickup times included.
+_FILE_MONTH = f"SELECT strftime({o.at('p')}, '%Y-%m') AS source_month, count(*) AS landed_rows FROM li GROUP BY 1"
+
+
+@query("land_months", with_([o.LI], _FILE_MONTH))
 def land_months(lake):
-    """SNK-5: land the bronze trips by source month (dynamic overwrite) and count what landed."""
-    path = _run_dir(lake, "landed")
-    ld.land_months(lake.bronze(), path)
-    return ld.landed_summary(ld.read_landed(lake.spark, path))
+    """SNK-5: land the monthly files whole by source month (dynamic overwrite) and count what landed."""
+    return ld.landed_summary(_landed(lake, "landed"))
 
 
-@query("stream_land_months", with_(B, """SELECT strftime(pickup_datetime, '%Y-%m') AS source_month, count(*) AS landed_rows
-FROM trips GROUP BY 1"""))
+@query("stream_land_months", with_([o.LI], _FILE_MONTH))
 def stream_land_months(lake):
-    """SNK-6: an availableNow Structured Streaming run picks up the bronze files (each file once,
+    """SNK-6: an availableNow Structured Streaming run picks up the landing files (each file once,
     tracked in its checkpoint) and appends them by source month; rows per landed month."""
     from tiertrip.streaming.landing import run_landing_once
     out, ckpt = _run_dir(lake, "streamed"), _run_dir(lake, "streamed_checkpoint")
-    run_landing_once(lake.spark, lake.bronze_path, out, ckpt)
+    run_landing_once(lake.spark, lake.landing_path(), out, ckpt)
     return ld.landed_summary(ld.read_landed(lake.spark, out))
 
 
-@query("ingest_manifest", with_(B, f"""SELECT 'fhvhv_tripdata_' || m || '.parquet' AS file,
-       '{MANIFEST_BASE_URL}/fhvhv_tripdata_' || m || '.parquet' AS source_url,
-       '{MANIFEST_TARGET}/source_month=' || m || '/' AS target,
-       count(*) AS row_count, 'SUCCESS' AS status
-FROM (SELECT strftime(pickup_datetime, '%Y-%m') AS m FROM trips WHERE pickup_datetime IS NOT NULL) GROUP BY m"""))
+@query("ingest_manifest", with_([o.LI], f"""SELECT 'fhvhv_tripdata_' || source_month || '.parquet' AS file,
+       '{MANIFEST_BASE_URL}/fhvhv_tripdata_' || source_month || '.parquet' AS source_url,
+       '{MANIFEST_TARGET}/source_month=' || source_month || '/' AS target,
+       landed_rows AS row_count, 'SUCCESS' AS status
+FROM ({_FILE_MONTH})"""))
 def ingest_manifest(lake):
     """SNK-7: per landed month: file, source URL, target, rows, status (sizes are unit-tested)."""
-    path = _run_dir(lake, "landed_manifest")
-    ld.land_months(lake.bronze(), path)
-    return ld.ingest_manifest(ld.read_landed(lake.spark, path), MANIFEST_BASE_URL, MANIFEST_TARGET, with_sizes=False)
+    return ld.ingest_manifest(_landed(lake, "landed_manifest"), MANIFEST_BASE_URL, MANIFEST_TARGET, with_sizes=False)
 
 
 # ---------------------------------------------------------------- filters and tags
@@ -331,6 +336,13 @@ def quality_summary(lake):
     return rp.quality_summary(lake.tagged())
 
 
+@query("dq_job_summary", ORACLE["quality_summary"])
+def dq_job_summary(lake):
+    """PIP-3: the quality job's written summary, rejected rows written and read back."""
+    return md.dq_check(lake.spark, lake.bronze_path, _run_dir(lake, "rejected"), _run_dir(lake, "quality_summary"),
+                       lake.thresholds)
+
+
 @query("monthly_dq", with_(B + [o.TAGGED], f"""SELECT month, total, good, rejected,
        {pct('rejected', 'total', 2)} AS rejection_rate_pct
 FROM (SELECT strftime(pickup_datetime, '%Y-%m') AS month, count(*) AS total,
@@ -464,11 +476,27 @@ def zone_totals(lake):
     return zn.zone_totals(lake.zones_na())
 
 
-@query("zone_summary")
+def _text(x: str) -> str:
+    return f"coalesce(CAST({x} AS VARCHAR), 'null')"
+
+
+_ZONE_COUNTS = "\nUNION ALL\n".join(
+    f"""SELECT '{section}' AS section, {col} AS "key", CAST(count(Zone) AS VARCHAR) AS "value" FROM zones_na
+WHERE {col} IS NOT NULL GROUP BY {col}""" for section, col in (("zones_per_borough", "Borough"),
+                                                             ("zones_per_service_zone", "service_zone")))
+
+
+@query("zone_summary", with_(ZNA, f"""SELECT 'totals' AS section, 'total_zones' AS "key", CAST(count(*) AS VARCHAR) AS "value" FROM zones_na
+UNION ALL SELECT 'totals', 'total_boroughs', CAST(count(DISTINCT Borough) AS VARCHAR) FROM zones_na
+UNION ALL SELECT 'borough_with_most_zones', Borough, CAST(n AS VARCHAR) FROM
+  (SELECT Borough, count(Zone) AS n FROM zones_na WHERE Borough IS NOT NULL GROUP BY 1 ORDER BY n DESC, Borough LIMIT 1)
+UNION ALL {_ZONE_COUNTS}
+UNION ALL SELECT 'sample_records', {_text('LocationID')},
+  {_text('Borough')} || '|' || {_text('Zone')} || '|' || {_text('service_zone')}
+FROM (SELECT * FROM zones_na ORDER BY LocationID LIMIT 5)"""))
 def zone_summary(lake):
-    """RPT-8/MAP-1/ARR-1: the one-row zone summary document (rows-only check; its JSON form
-    below has the oracle)."""
-    return zn.zone_summary(lake.zones_na(), ZONE_SOURCE, GENERATED_AT)
+    """RPT-8/PIP-4: the one-row summary document (maps, array, structs), as flat rows."""
+    return zn.zone_summary_rows(zn.zone_summary(lake.zones_na(), ZONE_SOURCE, GENERATED_AT))
 
 
 @query("zone_summary_json", o.zone_summary_json(GENERATED_AT, ZONE_SOURCE))

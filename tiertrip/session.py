@@ -63,7 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
             found = None
     if not found:
         # A machine-local folder is only safe when driver and executors share one machine.
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        # A master that cannot be read (Spark Connect) may be a cluster.
+        if not (spark.conf.get("spark.master", None) or "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
                                "(for example on the cluster's object store or HDFS)")
         found = tempfile.mkdtemp(prefix="tiertrip-ckpt-")
@@ -89,24 +90,42 @@ def _hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def path_signature(spark: SparkSession, path: str) -> str:
-    """Length and modification time of a file or folder ('' when missing), for cache keys."""
-    if path.startswith("/") or path.startswith("file:"):
-        try:
-            st = os.stat(path.removeprefix("file:"))
-        except OSError:
-            return ""
-        return f"{st.st_size}:{int(st.st_mtime)}"
+def list_path(spark: SparkSession, path: str, recursive: bool = False) -> list[tuple[str, int, int]]:
+    """(path, bytes, modification time in ms) of what lies directly in a folder (a folder's bytes are
+    those of its files), or of all files below; the file itself for a file; [] when missing. Always
+    asked of the path's Hadoop file system, never of the driver's disk."""
     p, fs = _hadoop_path(spark, path)
     if not fs.exists(p):
-        return ""
-    st = fs.getFileStatus(p)
-    return f"{st.getLen()}:{st.getModificationTime() // 1000}"
+        return []
+    found = []
+    if recursive:
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            st = files.next()
+            found.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    else:
+        for st in fs.listStatus(p):
+            size = fs.getContentSummary(st.getPath()).getLength() if st.isDirectory() else st.getLen()
+            found.append((st.getPath().toString(), size, st.getModificationTime()))
+    return sorted(found)
+
+
+def path_signature(spark: SparkSession, path: str) -> str:
+    """Names, lengths and modification times of all files of a path, for cache keys."""
+    return repr(list_path(spark, path, recursive=True))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem so it works for any shared store."""
-    if path.startswith("/") or path.startswith("file:"):
-        return os.path.exists(path.removeprefix("file:"))
     p, fs = _hadoop_path(spark, path)
     return bool(fs.exists(p))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    if not fs.rename(p, _hadoop_path(spark, to)[0]):
+        raise OSError(f"cannot rename {path} to {to}")

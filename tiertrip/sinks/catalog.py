@@ -9,13 +9,20 @@ def _ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def register_table(spark: SparkSession, database: str, table: str, path: str, partitioned: bool = False) -> str:
-    """SNK-9: external Parquet table over ``path``; partitions are discovered after creation
-    (without that step a partitioned table shows no rows)."""
+def register_table(spark: SparkSession, database: str, table: str, path: str, partitioned: bool = False,
+                   csv_schema: str | None = None) -> str:
+    """SNK-9: external table over ``path``: Parquet, or CSV with a header under ``csv_schema`` (DDL). An
+    entry of that name is replaced (an external table's files stay), so a moved layer is found;
+    partitions are discovered after creation (without that step a partitioned table shows no rows)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)}")
     full = f"{_ident(database)}.{_ident(table)}"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{path}'")
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    if csv_schema:
+        spark.sql(f"CREATE TABLE {full} ({csv_schema}) USING csv OPTIONS (header 'true') LOCATION '{place}'")
+    else:
+        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{place}'")
     if partitioned:
-        spark.catalog.recoverPartitions(f"{database}.{table}")
-    spark.catalog.refreshTable(f"{database}.{table}")
+        spark.catalog.recoverPartitions(full)
+    spark.catalog.refreshTable(full)
     return f"{database}.{table}"

@@ -2,8 +2,10 @@
 
 The source job streams one file per month from a web server into the object store, replacing the
 same key and carrying on past a failed file. Here the landing folder is already readable; a Spark
-job copies it into bronze partitioned by ``source_month`` with dynamic overwrite (a re-run replaces
-only the months it carries), and ``_metadata`` supplies the file lineage for the manifest.
+job copies whole monthly files into bronze partitioned by ``source_month`` with dynamic overwrite
+(a re-run replaces only the months it carries), and ``_metadata`` supplies the file lineage for the
+manifest. A row's source month is its file's month, whatever its pickup time says, so no row is
+lost and none is moved; the copy needs no shuffle.
 """
 
 from __future__ import annotations
@@ -13,41 +15,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiertrip import schemas
+from tiertrip.config import STATUS_FAILED, STATUS_PARTIAL, STATUS_SUCCESS
 from tiertrip.sinks.writers import write_partitioned
-from tiertrip.sources.months import month_file
+from tiertrip.sources.months import MONTH_PATTERN, month_file
+from tiertrip.sources.readers import scan_trips
 
 MONTH_COL = "source_month"
 
 
 def with_source_month(df: DataFrame, ts_col: str = "pickup_datetime") -> DataFrame:
-    return df.withColumn(MONTH_COL, F.date_format(F.col(ts_col), "yyyy-MM"))
+    """``df`` (read from files) with the month in its file's name; rows of a file that is not named
+    by month get their pickup month."""
+    named = F.regexp_extract(F.col("_metadata.file_path"), MONTH_PATTERN, 1)
+    return df.withColumn(MONTH_COL, F.when(named != "", named).otherwise(F.date_format(F.col(ts_col), "yyyy-MM")))
 
 
-def land_months(df: DataFrame, target: str, months: DataFrame | None = None, ts_col: str = "pickup_datetime") -> None:
-    """SNK-5: write rows (optionally only the chosen ``months``: a ``month`` yyyy-MM column) into
-    ``target`` partitioned by ``source_month``, replacing only the months written."""
-    out = with_source_month(df, ts_col)
-    if months is not None:
-        out = out.join(months.select(F.col("month").alias(MONTH_COL)).distinct(), MONTH_COL, "left_semi")
-    write_partitioned(out, target, MONTH_COL, dynamic=True)
+def land_months(spark: SparkSession, paths: list[str], target: str) -> int:
+    """SNK-5: land all rows of the given monthly files into ``target`` partitioned by
+    ``source_month``, replacing only those months; returns the rows written."""
+    df = with_source_month(scan_trips(spark, paths, merge_schema=True))
+    return write_partitioned(df, target, MONTH_COL, dynamic=True, rebalance=False)
 
 
-def land_each_month(df: DataFrame, target: str, months: list[str], ts_col: str = "pickup_datetime") -> dict[str, str | None]:
-    """SNK-5 with per-month isolation: one job per month (the list is bounded by the look-back
-    window), each selecting its month with a pickup-time range that Parquet statistics push down
-    (row groups of other months are skipped) and replacing only its own partition. A month whose
-    job fails is reported with its error and the other months still land. Returns month -> error
-    (None on success)."""
+def land_each_month(spark: SparkSession, files: dict[str, str], target: str) -> dict[str, str | None]:
+    """SNK-5 with per-month isolation: one job per monthly file (``month -> path``, bounded by the
+    look-back window), replacing only its own partition. A month whose job fails is reported with
+    its error and the other months still land. Returns month -> error (None on success)."""
     out: dict[str, str | None] = {}
-    ts = F.col(ts_col)
-    for m in months:
-        start = F.to_timestamp_ntz(F.lit(f"{m}-01 00:00:00"))
-        one = with_source_month(df.filter((ts >= start) & (ts < F.timestamp_add("MONTH", F.lit(1), start))), ts_col)
+    for month, path in files.items():
         try:
-            write_partitioned(one, target, MONTH_COL, dynamic=True)
-            out[m] = None
+            land_months(spark, [path], target)
+            out[month] = None
         except Exception as exc:  # noqa: BLE001 - reported per month, as the manifest's error
-            out[m] = f"{type(exc).__name__}: {str(exc)[:500]}"
+            out[month] = f"{type(exc).__name__}: {exc}"
     return out
 
 
@@ -66,14 +66,14 @@ def landed_summary(landed: DataFrame) -> DataFrame:
 
 
 def ingest_manifest(landed: DataFrame, base_url: str, target_root: str, with_sizes: bool = True,
-                    status: str = "SUCCESS") -> DataFrame:
+                    status: str = STATUS_SUCCESS) -> DataFrame:
     """SNK-7/AGG-23: one row per landed month: file, source_url, target, row_count, sizes, status.
 
     Sizes sum the distinct landed files of the month (``_metadata.file_size``); they depend on how
     the landing job split its output, so ``with_sizes=False`` leaves them out for exact comparisons."""
     per_file = landed.groupBy(MONTH_COL, "source_file").agg(
         F.count(F.lit(1)).alias("rows"), F.max("source_file_size").alias("bytes"))
-    per_month = per_file.filter(F.col(MONTH_COL).isNotNull()).groupBy(MONTH_COL).agg(
+    per_month = per_file.groupBy(MONTH_COL).agg(
         F.sum("rows").alias("row_count"), F.sum("bytes").alias("size_bytes"))
     file = month_file(F.to_date(F.concat(F.col(MONTH_COL), F.lit("-01"))))
     cols = [
@@ -98,14 +98,18 @@ def failed_manifest(spark: SparkSession, errors: dict[str, str | None], base_url
         file.alias("file"), F.concat(F.lit(base_url.rstrip("/") + "/"), file).alias("source_url"),
         F.concat(F.lit(target_root.rstrip("/") + f"/{MONTH_COL}="), F.col("month"), F.lit("/")).alias("target"),
         F.lit(None).cast("long").alias("row_count"), F.lit(None).cast("long").alias("size_bytes"),
-        F.lit(None).cast("double").alias("size_mb"), F.lit("FAILED").alias("status"), F.col("error"))
+        F.lit(None).cast("double").alias("size_mb"), F.lit(STATUS_FAILED).alias("status"), F.col("error"))
 
 
-def dry_run_manifest(months: DataFrame, base_url: str, target_root: str) -> DataFrame:
-    """SNK-8: what would be landed (status DRY_RUN); nothing is read from the landing data or written."""
+def dry_run_manifest(months: DataFrame, base_url: str, target_root: str, sizes: dict[str, int] | None = None) -> DataFrame:
+    """SNK-8: what would be landed (status DRY_RUN), with file sizes from the listing; no row is read
+    and nothing is written."""
     file = F.col("file")
-    return months.select(
-        file, F.concat(F.lit(base_url.rstrip("/") + "/"), file).alias("source_url"),
+    size = F.lit(None).cast("long")
+    for month, n in (sizes or {}).items():
+        size = F.when(F.col("month") == month, F.lit(n).cast("long")).otherwise(size)
+    return months.withColumn("size_bytes", size).select(
+        file, "size_bytes", F.round(F.col("size_bytes") / F.lit(1024.0 ** 2), 1).alias("size_mb"), F.concat(F.lit(base_url.rstrip("/") + "/"), file).alias("source_url"),
         F.concat(F.lit(target_root.rstrip("/") + f"/{MONTH_COL}="), F.col("month"), F.lit("/")).alias("target"),
         F.lit("DRY_RUN").alias("status"),
     )
@@ -113,5 +117,36 @@ def dry_run_manifest(months: DataFrame, base_url: str, target_root: str) -> Data
 
 def manifest_totals(manifest: DataFrame) -> DataFrame:
     """AGG-23: files with status SUCCESS, and all files."""
-    return manifest.agg(F.count_if(F.col("status") == "SUCCESS").alias("files_uploaded"),
+    return manifest.agg(F.count_if(F.col("status") == STATUS_SUCCESS).alias("files_uploaded"),
                         F.count(F.lit(1)).alias("files_total"))
+
+
+def result_document(manifest: DataFrame, dry_run: bool, extra: DataFrame | None = None) -> DataFrame:
+    """One row: overall status, dry-run flag, files uploaded and in total, errors, and the files (one
+    entry per chosen month, and ``extra`` files such as the zone table)."""
+    files = manifest if extra is None else manifest.unionByName(extra, allowMissingColumns=True)
+    for c, kind in (("error", "string"), ("size_kb", "double"), ("row_count", "long")):
+        if c not in files.columns:
+            files = files.withColumn(c, F.lit(None).cast(kind))
+    failed, n = F.count_if(F.col("status") == STATUS_FAILED), F.count(F.lit(1))
+    status = (F.when(failed == 0, STATUS_SUCCESS).when(failed == n, STATUS_FAILED).otherwise(STATUS_PARTIAL))
+    return files.agg(
+        status.alias("status"), F.lit(dry_run).alias("dry_run"),
+        F.count_if(F.col("status") == STATUS_SUCCESS).alias("files_uploaded"), n.alias("files_total"),
+        F.array_sort(F.collect_list("error")).alias("errors"),
+        F.array_sort(F.collect_list(F.struct("file", *[c for c in files.columns if c != "file"]))).alias("files"))
+
+
+def land_zone_table(spark: SparkSession, zones_path: str, target: str, base_url: str, size_bytes: int) -> DataFrame:
+    """The zone table, copied beside the trips in the same ingest: its manifest row, size in KB."""
+    from tiertrip.sources.readers import scan_zones
+    status, error = STATUS_SUCCESS, None
+    try:
+        # A dimension of a few hundred rows: one file, as the source ships it.
+        scan_zones(spark, zones_path).coalesce(1).write.mode("overwrite").option("header", True).csv(target)
+    except Exception as exc:  # noqa: BLE001 - reported in the manifest
+        status, error = STATUS_FAILED, f"{type(exc).__name__}: {exc}"
+    name = zones_path.rstrip("/").rsplit("/", 1)[-1]
+    return spark.createDataFrame(
+        [(name, f"{base_url.rstrip('/')}/{name}", target, size_bytes, round(size_bytes / 1024, 1), status, error)],
+        "file string, source_url string, target string, size_bytes long, size_kb double, status string, error string")

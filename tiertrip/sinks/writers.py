@@ -39,15 +39,21 @@ def write_partitioned(df: DataFrame, path: str, column: str, mode: str = "overwr
     return int(obs.get["rows"])
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> int:
-    """SNK-2: unpartitioned Parquet; ``files`` caps the file count for small gold tables."""
-    out, obs = _counted(df.coalesce(files) if files else df, "write_table")
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = False) -> int:
+    """SNK-2: unpartitioned Parquet. ``rebalance`` lets AQE merge small output tasks into few files."""
+    out, obs = _counted(df.hint("rebalance") if rebalance else df, "write_table")
     out.write.mode(mode).parquet(path)
     return int(obs.get["rows"])
 
 
+def json_document(df: DataFrame) -> DataFrame:
+    """Each row as one JSON document in column ``json``. NULL fields are written as ``null``, not left
+    out, so every record has the same keys."""
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json"))
+
+
 def write_json_document(df: DataFrame, path: str) -> int:
-    """SNK-4: a one-row frame written as one JSON document (``to_json`` of all columns)."""
-    out, obs = _counted(df.select(F.to_json(F.struct(*df.columns)).alias("value")).coalesce(1), "write_json")
+    """SNK-4: a one-row frame written as one JSON document."""
+    out, obs = _counted(json_document(df).coalesce(1), "write_json")
     out.write.mode("overwrite").text(path)
     return int(obs.get["rows"])

@@ -10,13 +10,13 @@ schema, the way the real bronze layer is read.
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiertrip import schemas
-from tiertrip.session import path_exists, path_signature, scratch_path
+from tiertrip.config import MONTH_FILE_PREFIX, MONTH_FILE_SUFFIX
+from tiertrip.session import list_path, path_exists, path_signature, remove_path, rename_path, scratch_path
 
 FIXTURE_VERSION = "1"
 EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
@@ -35,11 +35,16 @@ def _case(*branches: tuple[Column, Column], otherwise: Column) -> Column:
 
 
 
-def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """Project ``lineitem`` to the 23 bronze trip columns (see FIXTURES.md)."""
+def _pickup_seconds() -> Column:
+    ok, pk, ln = (F.col(c).cast("bigint") for c in ("l_orderkey", "l_partkey", "l_linenumber"))
+    return (ok % 182) * 86400 + (ok * 7919 + pk * 104729 + ln * 31) % 86400
+
+
+def trips_from_lineitem(lineitem: DataFrame, *keep: str) -> DataFrame:
+    """Project ``lineitem`` to the 23 bronze trip columns (see FIXTURES.md), and ``keep`` as it is."""
     ok, pk, sk, ln = (F.col(c).cast("bigint") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     m = ok * 31 + pk * 17 + sk * 7 + ln
-    p = (ok % 182) * 86400 + (ok * 7919 + pk * 104729 + ln * 31) % 86400
+    p = _pickup_seconds()
     tt = 20 + (pk * 37 + sk * 101) % 5400
     price = F.floor("l_extendedprice")
     NULL = F.lit(None)
@@ -75,7 +80,7 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         "wav_request_flag": F.when(div(40), F.lit("Y")).otherwise(F.lit("N")),
         "wav_match_flag": F.when(div(80), F.lit("Y")).otherwise(F.lit("N")),
     }
-    return lineitem.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in schemas.RAW_TRIP.fields])
+    return lineitem.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in schemas.RAW_TRIP.fields], *keep)
 
 
 def zones_from_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -100,13 +105,10 @@ def zones_from_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def _input_key(spark: SparkSession, sf_dir: str, *tables: str) -> str:
-    """Cache key of a derived fixture: the input paths with their sizes and modification times
-    (read through Hadoop's FileSystem for non-local stores)."""
+    """Cache key of a derived fixture: the input files with their sizes and modification times."""
     h = hashlib.sha1(FIXTURE_VERSION.encode())
     for t in tables:
         path = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        if path.startswith("/"):
-            path = os.path.abspath(path)
         h.update(path.encode())
         h.update(path_signature(spark, path).encode())
     return h.hexdigest()[:16]
@@ -121,9 +123,33 @@ def bronze_trips_path(spark: SparkSession, sf_dir: str) -> str:
     target = scratch_path(spark, "fixtures", _input_key(spark, sf_dir, "lineitem"), "fhvhv_tripdata")
     if not path_exists(spark, f"{target}/_SUCCESS"):
         trips = trips_from_lineitem(read_table(spark, sf_dir, "lineitem"))
-        # Spread the derivation over the cluster: input files may hold few row groups.
-        parts = max(spark.sparkContext.defaultParallelism, 1)
-        trips.repartition(parts).write.mode("overwrite").parquet(target)
+        _spread(trips).write.mode("overwrite").parquet(target)
+    return target
+
+
+def _spread(trips: DataFrame) -> DataFrame:
+    """A small input of few row groups is spread over the cores; a large one is not shuffled."""
+    cores = max(trips.sparkSession.sparkContext.defaultParallelism, 1)
+    return trips.repartition(cores) if trips.rdd.getNumPartitions() < cores else trips
+
+
+def landing_path(spark: SparkSession, sf_dir: str) -> str:
+    """Write the landing fixture once per input: the same trips, one Parquet folder per month, named as
+    the monthly files are. A trip whose pickup time is NULL lies in the file of the month it was
+    derived from."""
+    target = scratch_path(spark, "fixtures", _input_key(spark, sf_dir, "lineitem"), "landing")
+    if not path_exists(spark, f"{target}/_SUCCESS"):
+        lines = read_table(spark, sf_dir, "lineitem")
+        name = F.concat(F.lit(MONTH_FILE_PREFIX), F.date_format(_at(_pickup_seconds()), "yyyy-MM"), F.lit(MONTH_FILE_SUFFIX))
+        build = f"{target}_building"
+        remove_path(spark, target)
+        _spread(lines.withColumn("file", name)
+                .transform(lambda df: trips_from_lineitem(df, "file"))).write.mode("overwrite").partitionBy("file").parquet(build)
+        for path, _, _ in list_path(spark, build):
+            part, eq, file = path.rsplit("/", 1)[-1].partition("=")
+            if eq:
+                rename_path(spark, path, f"{build}/{file}")
+        rename_path(spark, build, target)
     return target
 
 

@@ -1,22 +1,38 @@
-"""Which months to ingest, decided on the months present in the data.
+"""Which months to ingest, decided on the names of the monthly files.
 
-The source job probes a web server month by month from "now"; here the look-back spine is a
-small generated range, matched against the months a Spark job finds in the landed data. ``as_of``
-is always a parameter, never the wall clock, so results are reproducible.
+The source job probes a web server for file names, month by month from "now"; here the look-back
+spine is a small generated range, matched against the names in the landing folder, so no row is
+read. ``as_of`` is always a parameter, never the wall clock, so results are reproducible.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiertrip.config import MONTH_FILE_PREFIX, MONTH_FILE_SUFFIX
+from tiertrip.session import list_path
+
+MONTH_PATTERN = re.escape(MONTH_FILE_PREFIX) + r"(\d{4}-(?:0[1-9]|1[0-2]))" + re.escape(MONTH_FILE_SUFFIX)
+
+
+def month_files(spark: SparkSession, landing_path: str) -> dict[str, tuple[str, int]]:
+    """``yyyy-MM`` -> (path, bytes) of the monthly files (or folders so named) in the landing folder:
+    one entry per month, from a listing."""
+    out = {}
+    for path, size, _ in list_path(spark, landing_path):
+        m = re.fullmatch(MONTH_PATTERN, path.rstrip("/").rsplit("/", 1)[-1])
+        if m:
+            out[m[1]] = (path, size)
+    return out
 
 
-def available_months(df: DataFrame, ts_col: str = "pickup_datetime") -> DataFrame:
-    """Distinct first-of-month dates of a timestamp column (partial aggregation before the shuffle)."""
-    return (df.select(F.trunc(F.to_date(F.col(ts_col)), "month").alias("month"))
-            .filter(F.col("month").isNotNull()).distinct())
+def available_months(spark: SparkSession, landing_path: str) -> DataFrame:
+    """First-of-month dates of the monthly files in the landing folder."""
+    rows = [(m + "-01",) for m in sorted(month_files(spark, landing_path))]
+    return spark.createDataFrame(rows, "m string").select(F.to_date("m").alias("month"))
 
 
 def month_spine(spark: SparkSession, as_of: str, start_offset: int, max_lookback: int) -> DataFrame:

@@ -2,21 +2,43 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiertrip import schemas
 from tiertrip.config import PANDAS_NA_TOKENS
+from tiertrip.session import list_path
+from tiertrip.sources.months import MONTH_PATTERN
 
 
 def scan_trips(spark: SparkSession, path: str | list[str], merge_schema: bool = False) -> DataFrame:
-    """Multi-month bronze scan. The explicit schema reads months whose ids were written as int or
-    bigint alike, and yields NULL for a column a month lacks; ``mergeSchema`` stays available."""
-    reader = spark.read.schema(schemas.RAW_TRIP)
-    if merge_schema:
-        reader = reader.option("mergeSchema", "true")
+    """Multi-month bronze scan. The 23 known columns come first, under their schema: months whose ids
+    were written as int or bigint are read alike, and a column that a month lacks is NULL there.
+
+    With ``merge_schema`` any further columns of any month follow, under the types found in the files
+    (one read of the footers), so a new column reaches the tables that keep whole rows."""
     paths = [path] if isinstance(path, str) else list(path)
-    return reader.parquet(*paths)
+    schema = schemas.RAW_TRIP
+    if merge_schema:
+        known = {f.name.lower() for f in schema.fields}
+        more: dict[str, T.StructField] = {}
+        for p in paths:  # folder by folder: a known column may have another type in another month
+            for part in _schema_parts(spark, p):
+                for f in spark.read.option("mergeSchema", "true").parquet(part).schema.fields:
+                    if f.name.lower() not in known:
+                        more.setdefault(f.name.lower(), f)
+        schema = T.StructType(schema.fields + [T.StructField(f.name, f.dataType) for f in more.values()])
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def _schema_parts(spark: SparkSession, path: str) -> list[str]:
+    """The monthly files or partition folders of a bronze folder, or the folder itself if it has none."""
+    parts = [p for p, _, _ in list_path(spark, path) if not p.rsplit("/", 1)[-1].startswith(("_", "."))]
+    months = [p for p in parts if re.search(MONTH_PATTERN, p.rsplit("/", 1)[-1]) or "=" in p.rsplit("/", 1)[-1]]
+    return months or [path]
 
 
 def scan_zones(spark: SparkSession, path: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tiertrip import schemas
+from tiertrip.session import path_exists
 from tiertrip.sinks.landing import MONTH_COL, with_source_month
 
 
@@ -21,14 +22,21 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, bronze_dir: str,
     reader = spark.readStream.schema(schemas.RAW_TRIP)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    src = with_source_month(reader.parquet(landing_dir))
+    src = with_source_month(reader.option("recursiveFileLookup", "true").parquet(landing_dir))
     return (src.writeStream.format("parquet").option("path", bronze_dir)
             .option("checkpointLocation", checkpoint_dir).partitionBy(MONTH_COL)
             .outputMode("append").trigger(availableNow=True).start())
 
 
-def run_landing_once(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir: str) -> int:
-    """Run one availableNow pass to completion; returns the number of input rows it processed."""
-    q = start_landing_stream(spark, landing_dir, bronze_dir, checkpoint_dir)
-    q.awaitTermination()
-    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+def _rows(spark: SparkSession, bronze_dir: str) -> int:
+    """Rows in bronze, from the file footers."""
+    return spark.read.schema(schemas.RAW_TRIP).parquet(bronze_dir).count() if path_exists(spark, bronze_dir) else 0
+
+
+def run_landing_once(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir: str,
+                     max_files_per_trigger: int | None = None) -> int:
+    """Run one availableNow pass to completion; returns the number of rows it landed, counted in
+    bronze (progress reports keep only the newest batches)."""
+    before = _rows(spark, bronze_dir)
+    start_landing_stream(spark, landing_dir, bronze_dir, checkpoint_dir, max_files_per_trigger).awaitTermination()
+    return _rows(spark, bronze_dir) - before
