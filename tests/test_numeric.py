@@ -12,11 +12,8 @@ from tiertrip.functions.numeric import round_avg, round_sum
 
 
 def _micro(x):
-    """Millionths: below 10^12 rounded half up from the binary value, above it from the decimal text."""
-    if abs(x) >= 1e12:
-        return Fraction(repr(x)) * 10 ** 6
-    a = abs(x) * 1e6
-    m = math.floor(a + 0.5) if a < 2 ** 52 else int(a)
+    """Millionths of the binary value, half up."""
+    m = math.floor(abs(Fraction(x)) * 10 ** 6 + Fraction(1, 2))
     return -m if x < 0 else m
 
 
@@ -44,7 +41,7 @@ def test_round_avg_and_sum_are_exact(spark):
         lambda: round(rnd.uniform(-100, 500), 2),          # money
         lambda: rnd.randint(0, 500000) / 512,              # long binary fractions
         lambda: rnd.uniform(-1e9, 1e9),                    # large magnitudes
-        lambda: rnd.choice([None, 0.005, 0.015, -0.005, 2.675, 5e11, 2e12, -1e12, 1e15, 3.5e17]),
+        lambda: rnd.choice([None, 0.005, 0.015, -0.005, 2.675, 5e11, 2e12, -1e12, 1e15, 3.5e17, 1e12 + 0.25, 1e20, -(2.0 ** 90)]),
         lambda: rnd.randint(-10 ** 6, 10 ** 6) / 1000 + 0.0005,  # ties at the 4th decimal
         lambda: rnd.choice([None, 1.0, NAN, INF, -INF, 1e13]),
     ]
@@ -60,7 +57,7 @@ def test_round_avg_and_sum_are_exact(spark):
 
 def test_no_value_is_dropped(spark):
     cases = [[1e12, 1.0], [2e12, 5.0], [1e15, 0.25, None], [-1e12, 1e12, 0.5], [NAN, 1.0], [INF, 1.0], [INF, -INF, 1.0],
-             [None], [999999999999.99, 1e12]]
+             [None], [999999999999.99, 1e12], [2.0 ** 40, -(2.0 ** 40)], [2.0 ** 40 - 0.5, 3.0]]
     rows = [(i, x) for i, xs in enumerate(cases) for x in xs]
     for r in spark.createDataFrame(rows, "g int, x double").groupBy("g").agg(
             round_avg("x").alias("a"), round_sum("x").alias("s")).collect():

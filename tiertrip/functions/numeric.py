@@ -7,112 +7,152 @@ exact result once, half up, so every shuffle order gives one answer.
 
 How, and why not DECIMAL: a cast from double to DECIMAL(18,6) formats each value as decimal
 text in the JVM, and a DECIMAL sum wider than 18 digits adds BigDecimals; both together cost
-about 7x a double average per row. Here each value becomes a bigint of micro-units with plain
-arithmetic, that bigint is split into three 21-bit parts, and each part is summed as a bigint
-(partial aggregation before the shuffle, as for any sum). The parts are recombined as
-DECIMAL(38,0) once per group and rounded half up. A part sum stays exact up to 2^42 (4.4 trillion)
-rows per group; beyond that Spark's ANSI overflow check fails the query rather than return a
-wrong number.
-
-Values of 10^12 or more in magnitude are rare and take an exact path of their own: they are summed as
-DECIMAL(38,6) (the cast runs for those rows alone) and added to the recombined total; a total past
-that type fails the query. A NaN or an infinity gives what a double sum or average gives. So every
-value that is not NULL counts.
-
-Departure from a plain double average: each value below 10^12 is first rounded half up to whole
-millionths of its binary value.
+about 7x a double average per row. Here each value becomes two bigints with plain arithmetic:
+``blocks``, how many times 2^40 goes into it (0 for all but huge values), and ``micro``, the rest in
+millionths. ``micro`` is split into three 21-bit parts, and blocks and parts are summed as bigints
+(partial aggregation before the shuffle, as for any sum), then recombined as a decimal once per
+group and rounded half up. A part sum stays exact up to 2^42 (4.4 trillion) rows per group; a sum
+past a bigint fails the query, with or without ANSI mode, rather than return a wrong number.
+
+Every value that is not NULL counts, whatever its size. A NaN or an infinity gives what a double sum
+or average gives.
+
+Departure from a plain double average: each value is first rounded half up to whole millionths of
+its binary value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MICRO = 1_000_000
 _BITS = 21
 _MASK = (1 << _BITS) - 1
-_WIDE, _VALUE = "decimal(38,0)", "decimal(38,6)"
-LIMIT = 1e12  # below it a value is summed in micro-units
-_OVERFLOW = "more values in a group than an exact sum can hold"
+_BLOCK = 1 << 40
+_TOTAL, _VALUE = "decimal(38,0)", "decimal(38,6)"
+_OVERFLOW = "more or larger values in a group than an exact sum can hold"
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _finite(x: Column) -> Column:
+    return F.abs(x) < F.lit(float("inf"))  # Spark orders NaN above infinity
+
+
+def blocks(c: Column | str) -> Column:
+    """How many times 2^40 goes into ``x``, towards zero; NULL for NULL, NaN and +-Infinity."""
+    x = _c(c)
+    n = F.floor(F.abs(x) / F.lit(float(_BLOCK)))
+    return F.when(_finite(x), F.when(x < 0, -n).otherwise(n))
+
+
 def micro_units(c: Column | str) -> Column:
-    """``x`` as a bigint of millionths, rounded half up (away from zero); NULL for NULL and for what
-    the wide path takes: NaN, +-Infinity and ``|x| >= 10^12``. Below 2^52 the scaled value has a
-    fractional part and ``floor(a + 0.5)`` rounds it; at or above 2^52 it is already a whole number."""
+    """What ``blocks`` leaves of ``x``, as a bigint of millionths, rounded half up (away from zero).
+    Taking off blocks and the whole part is exact, so only the fraction is rounded."""
     x = _c(c)
-    a = F.abs(x) * F.lit(float(MICRO))
-    mag = F.when(a < F.lit(float(1 << 52)), F.floor(a + F.lit(0.5))).otherwise(a.cast("bigint"))
-    return F.when(F.abs(x) < F.lit(LIMIT), F.when(x < 0, -mag).otherwise(mag))
-
-
-def _exact_total(u: Column) -> Column:
-    """Exact ``sum(u)`` as DECIMAL(38,0), NULL when no value: u = hi * 2^42 + mid * 2^21 + lo with lo,
-    mid in [0, 2^21), each part summed as a bigint. An overflow of a part (not of ``hi``, which is
-    smaller) makes it NULL, with or without ANSI mode, and is raised."""
-    lo = F.try_sum(u.bitwiseAND(F.lit(_MASK)))
-    mid = F.try_sum(F.shiftright(u, _BITS).bitwiseAND(F.lit(_MASK)))
-    hi = F.try_sum(F.shiftright(u, 2 * _BITS))
-    total = (hi.cast(_WIDE) * F.lit(1 << (2 * _BITS)).cast(_WIDE)
-             + mid.cast(_WIDE) * F.lit(1 << _BITS).cast(_WIDE) + lo.cast(_WIDE))
-    return F.when(hi.isNotNull() & (lo + mid).isNull(), F.raise_error(F.lit(_OVERFLOW)).cast(_WIDE)).otherwise(total)
-
-
-def _rounded(x: Column, scale: int, average: bool) -> Column:
-    """The sum or average of ``x``, rounded half up to ``scale`` decimals, as a double; NULL when no value.
-
-    Spark's decimal division keeps 6 decimals of the quotient (half up), and that is rounded again
-    to ``scale`` decimals of the value. The first rounding can only matter when a group of more than
-    2 million rows has an average within 10^-12 of a tie, the same kind of double rounding as
-    Spark's own DECIMAL average."""
-    total, n = _exact_total(micro_units(x)), F.count(x)
-    finite = F.abs(x) < F.lit(float("inf"))
-    wide = F.sum(F.when(finite & (F.abs(x) >= F.lit(LIMIT)), x.cast(_VALUE)))
-    odd = F.sum(F.when(~finite, x))  # NaN is not below infinity: Spark orders it above all numbers
-    q = total / n.cast("decimal(20,0)") if average else total
-    units = F.round(q, scale - 6)  # a whole multiple of 10^(6-scale) micro-units
-    narrow = (units / F.lit(MICRO).cast("decimal(7,0)")).cast("double")
-    both = F.coalesce((total / F.lit(MICRO).cast("decimal(7,0)")).cast(_VALUE), F.lit(0).cast(_VALUE)) + wide
-    both = F.round(both / n.cast("decimal(20,0)") if average else both, scale).cast("double")
-    return F.when(odd.isNotNull(), odd).when(wide.isNotNull(), both).otherwise(narrow)
+    rest = F.abs(x) - F.floor(F.abs(x) / F.lit(float(_BLOCK))) * F.lit(float(_BLOCK))
+    m = F.floor(rest) * F.lit(MICRO) + F.floor((rest - F.floor(rest)) * F.lit(float(MICRO)) + F.lit(0.5))
+    return F.when(_finite(x), F.when(x < 0, -m).otherwise(m))
+
+
+@dataclass(frozen=True)
+class Exact:
+    """The parts of a double that its exact sums and averages need, as columns of any kind: expressions
+    over the double, or columns projected once and shared by several aggregates."""
+
+    micro: Column
+    blocks: Column
+    odd: Column  # the value itself if it is NaN or infinite
+
+    @classmethod
+    def of(cls, c: Column | str) -> "Exact":
+        x = _c(c)
+        return cls(micro_units(x), blocks(x), F.when(~_finite(x), x))
+
+    def _total(self) -> tuple[Column, Column]:
+        """(exact sum in micro-units as DECIMAL(38,0), sum of blocks); each overflow is raised. ``hi`` cannot
+        overflow before ``lo`` or ``mid``."""
+        lo = F.try_sum(self.micro.bitwiseAND(F.lit(_MASK)))
+        mid = F.try_sum(F.shiftright(self.micro, _BITS).bitwiseAND(F.lit(_MASK)))
+        hi = F.try_sum(F.shiftright(self.micro, 2 * _BITS))
+        large = F.try_sum(self.blocks)
+        total = (hi.cast(_TOTAL) * F.lit(1 << (2 * _BITS)).cast(_TOTAL)
+                 + mid.cast(_TOTAL) * F.lit(1 << _BITS).cast(_TOTAL) + lo.cast(_TOTAL))
+        lost = hi.isNotNull() & (lo + mid + large).isNull()
+        return F.when(lost, F.raise_error(F.lit(_OVERFLOW)).cast(_TOTAL)).otherwise(total), large
+
+    def _rounded(self, scale: int, average: bool) -> Column:
+        """Sum or average rounded half up to ``scale`` decimals, as a double; NULL when no value.
+
+        Spark's decimal division keeps 6 decimals of the quotient (half up), and that is rounded again
+        to ``scale`` decimals of the value. The first rounding can only matter when a group of more
+        than 2 million rows has an average within 10^-12 of a tie, the same kind of double rounding
+        as Spark's own DECIMAL average."""
+        total, large = self._total()
+        n = F.count(self.micro).cast("decimal(20,0)")
+        million = F.lit(MICRO).cast("decimal(7,0)")
+        units = F.round(total / n if average else total, scale - 6)  # a whole multiple of 10^(6-scale) micro-units
+        small = (units / million).cast("double")
+        value = (total / million).cast(_VALUE) + (large.cast("decimal(20,0)") * F.lit(_BLOCK).cast("decimal(13,0)")).cast(_VALUE)
+        whole = F.round(value / n if average else value, scale).cast("double")
+        odd = F.sum(self.odd)
+        return F.when(odd.isNotNull(), odd).when(large != 0, whole).otherwise(small)
+
+    def avg(self, scale: int = 2) -> Column:
+        return self._rounded(scale, average=True)
+
+    def sum(self, scale: int = 2) -> Column:
+        return self._rounded(scale, average=False)
 
 
 def round_avg(c: Column | str, scale: int = 2) -> Column:
     """``round(avg(c), scale)`` computed exactly; NULLs skipped; double result."""
-    return _rounded(_c(c), scale, average=True)
+    return Exact.of(c).avg(scale)
 
 
 def round_sum(c: Column | str, scale: int = 2) -> Column:
     """``round(sum(c), scale)`` computed exactly; NULL when no value; double result."""
-    return _rounded(_c(c), scale, average=False)
+    return Exact.of(c).sum(scale)
 
 
-def micro_units_sql(x: str) -> str:
-    """Spark SQL text of :func:`micro_units`."""
-    a = f"(abs({x}) * {float(MICRO)!r})"
-    mag = f"(CASE WHEN {a} < {float(1 << 52)!r} THEN floor({a} + 0.5) ELSE CAST({a} AS BIGINT) END)"
-    return f"(CASE WHEN abs({x}) < 1.0E12 THEN (CASE WHEN {x} < 0 THEN -{mag} ELSE {mag} END) END)"
+def shared_parts(df: DataFrame, keep: list[str], **measures: Column) -> tuple[DataFrame, dict[str, Exact]]:
+    """``keep`` and the exact parts of each measure, projected once per row below an aggregate, so that a
+    sum and an average of a measure share them and the aggregate's per-row method stays small."""
+    cols, parts = [], {}
+    for name, c in measures.items():
+        p = Exact.of(c)
+        names = [f"__{part}_{name}" for part in ("micro", "blocks", "odd")]
+        cols += [x.alias(n) for x, n in zip((p.micro, p.blocks, p.odd), names)]
+        parts[name] = Exact(*map(F.col, names))
+    return df.select(*keep, *cols), parts
 
 
 def _rounded_sql(x: str, scale: int, average: bool) -> str:
-    u = micro_units_sql(x)
-    hi, mid, lo = (f"try_sum({p})" for p in (f"shiftright({u}, {2 * _BITS})", f"shiftright({u}, {_BITS}) & {_MASK}",
-                                             f"{u} & {_MASK}"))
-    total = (f"(CASE WHEN {hi} IS NOT NULL AND {lo} + {mid} IS NULL THEN CAST(raise_error('{_OVERFLOW}') AS {_WIDE})"
-             f" ELSE CAST({hi} AS {_WIDE}) * CAST({1 << (2 * _BITS)} AS {_WIDE})"
-             f" + CAST({mid} AS {_WIDE}) * CAST({1 << _BITS} AS {_WIDE}) + CAST({lo} AS {_WIDE}) END)")
-    finite, n = f"abs({x}) < CAST('Infinity' AS DOUBLE)", f"CAST(count({x}) AS DECIMAL(20,0))"
-    wide = f"sum(CASE WHEN {finite} AND abs({x}) >= 1.0E12 THEN CAST({x} AS {_VALUE}) END)"
+    finite = f"abs({x}) < CAST('Infinity' AS DOUBLE)"
+    n_blocks = f"floor(abs({x}) / {float(_BLOCK)!r})"
+    rest = f"(abs({x}) - {n_blocks} * {float(_BLOCK)!r})"
+    m = f"(floor({rest}) * {MICRO} + floor(({rest} - floor({rest})) * {float(MICRO)!r} + 0.5D))"
+    signed = lambda v: f"(CASE WHEN {finite} THEN (CASE WHEN {x} < 0 THEN -{v} ELSE {v} END) END)"
+    u = signed(m)
+    hi, mid, lo, large = (f"try_sum({p})" for p in (
+        f"shiftright({u}, {2 * _BITS})", f"shiftright({u}, {_BITS}) & {_MASK}", f"{u} & {_MASK}", signed(n_blocks)))
+    total = (f"(CASE WHEN {hi} IS NOT NULL AND {lo} + {mid} + {large} IS NULL"
+             f" THEN CAST(raise_error('{_OVERFLOW}') AS {_TOTAL})"
+             f" ELSE CAST({hi} AS {_TOTAL}) * CAST({1 << (2 * _BITS)} AS {_TOTAL})"
+             f" + CAST({mid} AS {_TOTAL}) * CAST({1 << _BITS} AS {_TOTAL}) + CAST({lo} AS {_TOTAL}) END)")
+    part = f" / CAST(count({u}) AS DECIMAL(20,0))" if average else ""
+    million = f"CAST({MICRO} AS DECIMAL(7,0))"
+    value = (f"(CAST({total} / {million} AS {_VALUE})"
+             f" + CAST(CAST({large} AS DECIMAL(20,0)) * CAST({_BLOCK} AS DECIMAL(13,0)) AS {_VALUE}))")
     odd = f"sum(CASE WHEN NOT {finite} THEN {x} END)"
-    part = f" / {n}" if average else ""
-    both = f"(coalesce(CAST({total} / CAST({MICRO} AS DECIMAL(7,0)) AS {_VALUE}), CAST(0 AS {_VALUE})) + {wide})"
     return (f"CASE WHEN {odd} IS NOT NULL THEN {odd}"
-            f" WHEN {wide} IS NOT NULL THEN CAST(round({both}{part}, {scale}) AS DOUBLE)"
-            f" ELSE CAST(round({total}{part}, {scale - 6}) / CAST({MICRO} AS DECIMAL(7,0)) AS DOUBLE) END")
+            f" WHEN {large} != 0 THEN CAST(round({value}{part}, {scale}) AS DOUBLE)"
+            f" ELSE CAST(round({total}{part}, {scale - 6}) / {million} AS DOUBLE) END")
 
 
 def round_avg_sql(x: str, scale: int = 2) -> str:

@@ -7,49 +7,61 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiertrip.config import DEFAULT_THRESHOLDS, Thresholds
-from tiertrip.functions.numeric import round_avg, round_sum
+from tiertrip.functions.numeric import shared_parts
 
 DAILY_KEYS = ("pickup_date", "pickup_borough")
 HOURLY_KEYS = ("pickup_hour", "is_weekend", "pickup_borough", "is_shared_ride")
 ROUTE_KEYS = ("pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone")
 
 
+def tip_percentage():
+    fare = F.col("base_passenger_fare")
+    return F.when(fare > 0, F.col("tips") / fare * F.lit(100.0))
+
+
+_COLUMN = {"fare": "base_passenger_fare", "tip": "tips", "miles": "trip_miles", "minutes": "trip_duration_minutes",
+           "speed": "speed_mph", "wait": "wait_time_minutes"}
+
+
+def _parts(curated: DataFrame, keys: tuple[str, ...], *names: str):
+    """Group keys and the exact parts of the named measures, projected once per row."""
+    return shared_parts(curated, list(keys), **{n: tip_percentage() if n == "tip_pct" else F.col(_COLUMN[n]) for n in names})
+
+
 def daily_borough_summary(curated: DataFrame, sort: bool = True) -> DataFrame:
-    out = curated.groupBy(*DAILY_KEYS).agg(
+    rows, m = _parts(curated, DAILY_KEYS, "fare", "tip", "miles", "minutes", "speed")
+    out = rows.groupBy(*DAILY_KEYS).agg(
         F.count(F.lit(1)).alias("total_trips"),
-        round_sum("base_passenger_fare").alias("total_revenue"),
-        round_avg("base_passenger_fare").alias("avg_fare"),
-        round_avg("tips").alias("avg_tip"),
-        round_avg("trip_miles").alias("avg_trip_miles"),
-        round_avg("trip_duration_minutes").alias("avg_trip_duration_minutes"),
-        round_avg("speed_mph").alias("avg_speed_mph"),
+        m["fare"].sum().alias("total_revenue"),
+        m["fare"].avg().alias("avg_fare"),
+        m["tip"].avg().alias("avg_tip"),
+        m["miles"].avg().alias("avg_trip_miles"),
+        m["minutes"].avg().alias("avg_trip_duration_minutes"),
+        m["speed"].avg().alias("avg_speed_mph"),
     )
     return out.orderBy(*DAILY_KEYS) if sort else out
 
 
-def tip_percentage():
-    fare = F.col("base_passenger_fare")
-    return F.when(fare > 0, F.col("tips") / fare * F.lit(100.0))
-
-
 def hourly_pattern_summary(curated: DataFrame, sort: bool = True) -> DataFrame:
-    out = curated.groupBy(*HOURLY_KEYS).agg(
+    rows, m = _parts(curated, HOURLY_KEYS, "fare", "miles", "tip_pct", "speed", "wait")
+    out = rows.groupBy(*HOURLY_KEYS).agg(
         F.count(F.lit(1)).alias("total_trips"),
-        round_avg("base_passenger_fare").alias("avg_fare"),
-        round_avg("trip_miles").alias("avg_trip_miles"),
-        round_avg(tip_percentage()).alias("avg_tip_percentage"),
-        round_avg("speed_mph").alias("avg_speed_mph"),
-        round_avg("wait_time_minutes").alias("avg_wait_time_minutes"),
+        m["fare"].avg().alias("avg_fare"),
+        m["miles"].avg().alias("avg_trip_miles"),
+        m["tip_pct"].avg().alias("avg_tip_percentage"),
+        m["speed"].avg().alias("avg_speed_mph"),
+        m["wait"].avg().alias("avg_wait_time_minutes"),
     )
     return out.orderBy("pickup_borough", "is_weekend", "pickup_hour", "is_shared_ride") if sort else out
 
 
 def route_summary(curated: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS, sort: bool = True) -> DataFrame:
-    out = (curated.groupBy(*ROUTE_KEYS).agg(
+    rows, m = _parts(curated, ROUTE_KEYS, "fare", "miles", "minutes")
+    out = (rows.groupBy(*ROUTE_KEYS).agg(
         F.count(F.lit(1)).alias("total_trips"),
-        round_avg("base_passenger_fare").alias("avg_fare"),
-        round_avg("trip_miles").alias("avg_trip_miles"),
-        round_avg("trip_duration_minutes").alias("avg_trip_duration_minutes"),
+        m["fare"].avg().alias("avg_fare"),
+        m["miles"].avg().alias("avg_trip_miles"),
+        m["minutes"].avg().alias("avg_trip_duration_minutes"),
     ).filter(F.col("total_trips") >= F.lit(thresholds.min_route_trips)))
     return out.orderBy(F.col("total_trips").desc(), *ROUTE_KEYS) if sort else out
 
@@ -77,16 +89,17 @@ def gold_one_pass(curated: DataFrame) -> DataFrame:
     Each silver row feeds three partial aggregates (an Expand, CPU only); the exchange carries
     partial rows of all three tables at once. Exact aggregates make the rows identical to
     the three separate rollups. Split with :func:`split_gold`."""
-    return curated.groupingSets([list(k) for k in GOLD_SETS.values()], *GOLD_KEYS).agg(
+    rows, m = _parts(curated, GOLD_KEYS, "fare", "tip", "miles", "minutes", "speed", "tip_pct", "wait")
+    return rows.groupingSets([list(k) for k in GOLD_SETS.values()], *GOLD_KEYS).agg(
         F.count(F.lit(1)).alias("total_trips"),
-        round_sum("base_passenger_fare").alias("total_revenue"),
-        round_avg("base_passenger_fare").alias("avg_fare"),
-        round_avg("tips").alias("avg_tip"),
-        round_avg("trip_miles").alias("avg_trip_miles"),
-        round_avg("trip_duration_minutes").alias("avg_trip_duration_minutes"),
-        round_avg("speed_mph").alias("avg_speed_mph"),
-        round_avg(tip_percentage()).alias("avg_tip_percentage"),
-        round_avg("wait_time_minutes").alias("avg_wait_time_minutes"),
+        m["fare"].sum().alias("total_revenue"),
+        m["fare"].avg().alias("avg_fare"),
+        m["tip"].avg().alias("avg_tip"),
+        m["miles"].avg().alias("avg_trip_miles"),
+        m["minutes"].avg().alias("avg_trip_duration_minutes"),
+        m["speed"].avg().alias("avg_speed_mph"),
+        m["tip_pct"].avg().alias("avg_tip_percentage"),
+        m["wait"].avg().alias("avg_wait_time_minutes"),
         F.grouping_id().alias("gold_set"),
     )
 

@@ -9,16 +9,19 @@ Catalyst prunes columns and pushes filters for that query. No data is kept in me
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tiertrip import schemas
 from tiertrip.config import DEFAULT_THRESHOLDS, PROVIDER_LYFT, Thresholds
 from tiertrip.operators import curate as cu
 from tiertrip.operators import derive as dv
 from tiertrip.operators import enrich as en
 from tiertrip.operators import quality as q
 from tiertrip.operators import rollup as ru
+from tiertrip.session import path_exists, scratch_path
 from tiertrip.sources import fixtures, readers
 
 
@@ -96,3 +99,16 @@ class TripLake:
 
     def routes(self, sort: bool = True) -> DataFrame:
         return self._memo(("routes", sort), lambda: ru.route_summary(self.curated(), self.thresholds, sort=sort))
+
+    def gold(self, name: str) -> DataFrame:
+        """A gold table as PIP-2 wrote it: ``daily``, ``hourly`` or ``routes``. The three are written once per
+        input, limits and provider (the bronze folder is named by the files it was made from)."""
+        from tiertrip.plans import medallion as md
+        key = hashlib.sha1(repr((self.bronze_path, self.zones_path, self.thresholds, self.provider)).encode()).hexdigest()
+        root = scratch_path(self.spark, "fixtures", "gold", key[:16])
+        out = md.GoldPaths(*(f"{root}/{t}" for t in ("daily", "hourly", "routes")))
+        if not all(path_exists(self.spark, f"{p}/_SUCCESS") for p in (out.daily, out.hourly, out.routes)):
+            md.write_gold_one_pass(self.spark, self.curated(), out, self.thresholds)
+        schema = {"daily": schemas.DAILY, "hourly": schemas.HOURLY, "routes": schemas.ROUTE}[name]
+        return self._memo(("gold", name), lambda: self.spark.read.schema(schema).parquet(getattr(out, name))
+                          .select(*schema.fieldNames()))

@@ -399,7 +399,7 @@ def fare_statistics(lake):
        count(DISTINCT pickup_date) AS distinct_dates, count(DISTINCT pickup_borough) AS distinct_boroughs FROM daily"""))
 def daily_coverage(lake):
     """AGG-16/DST-1: date range and distinct counts of the daily table."""
-    return rp.daily_coverage(lake.daily(sort=False))
+    return rp.daily_coverage(lake.gold("daily"))
 
 
 @query("borough_revenue_rank", with_(S + [o.DAILY], f"""SELECT pickup_borough, {sum2('total_revenue')} AS total_6m_revenue,
@@ -407,7 +407,7 @@ def daily_coverage(lake):
 FROM daily GROUP BY 1 ORDER BY total_6m_revenue DESC, pickup_borough {NF} LIMIT 6"""))
 def borough_revenue_rank(lake):
     """AGG-17: revenue per borough re-aggregated from the daily table; top 6."""
-    return rp.borough_revenue_rank(lake.daily(sort=False))
+    return rp.borough_revenue_rank(lake.gold("daily"))
 
 
 @query("shared_vs_solo_metrics", with_(S + [o.HOURLY], f"""SELECT is_shared_ride, {avg2('avg_fare')} AS avg_fare,
@@ -416,14 +416,14 @@ def borough_revenue_rank(lake):
 FROM hourly GROUP BY 1"""))
 def shared_vs_solo_metrics(lake):
     """AGG-18: unweighted averages of the hourly averages by shared flag."""
-    return rp.shared_vs_solo_metrics(lake.hourly(sort=False))
+    return rp.shared_vs_solo_metrics(lake.gold("hourly"))
 
 
 @query("top_revenue_days", with_(S + [o.DAILY], f"""SELECT * FROM daily
 ORDER BY total_revenue DESC, pickup_date, pickup_borough {NF} LIMIT 10"""))
 def top_revenue_days(lake):
     """TOP-1: ten (date, borough) rows with the most revenue."""
-    return rp.top_revenue_days(lake.daily(sort=False))
+    return rp.top_revenue_days(lake.gold("daily"))
 
 
 _ROUTE_ORDER = f"total_trips DESC, pickup_borough {NF}, pickup_zone {NF}, dropoff_borough {NF}, dropoff_zone {NF}"
@@ -432,13 +432,13 @@ _ROUTE_ORDER = f"total_trips DESC, pickup_borough {NF}, pickup_zone {NF}, dropof
 @query("top_routes", with_(S + [o.ROUTES], f"SELECT * FROM routes ORDER BY {_ROUTE_ORDER} LIMIT 10"))
 def top_routes(lake):
     """TOP-2: ten busiest routes."""
-    return rp.top_routes(lake.routes(sort=False))
+    return rp.top_routes(lake.gold("routes"))
 
 
 @query("weekday_borough_hours", with_(S + [o.HOURLY], f"SELECT * FROM hourly WHERE pickup_borough = '{BOROUGH}' AND is_weekend = 0"))
 def weekday_borough_hours(lake):
     """FLT-8: one borough's weekday hours."""
-    return rp.weekday_borough_hours(lake.hourly(sort=False), BOROUGH)
+    return rp.weekday_borough_hours(lake.gold("hourly"), BOROUGH)
 
 
 # ---------------------------------------------------------------- zone dimension
@@ -509,14 +509,14 @@ def zone_summary_json(lake):
 @query("saved_q1_daily_revenue", with_(S + [o.DAILY], "SELECT pickup_date, pickup_borough, total_trips, total_revenue, avg_fare FROM daily"))
 def saved_q1(lake):
     """SQL-1: daily revenue trend by borough."""
-    return saved.q1_daily_revenue(lake.daily(sort=False))
+    return saved.q1_daily_revenue(lake.gold("daily"))
 
 
 @query("saved_q2_rush_hour", with_(S + [o.HOURLY], f"""SELECT pickup_hour, is_weekend, is_shared_ride, total_trips, avg_fare,
        avg_speed_mph, avg_wait_time_minutes FROM hourly WHERE pickup_borough = '{BOROUGH}'"""))
 def saved_q2(lake):
     """SQL-2: rush-hour pattern of one borough."""
-    return saved.q2_rush_hour(lake.hourly(sort=False), BOROUGH)
+    return saved.q2_rush_hour(lake.gold("hourly"), BOROUGH)
 
 
 @query("saved_q3_tipping", with_(S + [o.HOURLY], f"""SELECT pickup_hour, is_shared_ride, CAST(sum(total_trips) AS BIGINT) AS trips,
@@ -524,7 +524,7 @@ def saved_q2(lake):
 FROM hourly GROUP BY 1, 2"""))
 def saved_q3(lake):
     """SQL-3: tipping by hour and ride type."""
-    return saved.q3_tipping(lake.hourly(sort=False))
+    return saved.q3_tipping(lake.gold("hourly"))
 
 
 @query("saved_q4_top_routes", with_(S + [o.ROUTES], f"""SELECT pickup_zone, dropoff_zone, pickup_borough, dropoff_borough,
@@ -532,7 +532,7 @@ def saved_q3(lake):
 FROM routes ORDER BY {_ROUTE_ORDER} LIMIT 10"""))
 def saved_q4(lake):
     """SQL-4: top ten routes."""
-    return saved.q4_top_routes(lake.routes(sort=False))
+    return saved.q4_top_routes(lake.gold("routes"))
 
 
 _ZL = ", ".join(f"'{z}'" for z in SPECIAL_ZONES)
@@ -542,7 +542,7 @@ _ZL = ", ".join(f"'{z}'" for z in SPECIAL_ZONES)
 FROM routes WHERE pickup_zone IN ({_ZL}) OR dropoff_zone IN ({_ZL})"""))
 def saved_q5(lake):
     """SQL-5/FLT-9: routes touching the given zones."""
-    return saved.q5_special_zone_routes(lake.routes(sort=False), SPECIAL_ZONES)
+    return saved.q5_special_zone_routes(lake.gold("routes"), SPECIAL_ZONES)
 
 
 @query("saved_q6_monthly_revenue", with_(S + [o.DAILY], f"""SELECT CAST(date_trunc('month', pickup_date) AS DATE) AS month,
@@ -551,14 +551,14 @@ def saved_q5(lake):
 FROM daily GROUP BY 1, 2"""))
 def saved_q6(lake):
     """SQL-6/SCL-11: monthly revenue by borough."""
-    return saved.q6_monthly_revenue(lake.daily(sort=False))
+    return saved.q6_monthly_revenue(lake.gold("daily"))
 
 
 @query("saved_q7_wait", with_(S + [o.HOURLY], f"""SELECT pickup_borough, is_shared_ride, CAST(sum(total_trips) AS BIGINT) AS total_trips,
        {avg2('avg_wait_time_minutes')} AS avg_wait_min FROM hourly GROUP BY 1, 2"""))
 def saved_q7(lake):
     """SQL-7: wait by ride type and borough."""
-    return saved.q7_wait(lake.hourly(sort=False))
+    return saved.q7_wait(lake.gold("hourly"))
 
 
 # ---------------------------------------------------------------- validation
