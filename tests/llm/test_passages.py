@@ -60,8 +60,11 @@ def test_removal_equals_brute_force(spark, limit):
 
 
 def test_query_equals_brute_force(spark):
-    got = registry.op7_deep_shallow_dedup(spark, SF001).collect()
-    assert sorted(map(tuple, got), key=str) == brute(table(SF001, "SELECT doc_id, text FROM documents"))
+    got = registry.op7_deep_shallow_dedup(spark, SF001)
+    want = brute(table(SF001, "SELECT doc_id, text FROM documents"))
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    rel = duck().sql(registry.ORACLE["op7_deep_shallow_dedup"])
+    assert rel.columns == got.columns and sorted(rel.fetchall(), key=str) == want
 
 
 def test_removal_odd_rows(spark):

@@ -188,8 +188,9 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col:
     # About train_rows rows: small enough to send to every task.
     rows = (docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
             .join(F.broadcast(sample), "id").select("y", "id", "text")
-            .mapInArrow(_bags, "y int, id long, x binary").collect())
-    rows = sorted(rows, key=lambda r: (r["id"], r["y"], bytes(r["x"])))
+            .mapInArrow(_bags, "y int, id long, x binary")
+            .groupBy("id").agg(F.min("y").alias("y"), F.min("x").alias("x")).collect())  # a bag per id, however often it comes
+    rows = sorted(rows, key=lambda r: r["id"])
     bags = [np.frombuffer(r["x"], np.float32).reshape(-1, WIDTH).astype(np.float64) for r in rows]
     return Network().fit(bags, np.array([r["y"] for r in rows], float))
 

@@ -76,4 +76,4 @@ QUERIES = {"op1_weak_pii": op1_weak_pii, "op2_hilbert_shards": op2_hilbert_shard
            "op4_attention_mil": op4_attention_mil,
            "op7_deep_shallow_dedup": op7_deep_shallow_dedup,
            "op5_simhash_pigeonring": op5_simhash_pigeonring}
-ORACLE: dict[str, str] = {"op8_minhash_containment": decontaminate.oracle(), "op10_source_mix": mixing.oracle()}
+ORACLE: dict[str, str] = {"op7_deep_shallow_dedup": suffix_dedup.oracle(), "op8_minhash_containment": decontaminate.oracle(), "op10_source_mix": mixing.oracle()}

@@ -484,3 +484,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "mark", F.xxhash64("text"))
     return (keyed.join(spans, ["id", "mark"], "left").select("doc_id", "text", "starts", "ends")
             .mapInArrow(_finish, schema))
+
+
+def oracle(n: int = LENGTH) -> str:
+    """Every string of every document, looked at one by one; for tables whose ids are not NULL."""
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS h FROM documents),
+w AS (SELECT r, doc_id, p, h[p + 1 : p + {n}] AS s
+      FROM (SELECT *, unnest(range(0, octet_length(h) - {n - 1})) AS p FROM d)),
+m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+i AS (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM w JOIN m USING (s) WHERE least < doc_id),
+g AS (SELECT r, p, sum(CASE WHEN p <= before + {n} THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS k FROM i),
+c AS (SELECT r, min(p) AS a, max(p) + {n} AS b FROM g GROUP BY r, k),
+e AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS upto FROM c),
+k AS (SELECT r, sum(b - a) AS gone, count(*) AS spans, max(b) AS last,
+        string_agg(hex(h[upto + 1 : a]), '' ORDER BY a) AS kept
+      FROM e JOIN d USING (r) GROUP BY r)
+SELECT doc_id, octet_length(h)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed,
+  coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(CASE WHEN spans IS NULL THEN h ELSE unhex(kept || hex(h[last + 1 : octet_length(h)])) END) AS kept_sha256
+FROM d LEFT JOIN k USING (r)"""

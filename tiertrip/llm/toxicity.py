@@ -286,7 +286,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col:
     # About train_rows rows: small enough to send to every task.
     texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
     words = F.pandas_udf(_words_of(restorer), "array<string>")
-    rows = (texts.join(F.broadcast(sample), "id").select("y", words("text").alias("words"))
+    rows = (texts.join(F.broadcast(sample), "id").select("id", "y", words("text").alias("words"))
+            .groupBy("id").agg(F.min("y").alias("y"), F.min("words").alias("words"))  # one text per id, however often it comes
             .groupBy("words").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").collect())
     rows = sorted(rows, key=lambda r: r["words"])
     lexicon, rest = fit_lexicon([r["words"] for r in rows], np.array([r["y"] for r in rows], float))
