@@ -13,14 +13,12 @@ def whole_seconds_to_minutes(seconds: Column) -> Column:
 
     100 * s / 60 = 5s / 3 has fractional part 0, 1/3 or 2/3, never a tie, so half-up rounding is
     ``floor((10s + 3) / 6)`` hundredths, and ``k / 100.0`` is the double nearest to that value, as
-    Spark's ``round`` returns. The quotient is at least 1/6 from an integer, so the double
-    division cannot move the floor for |s| below 2^49 seconds; anything beyond goes through
-    Spark's ``round``, so no value overflows. Spark's ``round`` on a double goes through a
-    BigDecimal per row; this stays in primitive arithmetic, which matters because Catalyst inlines
-    the duration into every predicate of the sanity filter."""
-    s = seconds.cast("bigint")
-    fast = F.floor((s * F.lit(10) + F.lit(3)) / F.lit(6)) / F.lit(100.0)
-    return F.when(s.between(-(1 << 49), 1 << 49), fast).otherwise(F.round(s / F.lit(60.0), 2))
+    Spark's ``round`` returns. 10s + 3 is exact in a double for |s| below 2^49 seconds, and the
+    quotient is at least 1/6 from an integer, so the division cannot move the floor. Absurd values
+    beyond (the rules reject them) come out approximate and never overflow. Spark's ``round`` on a
+    double goes through a BigDecimal per row; this stays in primitive arithmetic, which matters
+    because Catalyst inlines the duration into every predicate of the sanity filter."""
+    return F.floor((seconds.cast("double") * F.lit(10.0) + F.lit(3.0)) / F.lit(6.0)) / F.lit(100.0)
 
 
 def duration_minutes(trip_seconds: Column) -> Column:

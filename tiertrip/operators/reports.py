@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tiertrip import schemas
 from tiertrip.config import (DEFAULT_THRESHOLDS, PASSED_REASON, PROVIDER_LYFT, STATUS_PASSED,
                              STATUS_REJECTED, Thresholds)
-from tiertrip.functions.numeric import pct, round_avg, round_value
+from tiertrip.functions.numeric import pct, round_avg, round_sum, round_value, shared_parts
 from tiertrip.functions.trip import month_label
 from tiertrip.operators import derive as dv
 from tiertrip.operators import quality as q
@@ -158,13 +158,15 @@ def shared_breakdown(curated: DataFrame) -> DataFrame:
 
 def fare_statistics(curated: DataFrame) -> DataFrame:
     """AGG-14: fare and trip statistics, one global aggregate."""
-    return curated.agg(
-        round_avg("base_passenger_fare").alias("avg_fare"),
+    rows, m = shared_parts(curated, ["base_passenger_fare"], fare=F.col("base_passenger_fare"), miles=F.col("trip_miles"),
+                           minutes=F.col("trip_duration_minutes"), wait=F.col("wait_time_minutes"))
+    return rows.agg(
+        m["fare"].avg().alias("avg_fare"),
         round_value(F.min("base_passenger_fare"), 2).alias("min_fare"),
         round_value(F.max("base_passenger_fare"), 2).alias("max_fare"),
-        round_avg("trip_miles").alias("avg_miles"),
-        round_avg("trip_duration_minutes").alias("avg_duration_min"),
-        round_avg("wait_time_minutes").alias("avg_wait_min"),
+        m["miles"].avg().alias("avg_miles"),
+        m["minutes"].avg().alias("avg_duration_min"),
+        m["wait"].avg().alias("avg_wait_min"),
     )
 
 
@@ -179,7 +181,6 @@ def daily_coverage(daily: DataFrame) -> DataFrame:
 
 def borough_revenue_rank(daily: DataFrame, n: int = 6) -> DataFrame:
     """AGG-17: re-aggregate daily gold by borough; top-n by revenue."""
-    from tiertrip.functions.numeric import round_sum
     return (daily.groupBy("pickup_borough").agg(
         round_sum("total_revenue").alias("total_6m_revenue"),
         F.sum("total_trips").alias("total_6m_trips"),
