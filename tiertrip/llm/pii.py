@@ -28,7 +28,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from . import weak_labels
 from .common import col, stash
@@ -242,7 +241,6 @@ def find(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_c
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256`` and ``found``: array of
     (k: number of the kind, start, end), base and added spans in order."""
     kind = docs.schema[id_col].dataType
-    to_arrow_type(kind)  # fails early on an id that Arrow cannot carry
     schema = (f"doc_id {kind.simpleString()}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
               "base_sha256 string, cands array<struct<k:int,start:bigint,end:bigint,pattern:string,strict:boolean>>")
     rows = stash(docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")).mapInArrow(_find, schema),

@@ -20,7 +20,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from . import weak_labels
 from .common import col, stash
@@ -127,7 +126,7 @@ def votes(stats: dict[str, np.ndarray]) -> list[str]:
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _measure(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).to_pylist()
         for a, b in by_bytes(texts):
@@ -139,11 +138,9 @@ def _measure(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterato
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, the five counts, and ``votes`` (one character for each of ``RULES``)."""
-    kind = docs.schema[id_col].dataType
-    id_type = to_arrow_type(kind)
-    schema = ", ".join([f"doc_id {kind.simpleString()}", *[f"{c} bigint" for c in _COUNTS], "votes string"])
+    schema = ", ".join([f"doc_id {docs.schema[id_col].dataType.simpleString()}", *[f"{c} bigint" for c in _COUNTS], "votes string"])
     return docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")).mapInArrow(
-        lambda batches: _measure(batches, id_type), schema)
+        _measure, schema)
 
 
 def posterior(votes_col: Column, model: weak_labels.Reliability) -> Column:

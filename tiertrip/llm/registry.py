@@ -68,12 +68,9 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(_table(spark, sf_dir, "documents")).drop("copies")
 
 
-QUERIES = {"op1_weak_pii": op1_weak_pii, "op2_hilbert_shards": op2_hilbert_shards, "op10_source_mix": op10_source_mix,
-           "op6_rank_order_profiles": op6_rank_order_profiles,
-           "op8_minhash_containment": op8_minhash_containment,
-           "op3_rule_votes": op3_rule_votes,
-           "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
-           "op4_attention_mil": op4_attention_mil,
-           "op7_deep_shallow_dedup": op7_deep_shallow_dedup,
-           "op5_simhash_pigeonring": op5_simhash_pigeonring}
-ORACLE: dict[str, str] = {"op7_deep_shallow_dedup": suffix_dedup.oracle(), "op8_minhash_containment": decontaminate.oracle(), "op10_source_mix": mixing.oracle()}
+QUERIES = {f.__name__: f for f in (
+    op1_weak_pii, op2_hilbert_shards, op3_rule_votes, op4_attention_mil, op5_simhash_pigeonring,
+    op6_rank_order_profiles, op7_deep_shallow_dedup, op8_minhash_containment, op9_noisy_channel_toxicity,
+    op10_source_mix)}
+ORACLE: dict[str, str] = {"op7_deep_shallow_dedup": suffix_dedup.oracle(), "op8_minhash_containment": decontaminate.oracle(),
+                          "op10_source_mix": mixing.oracle()}

@@ -33,7 +33,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import col, stash
 from .textarrays import by_bytes, joined, scramble
@@ -471,7 +470,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    group_limit: int = GROUP_LIMIT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, one row per row of ``docs``."""
     kind = docs.schema[id_col].dataType
-    to_arrow_type(kind)  # fails early on an id that Arrow cannot carry
     rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
     found = covered_intervals(docs, id_col, text_col, group_limit)
     schema = f"doc_id {kind.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"

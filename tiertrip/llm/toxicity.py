@@ -38,15 +38,17 @@ from .common import col, hash_share
 LOOK_ALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
                "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "<": "c", "*": "aeiou"}
 _SIGNS = "".join(re.escape(c) for c in LOOK_ALIKES)
-#: Cost of reading a look-alike as a letter, of keeping it, of dropping a separator or a repeat.
-SUBSTITUTE, KEEP_SIGN, DROP = 1.0, 6.0, 0.5
+#: Cost of reading a look-alike as a letter, of leaving it out as a sign, of dropping a separator or a repeat.
+SUBSTITUTE, LEAVE_OUT, DROP = 1.0, 6.0, 0.5
 
 ALPHABET = 64  # classes of the character model: blank, a-z, the rest of the letters by code point
 _SPELLED = re.compile(r"(?<![^\W_])[^\W\d_](?:([ .\-_*])[^\W_](?:\1[^\W_])+)(?![^\W_])")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _SIGN = re.compile(rf"[{_SIGNS}]")
 #: A word with a look-alike before or between its letters; signs after a word are punctuation.
-_ODD = re.compile(rf"(?<![^\W_])(?:[^\W\d_]+[{_SIGNS}]+[^\W\d_]|[{_SIGNS}]+[^\W\d_])(?:[{_SIGNS}]*[^\W\d_])*[{_SIGNS}]{{0,2}}")
+#: It starts at the beginning of a run of signs or letters, so that no run is tried from each of its characters.
+_ODD = re.compile(rf"(?<![^\W_])(?<![{_SIGNS}])(?:[^\W\d_]++[{_SIGNS}]++[^\W\d_]|[{_SIGNS}]++[^\W\d_])"
+                  rf"(?:[{_SIGNS}]*[^\W\d_])*[{_SIGNS}]{{0,2}}")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1+")
 
 
@@ -117,7 +119,7 @@ def decode(word: str, model: CharModel) -> str:
         while c.isalpha() and i + run < len(word) and word[i + run] == c:
             run += 1
         if c in LOOK_ALIKES:
-            steps.append([(x, SUBSTITUTE) for x in LOOK_ALIKES[c]] + [("", KEEP_SIGN)])
+            steps.append([(x, SUBSTITUTE) for x in LOOK_ALIKES[c]] + [("", LEAVE_OUT)])
         elif not c.isalpha():
             steps.append([("", DROP)])
         elif run > 2:
