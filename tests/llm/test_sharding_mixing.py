@@ -34,6 +34,8 @@ def test_shards_of_query(spark):
     for r in rows:
         raw = texts[r["doc_id"]].encode()
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 16, zlib.crc32(raw), "rows", None)
+    rel = duck().sql(registry.ORACLE["op2_hilbert_shards"])
+    assert digest(rel.columns, rel.fetchall())[1] == digest(list(rows[0].asDict()), [tuple(r) for r in rows])[1]
 
 
 def test_shards_follow_the_curve_and_split_hot_cells(spark, monkeypatch):

@@ -116,7 +116,8 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
     cells = stash(gridded.groupBy("cell").agg(F.count("*").alias("n"))
                   .select(F.col("cell").alias("cell_"), hilbert_index(axes).alias("h"),
                           F.ceil(F.col("n") / GROUP_ROWS).alias("parts")), "cells")  # 65,536 rows at most
-    draw = F.pmod(F.xxhash64(F.lit(2), F.coalesce("id", F.col("text_crc32"))), F.lit(1 << 31))
+    key = F.md5(F.concat(F.lit("2:"), F.coalesce("id", F.col("text_crc32")).cast("string")).cast("binary"))
+    draw = F.shiftright(F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint"), 1)  # 31 bits
     placed = gridded.join(F.broadcast(cells), F.col("cell") == F.col("cell_")).withColumn("draw", draw).withColumn(
         "sub", F.floor(F.col("draw") * F.col("parts") / F.lit(float(1 << 31))))
 
@@ -133,3 +134,66 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
     first = F.expr(f"(cast(shard as bigint) * {total}L + {shards - 1}L) div {shards}L")
     return ranked.select(*[F.col("row").getField(c).alias(c) for c in rest], "size", "text_crc32", "shard",
                          (F.col("rank") - first).cast("long").alias("slot"))
+
+
+def _hilbert_sql(axes: int = 4, bits: int = BITS) -> str:
+    """CTEs from ``cells(cell)`` to ``curve(cell, h)``: one step of the transform in each."""
+    names = [f"x{i}" for i in range(axes)]
+    mask = LEVELS - 1
+    first = ", ".join(f"(cell >> {bits * (axes - 1 - i)}) & {mask} AS x{i}" for i in range(axes))
+    steps, last = [f"c0 AS (SELECT cell, {first} FROM cells)"], "c0"
+
+    def step(changed: dict[str, str]) -> None:
+        nonlocal last
+        name = f"c{len(steps)}"
+        cols = ", ".join(f"{changed[x]} AS {x}" if x in changed else x for x in names)
+        steps.append(f"{name} AS (SELECT cell, {cols} FROM {last})")
+        last = name
+
+    for b in range(bits - 1, 0, -1):
+        q, p = 1 << b, (1 << b) - 1
+        for i in range(axes):
+            t = f"(xor(x0, x{i}) & {p})"
+            step({"x0": f"CASE WHEN x{i} & {q} != 0 THEN xor(x0, {p}) ELSE xor(x0, {t}) END"}
+                 | ({f"x{i}": f"CASE WHEN x{i} & {q} != 0 THEN x{i} ELSE xor(x{i}, {t}) END"} if i else {}))
+    for i in range(1, axes):
+        step({f"x{i}": f"xor(x{i}, x{i - 1})"})
+    turn = "0"
+    for b in range(bits - 1, 0, -1):
+        turn = f"xor({turn}, CASE WHEN x{axes - 1} & {1 << b} != 0 THEN {(1 << b) - 1} ELSE 0 END)"
+    step({x: f"xor({x}, {turn})" for x in names})
+    h = " + ".join(f"(((x{i} >> {b}) & 1) << {b * axes + axes - 1 - i})" for b in range(bits) for i in range(axes))
+    return ",\n".join([*steps, f"curve AS (SELECT cell, {h} AS h FROM {last})"])
+
+
+def oracle(shards: int = 40) -> str:
+    """The same order by one global window, with CRC-32 by its table; for tables whose ids are not NULL."""
+    level = lambda c, n: (f"{n} AS (SELECT {c}, (coalesce(sum(n) OVER (ORDER BY {c} NULLS LAST ROWS BETWEEN UNBOUNDED "
+                          f"PRECEDING AND 1 PRECEDING), 0) * {LEVELS} // (SELECT count(*) FROM d))::BIGINT AS level "
+                          f"FROM (SELECT {c}, count(*) AS n FROM d GROUP BY 1))")
+    return f"""
+WITH t AS (
+  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS crc FROM range(256) r(n)),
+d AS (
+  SELECT doc_id, source, lang, octet_length(encode(coalesce(text, ''))) + 16 AS size, encode(coalesce(text, '')) AS b
+  FROM documents),
+e AS (
+  SELECT d.*, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, size - 15), lambda i:
+      ('0x' || hex(b[i : i]))::BIGINT)), lambda c, x: xor(c >> 8, t.crc[(xor(c, x) & 255) + 1])), 4294967295) AS crc
+  FROM d, t),
+{level("source", "sl")},
+{level("lang", "ll")},
+w AS (SELECT min(doc_id) AS low, greatest(1, (max(doc_id) - min(doc_id)) // {LEVELS} + 1) AS step FROM d),
+f AS (
+  SELECT doc_id, size, crc, ((sl.level * {LEVELS} + ll.level) * {LEVELS}
+      + least(greatest(floor(log2(size))::BIGINT - 4, 0), {LEVELS - 1})) * {LEVELS} + (doc_id - w.low) // w.step AS cell,
+    ('0x' || substr(md5('2:' || doc_id), 1, 8))::BIGINT >> 1 AS draw
+  FROM e, w, sl, ll WHERE e.source IS NOT DISTINCT FROM sl.source AND e.lang IS NOT DISTINCT FROM ll.lang),
+cells AS (SELECT DISTINCT cell FROM f),
+{_hilbert_sql()},
+g AS (SELECT *, row_number() OVER (ORDER BY h, draw, doc_id) - 1 AS rank, count(*) OVER () AS total FROM f JOIN curve USING (cell)),
+s AS (SELECT *, rank * {shards} // total AS shard FROM g)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, shard::INTEGER AS shard,
+  (rank - (shard * total + {shards - 1}) // {shards})::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM s"""

@@ -72,5 +72,5 @@ QUERIES = {f.__name__: f for f in (
     op1_weak_pii, op2_hilbert_shards, op3_rule_votes, op4_attention_mil, op5_simhash_pigeonring,
     op6_rank_order_profiles, op7_deep_shallow_dedup, op8_minhash_containment, op9_noisy_channel_toxicity,
     op10_source_mix)}
-ORACLE: dict[str, str] = {"op7_deep_shallow_dedup": suffix_dedup.oracle(), "op8_minhash_containment": decontaminate.oracle(),
+ORACLE: dict[str, str] = {"op2_hilbert_shards": hilbert.oracle(), "op7_deep_shallow_dedup": suffix_dedup.oracle(), "op8_minhash_containment": decontaminate.oracle(),
                           "op10_source_mix": mixing.oracle()}
