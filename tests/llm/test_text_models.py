@@ -82,6 +82,15 @@ def test_restoring_disguised_words(spark):
     assert restorer.words(None) == restorer.words("") == restorer.words("12 34 !!") == set()
 
 
+def test_spelled_out_words_beside_other_single_letters(spark):
+    restorer = toxicity.Restorer(model_of(spark, CLEAN + RUDE * 3))
+    for spelled, plain in [("a s t u p i d man", "stupid"), ("y o u i d i o t", "idiot"), ("$ t u p i d", "stupid"),
+                           ("1 d i o t", "idiot"), ("a-m-0-r-o-n", "moron"), ("you l 0 $ e r", "loser")]:
+        assert plain in restorer.words(spelled), spelled
+    assert "you" in restorer.words("y o u i d i o t") and "shit" in restorer.words("s h ! t")
+    assert restorer.words("1 2 3 4 5 $ 7") == set()
+
+
 def test_long_runs_take_linear_time(spark):
     restorer, began = toxicity.Restorer(model_of(spark, CLEAN)), time.time()
     for piece in ("*", "7", "a", "a ", "a-", "*a", "a*", "$$a", "1a ", "é"):

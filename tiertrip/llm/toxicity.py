@@ -2,11 +2,12 @@
 
 Restoration. A word that mixes letters with look-alike digits and signs, repeats a letter three
 times or more, or is spelled out with separators becomes a lattice: each character is itself or a
-letter it stands for, a separator may be dropped, a repeat may be cut to one or two. Viterbi decoding
-picks the path of least cost, the channel's cost plus that of a trigram character model. All other
-words have a lattice of one path and are left alone. The character model is counted over all texts
-given (partial counts in each task, summed by Spark): its table is bounded by the alphabet cubed, and
-its counts grow with the corpus.
+letter it stands for, a separator may be dropped or be a break between two words, a repeat may be cut to
+one or two. Viterbi decoding picks the path of least cost, the channel's cost plus that of a trigram
+character model, and its breaks split it into words (see ``BREAKS``). All other words have a lattice of
+one path and are left alone. The character model is counted over all texts given (partial counts in
+each task, summed by Spark): its table is bounded by the alphabet cubed, and its counts grow with the
+corpus.
 
 Scoring. Features of a document are its distinct restored words and their beginnings of four to six
 letters. A lexicon of features with their toxic probabilities is learned by sequential covering from
@@ -40,9 +41,16 @@ LOOK_ALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 _SIGNS = "".join(re.escape(c) for c in LOOK_ALIKES)
 #: Cost of reading a look-alike as a letter, of leaving it out as a sign, of dropping a separator or a repeat.
 SUBSTITUTE, LEAVE_OUT, DROP = 1.0, 6.0, 0.5
+#: Cost of reading a separator as a break between two words. Three characters seldom tell where a word ends, so
+#: what is spelled out is read once at each of these costs, from one word to many, and all readings count.
+BREAKS = (np.inf, 0.5, -1.0, -2.0, -3.5)
 
 ALPHABET = 64  # classes of the character model: blank, a-z, the rest of the letters by code point
-_SPELLED = re.compile(r"(?<![^\W_])[^\W\d_](?:([ .\-_*])[^\W_](?:\1[^\W_])+)(?![^\W_])")
+#: Three or more single letters, digits or look-alikes with the same separator between them; a sign after another sign starts none.
+_UNIT = rf"(?!_)[\w{_SIGNS}]"
+_SPELLED = re.compile(rf"(?<![^\W_])(?:[^\W_]|(?<![{_SIGNS}])[{_SIGNS}])([ .\-_*]){_UNIT}(?:\1{_UNIT})+(?![^\W_])")
+_LETTER = re.compile(r"[^\W\d_]")
+_SEPARATORS = frozenset(" .-_*")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _SIGN = re.compile(rf"[{_SIGNS}]")
 #: A word with a look-alike before or between its letters; signs after a word are punctuation.
@@ -109,16 +117,24 @@ def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
     return CharModel(np.array([r["gram"] for r in counts], np.int64), np.array([r["n"] for r in counts], float))
 
 
-def decode(word: str, model: CharModel) -> str:
-    """The likeliest plain spelling of one lower-cased word (Viterbi over its character lattice)."""
+def is_spelled(word: str) -> bool:
+    return word[1:2] in _SEPARATORS and _SPELLED.fullmatch(word) is not None
+
+
+def decode(word: str, model: CharModel, break_cost: float = BREAKS[1]) -> str:
+    """The likeliest plain spelling of one lower-cased word, or words with blanks between them where it
+    is spelled out (Viterbi over its character lattice)."""
     steps: list[list[tuple[str, float]]] = []
+    spelled = is_spelled(word)
     i = 0
     while i < len(word):
         c = word[i]
         run = 1
         while c.isalpha() and i + run < len(word) and word[i + run] == c:
             run += 1
-        if c in LOOK_ALIKES:
+        if spelled and i % 2:
+            steps.append([("", DROP), (" ", break_cost), *((x, SUBSTITUTE) for x in LOOK_ALIKES.get(c, ""))])
+        elif c in LOOK_ALIKES:
             steps.append([(x, SUBSTITUTE) for x in LOOK_ALIKES[c]] + [("", LEAVE_OUT)])
         elif not c.isalpha():
             steps.append([("", DROP)])
@@ -161,19 +177,21 @@ class Restorer:
         found = set(_PLAIN.findall(low))
         if _SIGN.search(low):
             found.update(m[0] for m in _ODD.finditer(low))
-        if sum(len(w) == 1 for w in found) > 1:
-            found.update(m[0] for m in _SPELLED.finditer(low))
+        if any(len(w) == 1 for w in found):
+            found.update(m[0] for m in _SPELLED.finditer(low) if _LETTER.search(m[0]))
         return found
 
     def restored(self, word: str) -> tuple[str, ...]:
-        """The word, and its decoded form where its lattice has more than one path."""
+        """The word, and the words of its decoded forms where its lattice has more than one path."""
         out = self.known.get(word)
         if out is None:
             plain = word.isalpha()
             if len(word) > 64 or plain and not _TRIPLE.search(word):
                 out = (word,)
             else:
-                out = (word, decode(word, self.model)) if plain else (decode(word, self.model),)
+                costs = BREAKS if is_spelled(word) else BREAKS[1:2]
+                read = [w for c in costs for w in decode(word, self.model, c).split()]
+                out = tuple(dict.fromkeys([word] * plain + read))
             if len(self.known) >= self.remember:
                 self.known.clear()
             self.known[word] = out
