@@ -91,6 +91,14 @@ def test_spelled_out_words_beside_other_single_letters(spark):
     assert restorer.words("1 2 3 4 5 $ 7") == set()
 
 
+def test_long_disguises_are_restored(spark):
+    restorer = toxicity.Restorer(model_of(spark, CLEAN + RUDE * 3))
+    sentence = "the old stone bridge is under a stupid loser and a worthless moron"
+    assert {"stupid", "loser", "worthless", "moron"} <= restorer.words("-".join(sentence.replace(" ", "")))
+    assert "stupid" in restorer.words("st" + "u" * 90 + "pid")
+    assert restorer.words("l0ser" * 20) == {"loser" * 20, "l", "ser", "serl"}
+
+
 def test_long_runs_take_linear_time(spark):
     restorer, began = toxicity.Restorer(model_of(spark, CLEAN)), time.time()
     for piece in ("*", "7", "a", "a ", "a-", "*a", "a*", "$$a", "1a ", "é"):

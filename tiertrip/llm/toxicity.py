@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -43,9 +44,10 @@ _SIGNS = "".join(re.escape(c) for c in LOOK_ALIKES)
 SUBSTITUTE, LEAVE_OUT, DROP = 1.0, 6.0, 0.5
 #: Cost of reading a separator as a break between two words. Three characters seldom tell where a word ends, so
 #: what is spelled out is read once at each of these costs, from one word to many, and all readings count.
-BREAKS = (np.inf, 0.5, -1.0, -2.0, -3.5)
+BREAKS = (np.inf, 0.5, -2.0)
 
 ALPHABET = 64  # classes of the character model: blank, a-z, the rest of the letters by code point
+_READINGS = {c: tuple((x, SUBSTITUTE) for x in letters) for c, letters in LOOK_ALIKES.items()}
 #: Three or more single letters, digits or look-alikes with the same separator between them; a sign after another sign starts none.
 _UNIT = rf"(?!_)[\w{_SIGNS}]"
 _SPELLED = re.compile(rf"(?<![^\W_])(?:[^\W_]|(?<![{_SIGNS}])[{_SIGNS}])([ .\-_*]){_UNIT}(?:\1{_UNIT})+(?![^\W_])")
@@ -57,6 +59,8 @@ _SIGN = re.compile(rf"[{_SIGNS}]")
 #: It starts at the beginning of a run of signs or letters, so that no run is tried from each of its characters.
 _ODD = re.compile(rf"(?<![^\W_])(?<![{_SIGNS}])(?:[^\W\d_]++[{_SIGNS}]++[^\W\d_]|[{_SIGNS}]++[^\W\d_])"
                   rf"(?:[{_SIGNS}]*[^\W\d_])*[{_SIGNS}]{{0,2}}")
+#: One step of a lattice: each reading of a character, and its cost.
+Options = tuple[tuple[str, float], ...]
 _TRIPLE = re.compile(r"([^\W\d_])\1\1+")
 
 
@@ -108,6 +112,34 @@ class CharModel:
         p2 = (n2 + 20 * p1) / (n2.sum(1, keepdims=True) + 20)
         p3 = (n3 + 20 * p2) / (n3.sum(2, keepdims=True) + 20)
         self.cost = -np.log(p3).astype(np.float32)
+        self._table: list | None = None
+        self._ways: dict = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"_table": None, "_ways": {}}
+
+    def ways(self, states: tuple[int, ...], options: Options) -> tuple[tuple[int, ...], list]:
+        """The states (last two classes) that one step of a lattice leads to, and for each the ways into it:
+        (index of the state before, cost, characters). Remembered, up to a bound, since long runs repeat them."""
+        out = self._ways.get((states, options))
+        if out is None:
+            if self._table is None:
+                self._table = self.cost.reshape(ALPHABET * ALPHABET, ALPHABET).tolist()
+            into: dict[int, list[tuple[int, float, str]]] = {}
+            for chars, extra in options:
+                classes = [_class(ch) for ch in chars]
+                for i, state in enumerate(states):
+                    here = extra
+                    for k in classes:
+                        here += self._table[state][k]
+                        state = state % ALPHABET * ALPHABET + k
+                    into.setdefault(state, []).append((i, here, chars))
+            out = (tuple(into), list(into.values()))
+            if len(options[0][0]) <= 16:
+                if len(self._ways) >= 2000:
+                    self._ways.clear()
+                self._ways[states, options] = out
+        return out
 
 
 def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
@@ -121,43 +153,73 @@ def is_spelled(word: str) -> bool:
     return word[1:2] in _SEPARATORS and _SPELLED.fullmatch(word) is not None
 
 
+def _joined(options: Options, after: str) -> Options:
+    return _short_joined(options, after) if len(after) < 16 else tuple((chars + after, cost) for chars, cost in options)
+
+
+@lru_cache(10_000)
+def _short_joined(options: Options, after: str) -> Options:
+    return tuple((chars + after, cost) for chars, cost in options)
+
+
 def decode(word: str, model: CharModel, break_cost: float = BREAKS[1]) -> str:
     """The likeliest plain spelling of one lower-cased word, or words with blanks between them where it
     is spelled out (Viterbi over its character lattice)."""
-    steps: list[list[tuple[str, float]]] = []
     spelled = is_spelled(word)
-    i = 0
+    breaks = () if break_cost == np.inf else ((" ", break_cost),)
+    # Characters with one reading are joined to the readings before them.
+    steps: list[Options] = []
+    options, fixed, i = (("", 0.0),), [], 0
     while i < len(word):
         c = word[i]
         run = 1
         while c.isalpha() and i + run < len(word) and word[i + run] == c:
             run += 1
+        letters = _READINGS.get(c, ())
         if spelled and i % 2:
-            steps.append([("", DROP), (" ", break_cost), *((x, SUBSTITUTE) for x in LOOK_ALIKES.get(c, ""))])
-        elif c in LOOK_ALIKES:
-            steps.append([(x, SUBSTITUTE) for x in LOOK_ALIKES[c]] + [("", LEAVE_OUT)])
+            readings = (("", DROP), *breaks, *letters)
+        elif letters:
+            readings = (*letters, ("", LEAVE_OUT))
         elif not c.isalpha():
-            steps.append([("", DROP)])
+            readings = (("", DROP),)
         elif run > 2:
-            steps.append([(c, DROP), (c + c, DROP)])
+            readings = ((c, DROP), (c + c, DROP))
+        else:
+            readings = ((c * run, 0.0),)
+        if len(readings) == 1:
+            fixed.append(readings[0][0])
         else:
-            steps.append([(c * run, 0.0)])
+            steps.append(_joined(options, "".join(fixed)))
+            options, fixed = readings, []
         i += run
-    cost = model.cost
-    paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for options in [*steps, [(" ", 0.0)]]:
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (total, out) in paths.items():
-            for chars, extra in options:
-                x, y, here = a, b, total + extra
-                for ch in chars:
-                    k = _class(ch)
-                    here += float(cost[x, y, k])
-                    x, y = y, k
-                if (x, y) not in new or here < new[x, y][0]:
-                    new[x, y] = (here, out + chars)
-        paths = new
-    return min(paths.values())[1].strip()
+    steps.append(_joined(options, "".join(fixed) + " "))
+    # A path's text is a chain of (chain before, characters): chains that no path continues are freed on the way.
+    states, totals, chains = (0,), [0.0], [None]
+    for options in steps:
+        states, ways = model.ways(states, options)
+        best_totals, best_chains = [], []
+        for edges in ways:
+            best = np.inf
+            for i, extra, chars in edges:
+                here = totals[i] + extra
+                if here < best:
+                    best, source, out = here, i, chars
+            best_totals.append(best)
+            best_chains.append((chains[source], out) if out else chains[source])
+        totals, chains = best_totals, best_chains
+    chain, parts = chains[totals.index(min(totals))], []
+    while chain:
+        chain, chars = chain
+        parts.append(chars)
+    return "".join(reversed(parts)).strip()
+
+
+def _remember(known: dict, word: str, out: tuple[str, ...], most: int) -> None:
+    if len(word) > 64:  # long ones seldom come again and would make the memory large
+        return
+    if len(known) >= most:
+        known.clear()
+    known[word] = out
 
 
 class Restorer:
@@ -186,15 +248,13 @@ class Restorer:
         out = self.known.get(word)
         if out is None:
             plain = word.isalpha()
-            if len(word) > 64 or plain and not _TRIPLE.search(word):
+            if plain and not _TRIPLE.search(word):
                 out = (word,)
             else:
                 costs = BREAKS if is_spelled(word) else BREAKS[1:2]
                 read = [w for c in costs for w in decode(word, self.model, c).split()]
                 out = tuple(dict.fromkeys([word] * plain + read))
-            if len(self.known) >= self.remember:
-                self.known.clear()
-            self.known[word] = out
+            _remember(self.known, word, out, self.remember)
         return out
 
     def words(self, text: str | None) -> set[str]:
@@ -221,9 +281,7 @@ class Model:
         out = self.known.get(word)
         if out is None:
             out = tuple(f for r in self.restorer.restored(word) for f in features(r) if f in self.lexicon)
-            if len(self.known) >= self.restorer.remember:
-                self.known.clear()
-            self.known[word] = out
+            _remember(self.known, word, out, self.restorer.remember)
         return out
 
     def score(self, text: str | None) -> float:
