@@ -99,6 +99,14 @@ def test_long_disguises_are_restored(spark):
     assert restorer.words("l0ser" * 20) == {"loser" * 20, "l", "ser", "serl"}
 
 
+def test_disguised_ends_and_doubled_letters(spark):
+    restorer = toxicity.Restorer(model_of(spark, CLEAN + RUDE * 3 + ["you ass what a waste of letters"] * 5))
+    for disguised, plain in [("idio7", "idiot"), ("a$$", "ass"), ("a55", "ass"), ("wast3", "waste"), ("stuupid", "stupid"),
+                             ("idiiot", "idiot"), ("tra$h!!", "trash")]:
+        assert any(w.startswith(plain) for w in restorer.words(f"so {disguised}, then")), disguised
+    assert restorer.words("stupid! morning!! (bread) river* letters") == {"stupid", "morning", "bread", "river", "letters"}
+
+
 def test_long_runs_take_linear_time(spark):
     restorer, began = toxicity.Restorer(model_of(spark, CLEAN)), time.time()
     for piece in ("*", "7", "a", "a ", "a-", "*a", "a*", "$$a", "1a ", "é"):

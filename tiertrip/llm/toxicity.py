@@ -1,9 +1,9 @@
 """Toxicity scoring of restored text: noisy-channel deobfuscation, then a word classifier.
 
-Restoration. A word that mixes letters with look-alike digits and signs, repeats a letter three
-times or more, or is spelled out with separators becomes a lattice: each character is itself or a
-letter it stands for, a separator may be dropped or be a break between two words, a repeat may be cut to
-one or two. Viterbi decoding picks the path of least cost, the channel's cost plus that of a trigram
+Restoration. A word that mixes letters with look-alike digits and signs, repeats a letter, or is spelled
+out with separators becomes a lattice: each character is itself or a letter it stands for, punctuation
+after the last letter may be left out at little cost, a separator may be dropped or be a break between
+two words, a repeat may be cut to one or two. Viterbi decoding picks the path of least cost, the channel's cost plus that of a trigram
 character model, and its breaks split it into words (see ``BREAKS``). All other words have a lattice of
 one path and are left alone. The character model is counted over all texts given (partial counts in
 each task, summed by Spark): its table is bounded by the alphabet cubed, and its counts grow with the
@@ -42,6 +42,8 @@ LOOK_ALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 _SIGNS = "".join(re.escape(c) for c in LOOK_ALIKES)
 #: Cost of reading a look-alike as a letter, of leaving it out as a sign, of dropping a separator or a repeat.
 SUBSTITUTE, LEAVE_OUT, DROP = 1.0, 6.0, 0.5
+#: Signs that also end a word as punctuation, and the cost of leaving one out after the last letter of a word.
+PUNCTUATION, TRAILING = frozenset("!*+|(<"), 0.5
 #: Cost of reading a separator as a break between two words. Three characters seldom tell where a word ends, so
 #: what is spelled out is read once at each of these costs, from one word to many, and all readings count.
 BREAKS = (np.inf, 0.5, -2.0)
@@ -55,13 +57,12 @@ _LETTER = re.compile(r"[^\W\d_]")
 _SEPARATORS = frozenset(" .-_*")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _SIGN = re.compile(rf"[{_SIGNS}]")
-#: A word with a look-alike before or between its letters; signs after a word are punctuation.
-#: It starts at the beginning of a run of signs or letters, so that no run is tried from each of its characters.
-_ODD = re.compile(rf"(?<![^\W_])(?<![{_SIGNS}])(?:[^\W\d_]++[{_SIGNS}]++[^\W\d_]|[{_SIGNS}]++[^\W\d_])"
-                  rf"(?:[{_SIGNS}]*[^\W\d_])*[{_SIGNS}]{{0,2}}")
+#: A run of letters and look-alikes with both in it. It starts at the beginning of a run of signs or letters, so
+#: that no run is tried from each of its characters.
+_ODD = re.compile(rf"(?<![^\W_])(?<![{_SIGNS}])(?:[^\W\d_]++[{_SIGNS}]|[{_SIGNS}]++[^\W\d_])(?:[^\W\d_]|[{_SIGNS}])*+")
 #: One step of a lattice: each reading of a character, and its cost.
 Options = tuple[tuple[str, float], ...]
-_TRIPLE = re.compile(r"([^\W\d_])\1\1+")
+_REPEAT = re.compile(r"([^\W\d_])\1")
 
 
 def _class(c: str) -> int:
@@ -170,6 +171,9 @@ def decode(word: str, model: CharModel, break_cost: float = BREAKS[1]) -> str:
     # Characters with one reading are joined to the readings before them.
     steps: list[Options] = []
     options, fixed, i = (("", 0.0),), [], 0
+    end = len(word)
+    while end and not _LETTER.match(word, end - 1):
+        end -= 1
     while i < len(word):
         c = word[i]
         run = 1
@@ -179,13 +183,13 @@ def decode(word: str, model: CharModel, break_cost: float = BREAKS[1]) -> str:
         if spelled and i % 2:
             readings = (("", DROP), *breaks, *letters)
         elif letters:
-            readings = (*letters, ("", LEAVE_OUT))
+            readings = (*letters, ("", TRAILING if i >= end and c in PUNCTUATION else LEAVE_OUT))
         elif not c.isalpha():
             readings = (("", DROP),)
-        elif run > 2:
-            readings = ((c, DROP), (c + c, DROP))
+        elif run > 1:
+            readings = ((c, DROP), (c + c, DROP if run > 2 else 0.0))
         else:
-            readings = ((c * run, 0.0),)
+            readings = ((c, 0.0),)
         if len(readings) == 1:
             fixed.append(readings[0][0])
         else:
@@ -248,7 +252,7 @@ class Restorer:
         out = self.known.get(word)
         if out is None:
             plain = word.isalpha()
-            if plain and not _TRIPLE.search(word):
+            if plain and not _REPEAT.search(word):
                 out = (word,)
             else:
                 costs = BREAKS if is_spelled(word) else BREAKS[1:2]
