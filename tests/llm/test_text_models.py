@@ -137,6 +137,19 @@ def test_decoding_equals_all_paths(spark):
         assert toxicity.decode(w, model) == best(w)
 
 
+def test_only_near_copies_are_left_out_of_the_lexicon():
+    shared = [f"word{i}" for i in range(60)]
+    other = [sorted(shared + [f"own{d}x{i}" for i in range(20)]) for d in range(300)]  # any two: Jaccard 0.6
+    copies = [sorted(other[0] + [f"more{d}"]) for d in range(40)]
+    docs = other + copies + [[], []]
+    labels = np.array([float(d % 2) for d in range(300)] + [0.0] * 40 + [0.0, 0.0])
+    kept = toxicity._apart(docs, labels)
+    assert kept == [*range(300), 340]
+    few = [sorted(shared + [f"own{d}x{i}" for i in range(20)] + ["vile"] * (d < 4)) for d in range(40)]
+    lexicon, _ = toxicity.fit_lexicon(few, np.array([float(d < 4) for d in range(40)]))
+    assert "vile" in lexicon
+
+
 def test_toxicity_query_on_labels(spark):
     out = {r["doc_id"]: r for r in registry.op9_noisy_channel_toxicity(spark, SF01).collect()}
     assert len(out) == 1000

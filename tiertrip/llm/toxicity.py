@@ -11,8 +11,9 @@ corpus.
 
 Scoring. Features of a document are its distinct restored words and their beginnings of four to six
 letters. A lexicon of features with their toxic probabilities is learned by sequential covering from
-at most about ``train_rows`` labelled documents, equal texts once, taken by a hash of the id (all
-where there are fewer); rows to hold out are the caller's filter. The score is the probability that at
+at most about ``train_rows`` labelled documents, equal texts and near copies (four fifths of the distinct
+words in common) once, taken by a hash of the id (all where there are fewer); rows to hold out are the
+caller's filter. The score is the probability that at
 least one of the document's features is toxic. It uses the whole text, and a feature counts once, so
 that a long clean text around it does not dilute it.
 
@@ -35,6 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import col, hash_share
+from .textarrays import scramble
 
 #: What a character can stand for in disguise.
 LOOK_ALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -298,13 +300,41 @@ class Model:
         return 1 - clean
 
 
-def _apart(docs: list[list[str]], labels: np.ndarray) -> list[int]:
-    """One document of each MinHash signature of two values and label: near copies count about once."""
-    seen: dict[tuple, int] = {}
-    for i, d in enumerate(docs):
-        sign = tuple(min((xxhash.xxh64_intdigest(w, s) for w in d), default=0) for s in (1, 2))
-        seen.setdefault((*sign, float(labels[i])), i)
-    return sorted(seen.values())
+def _signatures(docs: list[list[str]], size: int) -> np.ndarray:
+    """``size`` MinHash values of each document's words (the upper 32 bits of each); documents are not empty."""
+    at: dict[str, int] = {}
+    index = np.array([at.setdefault(w, len(at)) for d in docs for w in d], np.int64)
+    first = np.concatenate(([0], np.cumsum([len(d) for d in docs])[:-1]))
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in at], np.uint64)
+    out = np.empty((len(docs), size), np.uint32)
+    for j in range(size):
+        key = np.uint64(xxhash.xxh64_intdigest(str(j)))
+        out[:, j] = np.minimum.reduceat((scramble(hashes ^ key) >> np.uint64(32)).astype(np.uint32)[index], first)
+    return out
+
+
+def _apart(docs: list[list[str]], labels: np.ndarray, alike: float = 0.8, size: int = 64) -> list[int]:
+    """The documents without near copies: one goes only if its distinct words have a Jaccard similarity of at
+    least ``alike``, counted, with a kept one of its label. Documents whose MinHash values agree to about that
+    share are compared, the likeliest first; those are only candidates."""
+    kept: list[int] = []
+    for label in np.unique(labels):
+        rows = [i for i in np.flatnonzero(labels == label) if docs[i]]
+        kept += [i for i in np.flatnonzero(labels == label) if not docs[i]][:1]
+        if not rows:
+            continue
+        signs, sets = _signatures([docs[i] for i in rows], size), [frozenset(docs[i]) for i in rows]
+        held, here = np.empty((len(rows), size), np.uint32), []
+        for i, words in enumerate(sets):
+            agree = (held[:len(here)] == signs[i]).mean(1)
+            near = np.flatnonzero(agree >= alike - 0.2)
+            if any(len(words & sets[j]) >= alike * len(words | sets[j])
+                   for j in (here[k] for k in near[np.argsort(-agree[near], kind="stable")])):
+                continue
+            held[len(here)] = signs[i]
+            here.append(i)
+        kept += [rows[i] for i in here]
+    return sorted(int(i) for i in kept)
 
 
 def fit_lexicon(docs: list[list[str]], labels: np.ndarray, min_docs: int = 3, precision: float = 0.6,
@@ -313,7 +343,7 @@ def fit_lexicon(docs: list[list[str]], labels: np.ndarray, min_docs: int = 3, pr
     taken, until none is left that is in ``min_docs`` of them and right with ``precision``. So words
     that merely stand beside a toxic one are not learned. Features that are right with ``sure``,
     in so many toxic documents that no feature is expected there by chance (with ``chance``), are learned besides. Near
-    copies count about once. Labels are 0 and 1."""
+    copies (see ``_apart``) count once. Labels are 0 and 1."""
     if not len(labels):
         return {}, 0.0
     few = _apart(docs, labels)
