@@ -2,6 +2,7 @@ import collections
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from tests.llm.helpers import SF001, SF01, WORD, empty_docs, odd_docs, odd_rows, prose, table
 from tiertrip.llm import quality_mil, quality_rules, registry
@@ -90,6 +91,20 @@ def test_attention_weighs_the_bad_passage(spark):
     assert net.attention(x, first)[:first[1]].argmax() >= 2
 
 
+def test_attention_learns_from_long_documents(spark):
+    rows = [(i, prose(i, 64 * 260) if i % 2 else "CLICK!! HERE!! " * 32 * 260) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    for most in (400_000, 1000, 1):
+        net = quality_mil.fit(docs, labels, train_passages=most)
+        assert net.constant is None and net.score(*quality_mil.encode([prose(99, 640)])).item() != 0.5
+    assert quality_mil._within([(1, 0, 5), (2, 0, 5), (3, 0, 5), (4, 1, 9), (5, 1, 1)], 10) == [1, 2, 4]
+    texts = [None, "", "a b", " ".join("w" * 200), prose(3, 129), "x\n\ny"]
+    sizes = next(quality_mil._sizes([pa.RecordBatch.from_arrays(
+        [pa.array([1] * 6), pa.array(range(6)), pa.array(texts)], names=["y", "id", "text"])]))
+    assert sizes["n"].to_pylist() == np.diff(quality_mil.encode(texts)[1]).tolist()
+
+
 def test_attention_odd_rows(spark):
     docs, labels = odd_docs(spark), spark.createDataFrame([(5, 1), (7, 0), (7, 1), (None, 1), (9, 0), (8, None)], "doc_id long, quality int")
     net = quality_mil.fit(docs, labels)

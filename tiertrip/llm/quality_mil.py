@@ -7,8 +7,9 @@ the document's score is a logistic function of the weighted mean of its h. Only
 labels; which passages decide is learned.
 
 The network is fitted on at most about ``train_rows`` labelled documents, taken by a hash of the id
-(all where there are fewer), leaving out of the fit those of more than ``MAX_BAG`` passages, so its
-input is bounded; rows to hold out are the caller's filter. Every passage of every document is scored,
+(all where there are fewer), whatever their length. Where these have more than ``train_passages``
+passages together, fewer are taken, in the order of the hash, until the next would exceed it; the first
+of each label is always taken. Rows to hold out are the caller's filter. Every passage of every document is scored,
 in one map over the texts.
 
 Edge cases. NULL or empty text: a bag of one empty passage. Label rows with a NULL label, or with
@@ -31,7 +32,6 @@ from .textarrays import (CLOSING, CODE_POINT, DIGIT, IN_WORD, LETTER, LETTER_BYT
                          joined, scramble, words)
 
 PASSAGE = 64
-MAX_BAG = 256
 SIGNS = 16
 _STATS = 16
 WIDTH = _STATS + SIGNS
@@ -163,22 +163,46 @@ class Network:
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(label, id, bytes of the passage encodings) of the labelled texts with at most MAX_BAG passages."""
+    """(label, id, bytes of the passage encodings) of the labelled texts."""
     for batch in batches:
         texts = batch.column(2).to_pylist()
         for a, b in by_bytes(texts):
             x, first = encode(texts[a:b])
-            fits = [i for i in range(b - a) if first[i + 1] - first[i] <= MAX_BAG]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a).take(pa.array(fits, pa.int64())),
-                 batch.column(1).slice(a, b - a).take(pa.array(fits, pa.int64())),
-                 pa.array([x[first[i]:first[i + 1]].tobytes() for i in fits], pa.binary())], names=["y", "id", "x"])
+                [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
+                 pa.array([x[first[i]:first[i + 1]].tobytes() for i in range(b - a)], pa.binary())], names=["y", "id", "x"])
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, passages) of the labelled texts."""
+    for batch in batches:
+        texts = batch.column(2).to_pylist()
+        for a, b in by_bytes(texts):
+            data, offsets = joined(texts[a:b])
+            starts = np.flatnonzero(np.diff(np.concatenate(([0], IN_WORD[data].view(np.int8)))) == 1)
+            n = np.diff(np.searchsorted(starts, offsets))
+            yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.array(np.maximum(1, -(-n // PASSAGE)))],
+                                             names=["id", "n"])
+
+
+def _within(rows: list, most: int) -> list[int]:
+    """Ids of ``rows`` (id, label, passages) in their order until the next one would make more than ``most``
+    passages; the first of each label always."""
+    total, open_, seen, out = 0, True, set(), []
+    for i, y, n in rows:
+        open_ = open_ and total + n <= most
+        if open_ or y not in seen:
+            out.append(i)
+            total += n
+        seen.add(y)
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col: str = "doc_id",
-        text_col: str = "text", label_col: str = "quality", train_rows: int = 4000, seed: int = 4) -> Network:
+        text_col: str = "text", label_col: str = "quality", train_rows: int = 4000, seed: int = 4,
+        train_passages: int = 400_000) -> Network:
     """A network fitted to labelled documents for which ``train`` (a condition on the id column of
-    ``labels``) holds."""
+    ``labels``) holds: about ``train_rows`` of them, and ``train_passages`` passages in all."""
     chosen = labels if train is None else labels.where(train)
     one = (chosen.select(col(id_col).cast("long").alias("id"), col(label_col).cast("int").alias("y"))
            .where("id IS NOT NULL AND y IS NOT NULL").groupBy("id")
@@ -186,9 +210,17 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col:
     total = one.count()
     sample = one.where(hash_share(F.col("id"), train_rows, total, seed))
     # About train_rows rows: small enough to send to every task.
-    rows = (docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
-            .join(F.broadcast(sample), "id").select("y", "id", "text")
-            .mapInArrow(_bags, "y int, id long, x binary")
+    texts = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
+
+    def of(ids: DataFrame) -> DataFrame:
+        return texts.join(F.broadcast(ids), "id").select("y", "id", "text")
+
+    sizes = (of(sample).mapInArrow(_sizes, "id long, n long").groupBy("id").agg(F.max("n").alias("n"))
+             .join(F.broadcast(sample), "id").select("id", "y", "n", F.xxhash64(F.lit(seed), "id").alias("at")).collect())
+    sizes = sorted(((r["id"], r["y"], r["n"], r["at"]) for r in sizes), key=lambda r: (r[3] % (1 << 32), r[0]))
+    if sum(r[2] for r in sizes) > train_passages:
+        sample = sample.where(F.col("id").isin(_within([r[:3] for r in sizes], train_passages)))
+    rows = (of(sample).mapInArrow(_bags, "y int, id long, x binary")
             .groupBy("id").agg(F.min("y").alias("y"), F.min("x").alias("x")).collect())  # a bag per id, however often it comes
     rows = sorted(rows, key=lambda r: r["id"])
     bags = [np.frombuffer(r["x"], np.float32).reshape(-1, WIDTH).astype(np.float64) for r in rows]
