@@ -63,6 +63,15 @@ def test_language_sample_bound_and_odd_rows(spark):
     assert none.predict("some words") == ("und", 0.0) and langid.keep_identified(empty_docs(spark), none).count() == 0
 
 
+def test_texts_that_share_no_ngram_are_not_identified(spark):
+    known = spark.createDataFrame([(1, "the quiet river", "en"), (2, "der alte fluss", "de")], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame([(3, "\u6cb3\u6d41 \u77f3\u6865", "zh"), (4, "old river", None), (5, "\u6cb3 the \u6d41", None), (6, "12", None)],
+                                 known.schema)
+    profiles = langid.fit(known)
+    assert profiles.predict("\u6cb3\u6d41") == ("de", 0.0)  # the column of op6 stays
+    assert sorted(r["doc_id"] for r in langid.keep_identified(docs, profiles).collect()) == [4, 5]
+
+
 def model_of(spark, texts):
     return toxicity.char_model(spark.createDataFrame([(t,) for t in texts], "text string"))
 

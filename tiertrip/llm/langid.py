@@ -14,7 +14,7 @@ merged per task before the shuffle, and only the top of each language reaches th
 rows for each of at most ``MAX_LANGS`` languages. Scoring sees whole texts of all rows.
 
 Edge cases. NULL text, empty text, no letter: ``und``, score 0. Equal distances: the language that
-sorts first. NULL language: not learned from. No labelled row at all: ``und`` for every text.
+sorts first (score 0 where no n-gram is in any profile; ``keep_identified`` drops such rows). NULL language: not learned from. No labelled row at all: ``und`` for every text.
 Repeated rows get equal results. Only the named columns are read, so others cannot clash.
 """
 
@@ -165,8 +165,9 @@ def predict(text: Column, profiles: Profiles) -> Column:
 
 
 def keep_identified(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that no language can be given to (``und``)."""
+    """``docs`` without the rows that no language can be given to: ``und``, or no n-gram in any profile
+    (score 0), where the distances to all languages are equal."""
     keep = [col(c) for c in docs.columns]
     found = docs.select(F.struct(*keep).alias("row"), predict(col(text_col), profiles).alias("found"))
-    return found.where("found.lang_pred != 'und'").select(
+    return found.where("found.lang_pred != 'und' AND found.score > 0").select(
         *[F.col("row").getField(c).alias(c) for c in docs.columns])
