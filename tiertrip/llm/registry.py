@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, hilbert, langid, mixing, pii, quality_mil, quality_rules, simhash, suffix_dedup, toxicity
+from tiertrip.session import scratch_path
+
+from . import (decontaminate, hard_negatives, hilbert, langid, mixing, pii, quality_mil, quality_rules, simhash, suffix_dedup,
+               token_files, toxicity)
 from .common import id_remainder
 
 
@@ -68,9 +73,23 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    path = scratch_path(spark, "llm", f"token-files-{uuid.uuid4().hex}")
+    token_files.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    found = token_files.read(spark, path)
+    return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table.withColumn("label", moved), is_anchor=F.col("id") % 50 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_weak_pii, op2_hilbert_shards, op3_rule_votes, op4_attention_mil, op5_simhash_pigeonring,
     op6_rank_order_profiles, op7_deep_shallow_dedup, op8_minhash_containment, op9_noisy_channel_toxicity,
-    op10_source_mix)}
+    op10_source_mix, op11_token_files, op13_hard_negatives)}
 ORACLE: dict[str, str] = {"op2_hilbert_shards": hilbert.oracle(), "op7_deep_shallow_dedup": suffix_dedup.oracle(), "op8_minhash_containment": decontaminate.oracle(),
-                          "op10_source_mix": mixing.oracle()}
+                          "op10_source_mix": mixing.oracle(), "op13_hard_negatives": hard_negatives.oracle()}
