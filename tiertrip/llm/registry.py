@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tiertrip.session import scratch_path
 
 from . import (decontaminate, hard_negatives, hilbert, langid, mixing, pii, quality_mil, quality_rules, simhash, suffix_dedup,
-               token_files, toxicity)
+               token_files, toxicity, whitening)
 from .common import id_remainder
 
 
@@ -81,6 +81,13 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
+    each = found.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select("vec_id", (F.col("place") + 1).alias("component"), "n", F.col("deviation").try_cast("long").alias("deviation"),
+                       "whitened", F.get("explained", F.col("place")).alias("explained"), "identity_error")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long"))
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -90,6 +97,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_weak_pii, op2_hilbert_shards, op3_rule_votes, op4_attention_mil, op5_simhash_pigeonring,
     op6_rank_order_profiles, op7_deep_shallow_dedup, op8_minhash_containment, op9_noisy_channel_toxicity,
-    op10_source_mix, op11_token_files, op13_hard_negatives)}
+    op10_source_mix, op11_token_files, op12_whitening,
+    op13_hard_negatives)}
 ORACLE: dict[str, str] = {"op2_hilbert_shards": hilbert.oracle(), "op7_deep_shallow_dedup": suffix_dedup.oracle(), "op8_minhash_containment": decontaminate.oracle(),
                           "op10_source_mix": mixing.oracle(), "op13_hard_negatives": hard_negatives.oracle()}
