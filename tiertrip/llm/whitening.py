@@ -216,7 +216,7 @@ def _reduce(rows: DataFrame, state, kind, name: str):
             yield pa.record_batch([pa.array([TaskContext.get().partitionId()]), pa.array([found.dump()], pa.binary())],
                                   names=["slot", "state"])
 
-    def merge(key, table: pa.Table) -> pa.Table:
+    def merge(key, table):
         states = table.sort_by("slot").column("state").to_pylist()
         found = kind.load(states[0])
         for raw in states[1:]:
