@@ -51,11 +51,11 @@ def test_word_encoder_is_the_tokenizer(text):
 
 
 def test_word_encoder_forgets_words_at_its_bound(monkeypatch):
-    monkeypatch.setattr(token_files, "CACHE_WORDS", 3)
+    monkeypatch.setattr(token_files, "CACHE_PARTS", 3)
     enc = token_files.Encoder(BPE)
-    text = "one two three four five one two " + "x" * 200
-    assert np.frombuffer(enc.encode(text.encode()), enc.dtype).tolist() == tokens(text)
-    assert len(enc.words) <= 3 and len(enc.pieces) <= 3
+    for text in ("one two three four five one two " + "x" * 200, "日本 日本 三 四 五 六 one日 " + "日" * 200):
+        assert np.frombuffer(enc.encode(text.encode()), enc.dtype).tolist() == tokens(text)
+        assert len(enc.young) <= 3 and len(enc.old) <= 3
 
 
 def test_other_tokenizers_encode_whole_texts():

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import uuid
 import zlib
 
@@ -45,24 +46,25 @@ MAGIC = b"TOKVB01\n"
 SHARD_IDS = 1 << 25
 #: Shards in a block of the running sum over shards.
 BLOCK = 1000
-#: Words kept by a worker's encoder, and their greatest length in bytes.
-CACHE_WORDS, CACHE_LENGTH = 500_000, 64
+#: Pieces or words in a generation of a worker's encoder (some 80 MB), and the greatest length of one.
+CACHE_PARTS, CACHE_LENGTH = 400_000, 64
 
 # The steps of a tokenizer file that the word-wise encoder below reproduces.
 _NORMAL = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: The same split for texts of ASCII and Latin-1 letters, in lower case.
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
-_PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]*\\Z")
+_PLAIN = re.compile("[\x20-\x7e\t-\rÀ-ÖØ-öø-ÿ]*\\Z")
 
 
 class Encoder:
     """Ids of texts (UTF-8 bytes) as bytes of ``dtype``, by the tokenizers library.
 
-    White space separates words in a tokenizer that drops it, so a text is encoded word by word and each
-    distinct word once. Words of ASCII and Latin-1 letters (which the normal form leaves as they are)
-    are cut into the pieces of the tokenizer's own split and given to its model; all others go through
-    the whole tokenizer, as do whole texts where the tokenizer has other steps than these."""
+    A tokenizer of the steps above drops white space and never looks across it. So a text of ASCII and
+    Latin-1 letters (which the normal form leaves as they are) is cut into the pieces of the tokenizer's own
+    split, and each distinct piece goes once to its model; any other text is encoded word by word by the whole
+    tokenizer, each distinct word once. A tokenizer with other steps gets whole texts. Pieces and words
+    are kept in two generations: when the young one is full it becomes the old one, which is dropped."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -75,50 +77,49 @@ class Encoder:
                          and [p.get("type") for p in before[1:]] == ["ByteLevel"] and not steps["model"].get("dropout")
                          and not steps.get("post_processor"))
         self.added = tuple(t["content"].encode() for t in steps.get("added_tokens", []))
-        self.bytelevel = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.wordwise = self.wordwise and not any(t.split() != [t] for t in self.added)
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.level = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xC0, 0x100))}
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
 
     def encode(self, raw: bytes) -> bytes:
-        if not self.wordwise or any(t in raw and b" " in t for t in self.added):
-            return self.pack(self.tokenizer.encode(raw.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        words = raw.split()  # of bytes: at ASCII white space only
-        found = list(map(self.words.get, words))
+        text = raw.decode("utf-8", "replace")
+        if not self.wordwise:
+            return self._whole(text)
+        if _PLAIN.match(text) and not any(t in raw for t in self.added):
+            parts, make = _PIECE.findall(text.lower()), self._piece
+        else:  # bytes are split at ASCII white space only; a word's key cannot be a piece's
+            parts, make = [" " + w.decode("utf-8", "replace") for w in raw.split()], self._whole
+        found = list(map(self.young.get, parts))
         if None in found:
             for i, ids in enumerate(found):
                 if ids is None:
-                    found[i] = self._word(words[i])
+                    found[i] = self._kept(parts[i], make)
         return b"".join(found)
 
-    def _word(self, word: bytes) -> bytes:
-        if word in self.words:
-            return self.words[word]
-        text = word.decode("utf-8", "replace")
-        if _PLAIN.match(text) and not any(t in word for t in self.added):
-            ids = b"".join(map(self._piece, _PIECE.findall(text.lower())))
-        else:
-            ids = self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if len(word) <= CACHE_LENGTH:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            self.words[word] = ids
+    def _kept(self, part: str, make) -> bytes:
+        ids = self.young.get(part)
+        if ids is None:
+            ids = self.old.get(part)
+            if ids is None:
+                ids = make(part)
+            if len(part) <= CACHE_LENGTH:
+                if len(self.young) >= CACHE_PARTS:
+                    self.old, self.young = self.young, {}
+                self.young[part] = ids
         return ids
 
+    def _whole(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            level = piece if piece.isascii() else self.bytelevel.pre_tokenize_str(piece)[0][0]
-            ids = self.pack([t.id for t in self.tokenizer.model.tokenize(level)])
-            if len(piece) <= CACHE_LENGTH:
-                if len(self.pieces) >= CACHE_WORDS:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
-        return ids
+        return self.pack([t.id for t in self.tokenizer.model.tokenize(piece.translate(self.level))])
 
 
 _ENCODERS: dict[str, Encoder] = {}
