@@ -52,8 +52,8 @@ CACHE_PARTS, CACHE_LENGTH = 400_000, 64
 # The steps of a tokenizer file that the word-wise encoder below reproduces.
 _NORMAL = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The same split for texts of ASCII and Latin-1 letters, in lower case.
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+#: The same split for texts of ASCII and Latin-1 letters, in lower case; letters are tried first.
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9ß-öø-ÿ]+")
 _PLAIN = re.compile("[\x20-\x7e\t-\rÀ-ÖØ-öø-ÿ]*\\Z")
 
 
@@ -79,6 +79,7 @@ class Encoder:
         self.added = tuple(t["content"].encode() for t in steps.get("added_tokens", []))
         self.wordwise = self.wordwise and not any(t.split() != [t] for t in self.added)
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model = self.tokenizer.model
         self.level = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xC0, 0x100))}
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
@@ -119,7 +120,8 @@ class Encoder:
         return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
-        return self.pack([t.id for t in self.tokenizer.model.tokenize(piece.translate(self.level))])
+        found = self.model.tokenize(piece if piece.isascii() else piece.translate(self.level))
+        return self.pack([t.id for t in found])
 
 
 _ENCODERS: dict[str, Encoder] = {}
