@@ -64,6 +64,39 @@ def test_no_value_is_dropped(spark):
         assert repr((r.a, r.s)) == repr(_want(cases[r.g])), cases[r.g]
 
 
+def test_narrow_parts_equal_exact_ones(spark):
+    from tiertrip.functions.numeric import shared_parts
+    rnd = random.Random(3)
+    makers = [lambda: round(rnd.uniform(-100, 500), 2), lambda: rnd.randint(0, 500000) / 512, lambda: rnd.choice([None, 0.005, -0.005, 2.675]),
+              lambda: rnd.randint(-10 ** 6, 10 ** 6) / 1000 + 0.0005, lambda: None, lambda: rnd.choice([1.0, NAN, INF])]
+    rows = [(g, makers[g % 6]()) for g in range(60) for _ in range(rnd.choice([1, 2, 9, 60]))]
+    df = spark.createDataFrame(rows, "g int, x double").repartition(5)
+    both = []
+    for narrow in ((), ("x",)):
+        parts, m = shared_parts(df, ["g"], narrow, x=F.col("x"))
+        both.append(sorted(repr(tuple(r)) for r in parts.groupBy("g").agg(m["x"].avg(), m["x"].sum()).collect()))
+    assert both[0] == both[1]
+    wide = [1e9, 2.0 ** 20, -3e30, 0.25, None]
+    parts, m = shared_parts(spark.createDataFrame([(x,) for x in wide], "x double"), [], ("x",), x=F.col("x"))
+    r = parts.agg(m["x"].avg().alias("a"), m["x"].sum().alias("s")).first()
+    assert math.isclose(r.s, sum(wide[:4]), rel_tol=1e-12) and math.isclose(r.a, sum(wide[:4]) / 4, rel_tol=1e-12)
+
+
+def test_huge_values_do_not_end_the_query(spark):
+    """Past the exact range the result is that of a double sum; the rest of the row's group still counts."""
+    from tiertrip.functions.numeric import round_avg_sql, round_sum_sql
+    cases = [[1e33, 1.0], [1e33, -1e33, 2.5], [1e300, 1e300], [1.7e308, 1.7e308], [-1e40, 3.0, None], [2.0 ** 93, 1.0],
+             [2.0 ** 102] * 40, [2.0 ** 93 - 2.0 ** 41, 5.0]]
+    df = spark.createDataFrame([(i, x) for i, xs in enumerate(cases) for x in xs], "g int, x double")
+    df.createOrReplaceTempView("huge_case")
+    by_col = df.groupBy("g").agg(round_avg("x").alias("a"), round_sum("x").alias("s")).collect()
+    for r in by_col:
+        xs = [x for x in cases[r.g] if x is not None]
+        assert math.isclose(r.s, sum(xs), rel_tol=1e-12) and math.isclose(r.a, sum(xs) / len(xs), rel_tol=1e-12, abs_tol=0.005), cases[r.g]
+    by_sql = spark.sql(f"SELECT g, {round_avg_sql('x')} AS a, {round_sum_sql('x')} AS s FROM huge_case GROUP BY g").collect()
+    assert sorted(map(repr, map(tuple, by_col))) == sorted(map(repr, map(tuple, by_sql)))
+
+
 def test_exact_sum_over_many_rows(spark):
     df = spark.range(0, 3_000_000, numPartitions=4).select(F.lit(499.99).alias("x"))
     r = df.agg(round_avg("x").alias("a"), round_sum("x").alias("s")).first()

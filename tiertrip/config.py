@@ -59,6 +59,7 @@ class LakePaths:
         "quality_summary": "rejected/{src}/quality_summary",
         "zone_summary": "processed/{src}/zone_summary",
         "manifest": "processed/{src}/ingest_manifest",
+        "history": "processed/{src}/ingest_history",
     })
 
     def path(self, table: str) -> str:

@@ -7,15 +7,16 @@ exact result once, half up, so every shuffle order gives one answer.
 
 How, and why not DECIMAL: a cast from double to DECIMAL(18,6) formats each value as decimal
 text in the JVM, and a DECIMAL sum wider than 18 digits adds BigDecimals; both together cost
-about 7x a double average per row. Here each value becomes two bigints with plain arithmetic:
+about 7x a double average per row. Here each value becomes two whole numbers with plain arithmetic:
 ``blocks``, how many times 2^40 goes into it (0 for all but huge values), and ``micro``, the rest in
-millionths. ``micro`` is split into three 21-bit parts, and blocks and parts are summed as bigints
+millionths. ``micro`` is split into three parts and ``blocks`` into two, which are summed as bigints
 (partial aggregation before the shuffle, as for any sum), then recombined as a decimal once per
 group and rounded half up. A part sum stays exact up to 2^42 (4.4 trillion) rows per group; a sum
 past a bigint fails the query, with or without ANSI mode, rather than return a wrong number.
 
-Every value that is not NULL counts, whatever its size. A NaN or an infinity gives what a double sum
-or average gives.
+Every value that is not NULL counts, whatever its size, and none ends the query: values from 2^93 (10^28)
+on, and sums from 2^102 on, make a group's result that of a double sum. A NaN or an infinity gives
+what a double sum or average gives.
 
 Departure from a plain double average: each value is first rounded half up to whole millionths of
 its binary value.
@@ -32,6 +33,11 @@ MICRO = 1_000_000
 _BITS = 21
 _MASK = (1 << _BITS) - 1
 _BLOCK = 1 << 40
+_WIDE = 2.0 ** 93
+_EXACT = 1 << 62  # blocks whose sum is carried exactly
+_LOW_BITS = 30
+_LOW = (1 << _LOW_BITS) - 1
+_NARROW = 2.0 ** 20
 _TOTAL, _VALUE = "decimal(38,0)", "decimal(38,6)"
 _OVERFLOW = "more or larger values in a group than an exact sum can hold"
 
@@ -40,24 +46,26 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _finite(x: Column) -> Column:
-    return F.abs(x) < F.lit(float("inf"))  # Spark orders NaN above infinity
+def _counted(x: Column) -> Column:
+    """True for the values that blocks and micro-units hold."""
+    return F.abs(x) < F.lit(_WIDE)
 
 
 def blocks(c: Column | str) -> Column:
-    """How many times 2^40 goes into ``x``, towards zero; NULL for NULL, NaN and +-Infinity."""
+    """How many times 2^40 goes into ``x``, towards zero; NULL from 2^93 on and for NULL and NaN."""
     x = _c(c)
     n = F.floor(F.abs(x) / F.lit(float(_BLOCK)))
-    return F.when(_finite(x), F.when(x < 0, -n).otherwise(n))
+    return F.when(_counted(x), F.when(x < 0, -n).otherwise(n))
 
 
 def micro_units(c: Column | str) -> Column:
-    """What ``blocks`` leaves of ``x``, as a bigint of millionths, rounded half up (away from zero).
-    Taking off blocks and the whole part is exact, so only the fraction is rounded."""
+    """What ``blocks`` leaves of ``x``, as a bigint of millionths, rounded half up (away from zero); 0 where
+    there are no blocks, NULL for NULL. Taking off blocks and the whole part is exact, so only the
+    fraction is rounded."""
     x = _c(c)
     rest = F.abs(x) - F.floor(F.abs(x) / F.lit(float(_BLOCK))) * F.lit(float(_BLOCK))
     m = F.floor(rest) * F.lit(MICRO) + F.floor((rest - F.floor(rest)) * F.lit(float(MICRO)) + F.lit(0.5))
-    return F.when(_finite(x), F.when(x < 0, -m).otherwise(m))
+    return F.when(_counted(x), F.when(x < 0, -m).otherwise(m)).when(x.isNotNull(), F.lit(0))
 
 
 @dataclass(frozen=True)
@@ -67,23 +75,25 @@ class Exact:
 
     micro: Column
     blocks: Column
-    odd: Column  # the value itself if it is NaN or infinite
+    odd: Column  # the value itself from 2^93 on, and if it is NaN or infinite
 
     @classmethod
     def of(cls, c: Column | str) -> "Exact":
         x = _c(c)
-        return cls(micro_units(x), blocks(x), F.when(~_finite(x), x))
+        return cls(micro_units(x), blocks(x), F.when(~_counted(x), x))
 
     def _total(self) -> tuple[Column, Column]:
-        """(exact sum in micro-units as DECIMAL(38,0), sum of blocks); each overflow is raised. ``hi`` cannot
-        overflow before ``lo`` or ``mid``."""
+        """(exact sum in micro-units, sum of blocks), as DECIMAL(38,0); an overflow of the parts is raised. ``hi``
+        cannot overflow before ``lo`` or ``mid``."""
         lo = F.try_sum(self.micro.bitwiseAND(F.lit(_MASK)))
         mid = F.try_sum(F.shiftright(self.micro, _BITS).bitwiseAND(F.lit(_MASK)))
         hi = F.try_sum(F.shiftright(self.micro, 2 * _BITS))
-        large = F.try_sum(self.blocks)
+        large_lo = F.try_sum(self.blocks.bitwiseAND(F.lit(_LOW)))
+        large_hi = F.try_sum(F.shiftright(self.blocks, _LOW_BITS))
         total = (hi.cast(_TOTAL) * F.lit(1 << (2 * _BITS)).cast(_TOTAL)
                  + mid.cast(_TOTAL) * F.lit(1 << _BITS).cast(_TOTAL) + lo.cast(_TOTAL))
-        lost = hi.isNotNull() & (lo + mid + large).isNull()
+        large = F.coalesce(large_hi.cast(_TOTAL) * F.lit(1 << _LOW_BITS).cast(_TOTAL) + large_lo.cast(_TOTAL), F.lit(0).cast(_TOTAL))
+        lost = hi.isNotNull() & (lo + mid + F.when(large_hi.isNotNull(), large_lo).otherwise(0)).isNull()
         return F.when(lost, F.raise_error(F.lit(_OVERFLOW)).cast(_TOTAL)).otherwise(total), large
 
     def _rounded(self, scale: int, average: bool) -> Column:
@@ -98,10 +108,49 @@ class Exact:
         million = F.lit(MICRO).cast("decimal(7,0)")
         units = F.round(total / n if average else total, scale - 6)  # a whole multiple of 10^(6-scale) micro-units
         small = (units / million).cast("double")
-        value = (total / million).cast(_VALUE) + (large.cast("decimal(20,0)") * F.lit(_BLOCK).cast("decimal(13,0)")).cast(_VALUE)
+        small_enough = F.abs(large) < F.lit(_EXACT).cast("decimal(20,0)")
+        fits = F.when(small_enough, large).cast("decimal(20,0)")
+        value = (total / million).cast(_VALUE) + (fits * F.lit(_BLOCK).cast("decimal(13,0)")).cast(_VALUE)
         whole = F.round(value / n if average else value, scale).cast("double")
         odd = F.sum(self.odd)
-        return F.when(odd.isNotNull(), odd).when(large != 0, whole).otherwise(small)
+        double = (large.cast("double") * F.lit(float(_BLOCK)) + (total / million).cast("double")) + F.coalesce(odd, F.lit(0.0))
+        wide = double / n.cast("double") if average else double
+        return (F.when(odd.isNotNull() | ~small_enough, wide)
+                .when(large != F.lit(0).cast(_TOTAL), whole).otherwise(small))
+
+    def avg(self, scale: int = 2) -> Column:
+        return self._rounded(scale, average=True)
+
+    def sum(self, scale: int = 2) -> Column:
+        return self._rounded(scale, average=False)
+
+
+@dataclass(frozen=True)
+class Narrow:
+    """The parts of a measure that a rule keeps below 2^20 in size: two part sums and a count in place of
+    five. The same results as :class:`Exact` while the bound holds; a value beyond it counts too, but its
+    group's result is then that of a double sum."""
+
+    micro: Column  # 0 for a value beyond the bound, NULL for NULL
+    odd: Column  # the value itself if it is beyond the bound, NaN or infinite
+
+    @classmethod
+    def of(cls, c: Column | str) -> "Narrow":
+        x = _c(c)
+        size, inside = F.abs(x), F.abs(x) < F.lit(_NARROW)
+        m = F.floor(size) * F.lit(MICRO) + F.floor((size - F.floor(size)) * F.lit(float(MICRO)) + F.lit(0.5))
+        return cls(F.when(inside, F.when(x < 0, -m).otherwise(m)).when(x.isNotNull(), F.lit(0)), F.when(~inside, x))
+
+    def _rounded(self, scale: int, average: bool) -> Column:
+        lo = F.try_sum(self.micro.bitwiseAND(F.lit(_MASK)))
+        hi = F.try_sum(F.shiftright(self.micro, _BITS))
+        n, million = F.count(self.micro).cast("decimal(20,0)"), F.lit(MICRO).cast("decimal(7,0)")
+        total = hi.cast(_TOTAL) * F.lit(1 << _BITS).cast(_TOTAL) + lo.cast(_TOTAL)
+        total = F.when((n > 0) & (lo + hi).isNull(), F.raise_error(F.lit(_OVERFLOW)).cast(_TOTAL)).otherwise(total)
+        small = (F.round(total / n if average else total, scale - 6) / million).cast("double")
+        odd = F.sum(self.odd)
+        wide = odd + (total / million).cast("double")
+        return F.when(odd.isNotNull(), wide / n.cast("double") if average else wide).otherwise(small)
 
     def avg(self, scale: int = 2) -> Column:
         return self._rounded(scale, average=True)
@@ -120,39 +169,48 @@ def round_sum(c: Column | str, scale: int = 2) -> Column:
     return Exact.of(c).sum(scale)
 
 
-def shared_parts(df: DataFrame, keep: list[str], **measures: Column) -> tuple[DataFrame, dict[str, Exact]]:
+def shared_parts(df: DataFrame, keep: list[str], narrow: tuple[str, ...] = (),
+                 **measures: Column) -> tuple[DataFrame, dict[str, Exact | Narrow]]:
     """``keep`` and the exact parts of each measure, projected once per row below an aggregate, so that a
-    sum and an average of a measure share them and the aggregate's per-row method stays small."""
+    sum and an average of a measure share them and the aggregate's per-row method stays small. ``narrow``
+    names the measures that a rule of the table keeps small."""
     cols, parts = [], {}
     for name, c in measures.items():
-        p = Exact.of(c)
-        names = [f"__{part}_{name}" for part in ("micro", "blocks", "odd")]
-        cols += [x.alias(n) for x, n in zip((p.micro, p.blocks, p.odd), names)]
-        parts[name] = Exact(*map(F.col, names))
+        kind = Narrow if name in narrow else Exact
+        p = kind.of(c)
+        names = {part: f"__{part}_{name}" for part in kind.__dataclass_fields__}
+        cols += [getattr(p, part).alias(n) for part, n in names.items()]
+        parts[name] = kind(**{part: F.col(n) for part, n in names.items()})
     return df.select(*keep, *cols), parts
 
 
 def _rounded_sql(x: str, scale: int, average: bool) -> str:
-    finite = f"abs({x}) < CAST('Infinity' AS DOUBLE)"
-    n_blocks = f"floor(abs({x}) / {float(_BLOCK)!r})"
-    rest = f"(abs({x}) - {n_blocks} * {float(_BLOCK)!r})"
-    m = f"(floor({rest}) * {MICRO} + floor(({rest} - floor({rest})) * {float(MICRO)!r} + 0.5D))"
-    signed = lambda v: f"(CASE WHEN {finite} THEN (CASE WHEN {x} < 0 THEN -{v} ELSE {v} END) END)"
-    u = signed(m)
-    hi, mid, lo, large = (f"try_sum({p})" for p in (
-        f"shiftright({u}, {2 * _BITS})", f"shiftright({u}, {_BITS}) & {_MASK}", f"{u} & {_MASK}", signed(n_blocks)))
-    total = (f"(CASE WHEN {hi} IS NOT NULL AND {lo} + {mid} + {large} IS NULL"
-             f" THEN CAST(raise_error('{_OVERFLOW}') AS {_TOTAL})"
-             f" ELSE CAST({hi} AS {_TOTAL}) * CAST({1 << (2 * _BITS)} AS {_TOTAL})"
-             f" + CAST({mid} AS {_TOTAL}) * CAST({1 << _BITS} AS {_TOTAL}) + CAST({lo} AS {_TOTAL}) END)")
-    part = f" / CAST(count({u}) AS DECIMAL(20,0))" if average else ""
+    counted = f"abs({x}) < {_WIDE!r}D"
+    n_blocks = f"floor(abs({x}) / {float(_BLOCK)!r}D)"
+    rest = f"(abs({x}) - {n_blocks} * {float(_BLOCK)!r}D)"
+    m = f"(floor({rest}) * {MICRO} + floor(({rest} - floor({rest})) * {float(MICRO)!r}D + 0.5D))"
+    signed = lambda v, other: f"(CASE WHEN {counted} THEN (CASE WHEN {x} < 0 THEN -{v} ELSE {v} END){other} END)"
+    u, w = signed(m, f" WHEN {x} IS NOT NULL THEN 0"), signed(n_blocks, "")
+    hi, mid, lo, l_hi, l_lo = (f"try_sum({p})" for p in (
+        f"shiftright({u}, {2 * _BITS})", f"shiftright({u}, {_BITS}) & {_MASK}", f"{u} & {_MASK}",
+        f"shiftright({w}, {_LOW_BITS})", f"{w} & {_LOW}"))
+    number = lambda v, kind=_TOTAL: f"CAST({v} AS {kind})"
+    large = f"coalesce({number(l_hi)} * {number(1 << _LOW_BITS)} + {number(l_lo)}, {number(0)})"
+    total = (f"(CASE WHEN {hi} IS NOT NULL AND {lo} + {mid} + (CASE WHEN {l_hi} IS NOT NULL THEN {l_lo} ELSE 0 END) IS NULL"
+             f" THEN {number(f"raise_error('{_OVERFLOW}')")}"
+             f" ELSE {number(hi)} * {number(1 << (2 * _BITS))} + {number(mid)} * {number(1 << _BITS)} + {number(lo)} END)")
+    n = f"count({u})"
+    part = f" / {number(n, 'DECIMAL(20,0)')}" if average else ""
     million = f"CAST({MICRO} AS DECIMAL(7,0))"
-    value = (f"(CAST({total} / {million} AS {_VALUE})"
-             f" + CAST(CAST({large} AS DECIMAL(20,0)) * CAST({_BLOCK} AS DECIMAL(13,0)) AS {_VALUE}))")
-    odd = f"sum(CASE WHEN NOT {finite} THEN {x} END)"
-    return (f"CASE WHEN {odd} IS NOT NULL THEN {odd}"
-            f" WHEN {large} != 0 THEN CAST(round({value}{part}, {scale}) AS DOUBLE)"
-            f" ELSE CAST(round({total}{part}, {scale - 6}) / {million} AS DOUBLE) END")
+    enough = f"abs({large}) < {number(_EXACT, 'DECIMAL(20,0)')}"
+    fits = number(f"CASE WHEN {enough} THEN {large} END", "DECIMAL(20,0)")
+    value = f"({number(f'{total} / {million}', _VALUE)} + {number(f'{fits} * {number(_BLOCK, 'DECIMAL(13,0)')}', _VALUE)})"
+    odd = f"sum(CASE WHEN NOT {counted} THEN {x} END)"
+    wide = (f"(({number(large, 'DOUBLE')} * {float(_BLOCK)!r}D + {number(f'{total} / {million}', 'DOUBLE')}) + coalesce({odd}, 0.0D))"
+            + (f" / {number(n, 'DOUBLE')}" if average else ""))
+    return (f"CASE WHEN {odd} IS NOT NULL OR NOT {enough} THEN {wide}"
+            f" WHEN {large} != {number(0)} THEN {number(f'round({value}{part}, {scale})', 'DOUBLE')}"
+            f" ELSE {number(f'round({total}{part}, {scale - 6}) / {million}', 'DOUBLE')} END")
 
 
 def round_avg_sql(x: str, scale: int = 2) -> str:

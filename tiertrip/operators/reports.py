@@ -72,7 +72,10 @@ def transformation_summary(bronze: DataFrame, provider: str = PROVIDER_LYFT,
 
 def dq_totals(tagged: DataFrame) -> DataFrame:
     """RPT-4: total, good, rejected, pass and rejection rates (2 dp); an empty input gives 0 / 100."""
-    c = tagged.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(REASON).isNull()).alias("good"))
+    return _dq_totals(tagged.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(REASON).isNull()).alias("good")))
+
+
+def _dq_totals(c: DataFrame) -> DataFrame:
     rej = F.col("total") - F.col("good")
     rate = F.coalesce(F.try_divide(rej.cast("double"), F.col("total")) * F.lit(100.0), F.lit(0.0))
     return c.select(
@@ -144,6 +147,39 @@ def provider_breakdown(bronze: DataFrame) -> DataFrame:
             .orderBy(F.col("trip_count").desc(), "hvfhs_license_num"))
 
 
+DQ_SETS = ("month", "hvfhs_license_num")
+
+
+def dq_one_pass(tagged: DataFrame) -> DataFrame:
+    """Every report of the quality job besides the reasons' counts, from one scan and one shuffle: trips, and
+    good trips, by month, by provider and in all, as grouping sets (``dq_set`` tells them apart, since
+    NULL is a month and a provider of its own). Split with :func:`split_dq`."""
+    rows = tagged.select(month_label(F.col("pickup_datetime")).alias("month"), "hvfhs_license_num",
+                         F.col(REASON).isNull().alias("passed"))
+    return rows.groupingSets([[k] for k in DQ_SETS] + [[]], *DQ_SETS).agg(
+        F.count(F.lit(1)).alias("total"), F.count_if("passed").alias("good"), F.grouping_id().alias("dq_set"))
+
+
+def _dq_set(name: str | None) -> int:
+    """Spark's grouping_id of one key's grouping set (a bit for each key not grouped on), or of the total."""
+    return sum(1 << (len(DQ_SETS) - 1 - i) for i, k in enumerate(DQ_SETS) if k != name)
+
+
+def split_dq(combined: DataFrame) -> dict[str, DataFrame]:
+    """``totals``, ``monthly``, ``providers`` and ``monthly_raw`` out of :func:`dq_one_pass` (or its written copy)."""
+    part = lambda name: combined.where(F.col("dq_set") == F.lit(_dq_set(name)))
+    rejected = (F.col("total") - F.col("good")).alias("rejected")
+    monthly = part("month").select("month", "total", "good", rejected)
+    return {
+        # a table without rows has no grouping set either; its totals are zero
+        "totals": _dq_totals(part(None).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "good")])),
+        "monthly": monthly.withColumn("rejection_rate_pct", pct("rejected", "total", 2)).orderBy("month"),
+        "providers": part("hvfhs_license_num").select("hvfhs_license_num", F.col("total").alias("trip_count"))
+        .orderBy(F.col("trip_count").desc(), "hvfhs_license_num"),
+        "monthly_raw": part("month").select("month", F.col("total").alias("trip_count")).orderBy("month"),
+    }
+
+
 def borough_distribution(curated: DataFrame, n: int = 10) -> DataFrame:
     """AGG-12: top-n pickup boroughs by trips (ties by name, NULL first)."""
     return (curated.groupBy("pickup_borough").agg(F.count(F.lit(1)).alias("trip_count"))
@@ -158,7 +194,7 @@ def shared_breakdown(curated: DataFrame) -> DataFrame:
 
 def fare_statistics(curated: DataFrame) -> DataFrame:
     """AGG-14: fare and trip statistics, one global aggregate."""
-    rows, m = shared_parts(curated, ["base_passenger_fare"], fare=F.col("base_passenger_fare"), miles=F.col("trip_miles"),
+    rows, m = shared_parts(curated, ["base_passenger_fare"], ("fare", "miles", "minutes"), fare=F.col("base_passenger_fare"), miles=F.col("trip_miles"),
                            minutes=F.col("trip_duration_minutes"), wait=F.col("wait_time_minutes"))
     return rows.agg(
         m["fare"].avg().alias("avg_fare"),

@@ -23,9 +23,13 @@ _COLUMN = {"fare": "base_passenger_fare", "tip": "tips", "miles": "trip_miles",
            "speed": "speed_mph", "wait": "wait_time_minutes"}
 
 
+#: Measures that the quality rules and the sanity filter keep small (fare, miles, minutes, speed limits).
+NARROW = ("fare", "miles", "minutes", "speed")
+
+
 def _parts(curated: DataFrame, keys: tuple[str, ...], *names: str):
     """Group keys and the exact parts of the named measures, projected once per row."""
-    return shared_parts(curated, list(keys), **{n: tip_percentage() if n == "tip_pct" else F.col(_COLUMN[n]) for n in names})
+    return shared_parts(curated, list(keys), NARROW, **{n: tip_percentage() if n == "tip_pct" else F.col(_COLUMN[n]) for n in names})
 
 
 def daily_borough_summary(curated: DataFrame, sort: bool = True) -> DataFrame:

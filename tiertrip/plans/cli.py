@@ -16,6 +16,7 @@ Layer paths come from :class:`tiertrip.config.LakePaths`; the Spark session is w
 from __future__ import annotations
 
 import argparse
+import datetime
 import json
 import sys
 
@@ -34,6 +35,11 @@ def _session():
     return spark
 
 
+def _now() -> str:
+    """The time of a run, as its result document records it; jobs themselves never read the clock."""
+    return datetime.datetime.now(datetime.timezone.utc).isoformat()
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tiertrip")
     p.add_argument("job", choices=["raw-to-curated", "curated-to-gold", "dq-check", "zone-summary", "ingest",
@@ -47,7 +53,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--max-lookback", type=int, default=14)
     p.add_argument("--months", type=int, default=6)
     p.add_argument("--dry-run", action="store_true")
-    p.add_argument("--generated-at", default="", help="timestamp recorded in the zone summary")
+    p.add_argument("--generated-at", default="", help="timestamp recorded in the zone summary and the ingest result "
+                                                      "(for ingest the clock if not given)")
     p.add_argument("--name", choices=[f"q{i}" for i in range(1, 8)], help="saved query (saved-query)")
     p.add_argument("--borough", default="Manhattan", help="borough of saved query q2")
     p.add_argument("--zones", default="JFK Airport,LaGuardia Airport", help="zones of saved query q5")
@@ -70,7 +77,8 @@ def main(argv: list[str] | None = None) -> int:
             p.error("ingest needs --landing and --as-of")
         manifest = md.ingest_job(spark, a.landing, lp.path("trips_raw"), a.as_of, a.start_offset, a.max_lookback,
                                  a.months, base_url=a.landing, dry_run=a.dry_run, zones_path=a.zones_landing,
-                                 zones_target=lp.path("zones_raw"), manifest_path=lp.path("manifest"))
+                                 zones_target=lp.path("zones_raw"), manifest_path=lp.path("manifest"),
+                                 history_path=lp.path("history"), run_at=a.generated_at or _now())
         manifest.show(truncate=False)
         return 1 if manifest.filter(F.col("status") == STATUS_FAILED).limit(1).count() else 0
     elif a.job == "register":
@@ -94,12 +102,15 @@ def main(argv: list[str] | None = None) -> int:
         silver = readers.scan_curated(spark, lp.path("curated"))
         daily = spark.read.schema(schemas.DAILY).parquet(lp.path("daily"))
         hourly = spark.read.schema(schemas.HOURLY).parquet(lp.path("hourly"))
-        silver.agg(F.count(F.lit(1)).alias("curated_rows"),
-                   F.count_distinct("pickup_date").alias("date_partitions")).show()
+        routes = spark.read.schema(schemas.ROUTE).parquet(lp.path("routes"))
+        print(json.dumps({"curated_rows": md.footer_rows(spark, lp.path("curated")),
+                          "date_partitions": md.partition_folders(spark, lp.path("curated"), "pickup_date")}))
         for df in (rp.borough_distribution(silver), rp.shared_breakdown(silver), rp.fare_statistics(silver),
                    rp.monthly_counts(silver, "pickup_date"), rp.daily_coverage(daily),
-                   rp.borough_revenue_rank(daily), rp.shared_vs_solo_metrics(hourly)):
-            df.show(truncate=False)
+                   rp.borough_revenue_rank(daily), rp.shared_vs_solo_metrics(hourly),
+                   # previews of the three gold tables
+                   rp.top_revenue_days(daily), rp.weekday_borough_hours(hourly, a.borough), rp.top_routes(routes, 20)):
+            df.show(24, truncate=False)
     elif a.job == "saved-query":
         from tiertrip.plans import saved
         text = saved.sql_text(a.borough, a.zones.split(","), db=f"{a.source}_aggregated")[a.name]

@@ -121,11 +121,11 @@ def missing_months(lake):
 
 
 # ---------------------------------------------------------------- landing
-def _landed(lake: TripLake, what: str) -> DataFrame:
+def _landed_path(lake: TripLake, what: str) -> str:
     path = _run_dir(lake, what)
     files = mo.month_files(lake.spark, lake.landing_path())
     ld.land_months(lake.spark, [p for p, _ in files.values()], path)
-    return ld.read_landed(lake.spark, path)
+    return path
 
 
 # A trip belongs to the month of its file, which its derivation sets, NULL pickup times included.
@@ -135,13 +135,13 @@ _FILE_MONTH = f"SELECT strftime({o.at('p')}, '%Y-%m') AS source_month, count(*)
 @query("land_months", with_([o.LI], _FILE_MONTH))
 def land_months(lake):
     """SNK-5: land the monthly files whole by source month (dynamic overwrite) and count what landed."""
-    return ld.landed_summary(_landed(lake, "landed"))
+    return ld.landed_summary(ld.read_landed(lake.spark, _landed_path(lake, "landed")))
 
 
 @query("stream_land_months", with_([o.LI], _FILE_MONTH))
 def stream_land_months(lake):
     """SNK-6: an availableNow Structured Streaming run picks up the landing files (each file once,
-    tracked in its checkpoint) and appends them by source month; rows per landed month."""
+    tracked in its checkpoint) and lands them by source month; rows per landed month."""
     from tiertrip.streaming.landing import run_landing_once
     out, ckpt = _run_dir(lake, "streamed"), _run_dir(lake, "streamed_checkpoint")
     run_landing_once(lake.spark, lake.landing_path(), out, ckpt)
@@ -154,8 +154,9 @@ def stream_land_months(lake):
        landed_rows AS row_count, 'SUCCESS' AS status
 FROM ({_FILE_MONTH})"""))
 def ingest_manifest(lake):
-    """SNK-7: per landed month: file, source URL, target, rows, status (sizes are unit-tested)."""
-    return ld.ingest_manifest(_landed(lake, "landed_manifest"), MANIFEST_BASE_URL, MANIFEST_TARGET, with_sizes=False)
+    """SNK-7: per landed month: file, source URL, target, rows by the footers, status (sizes are unit-tested)."""
+    return ld.ingest_manifest(lake.spark, _landed_path(lake, "landed_manifest"), MANIFEST_BASE_URL, MANIFEST_TARGET,
+                              with_sizes=False)
 
 
 # ---------------------------------------------------------------- filters and tags

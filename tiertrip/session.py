@@ -9,6 +9,7 @@ created and registered.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -129,3 +130,39 @@ def rename_path(spark: SparkSession, path: str, to: str) -> None:
     p, fs = _hadoop_path(spark, path)
     if not fs.rename(p, _hadoop_path(spark, to)[0]):
         raise OSError(f"cannot rename {path} to {to}")
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.mkdirs(p)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written by the driver through the path's Hadoop file system; whole or not there."""
+    p, fs = _hadoop_path(spark, path + ".tmp")
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    remove_path(spark, path)
+    rename_path(spark, path + ".tmp", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None when missing."""
+    p, fs = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def arrow_files(path: str):
+    """(pyarrow file system, path there) of a path that tasks open themselves: a local, HDFS, S3 or GCS
+    address. Raises ``pyarrow.ArrowInvalid`` for a store that only Spark's readers know."""
+    from pyarrow import fs
+    if "://" not in path and not path.startswith("file:"):
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", re.sub("^file:/+", "file:///", path)))

@@ -10,33 +10,66 @@ lost and none is moved; the copy needs no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiertrip import schemas
 from tiertrip.config import STATUS_FAILED, STATUS_PARTIAL, STATUS_SUCCESS
-from tiertrip.sinks.writers import write_partitioned
+from tiertrip.session import list_path, make_dir, path_exists, remove_path, rename_path
+from tiertrip.sinks import catalog
+from tiertrip.sinks.publish import publish
+from tiertrip.sinks.writers import write_json_document, write_partitioned
+from tiertrip.sources import footers
 from tiertrip.sources.months import MONTH_PATTERN, month_file
 from tiertrip.sources.readers import scan_trips
 
 MONTH_COL = "source_month"
+DRY_RUN = "DRY_RUN"
 
 
-def with_source_month(df: DataFrame, ts_col: str = "pickup_datetime") -> DataFrame:
-    """``df`` (read from files) with the month in its file's name; rows of a file that is not named
-    by month get their pickup month."""
+def source_month(ts_col: str = "pickup_datetime") -> Column:
+    """The month in the name of the row's file; its pickup month where the file is not named by month."""
     named = F.regexp_extract(F.col("_metadata.file_path"), MONTH_PATTERN, 1)
-    return df.withColumn(MONTH_COL, F.when(named != "", named).otherwise(F.date_format(F.col(ts_col), "yyyy-MM")))
+    return F.when(named != "", named).otherwise(F.date_format(F.col(ts_col), "yyyy-MM"))
+
+
+def with_source_month(df: DataFrame, ts_col: str = "pickup_datetime") -> DataFrame:
+    """``df`` (read from files) with :func:`source_month`."""
+    return df.withColumn(MONTH_COL, source_month(ts_col))
 
 
 def land_months(spark: SparkSession, paths: list[str], target: str) -> int:
     """SNK-5: land all rows of the given monthly files into ``target`` partitioned by
     ``source_month``, replacing only those months; returns the rows written."""
-    df = with_source_month(scan_trips(spark, paths, merge_schema=True))
+    df = scan_trips(spark, paths, merge_schema=True, add={MONTH_COL: source_month()})
     return write_partitioned(df, target, MONTH_COL, dynamic=True, rebalance=False)
 
 
+def pickup_months(spark: SparkSession, files: list[str], target: str, label: str) -> int:
+    """Add files that are not named by month to the months of their pickups. The rows lie under files named by
+    ``label``, which replace those of an earlier attempt under the same label."""
+    df = scan_trips(spark, files, merge_schema=True, add={MONTH_COL: source_month()})
+    stage = f"{target.rstrip('/')}/_staging-{label}"
+    if path_exists(spark, stage):  # an attempt was cut off: what it moved goes
+        for file, _, _ in list_path(spark, target, recursive=True):
+            if file.rsplit("/", 1)[-1].startswith(f"{label}-"):
+                remove_path(spark, file)
+        remove_path(spark, stage)
+    rows = write_partitioned(df, stage, MONTH_COL, mode="append", rebalance=False)
+    for folder, _, _ in list_path(spark, stage):
+        if "=" in folder.rsplit("/", 1)[-1]:
+            to = f"{target.rstrip('/')}/{folder.rstrip('/').rsplit('/', 1)[-1]}"
+            make_dir(spark, to)
+            for file, _, _ in list_path(spark, folder):
+                if file.endswith(".parquet"):
+                    rename_path(spark, file, f"{to}/{label}-{file.rsplit('/', 1)[-1]}")
+    remove_path(spark, stage)
+    return rows
+
+
 def land_each_month(spark: SparkSession, files: dict[str, str], target: str) -> dict[str, str | None]:
     """SNK-5 with per-month isolation: one job per monthly file (``month -> path``, bounded by the
     look-back window), replacing only its own partition. A month whose job fails is reported with
@@ -65,15 +98,20 @@ def landed_summary(landed: DataFrame) -> DataFrame:
             .orderBy(F.col(MONTH_COL).asc_nulls_first()))
 
 
-def ingest_manifest(landed: DataFrame, base_url: str, target_root: str, with_sizes: bool = True,
-                    status: str = STATUS_SUCCESS) -> DataFrame:
-    """SNK-7/AGG-23: one row per landed month: file, source_url, target, row_count, sizes, status.
-
-    Sizes sum the distinct landed files of the month (``_metadata.file_size``); they depend on how
-    the landing job split its output, so ``with_sizes=False`` leaves them out for exact comparisons."""
-    per_file = landed.groupBy(MONTH_COL, "source_file").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("source_file_size").alias("bytes"))
-    per_month = per_file.groupBy(MONTH_COL).agg(
+def ingest_manifest(spark: SparkSession, bronze: str, base_url: str, target_root: str, months: list[str] | None = None,
+                    with_sizes: bool = True, status: str = STATUS_SUCCESS) -> DataFrame:
+    """SNK-7/AGG-23: one row per landed month (of ``months``, or all): file, source_url, target, row_count,
+    sizes, status. Rows are counted by the footers of the month's files and sizes by the listing; no
+    row is read.
+
+    Sizes depend on how the landing job split its output, so ``with_sizes=False`` leaves them out for
+    exact comparisons."""
+    files = [f for f in footers.data_files(spark, bronze) if f"/{MONTH_COL}=" in f[0]]
+    month = F.regexp_extract("folder", f"{MONTH_COL}=([^/]*)$", 1)
+    if months is not None:
+        files = [f for f in files if f[1].rsplit("=", 1)[-1] in months]
+    per_month = footers.footers(spark, files).groupBy(
+        F.when(month != catalog.NO_VALUE, month).alias(MONTH_COL)).agg(
         F.sum("rows").alias("row_count"), F.sum("bytes").alias("size_bytes"))
     file = month_file(F.to_date(F.concat(F.col(MONTH_COL), F.lit("-01"))))
     cols = [
@@ -111,7 +149,7 @@ def dry_run_manifest(months: DataFrame, base_url: str, target_root: str, sizes:
     return months.withColumn("size_bytes", size).select(
         file, "size_bytes", F.round(F.col("size_bytes") / F.lit(1024.0 ** 2), 1).alias("size_mb"), F.concat(F.lit(base_url.rstrip("/") + "/"), file).alias("source_url"),
         F.concat(F.lit(target_root.rstrip("/") + f"/{MONTH_COL}="), F.col("month"), F.lit("/")).alias("target"),
-        F.lit("DRY_RUN").alias("status"),
+        F.lit(DRY_RUN).alias("status"),
     )
 
 
@@ -121,32 +159,56 @@ def manifest_totals(manifest: DataFrame) -> DataFrame:
                         F.count(F.lit(1)).alias("files_total"))
 
 
-def result_document(manifest: DataFrame, dry_run: bool, extra: DataFrame | None = None) -> DataFrame:
-    """One row: overall status, dry-run flag, files uploaded and in total, errors, and the files (one
-    entry per chosen month, and ``extra`` files such as the zone table)."""
-    files = manifest if extra is None else manifest.unionByName(extra, allowMissingColumns=True)
+def result_document(manifest: DataFrame, dry_run: bool, run_at: str, run_id: str | None = None) -> DataFrame:
+    """One row: overall status, the run's id and time (given, never the clock), dry-run flag, files uploaded
+    and in total, errors, and the files: one entry per chosen month, and the zone table."""
+    files = manifest
     for c, kind in (("error", "string"), ("size_kb", "double"), ("row_count", "long")):
         if c not in files.columns:
             files = files.withColumn(c, F.lit(None).cast(kind))
     failed, n = F.count_if(F.col("status") == STATUS_FAILED), F.count(F.lit(1))
     status = (F.when(failed == 0, STATUS_SUCCESS).when(failed == n, STATUS_FAILED).otherwise(STATUS_PARTIAL))
     return files.agg(
-        status.alias("status"), F.lit(dry_run).alias("dry_run"),
+        status.alias("status"), F.lit(run_id or run_at).alias("run_id"), F.lit(run_at).alias("timestamp"),
+        F.lit(dry_run).alias("dry_run"),
         F.count_if(F.col("status") == STATUS_SUCCESS).alias("files_uploaded"), n.alias("files_total"),
         F.array_sort(F.collect_list("error")).alias("errors"),
         F.array_sort(F.collect_list(F.struct("file", *[c for c in files.columns if c != "file"]))).alias("files"))
 
 
-def land_zone_table(spark: SparkSession, zones_path: str, target: str, base_url: str, size_bytes: int) -> DataFrame:
-    """The zone table, copied beside the trips in the same ingest: its manifest row, size in KB."""
+def append_history(document: DataFrame, path: str, run_id: str) -> None:
+    """Add a run's result document to the history of all runs: a folder for each run id, so that runs
+    never touch one another and a run that is repeated under its id is there once."""
+    name = re.sub(r"[^A-Za-z0-9._-]", "_", run_id)
+    write_json_document(document, f"{path.rstrip('/')}/run={name}")
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """All runs, oldest first: ``run_id, timestamp, status, dry_run, files_uploaded, files_total, json``."""
+    kinds = "status string, run_id string, timestamp string, dry_run boolean, files_uploaded long, files_total long"
+    runs = spark.read.schema("value string").text(path)
+    return runs.select(F.from_json("value", kinds).alias("r"), F.col("value").alias("json")).select(
+        "r.run_id", "r.timestamp", "r.status", "r.dry_run", "r.files_uploaded", "r.files_total", "json").orderBy("timestamp", "run_id")
+
+
+def zone_entry(spark: SparkSession, zones_path: str, target: str, base_url: str, status: str,
+               error: str | None = None) -> DataFrame:
+    """The zone table's manifest row: its size in KB is that of the source, from the listing."""
+    size = sum(n for _, n, _ in list_path(spark, zones_path, recursive=True))
+    name = zones_path.rstrip("/").rsplit("/", 1)[-1]
+    return spark.createDataFrame(
+        [(name, f"{base_url.rstrip('/')}/{name}", target, size, round(size / 1024, 1), status, error)],
+        "file string, source_url string, target string, size_bytes long, size_kb double, status string, error string")
+
+
+def land_zone_table(spark: SparkSession, zones_path: str, target: str, base_url: str) -> DataFrame:
+    """The zone table, copied beside the trips in the same ingest (staged and moved in): its manifest row."""
     from tiertrip.sources.readers import scan_zones
     status, error = STATUS_SUCCESS, None
     try:
         # A dimension of a few hundred rows: one file, as the source ships it.
-        scan_zones(spark, zones_path).coalesce(1).write.mode("overwrite").option("header", True).csv(target)
+        zones = scan_zones(spark, zones_path).coalesce(1)
+        publish(spark, target, lambda to: zones.write.option("header", True).csv(to))
     except Exception as exc:  # noqa: BLE001 - reported in the manifest
         status, error = STATUS_FAILED, f"{type(exc).__name__}: {exc}"
-    name = zones_path.rstrip("/").rsplit("/", 1)[-1]
-    return spark.createDataFrame(
-        [(name, f"{base_url.rstrip('/')}/{name}", target, size_bytes, round(size_bytes / 1024, 1), status, error)],
-        "file string, source_url string, target string, size_bytes long, size_kb double, status string, error string")
+    return zone_entry(spark, zones_path, target, base_url, status, error)

@@ -13,9 +13,11 @@ that use such metrics compare them with these exact counts.)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tiertrip.sinks.publish import publish
+
 
 def observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observation]:
     """Attach named aggregate metrics that are filled by whatever action runs ``df`` (no extra pass)."""
@@ -27,22 +29,57 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return observed(df, name, rows=F.count(F.lit(1)))
 
 
+#: Partitions that one write can count apart; beyond them only the total is known.
+COUNTED_PARTITIONS = 20_000
+_NO_DATE = -(1 << 31)
+
+
+def partition_key(df: DataFrame, column: str, kind: str) -> Column:
+    """A partition value as a number: the day of a date, a 32-bit hash of anything else (two values of one
+    hash are counted together)."""
+    value = F.col(f"`{column}`").cast(kind)
+    return F.coalesce(F.unix_date(value), F.lit(_NO_DATE)) if kind == "date" else F.hash(value)
+
+
+def write_counted(df: DataFrame, path: str, column: str, dynamic: bool = False,
+                  rebalance: bool = True) -> tuple[int, dict[int, int] | None]:
+    """:func:`write_partitioned`, returning the rows written in all and for each partition by its
+    :func:`partition_key` (None beyond 20,000 partitions). Both ride along the write: a histogram with a
+    bin for each value is their exact count, taken after the shuffle."""
+    key = partition_key(df, column, df.schema[column].dataType.simpleString())
+    out = df.hint("rebalance", column) if rebalance else df
+    out, obs = observed(out, f"write_{column}", rows=F.count(F.lit(1)),
+                        parts=F.histogram_numeric(key.cast("double"), F.lit(COUNTED_PARTITIONS)))
+    publish(df.sparkSession, path, lambda to: out.write.partitionBy(column).parquet(to), partitions=dynamic)
+    found = obs.get
+    bins = found["parts"] or []
+    if len(bins) >= COUNTED_PARTITIONS:
+        return int(found["rows"]), None
+    return int(found["rows"]), {int(b["x"]): int(b["y"]) for b in bins}
+
+
 def write_partitioned(df: DataFrame, path: str, column: str, mode: str = "overwrite",
                       dynamic: bool = False, rebalance: bool = True) -> int:
-    """SNK-1 / SNK-3: Hive-style partitioned Parquet. ``dynamic`` replaces only the partitions present."""
+    """SNK-1 / SNK-3: Hive-style partitioned Parquet. ``dynamic`` replaces only the partitions present. Both are
+    staged and moved in (:mod:`tiertrip.sinks.publish`); mode ``append`` adds files in place."""
     out = df.hint("rebalance", column) if rebalance else df
     out, obs = _counted(out, f"write_{column}")
-    w = out.write.mode(mode).partitionBy(column)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+    save = lambda to: out.write.mode("append").partitionBy(column).parquet(to)
+    if mode == "overwrite":
+        publish(df.sparkSession, path, save, partitions=dynamic)
+    else:
+        save(path)
     return int(obs.get["rows"])
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = False) -> int:
-    """SNK-2: unpartitioned Parquet. ``rebalance`` lets AQE merge small output tasks into few files."""
+    """SNK-2: unpartitioned Parquet, staged and moved in. ``rebalance`` lets AQE merge small output tasks into few files."""
     out, obs = _counted(df.hint("rebalance") if rebalance else df, "write_table")
-    out.write.mode(mode).parquet(path)
+    save = lambda to: out.write.mode("append").parquet(to)
+    if mode == "overwrite":
+        publish(df.sparkSession, path, save)
+    else:
+        save(path)
     return int(obs.get["rows"])
 
 
@@ -55,5 +92,5 @@ def json_document(df: DataFrame) -> DataFrame:
 def write_json_document(df: DataFrame, path: str) -> int:
     """SNK-4: a one-row frame written as one JSON document."""
     out, obs = _counted(json_document(df).coalesce(1), "write_json")
-    out.write.mode("overwrite").text(path)
+    publish(df.sparkSession, path, lambda to: out.write.text(to))
     return int(obs.get["rows"])

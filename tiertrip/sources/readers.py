@@ -2,43 +2,92 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiertrip import schemas
 from tiertrip.config import PANDAS_NA_TOKENS
-from tiertrip.session import list_path
-from tiertrip.sources.months import MONTH_PATTERN
+from tiertrip.sources import footers
 
 
-def scan_trips(spark: SparkSession, path: str | list[str], merge_schema: bool = False) -> DataFrame:
+def scan_trips(spark: SparkSession, path: str | list[str], merge_schema: bool = False,
+               add: dict[str, Column] | None = None) -> DataFrame:
     """Multi-month bronze scan. The 23 known columns come first, under their schema: months whose ids
     were written as int or bigint are read alike, and a column that a month lacks is NULL there.
 
-    With ``merge_schema`` any further columns of any month follow, under the types found in the files
-    (one read of the footers), so a new column reaches the tables that keep whole rows."""
-    paths = [path] if isinstance(path, str) else list(path)
-    schema = schemas.RAW_TRIP
-    if merge_schema:
-        known = {f.name.lower() for f in schema.fields}
-        more: dict[str, T.StructField] = {}
-        for p in paths:  # folder by folder: a known column may have another type in another month
-            for part in _schema_parts(spark, p):
-                for f in spark.read.option("mergeSchema", "true").parquet(part).schema.fields:
-                    if f.name.lower() not in known:
-                        more.setdefault(f.name.lower(), f)
-        schema = T.StructType(schema.fields + [T.StructField(f.name, f.dataType) for f in more.values()])
-    return spark.read.schema(schema).parquet(*paths)
-
-
-def _schema_parts(spark: SparkSession, path: str) -> list[str]:
-    """The monthly files or partition folders of a bronze folder, or the folder itself if it has none."""
-    parts = [p for p, _, _ in list_path(spark, path) if not p.rsplit("/", 1)[-1].startswith(("_", "."))]
-    months = [p for p in parts if re.search(MONTH_PATTERN, p.rsplit("/", 1)[-1]) or "=" in p.rsplit("/", 1)[-1]]
-    return months or [path]
+    With ``merge_schema`` any further columns of any month follow, so a new column reaches the tables
+    that keep whole rows. Their types come from one pass over the footers; a column with different
+    types in different files gets the widest of them, or text (:func:`footers.widest`): files of one
+    set of types are read together, cast, and put under one another, still one scan of each file.
+
+    ``add`` names columns to compute from each file's rows (they may use ``_metadata``)."""
+    paths = [re.sub("^file:/+", "file:/", p) for p in ([path] if isinstance(path, str) else path)]
+    if not merge_schema:
+        return _scan(spark, paths, schemas.RAW_TRIP, add)
+    more, groups = _new_columns(spark, paths)
+    if len(groups) < 2:
+        return _scan(spark, paths, T.StructType(schemas.RAW_TRIP.fields + list(more.values())), add)
+    parts = []
+    for (root, found), files in sorted(groups.items()):
+        types = dict(found)
+        fields = [T.StructField(f.name, _type(types[n]) if n in types else f.dataType) for n, f in more.items()]
+        part = _scan(spark, files, T.StructType(schemas.RAW_TRIP.fields + fields), add, root)
+        parts.append(part.withColumns({f.name: F.col(f"`{f.name}`").cast(more[f.name.lower()].dataType) for f in fields
+                                       if f.dataType != more[f.name.lower()].dataType}))
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _scan(spark: SparkSession, paths: list[str], schema: T.StructType, add: dict[str, Column] | None,
+          root: str | None = None) -> DataFrame:
+    reader = spark.read.schema(schema)
+    if root:  # partition columns are those below the folder that was asked for
+        reader = reader.option("basePath", root)
+    df = reader.parquet(*paths)
+    return df.withColumns(add) if add else df
+
+
+def _type(name: str) -> T.DataType:
+    return T.StructType.fromDDL(f"c {name}").fields[0].dataType
+
+
+def _new_columns(spark: SparkSession, paths: list[str]) -> tuple[dict[str, T.StructField], dict]:
+    """(lower-case name -> resolved field of the columns beyond the known ones, in order of first file;
+    (folder asked for, types of the columns on which files differ) -> files or whole folders to read).
+
+    The footers are read by one job; what comes to the driver is a row for each folder and set of types."""
+    asked = {p: footers.data_files(spark, p) for p in paths}
+    known = [f.name.lower() for f in schemas.RAW_TRIP.fields]
+    new = F.filter("columns", lambda c: ~F.lower(c["name"]).isin(known))
+    facts = footers.footers(spark, [f for files in asked.values() for f in files]).select("file", "folder", new.alias("new"))
+    sets = facts.groupBy("folder", "new").agg(F.min("file").alias("file")).orderBy("file").collect()
+    names: dict[str, str] = {}
+    kinds: dict[str, set[str]] = {}
+    for r in sets:
+        for c in r["new"]:
+            names.setdefault(c["name"].lower(), c["name"])
+            kinds.setdefault(c["name"].lower(), set()).add(c["type"])
+    more = {n: T.StructField(names[n], _type(footers.widest(sorted(kinds[n])))) for n in names}
+    differ = {n for n in kinds if len(kinds[n]) > 1}
+    if not differ:
+        return more, {}
+    sign = lambda new: tuple(sorted((c["name"].lower(), c["type"]) for c in new if c["name"].lower() in differ))
+    by_folder: dict[str, set] = {}
+    for r in sets:
+        by_folder.setdefault(r["folder"], set()).add(sign(r["new"]))
+    mixed = [d for d, found in by_folder.items() if len(found) > 1]  # folders whose own files differ
+    of_file = {r["file"]: sign(r["new"]) for r in facts.where(F.col("folder").isin(mixed)).collect()} if mixed else {}
+    groups: dict[tuple[str | None, tuple], dict[str, None]] = {}  # places in order, each once
+    for p, files in asked.items():
+        folder = p.rstrip("/")
+        root = None if any(f.endswith(folder) for f, _, _ in files) else p  # a single file has no folder below it
+        for file, d, _ in files:
+            found = of_file.get(file) or next(iter(by_folder[d]))
+            groups.setdefault((root, found), {})[file if d in mixed or root is None else d] = None
+    return more, {key: list(places) for key, places in groups.items()}
 
 
 def scan_zones(spark: SparkSession, path: str) -> DataFrame:
