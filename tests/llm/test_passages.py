@@ -59,6 +59,60 @@ def test_removal_equals_brute_force(spark, limit):
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
+def test_texts_that_share_their_surroundings_only(spark):
+    """Two anchors whose hashes agree in 48 bits, between equal surroundings: nothing is repeated."""
+    rows = [(1, "24eowrxyxc8u6jnqujnm0756pjbtal7i9mg5gcnye5mit655la"), (2, "24eowrxyxc8u6jn1ixsi1lgf90k955cjzks5gcnye5mit655la")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["n_removed"] for r in suffix_dedup.remove_repeats(docs).collect()] == [0, 0]
+
+
+def test_equal_hashes_of_different_anchors(spark, monkeypatch):
+    """Anchors that share all bits of their hash are still told apart by their bytes."""
+    real = suffix_dedup.anchors
+    monkeypatch.setattr(suffix_dedup, "anchors", lambda d, o: (lambda p, h: (p, h & np.uint64(1)))(*real(d, o)))
+    rows = planted()
+    docs = [(d, t) for d, t in rows]
+    emitted = []
+    for limit in (10 ** 6, 50):
+        h, c, low, bytes_ = [], [], [], []
+        for ident, text in docs:
+            raw = (text or "").encode()
+            if len(raw) >= suffix_dedup.LENGTH:
+                data, offsets = suffix_dedup.joined([text])
+                _, _, hh, cc, out = suffix_dedup._contexts(data, offsets, lambda x: np.ones(len(x), bool))
+                h.append(hh), c.append(cc), bytes_.append(out), low.append(np.full(len(hh), (1 << 63) - 1 if ident is None else ident))
+        parts = suffix_dedup._merged(*map(np.concatenate, (h, c, low, low, bytes_)))
+        emitted.append(suffix_dedup._covered(parts[0], parts[2], parts[4]))
+        whole = [bytes(r[:suffix_dedup.REACH][::-1]) + bytes(r[suffix_dedup.REACH:-2]) for r in parts[4]]
+        for k in range(0, len(whole), 7):  # the claimed bytes do lie, around the same offset, in a smaller document
+            before, after = emitted[-1][0][k], emitted[-1][1][k]
+            if before >= 0:
+                mine = whole[k][suffix_dedup.REACH - before:suffix_dedup.REACH + suffix_dedup.K + suffix_dedup.REACH - before]
+                assert any(parts[2][i] < parts[2][k] and mine in whole[i] for i in range(len(whole)))
+
+
+def test_hot_anchors_are_dealt_out(spark):
+    line = "a line of some length that very many documents have in common, word by word"
+    rows = [(i, f"{i:05d} {i * 7919 % 10007:05d} begins " + line + f" and ends with {i * 104729 % 99991:05d} or so") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    base = docs.select("text")
+    hot = suffix_dedup._filter(base, 50)[1]
+    assert 1 <= len(hot) <= 12 and suffix_dedup._filter(base, 500)[1].size == 0
+    got = suffix_dedup.remove_repeats(docs, group_limit=50).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+def test_shallow_order_is_a_sort():
+    rng = np.random.default_rng(7)
+    for n, top in ((1, 2), (500, 3), (3000, 5), (2000, 2 ** 40)):
+        group = np.sort(rng.integers(0, 1 + n // 9, n))
+        chars = rng.integers(0, top, (n, 2)).astype(np.uint64)
+        order = suffix_dedup.shallow_order(group, chars)
+        keys = [(int(group[i]), *map(int, chars[i])) for i in order]
+        assert keys == sorted(keys) and sorted(order.tolist()) == list(range(n))
+    assert len(suffix_dedup.shallow_order(np.empty(0, np.int64), np.empty((0, 2), np.uint64))) == 0
+
+
 def test_query_equals_brute_force(spark):
     got = registry.op7_deep_shallow_dedup(spark, SF001)
     want = brute(table(SF001, "SELECT doc_id, text FROM documents"))

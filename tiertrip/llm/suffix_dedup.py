@@ -9,14 +9,16 @@ Comparing at anchors is therefore exact, and only one position in sixteen is loo
    filter of them, of at most ``FILTER_BITS`` bits, goes to all tasks. It only saves work: a false hit is
    dropped later, and a full filter would let everything through.
 2. An anchor's context is the anchor with up to ``REACH`` bytes on either side: every string of LENGTH
-   bytes around the anchor lies in it. Distinct contexts (with the least and largest id that have
+   bytes around the anchor lies in it. It is known by 64 bits of the anchor and 64 bits of the whole
+   context, the anchor's bytes included; strings of different contexts are compared byte by byte,
+   across the anchor too. Distinct contexts (with the least and largest id that have
    them, merged in each task before the shuffle) are brought together by anchor, and suffix-sorted
    by what follows the anchor and by what precedes it, backwards. The sort is deep-shallow:
    multikey quicksort on eight-byte characters to depth ``SHALLOW``, then a blind trie for each group
    of strings that agree so far. The orders' common prefix lengths say which contexts share a string
    at each offset, and so how far a context's own first document is covered by smaller ones.
-   Groups of more than ``GROUP_LIMIT`` contexts are not held in one task: their strings are grouped
-   by hash with partial minima instead.
+   An anchor in more than ``group_limit`` rows never meets in one task: its contexts are dealt out
+   by their own hash, and their strings grouped by hash with partial minima instead.
 3. Occurrences of the contexts kept are joined with them (AQE splits a hot context) and give covered
    intervals, which are united per document and cut out of its bytes.
 
@@ -43,11 +45,15 @@ SHALLOW = 16
 GROUP_LIMIT = 100_000
 FILTER_BITS = 30  # power of two: 128 MB at most
 _PIECE = 1 << 17
-_ID_BITS = 48
+_ID_BITS = 64
+#: Anchors whose contexts are dealt out from the start; should there be more, the others are dealt out once
+#: a task has met ``group_limit`` of their contexts.
+HOT_ANCHORS = 1 << 20
 _TABLE = scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _P = 0xD1342543DE82EF95
 _POW = {n: np.uint64(pow(_P, n, 1 << 64)) for n in (1, 2, 4, 8, 16)}
-_SPOT = scramble(np.arange(1000, 1000 + 2 * REACH + 2, dtype=np.uint64)) | np.uint64(1)
+_WIDTH = 2 * REACH + K + 2  # bytes before the anchor (backwards), from the anchor on, and the two lengths
+_SPOT = scramble(np.arange(1000, 1000 + _WIDTH, dtype=np.uint64)) | np.uint64(1)
 _LAST = (1 << 63) - 1
 
 
@@ -77,7 +83,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     pos, h = np.concatenate(found), np.concatenate(hashes)
     new = np.concatenate(([True], pos[1:] != pos[:-1])) if len(pos) else np.empty(0, bool)
-    return pos[new], h[new] & np.uint64((1 << _ID_BITS) - 1)
+    return pos[new], h[new]
 
 
 def _slots(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,10 +116,13 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(h[one].view(np.int64))], names=["h"])
 
 
-def _filter(base: DataFrame) -> Filter | None:
-    """The filter of anchors that are in two rows or more; None if there are none."""
+def _filter(base: DataFrame, group_limit: int) -> tuple[Filter, np.ndarray] | None:
+    """The filter of anchors that are in two rows or more, and those in more than ``group_limit`` (sorted, at
+    most ``HOT_ANCHORS``, the most frequent); None if there are none."""
     often = stash(base.select("text").mapInArrow(_emit_anchors, "h bigint").groupBy("h").count()
-                  .where("count > 1").select("h"), "anchors")
+                  .where("count > 1"), "anchors")
+    hot = often.where(F.col("count") > group_limit).orderBy(F.col("count").desc(), "h").limit(HOT_ANCHORS).select("h")
+    hot = np.sort(hot.toArrow().column("h").to_numpy().view(np.uint64))
     total = often.count()
     if not total:
         return None
@@ -125,7 +134,7 @@ def _filter(base: DataFrame) -> Filter | None:
                                            .cast("int"))).alias("v"))).toArrow()
     table = np.zeros(1 << (bits - 6), np.uint64)
     table[words.column("w").to_numpy()] = words.column("v").to_numpy().view(np.uint64)
-    return Filter(table, bits)
+    return Filter(table, bits), hot
 
 
 def _contexts(data: np.ndarray, offsets: np.ndarray, keep: Filter):
@@ -138,11 +147,12 @@ def _contexts(data: np.ndarray, offsets: np.ndarray, keep: Filter):
     left, right = np.minimum(REACH, pos - begin), np.minimum(REACH, end - pos - K)
     padded = np.concatenate((np.zeros(REACH, np.uint8), data, np.zeros(REACH, np.uint8)))
     step = np.arange(REACH)
-    out = np.zeros((len(pos), 2 * REACH + 2), np.uint8)
-    for a in range(0, len(pos), 1 << 15):  # the bytes before, backwards, then those after
+    out = np.zeros((len(pos), _WIDTH), np.uint8)
+    ahead = np.arange(K + REACH)
+    for a in range(0, len(pos), 1 << 15):  # the bytes before, backwards, then the anchor and those after
         s = slice(a, a + (1 << 15))
         out[s, :REACH] = padded[pos[s, None] + REACH - 1 - step] * (step < left[s, None])
-        out[s, REACH:-2] = padded[pos[s, None] + REACH + K + step] * (step < right[s, None])
+        out[s, REACH:-2] = padded[pos[s, None] + REACH + ahead] * (ahead < K + right[s, None])
     out[:, -2], out[:, -1] = left, right
     c = np.zeros(len(pos), np.uint64)
     for j in range(out.shape[1]):
@@ -157,7 +167,7 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    width = 2 * REACH + 2
+    width = _WIDTH
     if not len(column):
         return np.empty((0, width), np.uint8)
     buf = np.frombuffer(column.buffers()[2], np.uint8)
@@ -187,15 +197,15 @@ def _merged(h, c, low, high, rows):
     return h[s], c[s], np.minimum.reduceat(low, s), np.maximum.reduceat(high, s), rows[s]
 
 
-_CONTEXT = ["h", "c", "low", "high", "bytes"]
+_CONTEXT = ["h", "c", "low", "high", "bytes", "hot"]
 
 
-def _context_batch(h, c, low, high, rows) -> pa.RecordBatch:
+def _context_batch(hot, h, c, low, high, rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(low),
-                                       pa.array(high), _binary(rows)], names=_CONTEXT)
+                                       pa.array(high), _binary(rows), pa.array(np.isin(h, hot))], names=_CONTEXT)
 
 
-def _emit_contexts(keep):
+def _emit_contexts(keep, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -207,10 +217,10 @@ def _emit_contexts(keep):
                 held.append(_merged(h, c, doc, doc, rows))
                 size += len(h)
                 if size > 300_000:
-                    yield _context_batch(*_merged(*map(np.concatenate, zip(*held))))
+                    yield _context_batch(hot.value, *_merged(*map(np.concatenate, zip(*held))))
                     held, size = [], 0
         if held:
-            yield _context_batch(*_merged(*map(np.concatenate, zip(*held))))
+            yield _context_batch(hot.value, *_merged(*map(np.concatenate, zip(*held))))
     return run
 
 
@@ -248,6 +258,39 @@ def blind_trie_order(strings: list[bytes]) -> list[int]:
     return out
 
 
+def shallow_order(group: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """Order by ascending ``group`` and then by the columns of ``chars``: multikey quicksort. Every part is split in
+    three by its middle element's character, smaller, equal and larger; equal ones go on with the next
+    character. The parts of one round are split together."""
+    n, depth = chars.shape
+    order = np.arange(n)
+    start = _runs(group)
+    end, at = np.append(start[1:], n), np.zeros(len(start), np.int64)
+    while True:
+        more = (end - start > 1) & (at < depth)
+        start, end, at = start[more], end[more], at[more]
+        if not len(start):
+            return order
+        size = end - start
+        first = np.cumsum(size) - size
+        part = np.repeat(np.arange(len(start)), size)
+        rows = order[np.arange(len(part)) + np.repeat(start - first, size)]
+        char, pivot = chars[rows, at[part]], chars[order[(start + end) // 2], at][part]
+        less, same = char < pivot, char == pivot
+        place = np.empty(len(part), np.int64)
+        base = start.copy()
+        bounds = [start]
+        for kind in (less, same, ~(less | same)):
+            run = np.cumsum(kind)
+            before = run[first] - kind[first]
+            place[kind] = (base[part] + run - 1 - before[part])[kind]
+            base = base + np.add.reduceat(kind.astype(np.int64), first)
+            bounds.append(base)
+        order[place] = rows
+        start, end = np.concatenate(bounds[:3]), np.concatenate(bounds[1:])
+        at = np.concatenate([at, at + 1, at])
+
+
 def deep_shallow(group: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order of the strings within ascending ``group`` numbers, length each shares with the one before
     it in that order, -1 at the start of a group). Strings are rows of a byte matrix."""
@@ -256,7 +299,7 @@ def deep_shallow(group: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray, np
     pad[:, :width] = strings
     chars = pad.view(">u8").astype(np.uint64)  # eight bytes as one character
     depth = SHALLOW // 8
-    order = np.lexsort([chars[:, j] for j in reversed(range(depth))] + [group])  # multikey, most significant last
+    order = shallow_order(group, chars[:, :depth])
     starts = _runs(group[order], *[chars[order, j] for j in range(depth)])
     ends = np.append(starts[1:], n)
     for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
@@ -292,7 +335,7 @@ def _covered(h: np.ndarray, low: np.ndarray, rows: np.ndarray) -> tuple[np.ndarr
     for j in range(REACH + 1):  # strings that start j bytes before the anchor
         a, b = np.empty(n, np.int64), np.empty(n, np.int64)
         a[back_order] = np.cumsum(back_shared < j)
-        b[ahead_order] = np.cumsum(ahead_shared < REACH - j)
+        b[ahead_order] = np.cumsum(ahead_shared < K + REACH - j)
         real = np.flatnonzero((left >= j) & (right >= REACH - j))
         key = a[real] * (n + 1) + b[real]
         order = np.argsort(key, kind="stable")
@@ -312,7 +355,8 @@ _RESULT = "h bigint, c bigint, low bigint, before int, after int, bytes binary"
 
 def _resolve(limit: int):
     """Contexts sorted by anchor -> those that cover something: (before, after) for the least id, and all
-    of the context for larger ids. Contexts of an anchor with more than ``limit`` come out with bytes."""
+    of the context for larger ids. Contexts of a hot anchor (which come last), and of one with more than
+    ``limit`` here, come out with bytes."""
     def result(h, c, low, before, after, rows) -> pa.RecordBatch:
         n = len(h)
         return pa.RecordBatch.from_arrays(
@@ -340,6 +384,10 @@ def _resolve(limit: int):
             h, c = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
             low, high = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
             rows = _matrix(batch.column(4))
+            cold = int((~batch.column(5).to_numpy(zero_copy_only=False)).sum())
+            if cold < len(h):
+                yield result(h[cold:], c[cold:], low[cold:], -1, -1, rows[cold:])
+                h, c, low, high, rows = h[:cold], c[:cold], low[:cold], high[:cold], rows[:cold]
             if large is not None and len(h):
                 n = int(np.searchsorted(h.view(np.int64), np.uint64(large).view(np.int64), "right"))
                 if n:
@@ -369,7 +417,8 @@ def _resolve(limit: int):
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each string of LENGTH bytes of large anchors' contexts, by a hash."""
+    """Each string of LENGTH bytes of large anchors' contexts, by a hash of its bytes and place; with the anchor's
+    that makes 128 bits."""
     for batch in batches:
         h, c = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
         low, rows = batch.column(2).to_numpy(zero_copy_only=False), _matrix(batch.column(3))
@@ -379,7 +428,7 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ahead = np.concatenate((np.zeros((len(h), 1), np.uint64), np.cumsum(parts[:, REACH:], 1, dtype=np.uint64)), 1)
         for j in range(REACH + 1):
             ok = (left >= j) & (right >= REACH - j)
-            key = scramble((back[ok, j] + ahead[ok, REACH - j]) ^ scramble(h[ok] * np.uint64(64) + np.uint64(j)))
+            key = scramble(scramble(back[ok, j] + ahead[ok, K + REACH - j]) + np.uint64(j))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key.view(np.int64)), pa.array(h[ok].view(np.int64)), pa.array(c[ok].view(np.int64)),
                  pa.array(low[ok]), pa.array(np.full(int(ok.sum()), j, np.int32))], names=["key", "h", "c", "low", "j"])
@@ -390,8 +439,8 @@ def _large(rest: DataFrame) -> DataFrame:
     whole = rest.groupBy("h", "c").agg(F.min("low").alias("low"), F.max("bytes").alias("bytes"))
     strings = stash(whole.select("h", "c", "low", "bytes").mapInArrow(
         _strings, "key bigint, h bigint, c bigint, low bigint, j int"), "strings")
-    first = strings.groupBy("key").agg(F.min("low").alias("first"))
-    near = (strings.join(first, "key").where("first < low").groupBy("h", "c")
+    first = stash(strings.groupBy("h", "key").agg(F.min("low").alias("first")), "least")
+    near = (strings.join(first, ["h", "key"]).where("first < low").groupBy("h", "c")
             .agg(F.max("j").alias("before"), (F.lit(REACH) - F.min("j")).alias("after")))
     out = whole.select("h", "c", "low").join(near, ["h", "c"], "left")
     return out.select("h", "c", "low", F.coalesce("before", F.lit(-1)).alias("before"),
@@ -446,13 +495,16 @@ def covered_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     largest bigint, and ``mark``, a hash of its text. None where nothing repeats."""
     base = docs.select(F.coalesce(col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"), col(text_col).alias("text"),
                        F.xxhash64(col(text_col)).alias("mark")).where(F.octet_length("text") >= LENGTH)
-    keep = _filter(base)
-    if keep is None:
+    found = _filter(base, group_limit)
+    if found is None:
         return None
-    keep = base.sparkSession.sparkContext.broadcast(keep)
+    keep = base.sparkSession.sparkContext.broadcast(found[0])
+    hot = base.sparkSession.sparkContext.broadcast(found[1])
+    # a hot anchor's contexts are dealt out by their own hash; all others by their anchor
     contexts = (base.select("id", "text")
-                .mapInArrow(_emit_contexts(keep), "h bigint, c bigint, low bigint, high bigint, bytes binary")
-                .repartition("h").sortWithinPartitions("h", "c").mapInArrow(_resolve(group_limit), _RESULT))
+                .mapInArrow(_emit_contexts(keep, hot), "h bigint, c bigint, low bigint, high bigint, bytes binary, hot boolean")
+                .repartition("h", F.when(F.col("hot"), F.col("c")))
+                .sortWithinPartitions("hot", "h", "c").mapInArrow(_resolve(group_limit), _RESULT))
     settled = stash(contexts, "contexts")
     small = settled.where("bytes IS NULL").drop("bytes")
     rest = settled.where("bytes IS NOT NULL").select("h", "c", "low", "bytes")
