@@ -96,3 +96,30 @@ def test_odd_rows(spark):
     assert kept.count() == len(set(roots.values()))
     assert {r["doc_id"] for r in kept.collect()} >= {1, 4, 5}
     assert simhash.keep_one(empty_docs(spark)).count() == 0
+
+
+def test_hub_joins_are_split(spark):
+    """Half of all edges meet in one node: every star step's join splits its partition."""
+    from pyspark.sql import functions as F
+    from tests.conftest import plan_text
+    from tiertrip.llm import components as comp
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hub = spark.range(1, 60_000).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") + 1_000_000).alias("u"),
+                                            (F.col("id") + 100_000).alias("v"))
+        edges = comp.stash(hub, "edges")
+        for step in (comp._large_star, comp._small_star):
+            df = step(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")) if step is comp._large_star else
+                      edges.select(F.when(F.col("u") == 0, 2_000_000).otherwise(F.col("u")).alias("u"), "v"))
+            df.collect()
+            assert "skew=true" in plan_text(df, "simple"), step
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    got = {r["node"]: r["root"] for r in comp.components(spark.createDataFrame([(5, 3), (3, 1), (9, 8)], "u long, v long")).collect()}
+    assert got == {5: 1, 3: 1, 1: 1, 9: 8, 8: 8}

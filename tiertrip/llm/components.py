@@ -1,9 +1,10 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
-Each step is a grouped minimum (partial aggregation first) and a join, so a node with very many
-neighbours never meets in one task; AQE splits its join partition. The edge table is written to
-the shared folder after each round. Edges only ever move to smaller nodes, and the rounds end when
-a round leaves the table as it was.
+Each step is a grouped minimum (partial aggregation first), written to the shared folder, and a join with
+it. The written table matters: both sides of the join are then plain exchanges, so AQE splits the
+partition of a node with very many neighbours, which it cannot do where the join reads the aggregate's own
+exchange. The edge table is written after each step. Edges only ever move to smaller nodes, and the
+rounds end when a round leaves the table as it was.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from .common import stash
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours point to the least of the node and all its neighbours."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    least = stash(both.groupBy("u").agg(F.min("v").alias("m")), "least")
     return (both.join(least, "u").where("v > u")
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
 
@@ -24,15 +25,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours point to the least of those neighbours."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = stash(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = (down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def _state(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")),
-                  F.sum(F.xxhash64("v", "u").bitwiseAND(F.lit(0xFFFFFFFF)))).first()
-    return tuple(r)
+    """Count and two checksums of distinct edges; none can overflow."""
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", F.lit(7), "u"))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -45,6 +45,6 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before or state[0] == 0:
             break
         before = state
-        cur = stash(_small_star(_large_star(cur)), "edges")
+        cur = stash(_small_star(stash(_large_star(cur), "edges")), "edges")
     star = cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return star.unionByName(star.select(F.col("root").alias("node"), "root").distinct())

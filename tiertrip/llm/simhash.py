@@ -130,8 +130,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, tau: int = 4, id_col: str
                              fingerprint(col(text_col), shingle).alias("fp")), "fingerprints")
     nodes = base.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     roots = components(links(nodes.select("fp"), tau)).select(F.col("node").alias("fp"), "root")
-    named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = stash(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "named")
+    # written, so that the join below splits the partition of a root with very many fingerprints
+    names = stash(named.groupBy("root").agg(F.min("least_id").alias("component_id")), "names")
     member = named.select("fp", "root").join(names, "root")
     return base.join(member, "fp")
 
