@@ -179,3 +179,32 @@ def test_toxicity_odd_rows(spark):
     assert len(rows) == len(odd_rows()) and all(0 <= r["s"] <= 1 for r in rows)
     none = toxicity.fit(empty_docs(spark), labels)
     assert none.score("any words") == 0.0
+
+
+def test_marks_alone_are_no_language_and_many_languages_are_learned(spark):
+    rows = [(i, f"wort{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} und haus " * 3, f"l{i:05d}") for i in range(2300)]
+    rows += [(10_000 + i, "the river walks under a bright evening", "en") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = langid.fit(docs, top=20)
+    assert len(profiles.langs) == langid.MAX_LANGS and "en" in profiles.langs
+    assert profiles.predict("the bright river")[0] == "en"
+    assert profiles.predict("\u0301\u0301") == ("und", 0.0) and profiles.predict(None) == ("und", 0.0)
+    assert langid.fit(docs, most_langs=1).langs == ["en"]
+
+
+def test_profile_distance_is_the_out_of_place_sum():
+    import random
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 5))) for _ in range(40)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    ranked = {}
+    for lang in ("x", "y", "z"):
+        grams, _ = langid.top_ranks(text(80), (1, 2, 3), 50)
+        ranked[lang] = [int(g) for g in grams]
+    profiles = langid.Profiles(ranked, 50, (1, 2, 3))
+    for n in (1, 3, 30):
+        t = text(n)
+        grams, ranks = langid.top_ranks(t, (1, 2, 3), 50)
+        away = {lang: sum(abs(r.index(int(g)) - k) if int(g) in r else 50 for g, k in zip(grams, ranks)) for lang, r in ranked.items()}
+        best = min(sorted(away), key=away.get)
+        assert profiles.predict(t) == (best, 1 - away[best] / (50 * len(grams)))

@@ -11,7 +11,7 @@ n-grams stay inside a word with its blanks. An n-gram is a 64-bit hash of its co
 Profiles are fitted on at most about ``rows_per_lang`` labelled rows of each language, taken by a
 hash of the id (all rows where there are fewer); rows to hold out are the caller's filter. Counts are
 merged per task before the shuffle, and only the top of each language reaches the driver: ``top``
-rows for each of at most ``MAX_LANGS`` languages. Scoring sees whole texts of all rows.
+rows for each of the ``MAX_LANGS`` languages with the most rows (a dirty column has more). Scoring sees whole texts of all rows.
 
 Edge cases. NULL text, empty text, no letter: ``und``, score 0. Equal distances: the language that
 sorts first (score 0 where no n-gram is in any profile; ``keep_identified`` drops such rows). NULL language: not learned from. No labelled row at all: ``und`` for every text.
@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import col, hash_share
+from .common import col
 
 MAX_LANGS = 2000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -83,24 +83,30 @@ def top_ranks(text: str, sizes: tuple[int, ...], top: int) -> tuple[np.ndarray,
 
 
 class Profiles:
-    """Rank of each known n-gram in each language; ``top`` where a language lacks it."""
+    """The ranks of each known n-gram in the languages that have it, as (n-gram, language, rank) in order."""
 
     def __init__(self, ranked: dict[str, list[int]], top: int, sizes: tuple[int, ...]):
         self.langs, self.top, self.sizes = sorted(ranked), top, sizes
-        self.grams = np.unique(np.array([g for v in ranked.values() for g in v], np.uint64))
-        self.ranks = np.full((len(self.grams) + 1, len(self.langs)), float(top))
-        for j, lang in enumerate(self.langs):
-            grams = np.array(ranked[lang], np.uint64)
-            self.ranks[np.searchsorted(self.grams, grams), j] = np.arange(len(grams))
+        gram = np.array([g for lang in self.langs for g in ranked[lang]], np.uint64)
+        lang = np.array([j for j, lang in enumerate(self.langs) for _ in ranked[lang]], np.int64)
+        rank = np.array([r for lang in self.langs for r in range(len(ranked[lang]))], float)
+        order = np.argsort(gram, kind="stable")
+        self.lang, self.rank = lang[order], rank[order]
+        self.grams, first = np.unique(gram[order], return_index=True)
+        self.first = np.append(first, len(gram))
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        """(language, score). The distance to a language is ``top`` for each n-gram that it lacks and the
+        difference of the ranks for the others."""
         grams, ranks = top_ranks(text or "", self.sizes, self.top)
-        if not len(grams) or not self.langs:
+        if not len(grams) or not self.langs or not any(map(str.isalpha, text)):
             return "und", 0.0
         at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
-        at[self.grams[at] != grams] = len(self.grams)  # the row of an unknown n-gram
-        known = self.ranks[at]
-        away = np.where(known < self.top, np.abs(known - ranks[:, None]), self.top).sum(0)
+        known = self.grams[at] == grams
+        begin, size = self.first[at[known]], np.diff(self.first)[at[known]]
+        each = np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+        nearer = np.abs(self.rank[each] - np.repeat(ranks[known], size)) - self.top
+        away = self.top * len(grams) + np.bincount(self.lang[each], nearer, len(self.langs))
         best = int(away.argmin())
         return self.langs[best], float(1 - away[best] / (self.top * len(grams)))
 
@@ -132,20 +138,22 @@ def _count(sizes: tuple[int, ...]):
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        rows_per_lang: int = 20_000, top: int = 400, sizes: tuple[int, ...] = (1, 2, 3), seed: int = 6) -> Profiles:
-    """Profiles from the rows of ``labelled`` that have a text and a language."""
+        rows_per_lang: int = 20_000, top: int = 400, sizes: tuple[int, ...] = (1, 2, 3), seed: int = 6,
+        most_langs: int = MAX_LANGS) -> Profiles:
+    """Profiles from the rows of ``labelled`` that have a text and a language: about ``rows_per_lang`` rows of
+    each of the ``most_langs`` languages with the most rows."""
     rows = labelled.select(col(id_col).cast("string").alias("id"), col(lang_col).cast("string").alias("lang"),
                            col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    found = rows.groupBy("lang").count().limit(MAX_LANGS + 1).collect()
-    if len(found) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    found = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(most_langs).collect()
     if not found:
         return Profiles({}, top, sizes)
     key = F.coalesce("id", F.md5("text"))
-    wanted = F.lit(False)
-    for r in found:
-        wanted = wanted | ((F.col("lang") == r["lang"]) & hash_share(key, rows_per_lang, r["count"], seed))
-    counts = rows.where(wanted).select("lang", "text").mapInArrow(_count(sizes), "lang string, gram long, n long")
+    shares = {r["lang"]: min(1.0, rows_per_lang / r["count"]) for r in found}
+    # one row a language, most_langs at most
+    known = rows.sparkSession.createDataFrame([(k, int(v * (1 << 32))) for k, v in shares.items()], "lang string, share long")
+    draw = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 32))
+    rows = rows.join(F.broadcast(known), "lang").where(draw < F.col("share"))
+    counts = rows.select("lang", "text").mapInArrow(_count(sizes), "lang string, gram long, n long")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = (counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top))
