@@ -110,3 +110,11 @@ def test_mix_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)  # the salted join gives the same
     assert sorted(map(str, mixing.plan(docs).collect())) == sorted(map(str, rows))
     assert mixing.plan(empty_docs(spark)).count() == 0
+
+
+def test_shards_of_ids_across_the_whole_bigint_range(spark):
+    ids = [-9 * 10 ** 18, -5, None, 0, 7, 9 * 10 ** 18, 2 ** 63 - 1, -2 ** 63]
+    docs = spark.createDataFrame([(i, f"text {i}", "s", "en") for i in ids], "doc_id long, text string, source string, lang string")
+    rows = hilbert.shard(docs, 3).collect()
+    check_law(rows, len(ids), 3)
+    assert sorted(str(r["doc_id"]) for r in rows) == sorted(map(str, ids))

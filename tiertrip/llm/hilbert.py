@@ -108,7 +108,8 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
     if pairs.count() <= BROADCAST_PAIRS:
         levels = F.broadcast(levels)
     size_level = F.least(F.greatest(F.floor(F.log2("size")) - 4, F.lit(0)), F.lit(LEVELS - 1)).cast("int")
-    id_level = F.coalesce(F.floor((F.col("id") - F.lit(low)) / F.lit(step)), F.lit(0)).cast("int")
+    wide = "CAST({} AS DECIMAL(20, 0))"  # the difference of two ids can be past a bigint
+    id_level = F.coalesce(F.expr(f"({wide.format('id')} - {wide.format(low)}) div {wide.format(step)}"), F.lit(0)).cast("int")
     gridded = rows.join(levels, F.expr("source <=> source_ AND lang <=> lang_")).withColumn(
         "cell", ((F.col("s") * LEVELS + F.col("l")) * LEVELS + size_level) * LEVELS + id_level)
 
