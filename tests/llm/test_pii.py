@@ -73,3 +73,20 @@ def test_odd_rows(spark):
     assert pii.find(empty_docs(spark)).count() == 0
     assert registry.op1_weak_pii(spark, SF001).columns[:7] == [
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+
+
+def test_span_proposals_are_near_linear():
+    import time
+    from tiertrip.llm import pii
+    text = lambda n: "\n".join(f"call {2 + i % 8}{i % 7}2-55{i % 10}-{i % 10000:04d} or so" for i in range(n))
+    took = []
+    for n in (10_000, 100_000):
+        t = time.thread_time()
+        found = pii._proposed(text(n), pii.base_spans(text(n)))
+        took.append(time.thread_time() - t)
+        assert len(found) >= n
+    assert took[1] < 40 * took[0]
+    spans = pii._Taken([(0, 5), (2, 3), (10, 20), (30, 31)])
+    for a in range(35):
+        for b in range(a + 1, 36):
+            assert spans.touches(a, b) == any(a < y and x < b for x, y in spans.spans)

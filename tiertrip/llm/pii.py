@@ -21,7 +21,9 @@ Added spans overlap no base span and not each other. Only the named columns are
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -112,9 +114,22 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+class _Taken:
+    """Spans taken so far, by start, with the furthest end up to each: a touch is found by one search."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.spans = sorted(spans)
+        self.starts = [a for a, _ in self.spans]
+        self.reach = list(itertools.accumulate((b for _, b in self.spans), max))
+
+    def touches(self, a: int, b: int) -> bool:
+        i = bisect.bisect_left(self.starts, b)
+        return i > 0 and self.reach[i - 1] > a
+
+
 def _proposed(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Spans of the looser patterns that touch neither a base span nor each other."""
-    used = sorted((a, b) for _, a, b in taken)
+    used = _Taken([(a, b) for _, a, b in taken])
     out = []
     has_digit = bool(_DIGIT.search(text))
     for kind in KINDS:
@@ -122,12 +137,11 @@ def _proposed(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, i
             continue
         if kind != "email" and not has_digit:
             continue
-        for pattern in _MORE[kind]:
-            for m in pattern.finditer(text):
-                a, b = m.span()
-                if not any(a < y and x < b for x, y in used):
-                    used.append((a, b))
-                    out.append((kind, a, b))
+        for pattern in _MORE[kind]:  # matches of one pattern do not touch each other
+            new = [m.span() for m in pattern.finditer(text) if not used.touches(*m.span())]
+            if new:
+                out += [(kind, a, b) for a, b in new]
+                used = _Taken(used.spans + new)
     return out
 
 
