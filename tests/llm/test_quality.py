@@ -112,3 +112,12 @@ def test_attention_odd_rows(spark):
     assert len(rows) == len(odd_rows()) and all(0 <= r["s"] <= 1 for r in rows)
     none = quality_mil.fit(empty_docs(spark), labels.where("doc_id < 0"))
     assert none.constant == 0.5
+
+
+def test_a_document_that_does_not_fit_ends_no_sample():
+    from tiertrip.llm import quality_mil
+    rows = [(0, 1, 10), (1, 0, 400_001)] + [(i, i % 2, 5) for i in range(2, 4000)]
+    kept = quality_mil._within(rows, 400_000)
+    assert kept[:2] == [0, 1]  # the first of each label always
+    rows = [(0, 1, 10), (1, 0, 5), (2, 0, 400_001)] + [(i, i % 2, 5) for i in range(3, 4000)]
+    assert len(quality_mil._within(rows, 400_000)) == 3999

@@ -186,12 +186,11 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _within(rows: list, most: int) -> list[int]:
-    """Ids of ``rows`` (id, label, passages) in their order until the next one would make more than ``most``
+    """Ids of ``rows`` (id, label, passages) in their order, passing over each that would make more than ``most``
     passages; the first of each label always."""
-    total, open_, seen, out = 0, True, set(), []
+    total, seen, out = 0, set(), []
     for i, y, n in rows:
-        open_ = open_ and total + n <= most
-        if open_ or y not in seen:
+        if total + n <= most or y not in seen:
             out.append(i)
             total += n
         seen.add(y)
@@ -202,7 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col:
         text_col: str = "text", label_col: str = "quality", train_rows: int = 4000, seed: int = 4,
         train_passages: int = 400_000) -> Network:
     """A network fitted to labelled documents for which ``train`` (a condition on the id column of
-    ``labels``) holds: about ``train_rows`` of them, and ``train_passages`` passages in all."""
+    ``labels``) holds: about ``train_rows`` of them, and ``train_passages`` passages in all. They are
+    taken in the order of a hash; one that no longer fits is passed over and the next ones still are tried."""
     chosen = labels if train is None else labels.where(train)
     one = (chosen.select(col(id_col).cast("long").alias("id"), col(label_col).cast("int").alias("y"))
            .where("id IS NOT NULL AND y IS NOT NULL").groupBy("id")
