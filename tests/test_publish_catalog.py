@@ -250,3 +250,15 @@ def test_schema_of_silver_is_still_checked(spark, lake, tmp_path):
     assert md.read_back(spark, cur, schemas.CURATED, None)[2] == "OK"
     spark.read.parquet(cur).drop("tips").write.parquet(str(tmp_path / "bad"))
     assert md.read_back(spark, str(tmp_path / "bad"), schemas.CURATED, None)[2] == "MISMATCH"
+
+
+def test_a_run_can_be_cleared(spark):
+    from tiertrip.session import clear_run, path_exists, run_path, scratch_path
+    place = run_path(spark, "some", "table")
+    spark.range(3).write.parquet(place)
+    other = scratch_path(spark, "runs", "app-of-another-run", "t")
+    spark.range(3).write.parquet(other)
+    clear_run(spark, "app-of-another-run")
+    assert not path_exists(spark, other) and spark.read.parquet(place).count() == 3
+    from pyspark.sql import SparkSession
+    assert run_path(spark).endswith(SparkSession.active().sparkContext.applicationId)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tiertrip.config import STATUS_FAILED, LakePaths
 from tiertrip.plans import medallion as md
-from tiertrip.session import list_path
+from tiertrip.session import clear_run, list_path
 from tiertrip.sinks import catalog
 
 
@@ -41,6 +41,18 @@ def _now() -> str:
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Run one job. In a session that it started, the job's intermediate tables go when it ends."""
+    from pyspark.sql import SparkSession
+    own = SparkSession.getActiveSession() is None
+    spark = _session()
+    try:
+        return _run(spark, argv)
+    finally:
+        if own:
+            clear_run(spark)
+
+
+def _run(spark, argv: list[str] | None) -> int:
     p = argparse.ArgumentParser(prog="tiertrip")
     p.add_argument("job", choices=["raw-to-curated", "curated-to-gold", "dq-check", "zone-summary", "ingest",
                                    "register", "report", "saved-query"])
@@ -60,7 +72,6 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--zones", default="JFK Airport,LaGuardia Airport", help="zones of saved query q5")
     a = p.parse_args(argv)
     lp = LakePaths(a.lake, a.source)
-    spark = _session()
     if a.job == "raw-to-curated":
         out = md.raw_to_curated(spark, lp.path("trips_raw"), lp.path("zones_raw"), lp.path("curated"))
         print(json.dumps(out.__dict__))

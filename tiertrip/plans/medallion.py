@@ -30,7 +30,7 @@ from tiertrip.sinks.publish import recover
 from tiertrip.sinks.writers import observed, partition_key, write_counted, write_json_document, write_partitioned, write_table
 from tiertrip.sources import footers
 from tiertrip.sources import months as mo
-from tiertrip.session import list_path, remove_path, scratch_path
+from tiertrip.session import list_path, remove_path, run_path
 from tiertrip.sources import readers
 
 
@@ -168,7 +168,7 @@ def write_gold_one_pass(spark: SparkSession, curated: DataFrame, out: GoldPaths,
     """One scan of ``curated`` -> combined GROUPING SETS result written under the shared folder
     (a lineage cut), one folder per grouping set -> the three gold tables, each from its own folder.
     Routes under the trip limit are dropped before the stage is written; the stage folder goes after use."""
-    stage = scratch_path(spark, "stage", "gold", uuid.uuid4().hex)
+    stage = run_path(spark, "gold", uuid.uuid4().hex)
     combined = ru.busy_routes(ru.gold_one_pass(curated.select(*GOLD_COLUMNS)), thresholds)
     try:
         write_partitioned(combined, stage, "gold_set", rebalance=False)
@@ -260,7 +260,7 @@ def dq_job(spark: SparkSession, bronze_path: str, rejected_path: str, summary_pa
     rejected rows, and once for all reports together, as grouping sets whose few rows are written and read."""
     summary = dq_check(spark, bronze_path, rejected_path, summary_path, thresholds)
     tagged = q.tag(readers.scan_trips(spark, bronze_path), thresholds=thresholds)
-    stage = scratch_path(spark, "runs", uuid.uuid4().hex, "quality_reports")
+    stage = run_path(spark, uuid.uuid4().hex, "quality_reports")
     combined = rp.dq_one_pass(tagged)
     write_table(combined, stage, rebalance=True)
     return {"summary": summary} | rp.split_dq(spark.read.schema(combined.schema).parquet(stage))

@@ -24,7 +24,7 @@ from tiertrip.operators import zones as zn
 from tiertrip.plans import medallion as md
 from tiertrip.plans import saved
 from tiertrip.plans.lake import TripLake
-from tiertrip.session import scratch_path
+from tiertrip.session import run_path
 from tiertrip.sinks import landing as ld
 from tiertrip.sinks.writers import write_partitioned
 from tiertrip.sources import months as mo
@@ -59,7 +59,7 @@ def query(name: str, sql: str | None = None):
 
 def _run_dir(lake: TripLake, what: str) -> str:
     """A folder of its own for each call, so that no later call overwrites what a frame still reads."""
-    return scratch_path(lake.spark, "runs", uuid.uuid4().hex, what)
+    return run_path(lake.spark, uuid.uuid4().hex, what)
 
 
 B, S = o.BASE, o.SILVER  # CTE stacks: bronze trips; trips through silver

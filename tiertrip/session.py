@@ -85,6 +85,18 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "tiertrip", *parts])
 
 
+def run_path(spark: SparkSession, *parts: str) -> str:
+    """A place for what only this application's run needs (intermediate tables, outputs of registered queries),
+    in one folder of its own below the shared working folder; :func:`clear_run` removes it."""
+    return scratch_path(spark, "runs", spark.sparkContext.applicationId, *parts)
+
+
+def clear_run(spark: SparkSession, application: str | None = None) -> None:
+    """Remove all intermediate tables of this application, or of an earlier one by its id. To be called once
+    their frames are no longer read: at the end of a job, after its last action."""
+    remove_path(spark, scratch_path(spark, "runs", application or spark.sparkContext.applicationId))
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
