@@ -98,7 +98,7 @@ def test_attention_learns_from_long_documents(spark):
     for most in (400_000, 1000, 1):
         net = quality_mil.fit(docs, labels, train_passages=most)
         assert net.constant is None and net.score(*quality_mil.encode([prose(99, 640)])).item() != 0.5
-    assert quality_mil._within([(1, 0, 5), (2, 0, 5), (3, 0, 5), (4, 1, 9), (5, 1, 1)], 10) == [1, 2, 4]
+    assert within([(1, 0, 5), (2, 0, 5), (3, 0, 5), (4, 1, 9), (5, 1, 1)], 10) == [1, 2, 4]
     texts = [None, "", "a b", " ".join("w" * 200), prose(3, 129), "x\n\ny"]
     sizes = next(quality_mil._sizes([pa.RecordBatch.from_arrays(
         [pa.array([1] * 6), pa.array(range(6)), pa.array(texts)], names=["y", "id", "text"])]))
@@ -115,9 +115,9 @@ def test_attention_odd_rows(spark):
 
 
 def test_a_document_that_does_not_fit_ends_no_sample():
-    from tiertrip.llm import quality_mil
+    from tiertrip.llm.common import within
     rows = [(0, 1, 10), (1, 0, 400_001)] + [(i, i % 2, 5) for i in range(2, 4000)]
-    kept = quality_mil._within(rows, 400_000)
+    kept = within(rows, 400_000)
     assert kept[:2] == [0, 1]  # the first of each label always
     rows = [(0, 1, 10), (1, 0, 5), (2, 0, 400_001)] + [(i, i % 2, 5) for i in range(3, 4000)]
-    assert len(quality_mil._within(rows, 400_000)) == 3999
+    assert len(within(rows, 400_000)) == 3999

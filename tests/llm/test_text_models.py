@@ -3,6 +3,7 @@ import time
 import zlib
 
 import numpy as np
+import pytest
 
 from tests.llm.helpers import SF01, empty_docs, odd_docs, odd_rows, table
 from tiertrip.llm import langid, registry, toxicity
@@ -100,6 +101,33 @@ def test_spelled_out_words_beside_other_single_letters(spark):
     assert restorer.words("1 2 3 4 5 $ 7") == set()
 
 
+def test_separators_of_any_kind(spark):
+    restorer = toxicity.Restorer(model_of(spark, CLEAN + RUDE * 3))
+    for spelled in ("s  t  u  p  i  d", "s.t-u p.i-d", "s\nt\nu\np\ni\nd", "s...t...u...p...i...d", "stu-pid", "stu\u2014pid", "stu...pid",
+                    "stu-\npid", "stu\u00adpid", "\uff53\uff54\uff55\uff50\uff49\uff44", "\uff33 t u p i d", "s - t - u - p - i - d"):
+        assert "stupid" in restorer.words(f"what a {spelled}"), spelled
+    model = toxicity.Model(restorer, {"stupid": 0.9, "mor~": 0.5}, 0.05)
+    assert model.score("so stu pid of you") == model.score("so stupid of you") == pytest.approx(1 - 0.95 * 0.1)
+    assert model.score("a stu. Not a pid") == model.score(None) == pytest.approx(0.05)
+    assert restorer.words("a far-known river") == {"a", "far", "known", "river", "farknown"}
+
+
+def test_letters_beyond_the_first_planes_are_counted(spark):
+    model = model_of(spark, ["\u6c34\u6c34\u6c34 \U00020000\U00020000\U00020000"] * 50)
+    for c in ("\u6c34", "\U00020000"):
+        k = toxicity._class(c)
+        assert k >= 27 and toxicity._classes()[ord(c)] == k and model.cost[k, k, k] < 1.5
+
+
+def test_lexicon_from_a_bounded_sample(spark):
+    docs = spark.createDataFrame([(i, f"calm words here number n{i}x" + (" vile" if i % 4 == 0 else "") + (" long" + "q" * 5000 if i == 3 else ""))
+                                  for i in range(80)] + [(99, " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(5000)))],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)] + [(99, 0)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, train_words=2000)  # the long document is passed over, the rest is learned from
+    assert model.score("a vile thing") > 0.5 > model.score("calm words")
+
+
 def test_long_disguises_are_restored(spark):
     restorer = toxicity.Restorer(model_of(spark, CLEAN + RUDE * 3))
     sentence = "the old stone bridge is under a stupid loser and a worthless moron"

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tiertrip.session import scratch_path
+from tiertrip.session import run_path
 
 #: The word pattern of every operator that counts words: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,10 +16,11 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared working folder and read it back.
 
     Cuts lineage: a lost executor costs at most the tasks of one step, and Python work above
-    the written table never runs twice. The folder is new for each call.
+    the written table never runs twice. The folder is new for each call; ``tiertrip.session.clear_run``
+    removes all of a run.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+    path = run_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -50,3 +51,15 @@ def hash_share(key: Column, limit: int, rows: int, seed: int) -> Column:
         return F.lit(True)
     share = int(limit / rows * (1 << 32))
     return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 32)) < F.lit(share)
+
+
+def within(rows: list, most: int) -> list[int]:
+    """Ids of ``rows`` (id, label, size) in their order, passing over each that would make more than ``most`` in
+    all; the first of each label always."""
+    total, seen, out = 0, set(), []
+    for i, y, n in rows:
+        if total + n <= most or y not in seen:
+            out.append(i)
+            total += n
+        seen.add(y)
+    return out

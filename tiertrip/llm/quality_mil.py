@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import col, hash_share
+from .common import col, hash_share, within
 from .textarrays import (CLOSING, CODE_POINT, DIGIT, IN_WORD, LETTER, LETTER_BYTE, MARK, SYMBOL, UPPER, by_bytes,
                          joined, scramble, words)
 
@@ -185,18 +185,6 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["id", "n"])
 
 
-def _within(rows: list, most: int) -> list[int]:
-    """Ids of ``rows`` (id, label, passages) in their order, passing over each that would make more than ``most``
-    passages; the first of each label always."""
-    total, seen, out = 0, set(), []
-    for i, y, n in rows:
-        if total + n <= most or y not in seen:
-            out.append(i)
-            total += n
-        seen.add(y)
-    return out
-
-
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "quality", train_rows: int = 4000, seed: int = 4,
         train_passages: int = 400_000) -> Network:
@@ -219,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col:
              .join(F.broadcast(sample), "id").select("id", "y", "n", F.xxhash64(F.lit(seed), "id").alias("at")).collect())
     sizes = sorted(((r["id"], r["y"], r["n"], r["at"]) for r in sizes), key=lambda r: (r[3] % (1 << 32), r[0]))
     if sum(r[2] for r in sizes) > train_passages:
-        sample = sample.where(F.col("id").isin(_within([r[:3] for r in sizes], train_passages)))
+        sample = sample.where(F.col("id").isin(within([r[:3] for r in sizes], train_passages)))
     rows = (of(sample).mapInArrow(_bags, "y int, id long, x binary")
             .groupBy("id").agg(F.min("y").alias("y"), F.min("x").alias("x")).collect())  # a bag per id, however often it comes
     rows = sorted(rows, key=lambda r: r["id"])

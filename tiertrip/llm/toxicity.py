@@ -3,7 +3,10 @@
 Restoration. A word that mixes letters with look-alike digits and signs, repeats a letter, or is spelled
 out with separators becomes a lattice: each character is itself or a letter it stands for, punctuation
 after the last letter may be left out at little cost, a separator may be dropped or be a break between
-two words, a repeat may be cut to one or two. Viterbi decoding picks the path of least cost, the channel's cost plus that of a trigram
+two words, a repeat may be cut to one or two. Single characters with up to four separators of any
+kind between them are spelled out too; words joined by hyphens, dashes or dots are also read as one, and
+two words with a blank between them where together they are a word of the lexicon. Full-width signs and
+letters are read as plain ones. Viterbi decoding picks the path of least cost, the channel's cost plus that of a trigram
 character model, and its breaks split it into words (see ``BREAKS``). All other words have a lattice of
 one path and are left alone. The character model is counted over all texts given (partial counts in
 each task, summed by Spark): its table is bounded by the alphabet cubed, and its counts grow with the
@@ -12,7 +15,8 @@ corpus.
 Scoring. Features of a document are its distinct restored words and their beginnings of four to six
 letters. A lexicon of features with their toxic probabilities is learned by sequential covering from
 at most about ``train_rows`` labelled documents, equal texts and near copies (four fifths of the distinct
-words in common) once, taken by a hash of the id (all where there are fewer); rows to hold out are the
+words in common) once, taken by a hash of the id (all where there are fewer), with ``train_words``
+distinct words in all, counted by document; rows to hold out are the
 caller's filter. The score is the probability that at
 least one of the document's features is toxic. It uses the whole text, and a feature counts once, so
 that a long clean text around it does not dilute it.
@@ -25,6 +29,8 @@ are read.
 
 from __future__ import annotations
 
+import itertools
+import operator
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,7 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import col, hash_share
+from .common import col, hash_share, stash, within
 from .textarrays import scramble
 
 #: What a character can stand for in disguise.
@@ -55,6 +61,14 @@ _READINGS = {c: tuple((x, SUBSTITUTE) for x in letters) for c, letters in LOOK_A
 #: Three or more single letters, digits or look-alikes with the same separator between them; a sign after another sign starts none.
 _UNIT = rf"(?!_)[\w{_SIGNS}]"
 _SPELLED = re.compile(rf"(?<![^\W_])(?:[^\W_]|(?<![{_SIGNS}])[{_SIGNS}])([ .\-_*]){_UNIT}(?:\1{_UNIT})+(?![^\W_])")
+#: The same with one to four separators of any kind, line breaks included, between two characters.
+_LOOSE = re.compile(rf"(?<![^\W_])(?:[^\W_]|(?<![{_SIGNS}])[{_SIGNS}])(?:[\s.\-_]{{1,4}}{_UNIT}){{2,}}(?![^\W_])")
+_UNITS = re.compile(_UNIT)
+#: Pieces of a word with a hyphen, a dash or dots between them, at a line's end too.
+_BROKEN = re.compile(r"(?<![^\W\d_])[^\W\d_]+(?:(?:-\n|[-_\u00ad\u00b7\u2010-\u2015\u2026]|\.{2,4})[^\W\d_]+)+")
+_BREAK = re.compile(r"[-_\u00ad\u00b7\u2010-\u2015\u2026]|\.\.")
+_FULL_WIDTH = re.compile("[\uff01-\uff5e]")
+_NARROW = {0xFF01 + i: 0x21 + i for i in range(94)}
 _LETTER = re.compile(r"[^\W\d_]")
 _SEPARATORS = frozenset(" .-_*")
 _PLAIN = re.compile(r"[^\W\d_]+")
@@ -80,7 +94,7 @@ _CLASSES: np.ndarray | None = None
 def _classes() -> np.ndarray:
     global _CLASSES
     if _CLASSES is None:
-        _CLASSES = np.array([_class(chr(i).lower()[:1] or " ") for i in range(0x3000)], np.int64)
+        _CLASSES = np.array([_class(chr(i).lower()[:1] or " ") for i in range(0x110000)], np.uint8)
     return _CLASSES
 
 
@@ -92,7 +106,7 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if not text:
                 continue
             points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-            a = np.concatenate(([0], classes[np.minimum(points, len(classes) - 1)], [0]))
+            a = np.concatenate(([0], classes[points], [0])).astype(np.int64)
             a = a[np.concatenate(([True], (a[1:] > 0) | (a[:-1] > 0)))]
             if len(a) > 2:
                 code = (a[:-2] * ALPHABET + a[1:-1]) * ALPHABET + a[2:]
@@ -237,17 +251,31 @@ class Restorer:
     def __getstate__(self):
         return self.__dict__ | {"known": {}}
 
-    def raw_words(self, text: str | None) -> set[str]:
-        """Plain words, words with look-alikes in them, and spelled-out words, lower-cased."""
+    def read(self, text: str | None) -> tuple[list[str], set[str]]:
+        """(plain words in order; all distinct words: the plain ones, words with look-alikes in them,
+        spelled-out words and words put together across hyphens and dots), lower-cased."""
         if not text:
-            return set()
+            return [], set()
         low = text.lower()
-        found = set(_PLAIN.findall(low))
+        if _FULL_WIDTH.search(low):
+            low = low.translate(_NARROW).lower()
+        plain = _PLAIN.findall(low)
+        found = set(plain)
+        single = any(len(w) == 1 for w in found)
         if _SIGN.search(low):
             found.update(m[0] for m in _ODD.finditer(low))
-        if any(len(w) == 1 for w in found):
+            single = True
+        if single:
             found.update(m[0] for m in _SPELLED.finditer(low) if _LETTER.search(m[0]))
-        return found
+            for m in _LOOSE.finditer(low):
+                if _LETTER.search(m[0]) and not _SPELLED.fullmatch(m[0]):
+                    found.add(" ".join(_UNITS.findall(m[0])))
+        if _BREAK.search(low):
+            found.update("".join(_PLAIN.findall(m[0])) for m in _BROKEN.finditer(low))
+        return plain, found
+
+    def raw_words(self, text: str | None) -> set[str]:
+        return self.read(text)[1]
 
     def restored(self, word: str) -> tuple[str, ...]:
         """The word, and the words of its decoded forms where its lattice has more than one path."""
@@ -279,6 +307,7 @@ class Model:
 
     def __init__(self, restorer: Restorer, lexicon: dict[str, float], rest: float):
         self.restorer, self.lexicon, self.rest, self.known = restorer, lexicon, rest, {}
+        self.whole = frozenset(w for w in lexicon if len(w) >= 5 and not w.endswith("~"))
 
     def __getstate__(self):
         return self.__dict__ | {"known": {}}
@@ -291,8 +320,11 @@ class Model:
         return out
 
     def score(self, text: str | None) -> float:
+        plain, found = self.restorer.read(text)
         hits: set[str] = set()
-        for w in self.restorer.raw_words(text):
+        for w in self.whole.intersection(map(operator.add, plain, itertools.islice(plain, 1, None))):
+            hits.update(f for f in features(w) if f in self.lexicon)
+        for w in found:
             hits.update(self._hits(w))
         clean = 1 - self.rest
         for h in sorted(hits):
@@ -356,7 +388,7 @@ def fit_lexicon(docs: list[list[str]], labels: np.ndarray, min_docs: int = 3, pr
     row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     index = np.concatenate(rows)
     del rows
-    names = np.array(list(at))
+    names = list(at)
     bad = labels[row] == 1
     against = np.bincount(index[~bad], minlength=len(at))
     index, row = index[bad], row[bad]
@@ -372,20 +404,22 @@ def fit_lexicon(docs: list[list[str]], labels: np.ndarray, min_docs: int = 3, pr
         gain *= np.log(gain.clip(1) / (gain + against + 1) / base).clip(1e-9)
         best = np.flatnonzero(gain >= gain.max() * (1 - 1e-9))
         f = max(best, key=lambda i: (len(names[i]), names[i]))  # of equal ones the most specific
-        lexicon[str(names[f])] = float(whole[f] + base) / float(whole[f] + against[f] + 1)
+        lexicon[names[f]] = float(whole[f] + base) / float(whole[f] + against[f] + 1)
         open_doc[row[index == f]] = False
         usable[f] = False
     enough = max(min_docs, int(np.ceil(np.log(chance / len(at)) / np.log(base))))
     for f in np.flatnonzero((whole >= enough) & (whole >= sure * (whole + against + 1))):
-        lexicon.setdefault(str(names[f]), float(whole[f] + base) / float(whole[f] + against[f] + 1))
+        lexicon.setdefault(names[f], float(whole[f] + base) / float(whole[f] + against[f] + 1))
     unexplained = open_doc.sum() / max(1, (labels == 0).sum() + open_doc.sum())
     return lexicon, float(unexplained)
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col: str = "doc_id",
-        text_col: str = "text", label_col: str = "toxic", train_rows: int = 4000, seed: int = 9) -> Model:
+        text_col: str = "text", label_col: str = "toxic", train_rows: int = 4000, seed: int = 9,
+        train_words: int = 4_000_000) -> Model:
     """The character model from all of ``docs``; the lexicon from labelled documents where ``train`` (a
-    condition on the id column of ``labels``) holds."""
+    condition on the id column of ``labels``) holds: about ``train_rows`` of them, and ``train_words`` distinct
+    words of theirs in all (a document that no longer fits is passed over)."""
     chars = char_model(docs, text_col)
     restorer = Restorer(chars)
     named = labels.select(col(id_col).alias("id"), col(label_col).cast("int").alias("y"))
@@ -398,14 +432,29 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col:
     # About train_rows rows: small enough to send to every task.
     texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
     words = F.pandas_udf(_words_of(restorer), "array<string>")
-    rows = (texts.join(F.broadcast(sample), "id").select("id", "y", words("text").alias("words"))
-            .groupBy("id").agg(F.min("y").alias("y"), F.min("words").alias("words"))  # one text per id, however often it comes
-            .groupBy("words").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").collect())
-    rows = sorted(rows, key=lambda r: r["words"])
-    lexicon, rest = fit_lexicon([r["words"] for r in rows], np.array([r["y"] for r in rows], float))
+    rows = stash(texts.join(F.broadcast(sample), "id").select("id", "y", words("text").alias("words"))
+                 .groupBy("id").agg(F.min("y").alias("y"), F.min("words").alias("words"))  # one text per id, however often it comes
+                 .groupBy("words").agg(F.min("id").alias("id"), F.min("y").alias("y"), F.max("y").alias("top")).where("y = top"), "toxic-words")
+    sizes = rows.select("id", "y", F.size("words").alias("n")).orderBy(F.xxhash64(F.lit(seed), "id"), "id").collect()
+    if sum(r["n"] for r in sizes) > train_words:
+        rows = rows.where(F.col("id").isin(within([tuple(r) for r in sizes], train_words)))
+    found = rows.select("y", "words").orderBy("words").toArrow()
+    lexicon, rest = fit_lexicon(_shared_strings(found.column("words")), found.column("y").to_numpy().astype(float))
     return Model(restorer, lexicon, rest)
 
 
+def _shared_strings(column: pa.ChunkedArray) -> list[list[str]]:
+    """The lists of a column, with one string for all its occurrences."""
+    lists = column.combine_chunks()
+    if not len(lists):
+        return []
+    lists = lists if isinstance(lists, pa.ListArray) else lists.chunk(0)
+    coded = lists.flatten().dictionary_encode()
+    names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    ends = np.cumsum(lists.value_lengths().to_numpy())
+    return [[names[c] for c in codes[e - n:e].tolist()] for e, n in zip(ends, lists.value_lengths().to_numpy())]
+
+
 def _words_of(restorer: Restorer):
     def batch(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in parts:
