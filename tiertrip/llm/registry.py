@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tiertrip.session import scratch_path
+from tiertrip.session import run_path
 
 from . import (decontaminate, hard_negatives, hilbert, langid, mixing, pii, quality_mil, quality_rules, simhash, suffix_dedup,
                token_files, toxicity, whitening)
@@ -75,7 +75,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    path = scratch_path(spark, "llm", f"token-files-{uuid.uuid4().hex}")
+    path = run_path(spark, "llm", f"token-files-{uuid.uuid4().hex}")
     token_files.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     found = token_files.read(spark, path)
     return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

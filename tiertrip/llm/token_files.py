@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from tiertrip.session import remove_path, scratch_path
+from tiertrip.session import arrow_files, remove_path, run_path
 
 from .common import col
 
@@ -201,18 +201,9 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> n
     return slots[np.arange(int(counts.sum())) + np.repeat(shift, counts)]
 
 
-def _files(uri: str):
-    """(file system, path) of a folder that tasks can reach: local, HDFS, S3 or GCS addresses."""
-    from pyarrow import fs
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    uri = re.sub("^s3[an]://", "s3://", re.sub("^file:/+", "file:///", uri))
-    return fs.FileSystem.from_uri(uri)
-
-
 def _put(folder: str, name: str, parts: list[bytes]) -> int:
     """Write under a name that nothing reads yet, then move: a file is whole or not there."""
-    files, root = _files(folder)
+    files, root = arrow_files(folder)
     files.create_dir(root, recursive=True)
     with files.open_output_stream(f"{root}/.{name}") as f:
         for p in parts:
@@ -230,7 +221,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str =
     spark = docs.sparkSession
     enc = encoder(tokenizer)
     dtype, size = enc.dtype, enc.size
-    stage = scratch_path(spark, "llm", f"tokens-{uuid.uuid4().hex}")
+    stage = run_path(spark, "llm", f"tokens-{uuid.uuid4().hex}")
     encode_texts(docs, tokenizer, end_id, doc_id, text).write.option("compression", "zstd").parquet(stage)
     encoded = spark.read.schema("id long, ids binary").parquet(stage)
     by_rank = frequency_ranks(encoded, size, dtype)
@@ -300,7 +291,7 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def read_shard(path: str, name: str, by_rank: np.ndarray, step: int = 1 << 20):
     """(id, NULL flag, ids) of a shard's documents in order, decoded ``step`` ids or one document at a time."""
-    files, root = _files(path)
+    files, root = arrow_files(path)
     with files.open_input_stream(f"{root}/{name}") as f:
         raw = np.frombuffer(f.read(), np.uint8)
     if raw[:8].tobytes() != MAGIC:
@@ -332,7 +323,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for name, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if by_rank is None:
-                    files, root = _files(path)
+                    files, root = arrow_files(path)
                     with files.open_input_stream(f"{root}/codebook.u32") as f:
                         by_rank = np.frombuffer(f.read(), "<u4")
                 for ids, null, counts, tokens in read_shard(path, name, by_rank):
