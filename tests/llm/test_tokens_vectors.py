@@ -254,7 +254,7 @@ def test_threshold_search_reads_part_of_the_lists(monkeypatch):
     full = sorted((-int(s), i) for i, s in enumerate(x @ q))
     read = []
     block.x = type("Rows", (), {"__getitem__": lambda s, at: read.append(len(at)) or x[at].astype(float),
-                                "astype": lambda s, k: s})()
+                                "__matmul__": lambda s, v: read.append(len(x)) or x.astype(float) @ v, "astype": lambda s, k: s})()
     assert block.search(q, np.ones(2000, bool), [(None, None)], 1)[0] == [(-full[0][0], full[0][1])]
     assert sum(read) < 200
     w = (100, 300)

@@ -69,7 +69,7 @@ class Lists:
         # Sums of products below 2^53 are exact in doubles, whose products are fast.
         small = len(x) and float(np.abs(x).max()) ** 2 * x.shape[1] < 2.0 ** 52
         self.x = x.astype(np.float64 if small else np.int64)
-        self.small = small
+        self.small, self.most = small, float(np.abs(x).max(initial=0))
         self.order = np.argsort(x, axis=0, kind="stable")
         self.values = np.take_along_axis(x, self.order, 0).astype(np.int64)
 
@@ -80,7 +80,7 @@ class Lists:
         m = len(self.ids)
         up, down = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
         open_ = [w for w in windows if w[0] is None or w[1] is None or w[0] <= w[1]]
-        exact = self.small and float(np.abs(anchor).max(initial=0)) * float(np.abs(self.values).max(initial=0)) * len(anchor) < 2.0 ** 52
+        exact = self.small and float(np.abs(anchor).max(initial=0)) * self.most * len(anchor) < 2.0 ** 52
         x, q = (self.x, anchor.astype(np.float64)) if exact else (self.x.astype(np.int64), anchor.astype(np.int64))
         seen, scores = np.zeros(m, bool), np.zeros(m, np.int64)
         done, depth = 0, min(m, FIRST_DEPTH)
@@ -91,7 +91,10 @@ class Lists:
             if not len(up) and not len(down):  # a zero anchor: every score is 0
                 met[:] = True
             new = np.flatnonzero(met & ~seen)
-            scores[new] = (x[new] @ q).astype(np.int64)
+            if 8 * len(new) < m:
+                scores[new] = (x[new] @ q).astype(np.int64)
+            else:  # many rows of the block: reading it in order is cheaper than gathering them
+                scores[new] = (x @ q).astype(np.int64)[new]
             seen[new] = True
             done = depth
             if seen.all() or done == m:
@@ -101,7 +104,12 @@ class Lists:
             if all(self._closed(ranked, w, k, threshold) for w in open_):
                 break
             depth = min(m, depth * GROWTH)
-        at = np.flatnonzero(seen & allowed)
+        inside = seen & allowed
+        if open_ and all(lo is not None for lo, _ in open_):
+            inside &= scores >= min(lo for lo, _ in open_)
+        if open_ and all(hi is not None for _, hi in open_):
+            inside &= scores <= max(hi for _, hi in open_)
+        at = np.flatnonzero(inside)
         at = at[np.lexsort((self.ids[at], -scores[at]))]
         found = -scores[at]  # ascending
         out = []
