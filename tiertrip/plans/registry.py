@@ -25,8 +25,10 @@ from tiertrip.plans import medallion as md
 from tiertrip.plans import saved
 from tiertrip.plans.lake import TripLake
 from tiertrip.session import run_path
+from tiertrip import schemas
+from tiertrip.sinks import catalog
 from tiertrip.sinks import landing as ld
-from tiertrip.sinks.writers import write_partitioned
+from tiertrip.sinks.writers import write_counted, write_partitioned
 from tiertrip.sources import months as mo
 from tiertrip.sources import fixtures, readers
 
@@ -159,6 +161,43 @@ def ingest_manifest(lake):
                               with_sizes=False)
 
 
+_ZONE_FILE = ZONE_SOURCE.rsplit("/", 1)[-1]
+_CHOSEN = [_AVAIL, _spine(LATEST_AS_OF, LATEST_START, LATEST_MAX), f"""chosen AS (
+  SELECT {_MONTH_COLS} FROM spine WHERE month IN (SELECT month FROM avail) ORDER BY spine.month DESC LIMIT {LATEST_N})"""]
+
+
+def _ingest(lake: TripLake, bronze: str, zones_target: str, **kw) -> DataFrame:
+    return md.ingest_job(lake.spark, lake.landing_path(), bronze, LATEST_AS_OF, LATEST_START, LATEST_MAX, LATEST_N,
+                         base_url=MANIFEST_BASE_URL, zones_path=lake.zones_path, zones_target=zones_target, **kw)
+
+
+@query("ingest_dry_run", with_(B + _CHOSEN, f"""SELECT file, '{MANIFEST_BASE_URL}/' || file AS source_url,
+       '{MANIFEST_TARGET}/source_month=' || month || '/' AS target, 'DRY_RUN' AS status FROM chosen
+UNION ALL SELECT '{_ZONE_FILE}', '{MANIFEST_BASE_URL}/{_ZONE_FILE}', '{ZONE_SOURCE}', 'DRY_RUN'"""))
+def ingest_dry_run(lake):
+    """SNK-8/PIP-5: what the ingest would land, the zone table with it; nothing is written (sizes are unit-tested)."""
+    return _ingest(lake, MANIFEST_TARGET, ZONE_SOURCE, dry_run=True).select("file", "source_url", "target", "status")
+
+
+@query("ingest_run", with_(B + _CHOSEN, f"""SELECT file, landed_rows AS row_count, 'SUCCESS' AS status,
+       CAST(NULL AS VARCHAR) AS error FROM chosen JOIN ({_FILE_MONTH}) f ON f.source_month = chosen.month
+UNION ALL SELECT '{_ZONE_FILE}', NULL, 'SUCCESS', NULL"""))
+def ingest_run(lake):
+    """PIP-5/SNK-5/SNK-7: the ingest job, month by month, with the zone table: rows by the footers, status, error."""
+    return _ingest(lake, _run_dir(lake, "ingested"), _run_dir(lake, "zones")).select("file", "row_count", "status", "error")
+
+
+@query("ingest_history", with_(B + _CHOSEN, """SELECT 'run' || k AS run_id, 'SUCCESS' AS status, false AS dry_run,
+       (SELECT count(*) FROM chosen) + 1 AS files_uploaded, (SELECT count(*) FROM chosen) + 1 AS files_total
+FROM range(1, 3) t(k)"""))
+def ingest_history(lake):
+    """AGG-23/SNK-7: the history of two runs, one of them repeated: an entry a run, files uploaded and in all."""
+    bronze, zones, history = (_run_dir(lake, d) for d in ("ingested", "zones", "history"))
+    for run in ("run1", "run2", "run2"):
+        _ingest(lake, bronze, zones, history_path=history, run_at=GENERATED_AT, run_id=run)
+    return ld.read_history(lake.spark, history).select("run_id", "status", "dry_run", "files_uploaded", "files_total")
+
+
 # ---------------------------------------------------------------- filters and tags
 @query("provider_filter", with_(B + [o.PROVIDER], "SELECT * FROM provider"))
 def provider_filter(lake):
@@ -355,6 +394,16 @@ def monthly_dq(lake):
     return rp.monthly_dq(lake.tagged())
 
 
+@query("quality_job_reports", with_(B + [o.TAGGED], """SELECT month, hvfhs_license_num, total, good, dq_set FROM (
+  SELECT month, hvfhs_license_num, count(*) AS total, count(*) FILTER (WHERE rejection_reason IS NULL) AS good,
+         CAST(GROUPING(month, hvfhs_license_num) AS BIGINT) AS dq_set
+  FROM (SELECT strftime(pickup_datetime, '%Y-%m') AS month, hvfhs_license_num, rejection_reason FROM tagged)
+  GROUP BY GROUPING SETS ((month), (hvfhs_license_num), ()))"""))
+def quality_job_reports(lake):
+    """PIP-3 (RPT-4, RPT-6, AGG-9, AGG-11): every report of the quality job from one scan, as grouping sets."""
+    return rp.dq_one_pass(lake.tagged())
+
+
 @query("monthly_raw_counts", with_(B, "SELECT strftime(pickup_datetime, '%Y-%m') AS month, count(*) AS trip_count FROM trips GROUP BY 1"))
 def monthly_raw_counts(lake):
     """AGG-9/SCL-10: raw trips per pickup month."""
@@ -581,3 +630,25 @@ def validate_gold(lake):
     out = md.GoldPaths(_run_dir(lake, "gold/daily"), _run_dir(lake, "gold/hourly"), _run_dir(lake, "gold/routes"))
     written = md.write_gold_one_pass(lake.spark, lake.curated(), out, lake.thresholds)
     return md.validate_gold(lake.spark, out, written)
+
+
+@query("silver_partitions", with_(S, "SELECT pickup_date, count(*) AS rows_written, count(*) AS rows_read FROM curated GROUP BY 1"))
+def silver_partitions(lake):
+    """RPT-7/SNK-3: rows of each silver partition as the write counted them, and as they are read back."""
+    path = _run_dir(lake, "silver")
+    _, parts = write_counted(lake.curated(), path, "pickup_date")
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.col("key"))
+    wrote = lake.spark.createDataFrame(sorted(parts.items()), "key int, rows_written long").select(day.alias("pickup_date"), "rows_written")
+    found = readers.scan_curated(lake.spark, path).groupBy("pickup_date").agg(F.count(F.lit(1)).alias("rows_read"))
+    return wrote.join(found, "pickup_date", "full")
+
+
+@query("catalog_daily", with_(S + [o.DAILY], "SELECT * FROM daily"))
+def catalog_daily(lake):
+    """SNK-9: daily gold registered with its first partitions, and again after the others were written beside them;
+    read by its table name."""
+    path, split = _run_dir(lake, "daily"), F.dayofmonth("pickup_date") <= 10
+    for part in (split, ~split):
+        write_partitioned(lake.gold("daily").where(part), path, "pickup_date", dynamic=True)
+        name = catalog.register_table(lake.spark, "default", f"daily_{path.rsplit('/', 2)[-2]}", path, partitioned=True)
+    return lake.spark.table(name).select(*schemas.DAILY.fieldNames())
