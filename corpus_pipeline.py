@@ -5,6 +5,13 @@ pigeonring chains; the row with the smallest id of each component stays), decont
 that contain a benchmark item go), mixing (each source's rows as often as its target says) and
 sharding (Hilbert order, 40 shards of equal row counts). A stage's result is written as Parquet
 below the shared working folder and read again as the next stage's documents.
+
+Rows. A NULL or empty text has no language and goes in the first stage, as does a text without a letter; no
+later stage meets one. A NULL id sorts last wherever ids decide (which copy stays, order within a
+shard); NULL in any other column is a value of its own (a source, a language). Of repeated rows and of ties
+one row stays, and mixing may then repeat it. Very long texts are read whole in every stage. Extra columns pass
+through, whatever their names; ``size, text_crc32, shard, slot`` of the last stage replace columns of these
+names. An empty table gives an empty table with the last stage's columns.
 """
 
 from __future__ import annotations
