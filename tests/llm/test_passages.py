@@ -189,3 +189,14 @@ def test_containment_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == len(odd_rows()) - 5
     assert decontaminate.contained_items(docs, items.where("item_id > 9")).count() == 0
     assert decontaminate.keep_clean(empty_docs(spark), items).count() == 0
+
+
+def test_index_is_small_beside_its_items():
+    import pickle
+    items = [(i, prose(i, 150)) for i in range(1500)]
+    index = decontaminate.Index(items)
+    raw = sum(len(t) for _, t in items)
+    assert len(pickle.dumps(index)) < 3 * raw + decontaminate.SEEDS * (1 << 20)
+    hit = index.search([prose(7, 150) + " and more", "nothing here"], 0.8)
+    assert [(i, index.items[at][0]) for i, at, _ in hit] == [(0, 7)] and hit[0][2] == index.size[hit[0][1]]
+    assert len(pickle.dumps(index)) < 3 * raw + decontaminate.SEEDS * (1 << 20)  # remembered sets do not travel

@@ -39,6 +39,8 @@ from .common import col
 from .textarrays import by_bytes, joined, scramble, words
 
 SEEDS, BINS = 6, 16
+#: Sets of shingle strings remembered by a task.
+SETS_KEPT = 2000
 _SMALL = 16
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _IS_WORD = np.array([not (b <= 0x2F or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F) for b in range(256)])
@@ -64,18 +66,22 @@ def _runs(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 class Index:
-    """Items by (shingle width, size bound): for each seed, the sorted signature values and their items."""
+    """Items by (shingle width, size bound): for each seed, the sorted signature values and their items.
+
+    Of an item's shingles only their number is kept; the strings are made again from its text for an item that
+    turns up as a candidate, and the last few thousand of those sets are remembered in each task."""
 
     def __init__(self, items: list[tuple], shingle: int = 5):
-        self.items, self.shingle = items, shingle
-        self.sets, grouped = [], {}
+        self.items, self.width, self.size, grouped = items, [], [], {}
+        self._sets: dict[int, set[str]] = {}
         for at, (_, text) in enumerate(items):
             w = len(_WORD.findall(text.lower())) if text else 0
             width = min(shingle, w)
-            found = shingles(text, width) if width else set()
-            self.sets.append(found)
-            if found:
-                bound = max(4, 1 << (len(found) - 1).bit_length())
+            n = len(shingles(text, width)) if width else 0
+            self.width.append(width)
+            self.size.append(n)
+            if n:
+                bound = max(4, 1 << (n - 1).bit_length())
                 grouped.setdefault((width, bound), []).append(at)
         self.parts = {}
         for (width, bound), members in grouped.items():
@@ -97,11 +103,22 @@ class Index:
                     continue
                 v, o = np.concatenate(values), np.concatenate(owners)
                 order = np.argsort(v, kind="stable")
-                seen = np.zeros(1 << 20, bool)
-                seen[(v & np.uint64(0xFFFFF)).astype(np.int64)] = True
-                tables.append((v[order], o[order], seen))
+                seen = np.zeros(1 << max(10, min(20, (16 * len(v) - 1).bit_length())), bool)
+                seen[(v & np.uint64(len(seen) - 1)).astype(np.int64)] = True
+                tables.append((v[order], o[order].astype(np.int32), seen))
             self.parts[width, bound] = tables
 
+    def __getstate__(self):
+        return self.__dict__ | {"_sets": {}}
+
+    def shingles_of(self, at: int) -> set[str]:
+        found = self._sets.get(at)
+        if found is None:
+            if len(self._sets) >= SETS_KEPT:
+                self._sets.clear()
+            found = self._sets[at] = shingles(self.items[at][1], self.width[at])
+        return found
+
     def _candidates(self, texts: list[str]) -> set[tuple[int, int]]:
         """(text, item) pairs of which one signature value agrees."""
         data, offsets = joined(texts)
@@ -138,7 +155,7 @@ class Index:
                         same = block_text[1:] == block_text[:-1]
                         pair[:-1][same] = np.minimum(low[:-1][same], low[1:][same])
                         hit, at = pair.reshape(-1), np.repeat(block_text, BINS)
-                    maybe = seen[(hit & np.uint64(0xFFFFF)).astype(np.int64)]
+                    maybe = seen[(hit & np.uint64(len(seen) - 1)).astype(np.int64)]
                     hit, at = hit[maybe], at[maybe]
                     lo, hi = np.searchsorted(values, hit), np.searchsorted(values, hit, "right")
                     for i in np.flatnonzero(hi > lo):
@@ -151,9 +168,8 @@ class Index:
         for a, b in by_bytes(texts):
             low = [(t or "").lower() for t in texts[a:b]]
             known: tuple = (None, None)
-            for i, at in sorted(self._candidates(low), key=lambda p: (p[0], len(next(iter(self.sets[p[1]]))), p[1])):
-                own = self.sets[at]
-                width = len(next(iter(own)))
+            for i, at in sorted(self._candidates(low), key=lambda p: (p[0], self.width[p[1]], p[1])):
+                own, width = self.shingles_of(at), self.width[at]
                 if known[0] != (i, width):
                     known = ((i, width), shingles(low[i], width))
                 found = len(own & known[1])
@@ -191,7 +207,7 @@ def _searcher(index: Index, threshold: float, item_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = index.search(batch.column(1).to_pylist(), threshold)
-            sizes = [len(index.sets[at]) for _, at, _ in found]
+            sizes = [index.size[at] for _, at, _ in found]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array([i for i, _, _ in found], pa.int64())),
                 pa.array([index.items[at][0] for _, at, _ in found], item_type),
