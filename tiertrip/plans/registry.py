@@ -166,8 +166,8 @@ _CHOSEN = [_AVAIL, _spine(LATEST_AS_OF, LATEST_START, LATEST_MAX), f"""chosen AS
   SELECT {_MONTH_COLS} FROM spine WHERE month IN (SELECT month FROM avail) ORDER BY spine.month DESC LIMIT {LATEST_N})"""]
 
 
-def _ingest(lake: TripLake, bronze: str, zones_target: str, **kw) -> DataFrame:
-    return md.ingest_job(lake.spark, lake.landing_path(), bronze, LATEST_AS_OF, LATEST_START, LATEST_MAX, LATEST_N,
+def _ingest(lake: TripLake, bronze: str, zones_target: str, months: int = LATEST_N, **kw) -> DataFrame:
+    return md.ingest_job(lake.spark, lake.landing_path(), bronze, LATEST_AS_OF, LATEST_START, LATEST_MAX, months,
                          base_url=MANIFEST_BASE_URL, zones_path=lake.zones_path, zones_target=zones_target, **kw)
 
 
@@ -188,13 +188,14 @@ def ingest_run(lake):
 
 
 @query("ingest_history", with_(B + _CHOSEN, """SELECT 'run' || k AS run_id, 'SUCCESS' AS status, false AS dry_run,
-       (SELECT count(*) FROM chosen) + 1 AS files_uploaded, (SELECT count(*) FROM chosen) + 1 AS files_total
+       least(k, (SELECT count(*) FROM chosen)) + 1 AS files_uploaded, least(k, (SELECT count(*) FROM chosen)) + 1 AS files_total
 FROM range(1, 3) t(k)"""))
 def ingest_history(lake):
-    """AGG-23/SNK-7: the history of two runs, one of them repeated: an entry a run, files uploaded and in all."""
+    """AGG-23/SNK-7: the history of two runs, of one month and of two, the second one repeated: an entry a run,
+    files uploaded and in all."""
     bronze, zones, history = (_run_dir(lake, d) for d in ("ingested", "zones", "history"))
-    for run in ("run1", "run2", "run2"):
-        _ingest(lake, bronze, zones, history_path=history, run_at=GENERATED_AT, run_id=run)
+    for k in (1, 2, 2):
+        _ingest(lake, bronze, zones, months=k, history_path=history, run_at=GENERATED_AT, run_id=f"run{k}")
     return ld.read_history(lake.spark, history).select("run_id", "status", "dry_run", "files_uploaded", "files_total")
 
 
