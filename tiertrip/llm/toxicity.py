@@ -261,12 +261,12 @@ class Restorer:
             low = low.translate(_NARROW).lower()
         plain = _PLAIN.findall(low)
         found = set(plain)
-        single = any(len(w) == 1 for w in found)
         if _SIGN.search(low):
             found.update(m[0] for m in _ODD.finditer(low))
-            single = True
+        single = sum(len(w) == 1 for w in plain)
         if single:
             found.update(m[0] for m in _SPELLED.finditer(low) if _LETTER.search(m[0]))
+        if single > 2:  # three letters at least that stand alone
             for m in _LOOSE.finditer(low):
                 if _LETTER.search(m[0]) and not _SPELLED.fullmatch(m[0]):
                     found.add(" ".join(_UNITS.findall(m[0])))
