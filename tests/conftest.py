@@ -1,4 +1,5 @@
 import os
+import re
 import sys
 
 import pytest
@@ -45,3 +46,14 @@ def trips_df(spark, rows):
 def plan_text(df, mode="formatted"):
     """The physical plan as text (the same string ``df.explain(mode)`` prints)."""
     return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
+
+def method_sizes(df):
+    """For each whole-stage part of the plan: (its plan, bytes of its largest generated method)."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.initialPlan()
+    debug = getattr(getattr(df.sparkSession._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    text = debug.codegenString(plan)
+    return [(part, int(size)) for size, part in
+            re.findall(r"== Subtree \d+ / \d+ \(maxMethodCodeSize:(\d+)(.*?)Generated code:", text, re.S)]
