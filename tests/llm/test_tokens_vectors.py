@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -58,6 +59,39 @@ def test_word_encoder_forgets_words_at_its_bound(monkeypatch):
         assert len(enc.young) <= 3 and len(enc.old) <= 3
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("aelrstvmdz0 9'!.\t\néßÿ"), max_size=30), max_size=6))
+def test_pieces_of_many_texts_are_those_of_the_split(texts):
+    pieces, ends = token_files.split_plain([t.encode() for t in texts])
+    split = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9ß-öø-ÿ]+")
+    want = [[p.encode() for p in split.findall(t)] for t in texts]
+    assert pieces.to_pylist() == sum(want, []) and ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
+
+
+@pytest.mark.parametrize("chunk", (1, 40, 1 << 23))
+def test_texts_encoded_together_are_those_encoded_alone(monkeypatch, chunk):
+    monkeypatch.setattr(token_files, "CHUNK", chunk)
+    enc = token_files.Encoder(BPE)
+    texts = [r[1] for r in odd_rows()] + ["it's", "'S we'll", " \t ", "日本 one", None, "", "ÀÉ' 'ß''s", "a<|endoftext|>b", "x"]
+    want = [np.array(tokens(t or ""), enc.dtype).tobytes() for t in texts]
+    assert enc.encode_all([None if t is None else t.encode() for t in texts]) == want
+
+
+def test_each_distinct_piece_is_looked_up_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    enc = token_files.Encoder(BPE)
+    enc.young = Counted()
+    text = "the same few words, again and again. " * 5000
+    assert np.frombuffer(enc.encode(text.encode()), enc.dtype).tolist() == tokens(text)
+    assert Counted.asked < 100
+
+
 def test_other_tokenizers_encode_whole_texts():
     enc = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     assert not enc.wordwise

@@ -16,13 +16,13 @@ order: a task that is run again writes a shard under another name, and only the
 is in the manifest.
 
 Decoding is table lookup: the control byte gives its four lengths, their running sum the offsets, and one
-gather for each length the values.
+gather with a mask the values.
 
 Rows: NULL texts count as empty and get the end id alone; NULL ids come first; rows with one id lie side by
 side in an order set by their tokens, so copies and equal ids need no rule and a hot id is spread over
 tasks. Ids must be integers (cast to bigint). A very long text is encoded word by word into one buffer of
 its ids; one text may have up to 2^29 ids (the size of a binary value). Other columns are not read. An empty
-table gives no shard and no row.
+table gives no shard and no row. Working memory is bounded by ``CHUNK`` and ``CODED``, or by the longest text.
 """
 
 from __future__ import annotations
@@ -48,23 +48,50 @@ SHARD_IDS = 1 << 25
 BLOCK = 1000
 #: Pieces or words in a generation of a worker's encoder (some 80 MB), and the greatest length of one.
 CACHE_PARTS, CACHE_LENGTH = 400_000, 64
+#: Bytes of texts that are cut into pieces together, and ids that are coded together, at least one text each.
+CHUNK, CODED = 1 << 23, 1 << 20
 
 # The steps of a tokenizer file that the word-wise encoder below reproduces.
 _NORMAL = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The same split for texts of ASCII and Latin-1 letters, in lower case; letters are tried first.
-_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9ß-öø-ÿ]+")
+#: Texts of ASCII and Latin-1 letters: in lower case each of their bytes is of one of the kinds below.
 _PLAIN = re.compile("[\x20-\x7e\t-\rÀ-ÖØ-öø-ÿ]*\\Z")
+_SPACE, _LETTER, _DIGIT, _SIGN = range(4)
+_KIND = np.array([_LETTER if b >= 0x80 or chr(b).islower() else _DIGIT if chr(b).isdigit() else _SPACE if chr(b).isspace() else _SIGN
+                  for b in range(256)], np.uint8)
+
+
+def split_plain(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of plain texts in lower case, one after the other, and how many there are up to each text's
+    end. The split above in terms of bytes: a piece is a run of letters, one digit, or a run of signs, and where a
+    run of signs is one apostrophe, it takes a following s, t, re, ve, m, ll or d from the letters."""
+    raw = np.frombuffer(b" ".join(texts) + b"   ", np.uint8)
+    kind = _KIND[raw]
+    solid = kind != _SPACE
+    begins = solid.copy()
+    begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    at = np.flatnonzero((raw == ord("'")) & begins)
+    one, two = raw[at + 1], raw[at + 2]
+    short = np.isin(one, list(b"stmd"))
+    long = np.isin(one, list(b"rv")) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    after = (at + 2 + long)[short | long]
+    begins[at[short | long] + 1] = False
+    begins[after] = solid[after]
+    ends = np.searchsorted(np.flatnonzero(begins), np.cumsum([len(t) + 1 for t in texts]))
+    kept, first = raw[solid], np.flatnonzero(begins[solid])
+    offsets = np.append(first, len(kept)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(kept)]), ends
 
 
 class Encoder:
     """Ids of texts (UTF-8 bytes) as bytes of ``dtype``, by the tokenizers library.
 
-    A tokenizer of the steps above drops white space and never looks across it. So a text of ASCII and
-    Latin-1 letters (which the normal form leaves as they are) is cut into the pieces of the tokenizer's own
-    split, and each distinct piece goes once to its model; any other text is encoded word by word by the whole
-    tokenizer, each distinct word once. A tokenizer with other steps gets whole texts. Pieces and words
-    are kept in two generations: when the young one is full it becomes the old one, which is dropped."""
+    A tokenizer of the steps above drops white space and never looks across it. So texts of ASCII and
+    Latin-1 letters (which the normal form leaves as they are) are cut into the pieces of the tokenizer's own
+    split, many texts at a time; each distinct piece of these goes once to its model, and its ids are laid
+    out wherever it occurs. Any other text is encoded word by word by the whole tokenizer, each distinct word
+    once. A tokenizer with other steps gets whole texts. Pieces and words are kept in two generations: when
+    the young one is full it becomes the old one, which is dropped."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -83,28 +110,59 @@ class Encoder:
         self.level = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xC0, 0x100))}
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young: dict[str | bytes, bytes] = {}
+        self.old: dict[str | bytes, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
 
     def encode(self, raw: bytes) -> bytes:
-        text = raw.decode("utf-8", "replace")
-        if not self.wordwise:
-            return self._whole(text)
-        if _PLAIN.match(text) and not any(t in raw for t in self.added):
-            parts, make = _PIECE.findall(text.lower()), self._piece
-        else:  # bytes are split at ASCII white space only; a word's key cannot be a piece's
-            parts, make = [" " + w.decode("utf-8", "replace") for w in raw.split()], self._whole
-        found = list(map(self.young.get, parts))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    found[i] = self._kept(parts[i], make)
-        return b"".join(found)
-
-    def _kept(self, part: str, make) -> bytes:
+        return self.encode_all([raw])[0]
+
+    def encode_all(self, raws: list[bytes | None]) -> list[bytes]:
+        """The ids of each text; none for a NULL or empty one."""
+        out, plain, at, size = [b""] * len(raws), [], [], 0
+        for i, raw in enumerate(raws):
+            if not raw:
+                continue
+            text = raw.decode("utf-8", "replace")
+            if not self.wordwise:
+                out[i] = self._whole(text)
+            elif _PLAIN.match(text) and not any(t in raw for t in self.added):
+                lower = text.lower().encode()
+                if plain and size + len(lower) > CHUNK:
+                    self._plain(plain, at, out)
+                    plain, at, size = [], [], 0
+                plain.append(lower)
+                at.append(i)
+                size += len(lower)
+            else:  # bytes are split at ASCII white space only; a word's key is a string, a piece's is bytes
+                out[i] = b"".join([self._kept(" " + w.decode("utf-8", "replace"), self._whole) for w in raw.split()])
+        if plain:
+            self._plain(plain, at, out)
+        return out
+
+    def _plain(self, texts: list[bytes], at: list[int], out: list[bytes]) -> None:
+        pieces, ends = split_plain(texts)
+        if not len(pieces):
+            return
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        found = list(map(self.young.get, distinct))
+        for i, ids in enumerate(found):
+            if ids is None:
+                found[i] = self._kept(distinct[i], self._piece)
+        pool, which = np.frombuffer(b"".join(found), self.dtype), coded.indices.to_numpy()
+        each = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        counts = each[which]
+        stop = np.cumsum(counts)
+        shift = (np.cumsum(each) - each)[which] - (stop - counts)
+        flat = pool[np.repeat(shift, counts) + np.arange(int(stop[-1]))].tobytes()
+        lo = 0
+        for i, hi in zip(at, (np.append(0, stop)[ends] * self.dtype.itemsize).tolist()):
+            out[i], lo = flat[lo:hi], hi
+
+    def _kept(self, part: str | bytes, make) -> bytes:
         ids = self.young.get(part)
         if ids is None:
             ids = self.old.get(part)
@@ -119,8 +177,8 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _piece(self, piece: str) -> bytes:
-        found = self.model.tokenize(piece if piece.isascii() else piece.translate(self.level))
+    def _piece(self, piece: bytes) -> bytes:
+        found = self.model.tokenize(piece.decode() if piece.isascii() else piece.decode().translate(self.level))
         return self.pack([t.id for t in found])
 
 
@@ -142,7 +200,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "do
         end = enc.pack([end_id])
         for b in batches:
             raw = b.column(1).cast(pa.binary()).to_pylist()
-            yield pa.record_batch([b.column(0), pa.array([(enc.encode(r) if r else b"") + end for r in raw], pa.binary())],
+            yield pa.record_batch([b.column(0), pa.array([ids + end for ids in enc.encode_all(raw)], pa.binary())],
                                   names=["id", "ids"])
 
     picked = docs.select(col(doc_id).cast("long").alias("id"), col(text).cast("string").alias("text"))
@@ -155,8 +213,9 @@ def frequency_ranks(encoded: DataFrame, size: int, dtype: np.dtype) -> np.ndarra
     def run(batches):
         total = np.zeros(size, np.int64)
         for b in batches:
-            for ids in b.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(ids, dtype), minlength=size)
+            ids = np.frombuffer(b"".join(b.column(0).to_pylist()), dtype)
+            for lo in range(0, len(ids), CODED):
+                total += np.bincount(ids[lo:lo + CODED], minlength=size)
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
@@ -172,6 +231,8 @@ _BYTES = np.array([0, 1, 2, 4])
 _TAKEN = np.arange(4) < _BYTES[:, None]
 #: The four lengths of every control byte.
 _LENGTHS = _BYTES[(np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3].astype(np.int64)
+#: What each length takes of a rank's first two data bytes.
+_MASKS = np.array([0, 0xFF, 0xFFFF, 0, 0xFFFF], np.uint16)
 
 
 def code_ranks(ranks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,13 +250,11 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> n
     """The ranks of whole documents from their control and data bytes."""
     length = _LENGTHS[control].ravel()
     at = np.cumsum(length) - length
-    slots = np.zeros(len(length), np.uint32)
-    padded = np.append(data, np.zeros(4, np.uint8)).astype(np.uint32)
-    for n in (1, 2, 4):
-        here = length == n
-        begin = at[here]
-        for k in range(n):
-            slots[here] |= padded[begin + k] << np.uint32(8 * k)
+    padded = np.append(data, np.zeros(4, np.uint8))
+    pairs = padded[:-1] | padded[1:].astype(np.uint16) << 8
+    slots = (pairs[at] & _MASKS[length]).astype(np.uint32)
+    here = np.flatnonzero(length == 4)
+    slots[here] |= pairs[at[here] + 2].astype(np.uint32) << np.uint32(16)
     width = (counts + 3) // 4 * 4
     shift = np.cumsum(width) - width - (np.cumsum(counts) - counts)
     return slots[np.arange(int(counts.sum())) + np.repeat(shift, counts)]
@@ -252,8 +311,13 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str =
         for b in batches:
             lo = 0
             lengths = np.array([len(v) // dtype.itemsize for v in b.column(1).to_pylist()], np.int64)
-            while lo < len(lengths):  # rows up to the shard's bound, one at least
-                hi = lo + max(1, int(np.searchsorted(np.cumsum(lengths[lo:]), shard_ids - n, "right")))
+            total = np.cumsum(lengths)
+            while lo < len(lengths):  # rows up to the shard's bound and those coded together, one at least
+                if held and n + int(lengths[lo]) > shard_ids:
+                    yield flush()
+                    held, n, k = [], 0, k + 1
+                before = int(total[lo - 1]) if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(total, before + min(shard_ids - n, CODED), "right")))
                 rows = b.slice(lo, hi - lo)
                 packed = np.frombuffer(b"".join(rows.column(1).to_pylist()), dtype)
                 ids = rows.column(0)
@@ -262,9 +326,6 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str =
                              *code_ranks(ranks[packed], lengths[lo:hi])))
                 n += int(lengths[lo:hi].sum())
                 lo = hi
-                if n >= shard_ids or lo < len(lengths):
-                    yield flush()
-                    held, n, k = [], 0, k + 1
         if held:
             yield flush()
 
@@ -328,10 +389,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                         by_rank = np.frombuffer(f.read(), "<u4")
                 for ids, null, counts, tokens in read_shard(path, name, by_rank):
                     end = np.cumsum(counts)
-                    raw = tokens.astype("<u4").tobytes()
-                    cut = [raw[4 * (e - n):4 * e] for e, n in zip(end.tolist(), counts.tolist())]
-                    yield pa.record_batch([pa.array(ids, mask=null), pa.array(start + end - counts), pa.array(counts),
-                                           pa.array(cut, pa.binary())], schema=_arrow)
+                    cuts = (np.append(0, end) * 4).astype(np.int32)
+                    raw = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(cuts), pa.py_buffer(tokens)])
+                    yield pa.record_batch([pa.array(ids, mask=null), pa.array(start + end - counts), pa.array(counts), raw],
+                                          schema=_arrow)
                     start += int(end[-1])
 
     _arrow = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
